@@ -36,14 +36,46 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Distance of a word-final byte's letter from that byte's own.
+WORD_END = 0x200
+
+
+def word_end(word: str) -> str:
+    return word[:-1] + chr(ord(word[-1]) + WORD_END)
+
+
+class Generations(dict):
+    """A bounded cache: when it is full it becomes the old generation, out of which what is used again is taken over."""
+
+    old: dict = {}
+
+    def find(self, key):
+        value = self.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self[key] = value
+        return value
+
+    def age(self) -> None:
+        if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder(dict):
     """The tables of one vocabulary; as a dict, a cache from text pieces to little-endian ids."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        alphabet = byte_alphabet()
-        ids = {bytes(alphabet[c] for c in t).decode("latin-1"): i for t, i in spec["model"]["vocab"].items()}
+        alphabet, suffix = byte_alphabet(), spec["model"].get("end_of_word_suffix") or ""
+
+        def plain(token: str) -> str:
+            """The token's bytes as latin-1 text; the last byte of a word is another letter where the vocabulary marks word ends."""
+            ends = bool(suffix) and token.endswith(suffix)
+            text = bytes(alphabet[c] for c in (token[: -len(suffix)] if ends else token)).decode("latin-1")
+            return word_end(text) if ends else text
+
+        ids = {plain(t): i for t, i in spec["model"]["vocab"].items()}
         size = 1 + max([*ids.values(), *(t["id"] for t in spec["added_tokens"])])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = ids
@@ -53,7 +85,7 @@ class Encoder(dict):
         self.merged: dict[tuple[int, int], int] = {}
         self.compatible: dict[tuple[int, int], bool] = {}
         for merge in spec["model"]["merges"]:
-            a, b = (ids[bytes(alphabet[c] for c in t).decode("latin-1")] for t in (merge if isinstance(merge, list) else merge.split(" ")))
+            a, b = (ids[plain(t)] for t in (merge if isinstance(merge, list) else merge.split(" ")))
             self.merged[a, b] = 0
         texts = {i: t for t, i in ids.items()}
         for a, b in self.merged:
@@ -68,14 +100,14 @@ class Encoder(dict):
         self.automaton.make_automaton()
         blob = [b""] * size
         for t, i in ids.items():
-            blob[i] = t.encode("latin-1")
+            blob[i] = bytes(ord(c) % WORD_END for c in t)
         for t, i in self.special.items():
             blob[i] = t.encode()
         self.lengths = np.array([len(b) for b in blob], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.blob = np.frombuffer(b"".join(blob), np.uint8)
         self.cut_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.pre_tokens: dict[str, bytes] = {}
+        self.pre_tokens = Generations()
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging by rank keeps the boundary between these two neighbouring tokens."""
@@ -156,7 +188,7 @@ class Encoder(dict):
 
     def pre_token(self, word: str) -> bytes:
         """Ids of one pre-token."""
-        value = self.pre_tokens.get(word)
+        value = self.pre_tokens.find(word)
         if value is None:
             value = array("I", self.encode_pre_token(word.encode().decode("latin-1"))).tobytes()
             if len(word) <= 64:
@@ -169,10 +201,9 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > CACHE_ENTRIES // 2:
             self.clear()
-        if len(self.pre_tokens) > CACHE_ENTRIES:
-            self.pre_tokens.clear()
+        self.pre_tokens.age()
         if self.cut_special is not None and (found := self.cut_special.search(text)):
             return self.encode(text[: found.start()]) + np.array([self.special[found[0]]], "<u4").tobytes() + self.encode(text[found.end() :])
         units = text.replace("\n", " \n").split(" ")

@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from strandflow.llm.bpe import encoder, word_end
 from strandflow.llm.common import CACHE_ENTRIES, cut, map_rows, texts_of
 
 #: Salts per length when ranks are dealt out, so that one frequent length is ranked by many tasks.
@@ -25,7 +26,12 @@ RANK_SALTS = 64
 
 
 class Units(dict):
-    """Piece between blanks -> little-endian ids, filled by the tokenizers library in batches."""
+    """Piece between blanks -> little-endian ids.
+
+    Words of Latin letters, alone or before one punctuation mark, go through the exact backtracking
+    encoder, which is faster for single words; the tokenizers library encodes every other piece,
+    whose letters may need normalization.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,12 +40,26 @@ class Units(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.words = encoder(path)
         self[""] = b""
 
-    def learn(self, units: set[str]) -> None:
-        new = list(units.difference(self))
-        for unit, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[unit] = array("I", got.ids).tobytes()
+    def word(self, word: str) -> bytes:
+        known = self.words.pre_tokens
+        value = known.find(word)
+        if value is None:
+            value = known[word] = array("I", self.words.encode_pre_token(word_end(word.encode().decode("latin-1")))).tobytes()
+        return value
+
+    def __missing__(self, unit: str) -> bytes:
+        low = unit.lower()
+        if max(low) <= "\xff" and low.isalpha():
+            value = self.word(low)
+        elif max(low) <= "\xff" and low[-1] in ".,;:!?|" and low[:-1].isalpha():
+            value = self.word(low[:-1]) + self.word(low[-1])
+        else:
+            value = array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+        self[unit] = value
+        return value
 
 
 @lru_cache(maxsize=2)
@@ -47,17 +67,14 @@ def _units(path: str) -> Units:
     return Units(path)
 
 
-def encode_texts(texts: list[str | None], path: str, block: int = 256):
-    """Ids of each text as bytes. The vocabulary drops white space, so no token reaches over a blank or a line feed."""
+def encode_text(text: str | None, path: str) -> bytes:
+    """Ids of a text. The vocabulary drops white space, so no token reaches over a blank or a line feed."""
     known = _units(path)
-    for i in range(0, len(texts), block):
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts[i : i + block]]
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-            known[""] = b""
-        known.learn(set().union(*split))
-        for units in split:
-            yield b"".join(map(known.__getitem__, units))
+    if len(known) > CACHE_ENTRIES // 2:
+        known.clear()
+        known[""] = b""
+    known.words.pre_tokens.age()
+    return b"".join(map(known.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int, width: int) -> DataFrame:
@@ -69,8 +86,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, width: int) -> DataFra
 
     def rows(c):
         out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
-        for doc, ids in zip(c["doc_id"].to_pylist(), encode_texts(c["text"].to_pylist(), vocabulary), strict=True):
-            ids += end
+        for doc, text in zip(c["doc_id"].to_pylist(), c["text"].to_pylist(), strict=True):
+            ids = encode_text(text, vocabulary) + end
             n = len(ids) // 4
             for start in range(0, n, width):
                 piece = ids[4 * start : 4 * (start + width)]
