@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import bpe, packing, token_counts
+from strandflow.llm import bpe, langid, packing, quality, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +28,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    found = langid.predict(docs, langid.fit(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
