@@ -55,7 +55,7 @@ def registers(found: np.ndarray) -> np.ndarray:
     rest = np.where(shift >= 0, low >> np.maximum(shift, 0).astype(np.uint64), low << np.maximum(-shift, 0).astype(np.uint64))
     value = ((57 - size) << MANTISSA | (rest & np.uint64((1 << MANTISSA) - 1)).astype(np.int64)).astype(np.uint16)
     if not full.all():
-        value = value[_ORDER[np.arange(BUCKETS), full[_ORDER].argmax(1)]]
+        value = np.where(full, value, value[_ORDER[np.arange(BUCKETS), full[_ORDER].argmax(1)]])
     return value
 
 
