@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import bpe, langid, minhash, packing, quality, token_counts, toxicity
+from strandflow.llm import bpe, langid, minhash, packing, quality, recompress, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -32,6 +32,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
