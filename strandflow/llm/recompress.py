@@ -26,7 +26,7 @@ from strandflow.llm import windows as win
 
 ROUNDS = 3
 BLOCK_CHARS = 1 << 20
-KINDS = {"docs": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8"}
+KINDS = {"docs": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8", "late": "<i8"}
 _SEAM = np.uint64(0)  # stands between documents and never joins a symbol
 
 
@@ -132,28 +132,25 @@ def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     late[by] = same & ((doc[by] != doc[leader]) | (start[by] != start[leader]))
     at = np.flatnonzero(late)
     f, n = win.runs(start[at], doc[at])
-    return {"doc_id": doc[at][f], "start": start[at][f], "count": n}
+    known = c["late"].reshape(-1, 3)
+    return {k: np.concatenate([v, known[:, i]]) for i, (k, v) in enumerate((("doc_id", doc[at][f]), ("start", start[at][f]), ("count", n)))}
 
 
 def repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """(doc_id, start, count): runs of windows of `width` words that also start earlier in the corpus."""
     texts = texts_of(docs)
     n = win.buckets_for(texts, 1.7)
-    schema = "bucket long, docs binary, starts binary, counts binary, prints binary, doc_id long, start long, count long"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), *[pa.binary()] * 4, *[pa.int64()] * 3]
-        names = [x.split()[0] for x in schema.split(", ")]
         for ids, block in win.blocks(batches, BLOCK_CHARS):
-            rows, (doc, start, count) = _sent(ids, block, width, n)
-            yield pa.RecordBatch.from_arrays([pa.array([*(r[i] for r in rows), *[None] * len(doc)] if i < 5 else [*[None] * len(rows), *(doc, start, count)[i - 5].tolist()], kinds[i]) for i in range(8)], names)
-
-    sent = texts.mapInArrow(send, schema)
-    from strandflow.llm.common import cut
-
-    sent = cut(sent, "windows")
-    found = win.per_bucket(sent.filter("bucket is not null").select("bucket", *KINDS), n, _late, KINDS, "doc_id long, start long, count long")
-    return found.unionAll(sent.filter("bucket is null").select("doc_id", "start", "count"))
+            rows, late = _sent(ids, block, width, n)
+            if rows:
+                # what the block flagged itself travels with its first record
+                packed = [np.stack(late, axis=1).astype("<i8").tobytes(), *[b""] * (len(rows) - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5)), pa.array(packed, pa.binary())], ["bucket", *KINDS])
+
+    sent = texts.mapInArrow(send, "bucket long, " + ", ".join(f"{k} binary" for k in KINDS))
+    return win.per_bucket(sent, n, _late, KINDS, "doc_id long, start long, count long")
 
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
