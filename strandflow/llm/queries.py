@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import bpe, langid, minhash, packing, quality, recompress, token_counts, toxicity
+from strandflow.llm import bpe, langid, minhash, packing, quality, recompress, suffix, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -57,6 +57,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
