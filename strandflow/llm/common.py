@@ -114,3 +114,13 @@ def cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so that extra columns never clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+
+
+def filter_rows(df: DataFrame, decide: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of `df`, all columns as they are, for whose texts `decide` says so."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(decide(batch.column("text").to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

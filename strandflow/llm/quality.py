@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from strandflow.llm import linear
-from strandflow.llm.common import cover, map_rows, shingles, split_words, texts_of, word_hashes
+from strandflow.llm.common import cover, filter_rows, map_rows, shingles, split_words, texts_of, word_hashes
 
 #: Characters counted as symbols (fixed value).
 SYMBOLS = b"#*$%&|<>"
@@ -101,6 +101,25 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     return {"weights": w.reshape(FAMILIES, SIZE).astype(np.float32), "bias": bias, "slope": slope, "shift": shift}
 
 
+def judge(model: dict | None, text: str | None, keep_from: float = KEEP_FROM) -> tuple:
+    """The base measures, base_failed, p_good and kept of one text."""
+    raw = (text or "").encode()
+    words = raw.split()
+    hashes = word_hashes(words)
+    base = base_measures(text, raw, words, hashes)
+    failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
+    p = None
+    if model is not None:
+        p = float(linear.sigmoid(np.float64(model["slope"] * margin(model["weights"], model["bias"], features(raw, hashes)) + model["shift"])))
+    return *base, failed, p, not failed and (p is None or p >= keep_from)
+
+
+def keep(docs: DataFrame, model: dict | None) -> DataFrame:
+    """The rows of `docs` that pass the base rules and the classifier."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: [judge(sent.value, t)[-1] for t in texts])
+
+
 def score(docs: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) -> DataFrame:
     """Per row of `docs`: the base measures, base_failed, the probability of good quality, and kept.
 
@@ -111,16 +130,9 @@ def score(docs: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) ->
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def rows(c):
-        m = sent.value
         out = {k: [] for k in [*names, "base_failed", "p_good", "kept"]}
         for text in c["text"].to_pylist():
-            raw = (text or "").encode()
-            words = raw.split()
-            hashes = word_hashes(words)
-            base = base_measures(text, raw, words, hashes)
-            failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
-            p = None if m is None else float(linear.sigmoid(np.float64(m["slope"] * margin(m["weights"], m["bias"], features(raw, hashes)) + m["shift"])))
-            for k, x in zip(out, (*base, failed, p, not failed and (p is None or p >= keep_from)), strict=True):
+            for k, x in zip(out, judge(sent.value, text, keep_from), strict=True):
                 out[k].append(x)
         return {"doc_id": c["doc_id"], **out}
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import bpe, langid, minhash, packing, quality, recompress, suffix, token_counts, toxicity
+from strandflow.llm import ann, bpe, langid, minhash, packing, quality, recompress, suffix, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -24,6 +24,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 

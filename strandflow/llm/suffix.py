@@ -314,6 +314,28 @@ def repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     return win.per_bucket(contexts, m, lambda c: _settle(c, width), _TEXT, spans)
 
 
+def cut_texts(docs: DataFrame, width: int = 400) -> DataFrame:
+    """`docs` without their repeated bytes: text as what remains (characters cut in two are dropped), n_chars, if there, its length; other columns as they are."""
+    names, schema = docs.columns, docs.schema
+    joined = win.with_spans(docs, repeats(docs, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(names.index("text")).to_pylist()
+            starts, counts = (batch.column(len(names) + k).to_pylist() for k in range(2))
+            for i, text in enumerate(texts):
+                if starts[i]:
+                    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+                    texts[i] = raw[~win.flagged(starts[i], counts[i], width, len(raw))].tobytes().decode("utf-8", "ignore")
+            out = list(batch.columns[: len(names)])
+            out[names.index("text")] = pa.array(texts, pa.string())
+            if "n_chars" in names:
+                out[names.index("n_chars")] = pa.array([None if t is None else len(t) for t in texts], out[names.index("n_chars")].type)
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    return joined.mapInArrow(run, schema)
+
+
 def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) per row of `docs`; `kept` holds the remaining bytes.
 

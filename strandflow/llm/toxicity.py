@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from strandflow.llm import linear
-from strandflow.llm.common import map_rows, texts_of, word_hashes
+from strandflow.llm.common import filter_rows, map_rows, texts_of, word_hashes
 
 BITS = 18
 SIZE = 1 << BITS
@@ -108,6 +108,16 @@ def probabilities(model: dict, text: str | None) -> list[float]:
     return out
 
 
+def toxic(model: dict | None, text: str | None, toxic_from: float = TOXIC_FROM) -> bool:
+    return bool(text) and model is not None and probabilities(model, text)[-1] >= toxic_from
+
+
+def keep(docs: DataFrame, model: dict | None) -> DataFrame:
+    """The rows of `docs` that are not toxic."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: [not toxic(sent.value, t) for t in texts])
+
+
 def score(docs: DataFrame, model: dict | None, toxic_from: float = TOXIC_FROM) -> DataFrame:
     """(doc_id, p_<category>..., toxic) per row of `docs`.
 

@@ -135,10 +135,10 @@ def runs(starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id, text and the sorted starts and counts of its flagged windows (null where there are none)."""
+    """The rows of `docs` with the starts and counts of their flagged windows (null where there are none)."""
     grouped = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
     grouped = grouped.withColumnRenamed("doc_id", "span_doc")
-    return docs.join(grouped, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == grouped["span_doc"], "left").select("doc_id", "text", "spans.start", "spans.count")
+    return docs.join(grouped, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == grouped["span_doc"], "left").select(*(docs[c] for c in docs.columns), "spans.start", "spans.count")
 
 
 def flagged(starts: list | None, counts: list | None, width: int, n: int) -> np.ndarray:
