@@ -1,11 +1,55 @@
-"""The training-data pipeline: STAGES over `documents`, each written as Parquet before the next reads it."""
+"""The training-data pipeline: STAGES over `documents`, each written as Parquet before the next reads it.
+
+Bad and toxic documents go, one document of each near-duplicate group stays, strings of 400 bytes
+that still repeat anywhere are cut out, and what is left is packed into training sequences. A
+document whose whole text is cut out stays with an empty text.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from strandflow.llm import minhash, packing, quality, suffix, toxicity
+from strandflow.llm.common import cut
+from strandflow.llm.queries import table, vocabulary
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # learned on all labelled documents: the stage before has dropped some of the toxic ones
+    return toxicity.keep(docs, toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = minhash.near_duplicates(docs).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix.cut_texts(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("suffix_array", suffix_array),
+    ("packing", pack),
+]
+#: Classifiers, tokens and suffix arrays are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to the documents of `sf_dir`."""
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to the documents of `sf_dir`; every stage but the last is written in the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
