@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from strandflow.operators.canonical import canonicalise, success_label
 
 SUFFIXES = (".csv", ".jsonl", ".ndjson", ".parquet")
-SESSION = T.StructType().add("session_id", "string").add("operator_id", "string").add("robot_id", "string").add("task_id", "string").add("recorded_at", "timestamp").add("control_hz", "double").add("n_joints", "int").add("notes", "string").add("_broken", "string")
+SESSION = T.StructType().add("session_id", "string").add("operator_id", "string").add("robot_id", "string").add("task_id", "string").add("recorded_at", "timestamp").add("control_hz", "double").add("n_joints", "integer").add("notes", "string").add("_broken", "string")
 
 
 def read_sessions(spark: SparkSession, root: str, n_joints: int) -> DataFrame:
