@@ -35,7 +35,7 @@ _RAW = f"""
 ev as (select event_id, user_id, cast((day(ts) - 1) // 10 as int) as block, epoch_us(ts) as t_us, value, event_type, cast(json_extract_string(props, '$.k') as double) as k,
   cast(list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) as double) - 1 as code from events),
 raw1 as (select event_id, user_id, t_us, case when event_type = 'error' and event_id % 25 = 0 then null else value end as q_0, k as q_1, code as q_2, k / 100 as grip,
-  (event_id * 7) % 41 - 20.0 as act_q_0, k - 50 as act_q_1, code - 2 as act_q_2,
+  cast((event_id * 7) % 41 - 20 as double) as act_q_0, k - 50 as act_q_1, code - 2 as act_q_2,
   'episode_' || block || case (user_id + block) % 10 when 0 then '_fail' when 1 then '_ABORT' else '_ok' end as stem,
   unnest(case when user_id % 10 = 3 then ['', 'c'] else [''] end) as copy from ev),
 raw as (select *, cast(user_id as varchar) || copy as session_id, cast(user_id as varchar) || copy || '__' || stem as episode_id from raw1)"""
