@@ -6,10 +6,11 @@ value of another bucket, found in an order fixed per bucket. Bands of 4 register
 candidates, the share of equal registers - corrected for chance collisions - drops hopeless
 ones, and every link is confirmed on the full shingle sets.
 
-Copies collapse first. In a band bucket every member is compared with the bucket's smallest
-member only; then, for buckets whose members still lie in different components, all pairs across
-components are compared, in blocks. So a group of near copies costs about one comparison per
-member and band, and no candidate pair that could change the result is left out.
+Copies collapse first. A node is compared with the smallest of its buckets' smallest members, then
+with the other ones that still lie in another component. For buckets whose members are in several
+components even then, all pairs across components are compared, in blocks. So a group of near
+copies costs about one comparison per member, and no candidate pair that could change the result
+is left out.
 """
 
 from __future__ import annotations
@@ -124,24 +125,23 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
 def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """Plausible pairs of nodes that share a band but lie in different components, each bucket in pairs of blocks."""
     placed = banded.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    sizes = placed.groupBy("band", "component").agg(F.count("*").alias("own"))
+    mixed = sizes.groupBy("band").agg(F.sum("own").alias("members"), F.count("*").alias("parts"), F.max_by("component", F.struct("own", "component")).alias("most")).filter("parts > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows_in = placed.join(mixed.select("band", blocks.alias("blocks")), "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows_in = rows_in.join(nodes.select("node", "n", "registers"), "node")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows_in = rows_in.select("band", "node", "component", "n", "registers", "own", other)
-    dealt = rows_in.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "registers")
-    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
+    rows_in = placed.join(mixed.select("band", "most", blocks.alias("blocks")), "band").join(nodes.select("node", "n", "registers"), "node")
+    # the largest component's members stay in their own block; only the others visit every block
+    home, roams = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("component") != F.col("most")
+    visits = F.explode(F.when(roams, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))).alias("block")
+    dealt = rows_in.withColumns({"home": home, "roams": roams}).select("band", visits, "home", "roams", "node", "component", "n", "registers")
+    dealt = dealt.select("band", "block", (F.col("home") == F.col("block")).alias("resident"), "roams", "node", "component", "n", "registers").repartition("band", "block").sortWithinPartitions("band", "block", "node")
 
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        i, j = group[0][1], group[0][2]
-        own, node, comp, n = (np.array([g[x] for g in group]) for x in (3, 4, 5, 6))
+        resident, roams, node, comp, n = (np.array([g[x] for g in group]) for x in (2, 3, 4, 5, 6))
         regs = np.frombuffer(b"".join(g[7] for g in group), np.uint16).reshape(-1, BUCKETS)
-        for x in np.flatnonzero(own == i):
-            rest = np.flatnonzero((own == j) & (comp != comp[x]) & ((node > node[x]) if i == j else True))
+        for x in np.flatnonzero(roams):
+            rest = np.flatnonzero(resident & (comp != comp[x]))
             if len(rest):
-                good = rest[estimate((regs[rest] == regs[x]).mean(1), n[rest], n[x]) >= least - SLACK]
-                for y in good:
+                for y in rest[estimate((regs[rest] == regs[x]).mean(1), n[rest], n[x]) >= least - SLACK]:
                     yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,7 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, least: float)
 
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
-                if group and row[:3] != group[0][:3]:
+                if group and row[:2] != group[0][:2]:
                     if (out := flush()).num_rows:
                         yield out
                     group = []
@@ -164,6 +164,13 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, least: float)
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different components."""
+    for side in ("a", "b"):
+        pairs = pairs.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left")
+    return pairs.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of `docs`.
 
@@ -181,12 +188,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     banded = cut(banded.join(shared.select("band", "hub"), "band"), "bands")
     stars = banded.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut(_confirmed(_plausible(stars, nodes, least), docs, k, percent), "confirmed")
+    # first each node with the smallest hub of its buckets; then with the other hubs, where that left them apart
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = cut(_confirmed(_plausible(first, nodes, least), docs, k, percent), "confirmed")
     found = cut(components(links), "components")
-    more = cut(_across(banded.select("band", "node"), nodes, found, least).join(stars, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        links = links.unionAll(_confirmed(more, docs, k, percent))
-        found = cut(components(links), "components")
+    for pairs in (lambda: _apart(stars.join(first, ["a", "b"], "left_anti"), found), lambda: _across(banded.select("band", "node"), nodes, found, least).join(stars, ["a", "b"], "left_anti")):
+        more = cut(_plausible(pairs(), nodes, least), "more")
+        if not more.isEmpty():
+            links = cut(links.unionAll(_confirmed(more, docs, k, percent)), "confirmed")
+            found = cut(components(links), "components")
     of_print = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "print").join(of_print, "print", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
