@@ -137,7 +137,7 @@ def predict(windows: DataFrame, weights: np.ndarray) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-    schema = StructType(windows.schema.fields).add("predicted", ArrayType(ArrayType(DoubleType())))
+    schema = StructType(list(windows.schema.fields)).add("predicted", ArrayType(ArrayType(DoubleType())))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
