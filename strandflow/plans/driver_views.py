@@ -64,17 +64,29 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meta.join(timing, keys).join(made, keys).withColumns(ids).drop("user_id", "stem")
 
 
+def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(steps, episodes, quality); steps and episodes are read several times below, so they are kept."""
+    s, e = steps(spark, sf_dir).persist(), episodes(spark, sf_dir).persist()
+    return s, e, metrics.score(metrics.metrics(s, e, PROFILE), PROFILE)
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.score(metrics.metrics(steps(spark, sf_dir), episodes(spark, sf_dir), PROFILE), PROFILE)
+    return _scored(spark, sf_dir)[2]
 
 
 def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate(steps(spark, sf_dir), PROFILE)
 
 
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s, e, q = _scored(spark, sf_dir)
+    return s, dataset.gate(e, q, validate.validate(s, PROFILE), PROFILE)
+
+
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dataset.gate(episodes(spark, sf_dir), quality(spark, sf_dir), validation(spark, sf_dir), PROFILE)
+    return _gated(spark, sf_dir)[1]
 
 
 def built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return dataset.build(steps(spark, sf_dir), gated(spark, sf_dir), OBS, ACT, PROFILE)
+    s, g = _gated(spark, sf_dir)
+    return dataset.build(s, g.persist(), OBS, ACT, PROFILE)

@@ -324,7 +324,7 @@ def gram(spark, sf):
 
 def fit_policy(spark, sf):
     """Validation loss of each ridge candidate of the chunk policy."""
-    _, windows = _windows(spark, sf)
+    windows = _windows(spark, sf)[1].persist()  # read once for the fit and once for each candidate
     fitted = evaluate.fit_policy(windows.filter("split = 'train'"))
     out = None
     for ridge, weights in fitted.items():
