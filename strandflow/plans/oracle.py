@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from strandflow.plans.driver_views import PROFILE as P
 from strandflow.profile import METRICS
 
@@ -145,7 +147,8 @@ _r = lambda x, n=6, name=None: f"round({x}, {n}) as {name or x}"
 
 
 def _sql(ctes: str, select: str) -> str:
-    return f"with {ctes.strip()}\n{select}"
+    # each step is computed once, however many read it
+    return f"with {re.sub(r'(\w+) as \(select', r'\1 as materialized (select', ctes.strip())}\n{select}"
 
 
 def oracle_sql() -> dict[str, str]:
