@@ -83,9 +83,9 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
 
 
 def bands(nodes: DataFrame) -> DataFrame:
-    """(band, node): one row per node and band, keyed by a hash of the band's registers."""
+    """(node, place, band): one row per node and band, keyed by a hash of the band's registers."""
     keys = f"transform(sequence(0, {BUCKETS // BAND - 1}), b -> xxhash64(b, substring(registers, b * {2 * BAND} + 1, {2 * BAND})))"
-    return nodes.select("node", F.explode(F.expr(keys)).alias("band"))
+    return nodes.select("node", F.posexplode(F.expr(keys)).alias("place", "band"))
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -122,27 +122,44 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return map_rows(both.select("a", "b", "text_a", "text_b"), rows, "a long, b long").distinct()
 
 
-def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, least: float) -> DataFrame:
-    """Plausible pairs of nodes that share a band but lie in different components, each bucket in pairs of blocks."""
+def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Linked pairs of nodes that share a band but lie in different components.
+
+    Plausible pairs are confirmed where they meet, in the first band they share, so that a group
+    of many texts just below the threshold yields no rows.
+    """
+    least = percent / 100
     placed = banded.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("band", "component").agg(F.count("*").alias("own"))
     mixed = sizes.groupBy("band").agg(F.sum("own").alias("members"), F.count("*").alias("parts"), F.max_by("component", F.struct("own", "component")).alias("most")).filter("parts > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows_in = placed.join(mixed.select("band", "most", blocks.alias("blocks")), "band").join(nodes.select("node", "n", "registers"), "node")
+    rows_in = rows_in.join(texts_of(docs).withColumnRenamed("doc_id", "node"), "node")
     # the largest component's members stay in their own block; only the others visit every block
     home, roams = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("component") != F.col("most")
     visits = F.explode(F.when(roams, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))).alias("block")
-    dealt = rows_in.withColumns({"home": home, "roams": roams}).select("band", visits, "home", "roams", "node", "component", "n", "registers")
-    dealt = dealt.select("band", "block", (F.col("home") == F.col("block")).alias("resident"), "roams", "node", "component", "n", "registers").repartition("band", "block").sortWithinPartitions("band", "block", "node")
+    dealt = rows_in.withColumns({"home": home, "roams": roams}).select("band", visits, "home", "roams", "node", "component", "n", "registers", "place", "text")
+    dealt = dealt.select("band", "block", (F.col("home") == F.col("block")).alias("resident"), "roams", "node", "component", "n", "registers", "place", "text").repartition("band", "block").sortWithinPartitions("band", "block", "node")
 
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
         resident, roams, node, comp, n = (np.array([g[x] for g in group]) for x in (2, 3, 4, 5, 6))
         regs = np.frombuffer(b"".join(g[7] for g in group), np.uint16).reshape(-1, BUCKETS)
-        for x in np.flatnonzero(roams):
-            rest = np.flatnonzero(resident & (comp != comp[x]))
+        place, sets = group[0][8], {}
+
+        def own(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_set(group[i][9], k)
+            return sets[i]
+
+        for x in np.flatnonzero(roams).tolist():
+            rest = np.flatnonzero(resident & (comp != comp[x]) & (~roams | (node > node[x])))
             if len(rest):
-                for y in rest[estimate((regs[rest] == regs[x]).mean(1), n[rest], n[x]) >= least - SLACK]:
-                    yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))
+                same = regs[rest] == regs[x]
+                here = same.reshape(len(rest), -1, BAND).all(2).argmax(1) == place
+                for y in rest[here & (estimate(same.mean(1), n[rest], n[x]) >= least - SLACK)].tolist():
+                    shared = len(np.intersect1d(own(x), own(y), assume_unique=True))
+                    if 100 * shared >= percent * (len(own(x)) + len(own(y)) - shared):
+                        yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -192,11 +209,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = cut(_confirmed(_plausible(first, nodes, least), docs, k, percent), "confirmed")
     found = cut(components(links), "components")
-    for pairs in (lambda: _apart(stars.join(first, ["a", "b"], "left_anti"), found), lambda: _across(banded.select("band", "node"), nodes, found, least).join(stars, ["a", "b"], "left_anti")):
-        more = cut(_plausible(pairs(), nodes, least), "more")
-        if not more.isEmpty():
-            links = cut(links.unionAll(_confirmed(more, docs, k, percent)), "confirmed")
-            found = cut(components(links), "components")
+    more = cut(_plausible(_apart(stars.join(first, ["a", "b"], "left_anti"), found), nodes, least), "more")
+    if not more.isEmpty():
+        links = cut(links.unionAll(_confirmed(more, docs, k, percent)), "confirmed")
+        found = cut(components(links), "components")
+    more = cut(_across(banded.select("band", "place", "node"), nodes, found, docs, k, percent), "across")
+    if not more.isEmpty():
+        found = cut(components(links.unionAll(more)), "components")
     of_print = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "print").join(of_print, "print", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
