@@ -9,9 +9,8 @@ matrix and by the ridge weights.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandflow.llm import linear
@@ -24,7 +23,7 @@ PER_LANGUAGE = 400
 LANDMARKS = 40
 LANGUAGES = 64
 RIDGE = 0.01
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def presence(text: str | None, out: np.ndarray) -> None:

@@ -195,11 +195,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     at least `percent` / 100. A text with fewer than k words is one shingle of all its words; a null
     or empty text has an empty set and is linked with nothing. component_id is the smallest doc_id
     reachable over links; kept marks the row that bears it. A doc_id is taken to name one text;
-    rows that repeat it get the same result. An empty table gives no rows.
+    rows that repeat it get the same result. A row without a doc_id is linked with nothing: its
+    component_id is null and it is kept. An empty table gives no rows.
     """
     least = percent / 100
     sketches = cut(sketch(docs, k), "sketches")
-    nodes = sketches.filter("n_shingles > 0").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
     nodes = cut(nodes, "nodes")
     banded = bands(nodes)
     shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
@@ -218,4 +219,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         found = cut(components(links.unionAll(more)), "components")
     of_print = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "print").join(of_print, "print", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
