@@ -4,7 +4,7 @@ Each distinct shingle falls into one of 128 buckets; a bucket keeps its smallest
 floating-point register: the number of leading zeros and the next 10 bits. Empty buckets take the
 value of another bucket, found in an order fixed per bucket. Bands of 4 registers propose
 candidates, the share of equal registers - corrected for chance collisions - drops hopeless
-ones, and every link is confirmed on the full shingle sets.
+ones of larger sets, and every link is confirmed on the full shingle sets.
 
 Copies collapse first. A node is compared with the smallest of its buckets' smallest members, then
 with the other ones that still lie in another component. For buckets whose members are in several
@@ -28,8 +28,10 @@ from strandflow.llm.components import components
 BUCKETS, MANTISSA = 128, 10
 #: Registers of a band. A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7.
 BAND = 4
-#: A pair goes on to the full comparison if its estimate is at most this much below the threshold (3.5 standard deviations).
-SLACK = 0.125
+#: A pair of larger sets goes on to the full comparison if its estimate is at most this much below the threshold (7 standard deviations).
+SLACK = 0.25
+#: Pairs with a smaller set than this always do: their empty buckets borrow registers, so that the estimate strays further.
+SMALL = 2 * BUCKETS
 #: Members of one block when pairs across components are compared.
 BLOCK = 128
 #: Chance of two unrelated registers to agree, times 2^MANTISSA (the HyperMinHash paper's constant).
@@ -67,6 +69,11 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (equal - chance) / (1 - chance)
 
 
+def hopeful(equal: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs the full comparison must decide: all but those of larger sets whose estimate is far below `least`."""
+    return (np.minimum(n, m) < SMALL) | (estimate(equal, n, m) >= least - SLACK)
+
+
 def sketch(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, print, registers): the set's size, its 128-bit fingerprint and its registers; both null if it is empty."""
 
@@ -96,7 +103,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     def rows(c):
         a, b = (np.frombuffer(b"".join(c[k].to_pylist()), np.uint16).reshape(-1, BUCKETS) for k in ("r_a", "r_b"))
         n, m = (c[k].to_numpy(zero_copy_only=False) for k in ("n_a", "n_b"))
-        good = pa.array(estimate((a == b).mean(1), n, m) >= least - SLACK)
+        good = pa.array(hopeful((a == b).mean(1), n, m, least))
         return {"a": c["a"].filter(good), "b": c["b"].filter(good)}
 
     return map_rows(pairs, rows, "a long, b long")
@@ -156,7 +163,7 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, docs: DataFra
             if len(rest):
                 same = regs[rest] == regs[x]
                 here = same.reshape(len(rest), -1, BAND).all(2).argmax(1) == place
-                for y in rest[here & (estimate(same.mean(1), n[rest], n[x]) >= least - SLACK)].tolist():
+                for y in rest[here & hopeful(same.mean(1), n[rest], n[x], least)].tolist():
                     shared = len(np.intersect1d(own(x), own(y), assume_unique=True))
                     if 100 * shared >= percent * (len(own(x)) + len(own(y)) - shared):
                         yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))

@@ -50,6 +50,19 @@ def test_near_duplicates(spark):
     assert got == {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
+def test_links_with_a_low_estimate_are_kept(spark):
+    rows = []
+    for seed, t in ((548, 6), (18448, 40)):  # pairs at similarity 0.8 whose registers suggest less than 0.675
+        rng = random.Random(seed)
+        w = [str(rng.randrange(10**9)) for _ in range(10 * t + 3)]
+        pair = [" ".join(w[: 9 * t + 3]), " ".join(w[: 8 * t + 3] + w[9 * t + 3 :])]
+        a, b = (minhash.registers(minhash.shingle_set(x, 4)) for x in pair)
+        assert (a == b).mean() < 0.674
+        rows += pair
+    got = minhash.near_duplicates(table(spark, list(enumerate(rows))), k=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
 def test_repeated_words(spark):
     rows, seen, want = texts(2), {}, {}
     for i, t in rows:
