@@ -204,8 +204,16 @@ class Encoder(dict):
         if len(self) > CACHE_ENTRIES // 2:
             self.clear()
         self.pre_tokens.age()
-        if self.cut_special is not None and (found := self.cut_special.search(text)):
-            return self.encode(text[: found.start()]) + np.array([self.special[found[0]]], "<u4").tobytes() + self.encode(text[found.end() :])
+        if self.cut_special is None:
+            return self.between(text)
+        out, at = [], 0
+        for found in self.cut_special.finditer(text):
+            out += (self.between(text[at : found.start()]), np.array([self.special[found[0]]], "<u4").tobytes())
+            at = found.end()
+        return b"".join([*out, self.between(text[at:])])
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without special tokens, from the cache where its blanks allow."""
         units = text.replace("\n", " \n").split(" ")
         first = units[0]
         if not _SPACE.search(first) and (first or len(units) == 1 or units[1][:1] == "\n"):

@@ -38,6 +38,16 @@ def test_byte_bpe_equals_the_library(spark):
     assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in enumerate(texts[:40])}
 
 
+def test_thousands_of_special_tokens_in_a_text(spark):
+    text = "".join(f"word {i}<|endoftext|>" + "\n" * (i % 3) for i in range(5000))
+    path = vocabulary("byte_bpe_50k.json")
+    want = tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    (got,) = bpe.round_trip(table(spark, [text]), path).collect()
+    assert got["n_tokens"] == len(want) and got["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+    assert got["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert token_counts.attribute(table(spark, [text]), path).agg({"n_tokens": "sum"}).first()[0] == len(want)
+
+
 def test_packing_keeps_every_id_once(spark):
     texts = ODD + made(300, 2) + ["word other " * 2500] * 3
     t = tokenizers.Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
