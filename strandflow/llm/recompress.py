@@ -26,7 +26,7 @@ from strandflow.llm import windows as win
 
 ROUNDS = 3
 BLOCK_CHARS = 1 << 20
-KINDS = {"docs": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8", "late": "<i8"}
+KINDS = {"docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8", "late": "<i8"}
 _SEAM = np.uint64(0)  # stands between documents and never joins a symbol
 
 
@@ -74,8 +74,8 @@ def anchors(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarr
     return anchor, place
 
 
-def _sent(ids: list, texts: list[str], width: int, n: int) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
-    """The packed records of a block, by bucket, and the windows it flags itself (doc, start, count)."""
+def _sent(own_rows: list, ids: list, texts: list[str], width: int, n: int) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
+    """The packed records of a block, by bucket, and the windows it flags itself (row, start, count)."""
     hashes = [word_hashes(t.encode("utf-8", "surrogatepass").split()) for t in texts]
     size = np.array([len(h) for h in hashes])
     seam = np.array([_SEAM])
@@ -88,19 +88,18 @@ def _sent(ids: list, texts: list[str], width: int, n: int) -> tuple[list[tuple],
     if not len(starts):
         return [], (none, none, none)
     prints = win.run_prints(win.prefix_prints(words), starts, width)
-    ids = np.array(ids, np.int64)
+    ids, row = np.array(ids, np.int64), np.array(own_rows, np.int64)
     inner = starts - begin[doc]
-    by_id = np.argsort(ids, kind="stable")  # first occurrence by (doc_id, start), whatever the order of the rows
+    by_id = np.lexsort((row, ids))  # first occurrence by (doc_id, row, start), whatever the order of the rows
     rank = np.empty(len(ids), np.int64)
     rank[by_id] = np.arange(len(ids))
-    order = np.lexsort((inner, rank[doc], prints)) if (np.diff(ids) < 0).any() else np.argsort(prints, kind="stable")
+    order = np.lexsort((inner, rank[doc], prints)) if (np.diff(rank) < 0).any() else np.argsort(prints, kind="stable")
     head = np.concatenate([[True], prints[order][1:] != prints[order][:-1]])
-    leader = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
     late = np.zeros(len(starts), bool)
-    late[order] = (ids[doc[order]] != ids[doc[leader]]) | (inner[order] != inner[leader])
+    late[order] = ~head
     f, c = win.runs(np.flatnonzero(late), doc[late])
     at = np.flatnonzero(late)[f]
-    here = (ids[doc[at]], inner[at], c)
+    here = (row[doc[at]], inner[at], c)
     go = np.zeros(len(starts), bool)
     go[order[head]] = True
     anchor, place = anchors(words, starts, width)
@@ -114,43 +113,41 @@ def _sent(ids: list, texts: list[str], width: int, n: int) -> tuple[list[tuple],
     rows = []
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
         g = first[a:b]
-        rows.append((int(bucket[a]), ids[doc[g]].tobytes(), inner[g].astype("<i4").tobytes(), c[a:b].astype("<i4").tobytes(), prints[win.spread(g, c[a:b])].tobytes()))
+        rows.append((int(bucket[a]), ids[doc[g]].tobytes(), row[doc[g]].tobytes(), inner[g].astype("<i4").tobytes(), c[a:b].astype("<i4").tobytes(), prints[win.spread(g, c[a:b])].tobytes()))
     return rows, here
 
 
 def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Within a bucket: the windows that are not the first of their print, as runs."""
-    order = np.lexsort((c["starts"], c["docs"]))
+    order = np.lexsort((c["starts"], c["rows"], c["docs"]))
     begin = np.concatenate([[0], np.cumsum(c["counts"])[:-1]]).astype(np.int64)[order]
-    docs, starts, counts = c["docs"][order], c["starts"][order].astype(np.int64), c["counts"][order].astype(np.int64)
+    rows, starts, counts = c["rows"][order], c["starts"][order].astype(np.int64), c["counts"][order].astype(np.int64)
     prints = c["prints"][win.spread(begin, counts)]
-    doc, start = np.repeat(docs, counts), win.spread(starts, counts)
+    row, start = np.repeat(rows, counts), win.spread(starts, counts)
     by = np.argsort(prints, kind="stable")
     same = np.concatenate([[False], prints[by][1:] == prints[by][:-1]])
-    leader = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
     late = np.zeros(len(prints), bool)
-    late[by] = same & ((doc[by] != doc[leader]) | (start[by] != start[leader]))
+    late[by] = same
     at = np.flatnonzero(late)
-    f, n = win.runs(start[at], doc[at])
+    f, n = win.runs(start[at], row[at])
     known = c["late"].reshape(-1, 3)
-    return {k: np.concatenate([v, known[:, i]]) for i, (k, v) in enumerate((("doc_id", doc[at][f]), ("start", start[at][f]), ("count", n)))}
+    return {k: np.concatenate([v, known[:, i]]) for i, (k, v) in enumerate((("row", row[at][f]), ("start", start[at][f]), ("count", n)))}
 
 
-def repeats(docs: DataFrame, width: int = 20) -> DataFrame:
-    """(doc_id, start, count): runs of windows of `width` words that also start earlier in the corpus."""
-    texts = texts_of(docs)
+def repeats(texts: DataFrame, width: int = 20) -> DataFrame:
+    """(row, start, count): runs of windows of `width` words that also start earlier in the corpus; `texts` has row numbers."""
     n = win.buckets_for(texts, 1.7)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, block in win.blocks(batches, BLOCK_CHARS):
-            rows, late = _sent(ids, block, width, n)
+        for own, ids, block in win.blocks(batches, BLOCK_CHARS):
+            rows, late = _sent(own, ids, block, width, n)
             if rows:
                 # what the block flagged itself travels with its first record
                 packed = [np.stack(late, axis=1).astype("<i8").tobytes(), *[b""] * (len(rows) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5)), pa.array(packed, pa.binary())], ["bucket", *KINDS])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6)), pa.array(packed, pa.binary())], ["bucket", *KINDS])
 
     sent = texts.mapInArrow(send, "bucket long, " + ", ".join(f"{k} binary" for k in KINDS))
-    return win.per_bucket(sent, n, _late, KINDS, "doc_id long, start long, count long")
+    return win.per_bucket(sent, n, _late, KINDS, "row long, start long, count long")
 
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
@@ -158,10 +155,11 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
 
     Words are runs of anything but ASCII white space. A word goes if a window of `width` words
     that covers it also starts earlier: in a smaller doc_id, or before in the same document.
-    Null and empty texts have no words; a text below `width` words keeps all. Rows that repeat a
-    doc_id count as one document; a null doc_id as the smallest.
+    Null and empty texts have no words; a text below `width` words keeps all. Each row is a
+    document of its own; a null doc_id counts as the smallest, and among rows of one doc_id the
+    order they were read in decides.
     """
-    texts = texts_of(docs)
+    texts = win.with_row_ids(texts_of(docs))
 
     def rows(c):
         n_words, removed, sha, kept = [], [], [], []
@@ -175,4 +173,4 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
             kept.append(left.decode())
         return {"doc_id": c["doc_id"], "n_words": n_words, "n_removed": removed, "kept_sha256": sha, "kept_text": kept}
 
-    return map_rows(win.with_spans(texts, repeats(docs, width)), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return map_rows(win.with_spans(texts, repeats(texts, width)), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -180,13 +180,13 @@ def _seen(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     keys, docs, starts = c["keys"][order], c["docs"][order], c["starts"][order]
     again = (keys[1:] == keys[:-1]) & ((docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1]))
     shared = (c["many"][order] > 0) | np.concatenate([[False], again]) | np.concatenate([again, [False]])
-    # a place repeated in between (rows that share a doc_id) must not hide its neighbours
+    # a place repeated in between must not hide its neighbours
     head = np.concatenate([[True], keys[1:] != keys[:-1]])
     group = np.cumsum(head) - 1
     shared = np.bincount(group, weights=shared, minlength=int(head.sum()))[group] > 0
     pick = order[shared & (c["many"][order] == 0)]
     known = c["known"].reshape(-1, 3)
-    return {k: np.concatenate([c[n][pick].astype(np.int64), known[:, i]]) for i, (k, n) in enumerate((("doc_id", "docs"), ("start", "starts"), ("count", "counts")))}
+    return {k: np.concatenate([c[n][pick].astype(np.int64), known[:, i]]) for i, (k, n) in enumerate((("row", "docs"), ("start", "starts"), ("count", "counts")))}
 
 
 def _rows(bucket: np.ndarray, columns: dict[str, np.ndarray], known: np.ndarray, text: list[bytes] | None = None) -> pa.RecordBatch | None:
@@ -212,8 +212,8 @@ _TEXT = {"keys": "<u8", "docs": "<i8", "starts": "<i8", "counts": "<i4", "places
 
 
 def _send_keys(batches: Iterator[pa.RecordBatch], width: int, n: int) -> Iterator[pa.RecordBatch]:
-    for ids, texts in win.blocks(batches, BLOCK_CHARS):
-        got = [(i, x) for i, t in zip(ids, texts, strict=True) if (x := parts(t.encode("utf-8", "surrogatepass"), width)) is not None]
+    for own, _, texts in win.blocks(batches, BLOCK_CHARS):
+        got = [(i, x) for i, t in zip(own, texts, strict=True) if (x := parts(t.encode("utf-8", "surrogatepass"), width)) is not None]
         if not got:
             continue
         keys, starts, counts = (np.concatenate([x[k] for _, x in got]) for k in range(3))
@@ -236,7 +236,7 @@ def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int) -> Iterato
         held: dict[str, list] = {k: [] for k in ("keys", "docs", "starts", "counts", "places")}
         texts: list[bytes] = []
         size = 0
-        rows = zip(*(batch.column(k).to_pylist() for k in ("doc_id", "text", "start")), strict=True)
+        rows = zip(*(batch.column(k).to_pylist() for k in (win.ROW, "text", "start")), strict=True)
         left = batch.num_rows
         for doc, text, shared in rows:
             left -= 1
@@ -245,7 +245,7 @@ def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int) -> Iterato
                 key, start, count, place = parts(raw, width)
                 pick = np.flatnonzero(np.isin(start, shared))
                 start, count = start[pick], count[pick]
-                for k, v in zip(held, (key[pick], np.full(len(pick), win.NO_ID if doc is None else doc), start, count, place[pick] - start), strict=True):
+                for k, v in zip(held, (key[pick], np.full(len(pick), doc), start, count, place[pick] - start), strict=True):
                     held[k].append(v)
                 texts += [raw[a : a + c - 1 + width] for a, c in zip(start.tolist(), count.tolist(), strict=True)]
                 size += len(raw)
@@ -298,18 +298,17 @@ def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
                 (doc, start), = places
                 out.append(np.stack([np.full(len(f), doc), start + at[f], n], axis=1))
     rows = np.concatenate(out)
-    return {"doc_id": rows[:, 0], "start": rows[:, 1], "count": rows[:, 2]}
+    return {"row": rows[:, 0], "start": rows[:, 1], "count": rows[:, 2]}
 
 
-def repeats(docs: DataFrame, width: int = 400) -> DataFrame:
-    """(doc_id, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus."""
-    texts = texts_of(docs)
-    spans = "doc_id long, start long, count long"
+def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
+    """(row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has row numbers."""
+    spans = "row long, start long, count long"
     n = win.buckets_for(texts, 0.25)
     keys = texts.mapInArrow(lambda batches: _send_keys(batches, width, n), "bucket long, " + ", ".join(f"{k} binary" for k in _KEYS))
     shared = win.per_bucket(keys, n, _seen, _KEYS, spans)
     m = win.buckets_for(texts, 0.4)
-    sent = win.with_spans(texts, shared).select("doc_id", "text", "start").filter("start is not null")
+    sent = win.with_spans(texts, shared).select(win.ROW, "text", "start").filter("start is not null")
     contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, m), "bucket long, " + ", ".join(f"{k} binary" for k in _TEXT))
     return win.per_bucket(contexts, m, lambda c: _settle(c, width), _TEXT, spans)
 
@@ -317,7 +316,8 @@ def repeats(docs: DataFrame, width: int = 400) -> DataFrame:
 def cut_texts(docs: DataFrame, width: int = 400) -> DataFrame:
     """`docs` without their repeated bytes: text as what remains (characters cut in two are dropped), n_chars, if there, its length; other columns as they are."""
     names, schema = docs.columns, docs.schema
-    joined = win.with_spans(docs, repeats(docs, width))
+    own = win.with_row_ids(docs)
+    joined = win.with_spans(own, repeats(texts_of(own, win.ROW), width)).drop(win.ROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,9 +341,9 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
 
     A byte of a text (UTF-8) goes if a `width`-byte string that covers it also starts anywhere
     else, in this document or another. Null and empty texts have no bytes; texts shorter than
-    `width` keep all. Rows that repeat a doc_id count as one document; a null doc_id is one too.
+    `width` keep all. Each row is a document of its own, whatever its doc_id.
     """
-    texts = texts_of(docs)
+    texts = win.with_row_ids(texts_of(docs))
 
     def rows(c):
         out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
@@ -355,4 +355,4 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
                 out[k].append(v)
         return {"doc_id": c["doc_id"], **out}
 
-    return map_rows(win.with_spans(texts, repeats(docs, width)), rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return map_rows(win.with_spans(texts, repeats(texts, width)), rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -13,11 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strandflow.llm.common import BASE, mix
+from strandflow.llm.common import BASE, cut, mix
 
 #: Bytes a bucket's task should hold at once.
 BUCKET_BYTES = 12 << 20
 NO_ID = -(2**63)
+#: Names each row; a doc_id may be null or shared.
+ROW = "__row"
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
@@ -72,25 +74,31 @@ def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
 
 
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """`docs` with a number of its own for each row, written once so that every later read finds the same numbers."""
+    return cut(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def buckets_for(docs: DataFrame, factor: float) -> int:
     """Number of buckets so that each holds about BUCKET_BYTES; `factor` is bytes sent per byte of text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total * factor / BUCKET_BYTES) + 1)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list]]:
-    """(doc_ids, texts) in blocks of about `size` characters, in the order of the rows."""
+def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list, list]]:
+    """(row numbers, doc_ids, texts) in blocks of about `size` characters, in the order of the rows."""
     for batch in batches:
-        ids, texts, n = [], [], 0
-        for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        own, ids, texts, n = [], [], [], 0
+        for r, i, t in zip(*(batch.column(k).to_pylist() for k in (ROW, "doc_id", "text")), strict=True):
+            own.append(r)
             ids.append(NO_ID if i is None else i)
             texts.append(t or "")
             n += len(texts[-1])
             if n >= size:
-                yield ids, texts
-                ids, texts, n = [], [], 0
+                yield own, ids, texts
+                own, ids, texts, n = [], [], [], 0
         if ids:
-            yield ids, texts
+            yield own, ids, texts
 
 
 def per_bucket(df: DataFrame, n: int, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], kinds: dict[str, str], schema: str, carry: str = "bucket") -> DataFrame:
@@ -135,10 +143,9 @@ def runs(starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The rows of `docs` with the starts and counts of their flagged windows (null where there are none)."""
-    grouped = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-    grouped = grouped.withColumnRenamed("doc_id", "span_doc")
-    return docs.join(grouped, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == grouped["span_doc"], "left").select(*(docs[c] for c in docs.columns), "spans.start", "spans.count")
+    """The rows of `docs` (with their numbers) and the starts and counts of their flagged windows (null where there are none)."""
+    grouped = spans.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+    return docs.join(grouped, docs[ROW] == grouped["row"], "left").select(*(docs[c] for c in docs.columns), "spans.start", "spans.count")
 
 
 def flagged(starts: list | None, counts: list | None, width: int, n: int) -> np.ndarray:

@@ -93,6 +93,41 @@ def test_repeated_bytes(spark):
     assert got == want and suffix.remove_repeats(table(spark, []), 100).count() == 0
 
 
+def test_rows_without_an_own_id(spark):
+    rng = random.Random(5)
+    other = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, clean = other(30), other(120)
+    twice = f"{other(40)} {passage} {other(9)} {passage}"
+    rows = [(None, twice), (None, clean), (None, None), (None, "short"), (None, passage), (None, passage), (7, f"{passage} {other(60)}"), (7, other(150)), (7, "a b"), (8, clean), (8, clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen, words, count = set(), [], {}
+    raw = [(t or "").encode() for _, t in rows]
+    for _, t in rows:
+        w = (t or "").split()
+        gone = [False] * len(w)
+        for s in range(len(w) - 19):
+            if tuple(w[s : s + 20]) in seen:
+                gone[s : s + 20] = [True] * 20
+            seen.add(tuple(w[s : s + 20]))
+        words.append(" ".join(x for x, g in zip(w, gone, strict=True) if not g))
+    got = recompress.remove_repeats(docs).select("doc_id", "kept_text").collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in spark.createDataFrame([(i, w) for (i, _), w in zip(rows, words, strict=True)], "doc_id long, kept_text string").collect())
+    for b in raw:
+        for s in range(len(b) - 99):
+            count[b[s : s + 100]] = count.get(b[s : s + 100], 0) + 1
+    want = []
+    for (i, t), b in zip(rows, raw, strict=True):
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - 99):
+            if count[b[s : s + 100]] > 1:
+                gone[s : s + 100] = True
+        want.append((i, t and bytes(x for x, g in zip(b, gone, strict=True) if not g).decode()))
+    by = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(map(tuple, suffix.cut_texts(docs, 100).collect()), key=by) == sorted(want, key=by)
+    kept = suffix.remove_repeats(docs, 100).select("doc_id", "kept").collect()
+    assert sorted([(r[0], r[1].decode()) for r in kept], key=by) == sorted([(i, t or "") for i, t in want], key=by)
+
+
 def test_suffix_array():
     rng = random.Random(4)
     for _ in range(500):
