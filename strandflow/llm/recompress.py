@@ -2,14 +2,20 @@
 
 A text is rewritten round by round: runs of one word become one symbol, then neighbouring symbols
 that a hash bit makes "left" and "right" become one. A symbol's name is a 64-bit hash of what it
-replaced, so equal word sequences get equal names in every document of the corpus without an
-exchange. Each symbol also knows the range of words that decided it; inside equal windows the
-symbols decided by the window alone are the same. The one with the smallest name - of the highest
-round that has any - is the window's anchor, and its name says which bucket the window goes to.
-There windows are told apart by 64-bit prints, and the first in (document, start) order stays.
-
-Before the shuffle each block of documents sends only its own first occurrence of a window, and
-flags the others at once, so a passage that a third of the documents share stays one record per block.
+replaced, so equal word sequences get equal names in every document of the corpus: the names are
+global without an exchange, and the rounds run in one pass. Each symbol also knows the range of
+words that decided it; inside equal windows the symbols decided by the window alone are the same.
+
+The symbol with the smallest name - of the highest round that has any - is a window's anchor. Its name,
+together with that of the half window that begins or ends at it, is the window's key. Keys are
+counted over the corpus; only windows whose key is shared can repeat and go on, all others are settled.
+Shared ones meet by key and are verified on the words of the whole window, by a 128-bit print; the
+first in (document, start) order stays.
+
+Before each shuffle a block of documents combines: it tells each key once, sends only its own first
+occurrence of a window, and flags the others at once, so a passage that a third of the documents
+share stays one record per block. Windows of a hot key (`windows.HOT_PLACES`) are dealt out by
+their prints, so that they do not meet in one task.
 """
 
 from __future__ import annotations
@@ -26,17 +32,19 @@ from strandflow.llm import windows as win
 
 ROUNDS = 3
 BLOCK_CHARS = 1 << 20
-KINDS = {"docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8", "late": "<i8"}
+_KINDS = {"docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "prints": "<u8", "others": "<u8", "known": "<i8"}
+_OTHER = np.uint64(0xD6E8FEB86659FD93)
 _SEAM = np.uint64(0)  # stands between documents and never joins a symbol
 
 
-def symbols(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(name, first deciding word, end of deciding words) of the symbols after each round."""
+def symbols(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(name, first word, first deciding word, end of deciding words) of the symbols after each round."""
     n = len(words)
     first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
     size = np.diff(np.append(first, n))
     name = np.where((size > 1) & (words[first] != _SEAM), mix(words[first] * BASE + size.astype(np.uint64)), words[first])
     low, high = np.maximum(first - 1, 0), np.minimum(first + size + 1, n)  # a run is known with both its neighbours
+    begin = first
     for k in range(ROUNDS):
         left = (mix(name + np.uint64(k + 1)) & np.uint64(1)).astype(bool)
         seam = name == _SEAM
@@ -51,103 +59,142 @@ def symbols(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         joined = mix(name[:-1] * BASE + (name[1:] ^ (name[1:] >> np.uint64(31))))
         name = np.where(join, np.append(joined, _SEAM), name)
         keep = ~second
-        low, high, name = after_low[keep], before_high[keep], name[keep]
-        yield name, low, high
+        low, high, name, begin = after_low[keep], before_high[keep], name[keep], begin[keep]
+        yield name, begin, low, high
 
 
-def anchors(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For windows at `starts`: the name of the anchor, and a number that changes when the anchor does."""
+def anchors(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For windows at `starts`: the anchor's name, its first word, and a number that changes when the anchor does."""
     mask = np.uint64((1 << 24) - 1)
 
     def least(name, low, high):
         return win.range_min((mix(name) & ~mask) | np.arange(len(name), dtype=np.uint64), low, high)
 
-    index = np.arange(len(words))
     best = least(words, starts, starts + width)
-    at = (best & mask).astype(np.int64)
-    anchor, place = words[at], at.copy()
-    for level, (name, low, high) in enumerate(symbols(words), 1):
-        a, b = np.searchsorted(low, index[starts], "left"), np.searchsorted(high, starts + width, "right")
+    place = (best & mask).astype(np.int64)
+    name, number = words[place], place.copy()
+    for level, (names, begin, low, high) in enumerate(symbols(words), 1):
+        a, b = np.searchsorted(low, starts, "left"), np.searchsorted(high, starts + width, "right")
         some = np.flatnonzero(a < b)
-        at = (least(name, a[some], b[some]) & mask).astype(np.int64)
-        anchor[some], place[some] = name[at], at + level * (len(words) + 1)
-    return anchor, place
-
-
-def _sent(own_rows: list, ids: list, texts: list[str], width: int, n: int) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
-    """The packed records of a block, by bucket, and the windows it flags itself (row, start, count)."""
-    hashes = [word_hashes(t.encode("utf-8", "surrogatepass").split()) for t in texts]
-    size = np.array([len(h) for h in hashes])
-    seam = np.array([_SEAM])
-    words = np.concatenate([x for h in hashes for x in (np.where(h == _SEAM, np.uint64(1), h), seam)])
-    begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-    own = np.maximum(size - width + 1, 0)
-    starts = win.spread(begin, own)
-    doc = np.repeat(np.arange(len(ids)), own)
-    none = np.zeros(0, np.int64)
-    if not len(starts):
-        return [], (none, none, none)
-    prints = win.run_prints(win.prefix_prints(words), starts, width)
-    ids, row = np.array(ids, np.int64), np.array(own_rows, np.int64)
-    inner = starts - begin[doc]
-    by_id = np.lexsort((row, ids))  # first occurrence by (doc_id, row, start), whatever the order of the rows
-    rank = np.empty(len(ids), np.int64)
-    rank[by_id] = np.arange(len(ids))
-    order = np.lexsort((inner, rank[doc], prints)) if (np.diff(rank) < 0).any() else np.argsort(prints, kind="stable")
-    head = np.concatenate([[True], prints[order][1:] != prints[order][:-1]])
-    late = np.zeros(len(starts), bool)
-    late[order] = ~head
-    f, c = win.runs(np.flatnonzero(late), doc[late])
-    at = np.flatnonzero(late)[f]
-    here = (row[doc[at]], inner[at], c)
-    go = np.zeros(len(starts), bool)
-    go[order[head]] = True
-    anchor, place = anchors(words, starts, width)
-    sent = np.flatnonzero(go)
-    f, c = win.runs(sent, doc[sent] * (8 * len(words)) + place[sent])
-    first = sent[f]
-    bucket = (mix(anchor[first]) % np.uint64(n)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    first, c, bucket = first[order], c[order], bucket[order]
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    rows = []
-    for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
-        g = first[a:b]
-        rows.append((int(bucket[a]), ids[doc[g]].tobytes(), row[doc[g]].tobytes(), inner[g].astype("<i4").tobytes(), c[a:b].astype("<i4").tobytes(), prints[win.spread(g, c[a:b])].tobytes()))
-    return rows, here
+        at = (least(names, a[some], b[some]) & mask).astype(np.int64)
+        name[some], place[some], number[some] = names[at], begin[at], at + level * (len(words) + 1)
+    return name, place, number
+
+
+def _hashes(text: str) -> np.ndarray:
+    h = word_hashes(text.encode("utf-8", "surrogatepass").split())
+    return np.where(h == _SEAM, np.uint64(1), h)
+
+
+def parts(text: str, width: int) -> win.Runs | None:
+    """Runs of windows with the same anchor and half window: key, first window, number of windows; the last column is not used."""
+    words = np.concatenate([[_SEAM], _hashes(text), [_SEAM]])  # what the ends decide is decided outside the windows
+    n = len(words) - 1 - width
+    if n <= 0:
+        return None
+    name, place, number = anchors(words, np.arange(1, n + 1), width)
+    back = (width - 1) // 2
+    half = min(back + 1, width - back)
+    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+    end, p = np.append(first[1:], n) + 1, place[first]
+    first += 1
+    turn = np.clip(p - back + 1, first, end)  # windows before it hold the half that ends at the anchor
+    start, stop = np.concatenate([first, turn]), np.concatenate([turn, end])
+    some = np.flatnonzero(stop > start)
+    some = some[np.argsort(start[some], kind="stable")]
+    at = np.concatenate([p - back, p])[some]
+    key = mix(win.run_prints(win.prefix_prints(words), at, half) ^ mix(np.tile(name[first - 1], 2)[some] + (some < len(p)).astype(np.uint64)))
+    return key, start[some] - 1, (stop - start)[some], np.zeros(len(some), np.int64)
+
+
+def _prints(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of the windows' 128-bit prints."""
+    a, b = (win.run_prints(win.prefix_prints(x), starts, width) for x in (words, mix(words ^ _OTHER)))
+    return a, b
+
+
+def _later(prints: np.ndarray, others: np.ndarray, docs: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows are at another place than the first one with their print, and which are that first one."""
+    order = np.lexsort((starts, rows, docs, others, prints))
+    a, b = prints[order], others[order]
+    head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+    first = order[head][np.cumsum(head) - 1] if len(a) else order
+    late, leads = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    late[order] = (docs[order] != docs[first]) | (rows[order] != rows[first]) | (starts[order] != starts[first])
+    leads[order[head]] = True
+    return late, leads
+
+
+def _runs(docs: np.ndarray, rows: np.ndarray, starts: np.ndarray, also: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and length of the runs of consecutive starts of one row with the same `also`; sorted by row and start."""
+    change = (docs[1:] != docs[:-1]) | (rows[1:] != rows[:-1]) | (also[1:] != also[:-1])
+    return win.runs(starts, np.concatenate([[0], np.cumsum(change)]) if len(docs) else docs)
+
+
+def _send(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got: list[tuple[np.ndarray, ...]] = []
+        size, left = 0, batch.num_rows
+        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in (win.DOC, win.ROW, "text", "__start", "__count", "__key")), strict=True):
+            left -= 1
+            start, count, key = (np.array(x, np.int64) for x in spans)
+            order = np.argsort(start)
+            start, count, key = start[order], count[order], key[order].view(np.uint64)
+            if len(start) > 1 and (start[1:] == start[:-1]).any():  # rows of one name: each tells its runs
+                keep = np.concatenate([[True], start[1:] != start[:-1]])
+                start, count, key = start[keep], count[keep], key[keep]
+            at = win.spread(start, count)
+            a, b = _prints(_hashes(text), at, width)
+            key = np.repeat(key, count)
+            goal = np.where(win.is_hot(key, hot), a, mix(key))
+            got.append((a, b, np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64), at, (goal % np.uint64(n)).astype(np.int64)))
+            size += len(text)
+            if size > BLOCK_CHARS or not left:
+                prints, others, docs, rows, starts, bucket = (np.concatenate(x) for x in zip(*got, strict=True))
+                got, size = [], 0
+                late, leads = _later(prints, others, docs, rows, starts)
+                at = np.flatnonzero(late)
+                f, c = _runs(docs[at], rows[at], starts[at], at[:0] if not len(at) else np.zeros(len(at), np.int64))
+                known = np.stack([docs[at][f], rows[at][f], starts[at][f], c], axis=1)
+                at = np.flatnonzero(leads)
+                at = at[np.lexsort((starts[at], rows[at], docs[at], bucket[at]))]
+                f, c = _runs(docs[at], rows[at], starts[at], bucket[at])
+                cuts = np.flatnonzero(np.concatenate([[True], bucket[at][1:] != bucket[at][:-1]])) if len(at) else at
+                ends = np.append(cuts[1:], len(at))
+                run_cuts, run_ends = np.searchsorted(f, cuts), np.searchsorted(f, ends)
+                out: dict[str, list] = {"bucket": bucket[at][cuts].tolist()}
+                for k, v, kind in (("docs", docs, "<i8"), ("rows", rows, "<i8"), ("starts", starts, "<i4")):
+                    v = v[at][f].astype(kind)
+                    out[k] = [v[x:y].tobytes() for x, y in zip(run_cuts, run_ends, strict=True)]
+                c = c.astype("<i4")
+                out["counts"] = [c[x:y].tobytes() for x, y in zip(run_cuts, run_ends, strict=True)]
+                for k, v in (("prints", prints[at]), ("others", others[at])):
+                    out[k] = [v[x:y].tobytes() for x, y in zip(cuts, ends, strict=True)]
+                out["known"] = [known.astype("<i8").tobytes(), *[b""] * (len(cuts) - 1)]
+                kinds = [pa.int64(), *[pa.binary()] * len(_KINDS)]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
 
 
 def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Within a bucket: the windows that are not the first of their print, as runs."""
-    order = np.lexsort((c["starts"], c["rows"], c["docs"]))
-    begin = np.concatenate([[0], np.cumsum(c["counts"])[:-1]]).astype(np.int64)[order]
-    rows, starts, counts = c["rows"][order], c["starts"][order].astype(np.int64), c["counts"][order].astype(np.int64)
-    prints = c["prints"][win.spread(begin, counts)]
-    row, start = np.repeat(rows, counts), win.spread(starts, counts)
-    by = np.argsort(prints, kind="stable")
-    same = np.concatenate([[False], prints[by][1:] == prints[by][:-1]])
-    late = np.zeros(len(prints), bool)
-    late[by] = same
-    at = np.flatnonzero(late)
-    f, n = win.runs(start[at], row[at])
-    known = c["late"].reshape(-1, 3)
-    return {k: np.concatenate([v, known[:, i]]) for i, (k, v) in enumerate((("row", row[at][f]), ("start", start[at][f]), ("count", n)))}
+    counts = c["counts"].astype(np.int64)
+    docs, rows = np.repeat(c["docs"], counts), np.repeat(c["rows"], counts)
+    starts = win.spread(c["starts"].astype(np.int64), counts)
+    at = np.flatnonzero(_later(c["prints"], c["others"], docs, rows, starts)[0])
+    at = at[np.lexsort((starts[at], rows[at], docs[at]))]
+    f, n = _runs(docs[at], rows[at], starts[at], np.zeros(len(at), np.int64))
+    known = c["known"].reshape(-1, 4)
+    out = {"doc": docs[at][f], "row": rows[at][f], "start": starts[at][f], "count": n}
+    return {k: np.concatenate([v, known[:, i]]) for i, (k, v) in enumerate(out.items())}
 
 
 def repeats(texts: DataFrame, width: int = 20) -> DataFrame:
-    """(row, start, count): runs of windows of `width` words that also start earlier in the corpus; `texts` has row numbers."""
-    n = win.buckets_for(texts, 1.7)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, ids, block in win.blocks(batches, BLOCK_CHARS):
-            rows, late = _sent(own, ids, block, width, n)
-            if rows:
-                # what the block flagged itself travels with its first record
-                packed = [np.stack(late, axis=1).astype("<i8").tobytes(), *[b""] * (len(rows) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6)), pa.array(packed, pa.binary())], ["bucket", *KINDS])
-
-    sent = texts.mapInArrow(send, "bucket long, " + ", ".join(f"{k} binary" for k in KINDS))
-    return win.per_bucket(sent, n, _late, KINDS, "row long, start long, count long")
+    """(doc, row, start, count): runs of windows of `width` words that also start earlier in the corpus; `texts` has named rows."""
+    shared, hot, size = win.shared_runs(texts, lambda t: parts(t, width), 1.0, BLOCK_CHARS)
+    n = win.buckets_for(texts, size * 1.5)
+    sent = win.with_spans(texts, shared, "key").filter("__start is not null")
+    prints = sent.mapInArrow(lambda batches: _send(batches, width, n, hot), win.schema_of(_KINDS))
+    return win.per_bucket(prints, n, _late, _KINDS, "doc long, row long, start long, count long")
 
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
@@ -155,22 +202,23 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
 
     Words are runs of anything but ASCII white space. A word goes if a window of `width` words
     that covers it also starts earlier: in a smaller doc_id, or before in the same document.
-    Null and empty texts have no words; a text below `width` words keeps all. Each row is a
-    document of its own; a null doc_id counts as the smallest, and among rows of one doc_id the
-    order they were read in decides.
+    Null and empty texts have no words; a text below `width` words keeps all. A null doc_id counts
+    as the smallest. Rows that agree in doc_id and text are one document, none of them earlier than the
+    others, and get the same result; of rows that share only the doc_id the one with the smaller hash
+    of its text counts as earlier. An empty table gives no rows; extra columns are left out.
     """
-    texts = win.with_row_ids(texts_of(docs))
+    texts = win.named(texts_of(docs))
 
     def rows(c):
         n_words, removed, sha, kept = [], [], [], []
-        for text, starts, counts in zip(*(c[k].to_pylist() for k in ("text", "start", "count")), strict=True):
+        for text, starts, counts in zip(*(c[k].to_pylist() for k in ("text", "__start", "__count")), strict=True):
             words = text.encode("utf-8", "surrogatepass").split() if text else []
             gone = win.flagged(starts, counts, width, len(words))
             left = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
             n_words.append(len(words))
             removed.append(int(gone.sum()))
             sha.append(hashlib.sha256(left).hexdigest())
-            kept.append(left.decode())
+            kept.append(left.decode("utf-8", "replace"))
         return {"doc_id": c["doc_id"], "n_words": n_words, "n_removed": removed, "kept_sha256": sha, "kept_text": kept}
 
     return map_rows(win.with_spans(texts, repeats(texts, width)), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -1,16 +1,19 @@
 """Repeated byte strings with suffix arrays built by induced sorting.
 
-A suffix array of the whole corpus would be one task's work, so text is first dealt out by content:
-each window of `width` bytes has an anchor, its 32-gram with the smallest hash, and lies around
-it in one of two ways, so that it holds the long core before or behind the anchor. Windows whose
-core occurs once cannot repeat and go no further. For the others the surrounding text of the
-core is sent to the core's bucket. There, contexts that agree in full settle their windows; the
-distinct contexts of a core are laid end to end (the core itself as one letter), a suffix array is
-built by induced sorting, and permuted common prefixes with both neighbours in it tell which
-windows occur again.
+A suffix array of the whole corpus would be one task's work, so text is first dealt out to shards by
+content: each window of `width` bytes has an anchor, its 32-gram with the smallest hash, and lies
+around it in one of two ways, so that it holds the long core before or behind the anchor. Windows
+whose core occurs once cannot repeat and go no further. For the others the surrounding text of
+the core is sent to the core's shard. There, contexts that agree in full settle their windows; the
+distinct contexts of all cores of the shard are laid end to end (each core itself as one letter), the
+shard's suffix array is built by induced sorting, and permuted common prefixes with both
+neighbours in it tell which windows occur again. Equal windows hold the same core, so no
+window has its twin in another shard.
 
 Blocks of documents combine before each shuffle: a core seen twice in a block is known to be
-shared, and contexts that agree within a block are settled there; one of them is sent on.
+shared, and contexts that agree within a block are settled there; one of them is sent on. The windows
+of a hot core (`windows.HOT_PLACES`), whose contexts would all meet in one task, are dealt out one by
+one instead, by 64 bits of a 128-bit print, and repeat if their prints do.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from strandflow.llm import windows as win
 GRAM = 32
 BLOCK_CHARS = 1 << 20
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_OTHER_BYTES = mix(_BYTES + np.uint64(1))
 
 
 def suffix_array(s: list[int], letters: int) -> list[int]:
@@ -120,16 +124,17 @@ def common_prefixes(s: list[int], sa: list[int]) -> tuple[list[int], list[int]]:
     return out, after
 
 
-def repeated_windows(contexts: list[bytes], cores: list[int], core: int, width: int) -> list[np.ndarray]:
-    """For distinct contexts that hold the same `core` bytes at `cores`: which of their windows of `width` bytes occur twice among them."""
+def repeated_windows(contexts: list[bytes], places: list[int], cores: list[int], core: int, width: int) -> list[np.ndarray]:
+    """For distinct contexts whose `core` bytes at `places` are core number `cores`: which of their windows of `width` bytes occur twice among those with the same core."""
     text: list[int] = []
     begin = []
-    for k, (c, at) in enumerate(zip(contexts, cores, strict=True)):
+    kinds = 256 + max(cores, default=0) + 1
+    for k, (c, at, own) in enumerate(zip(contexts, places, cores, strict=True)):
         begin.append(len(text))
         text += c[:at]
-        text.append(256)
+        text.append(256 + own)
         text += c[at + core :]
-        text.append(257 + k)  # ends the context; unlike any other letter
+        text.append(kinds + k)  # ends the context; unlike any other letter
     letters, short = np.unique(np.array(text), return_inverse=True)
     s = short.tolist()
     prefix, after = common_prefixes(s, suffix_array(s, len(letters)))
@@ -141,8 +146,9 @@ def repeated_windows(contexts: list[bytes], cores: list[int], core: int, width:
     return out
 
 
-def parts(raw: bytes, width: int) -> tuple[np.ndarray, ...] | None:
-    """Runs of windows of a text with the same core: key, first window, number of windows, and the core's place."""
+def parts(text: str, width: int) -> win.Runs | None:
+    """Runs of windows of a text with the same core: key, first window, number of windows, and the core's place in the run."""
+    raw = text.encode("utf-8", "surrogatepass")
     if len(raw) < width:
         return None
     core, back = _core(width)
@@ -165,7 +171,7 @@ def parts(raw: bytes, width: int) -> tuple[np.ndarray, ...] | None:
     some = some[np.argsort(start[some], kind="stable")]
     start, stop, place = start[some], stop[some], place[some]
     key = mix(win.run_prints(prefix, place, core) + (some < len(p)).astype(np.uint64))
-    return key, start, stop - start, place
+    return key, start, stop - start, place - start
 
 
 def _core(width: int) -> tuple[int, int]:
@@ -174,159 +180,151 @@ def _core(width: int) -> tuple[int, int]:
     return min(back + GRAM, width - back), back
 
 
-def _seen(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Records whose core also occurs at another place."""
-    order = np.lexsort((c["starts"], c["docs"], c["keys"]))
-    keys, docs, starts = c["keys"][order], c["docs"][order], c["starts"][order]
-    again = (keys[1:] == keys[:-1]) & ((docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1]))
-    shared = (c["many"][order] > 0) | np.concatenate([[False], again]) | np.concatenate([again, [False]])
-    # a place repeated in between must not hide its neighbours
-    head = np.concatenate([[True], keys[1:] != keys[:-1]])
-    group = np.cumsum(head) - 1
-    shared = np.bincount(group, weights=shared, minlength=int(head.sum()))[group] > 0
-    pick = order[shared & (c["many"][order] == 0)]
-    known = c["known"].reshape(-1, 3)
-    return {k: np.concatenate([c[n][pick].astype(np.int64), known[:, i]]) for i, (k, n) in enumerate((("row", "docs"), ("start", "starts"), ("count", "counts")))}
-
-
-def _rows(bucket: np.ndarray, columns: dict[str, np.ndarray], known: np.ndarray, text: list[bytes] | None = None) -> pa.RecordBatch | None:
-    """One packed row per bucket; `known` travels with the first."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(bucket))
-    if not len(cuts):
-        return None
-    out = {"bucket": pa.array(bucket[cuts], pa.int64())}
-    for k, v in columns.items():
-        v = v[order]
-        out[k] = pa.array([v[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())
-    out["known"] = pa.array([known.astype("<i8").tobytes(), *[b""] * (len(cuts) - 1)], pa.binary())
-    if text is not None:
-        out["text"] = pa.array([b"".join([text[i] for i in order[a:b]]) for a, b in zip(cuts, ends, strict=True)], pa.binary())
-    return pa.RecordBatch.from_pydict(out)
-
-
-_KEYS = {"keys": "<u8", "docs": "<i8", "starts": "<i8", "counts": "<i4", "many": "i1", "known": "<i8"}
-_TEXT = {"keys": "<u8", "docs": "<i8", "starts": "<i8", "counts": "<i4", "places": "<i4", "known": "<i8", "text": "u1"}
+_TEXT = {"keys": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "places": "<i4", "known": "<i8", "text": "u1"}
+_PRINT = {"prints": "<u8", "others": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "known": "<i8"}
+_FOUND = "doc long, row long, start long, count long"
+_READ = (win.DOC, win.ROW, "text", "__start", "__count", "__key", "__place")
 
 
-def _send_keys(batches: Iterator[pa.RecordBatch], width: int, n: int) -> Iterator[pa.RecordBatch]:
-    for own, _, texts in win.blocks(batches, BLOCK_CHARS):
-        got = [(i, x) for i, t in zip(own, texts, strict=True) if (x := parts(t.encode("utf-8", "surrogatepass"), width)) is not None]
-        if not got:
-            continue
-        keys, starts, counts = (np.concatenate([x[k] for _, x in got]) for k in range(3))
-        docs = np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got])
-        order = np.lexsort((starts, docs, keys))
-        keys, starts, counts, docs = keys[order], starts[order], counts[order], docs[order]
-        head = np.concatenate([[True], keys[1:] != keys[:-1]])
-        fresh = head | np.concatenate([[True], (docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1])])
-        group = np.cumsum(head) - 1
-        many = np.bincount(group, weights=fresh, minlength=int(head.sum())) > 1
-        known = np.stack([docs, starts, counts], axis=1)[many[group]]
-        one = np.flatnonzero(head)
-        columns = {"keys": keys[one], "docs": docs[one], "starts": starts[one], "counts": counts[one].astype("<i4"), "many": many.astype("i1")}
-        if (out := _rows((keys[one] % np.uint64(n)).astype(np.int64), columns, known)) is not None:
-            yield out
-
-
-def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int) -> Iterator[pa.RecordBatch]:
+def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The contexts of the cores that are not hot, one row for each shard and block."""
+    names = ("docs", "rows", "starts", "counts", "keys", "places")
     for batch in batches:
-        held: dict[str, list] = {k: [] for k in ("keys", "docs", "starts", "counts", "places")}
+        held: dict[str, list] = {k: [] for k in names}
         texts: list[bytes] = []
-        size = 0
-        rows = zip(*(batch.column(k).to_pylist() for k in (win.ROW, "text", "start")), strict=True)
-        left = batch.num_rows
-        for doc, text, shared in rows:
+        size, left = 0, batch.num_rows
+        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in _READ), strict=True):
             left -= 1
-            if shared:
+            start, count, key, place = (np.array(x, np.int64) for x in spans)
+            some = ~win.is_hot(key.view(np.uint64), hot)
+            if some.any():
                 raw = text.encode("utf-8", "surrogatepass")
-                key, start, count, place = parts(raw, width)
-                pick = np.flatnonzero(np.isin(start, shared))
-                start, count = start[pick], count[pick]
-                for k, v in zip(held, (key[pick], np.full(len(pick), doc), start, count, place[pick] - start), strict=True):
+                start, count, key, place = start[some], count[some], key[some], place[some]
+                own = np.full(len(start), doc, np.int64), np.full(len(start), row, np.int64)
+                for k, v in zip(names, (*own, start, count, key, place), strict=True):
                     held[k].append(v)
                 texts += [raw[a : a + c - 1 + width] for a, c in zip(start.tolist(), count.tolist(), strict=True)]
                 size += len(raw)
             if texts and (size > BLOCK_CHARS or not left):
                 c = {k: np.concatenate(v) for k, v in held.items()}
                 first: dict[tuple, int] = {}
-                twice: set[tuple] = set()
-                marks = list(zip(c["keys"].tolist(), texts, strict=True))
-                where = list(zip(c["docs"].tolist(), c["starts"].tolist(), strict=True))
-                for i, m in enumerate(marks):
-                    j = first.setdefault(m, i)
-                    if where[j] != where[i]:
-                        twice.add(m)
-                known = np.array([(*where[i], c["counts"][i]) for i, m in enumerate(marks) if m in twice], np.int64).reshape(-1, 3)
+                twice: set[int] = set()
+                same = [first.setdefault(m, i) for i, m in enumerate(zip(c["keys"].tolist(), texts, strict=True))]
+                twice = {j for i, j in enumerate(same) if i != j}
+                again = np.array([j in twice for j in same])
+                known = np.stack([c["docs"], c["rows"], c["starts"], c["counts"]], axis=1)[again]
                 one = np.array(sorted(first.values()))
-                c = {k: v[one].astype(np.dtype(_TEXT[k])) for k, v in c.items()}
-                if (out := _rows((c["keys"] % np.uint64(n)).astype(np.int64), c, known, [texts[i] for i in one])) is not None:
-                    yield out
-                held, texts, size = {k: [] for k in held}, [], 0
+                c = {k: c[k][one].astype(np.dtype(_TEXT[k])) for k in names}
+                if (out := win.packed((c["keys"] % np.uint64(n)).astype(np.int64), {k: c[k] for k in _TEXT if k in c}, known, [texts[i] for i in one])) is not None:
+                    yield out.select(["bucket", *_TEXT])
+                held, texts, size = {k: [] for k in names}, [], 0
 
 
 def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
-    """Within a bucket: the windows that occur again, as runs."""
+    """Within a shard: the windows that occur again, as runs."""
     core, _ = _core(width)
     size = c["counts"].astype(np.int64) - 1 + width
     begin = np.cumsum(size) - size
     text = c["text"].tobytes()
-    order = np.argsort(c["keys"], kind="stable")
-    keys = c["keys"][order]
-    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    out = [c["known"].reshape(-1, 3)]
-    for a, b in zip(cuts, np.append(cuts[1:], len(keys)), strict=True):
-        if b - a < 2:
-            continue
-        members: dict[bytes, list[int]] = {}
-        for i in order[a:b].tolist():
-            members.setdefault(text[begin[i] : begin[i] + size[i]], []).append(i)
-        distinct = list(members)
-        repeated = {}
-        if len(distinct) > 1:
-            found = repeated_windows(distinct, [int(c["places"][members[d][0]]) for d in distinct], core, width)
-            repeated = dict(zip(distinct, found, strict=True))
-        for d, rows in members.items():
-            places = {(int(c["docs"][i]), int(c["starts"][i])) for i in rows}
-            if len(places) > 1:
-                out.append(np.array([(doc, start, len(d) - width + 1) for doc, start in places], np.int64))
-            elif d in repeated and repeated[d].any():
-                at = np.flatnonzero(repeated[d])
+    places: dict[int, dict[bytes, list[int]]] = {}  # by core, then by context
+    for i, key in enumerate(c["keys"].tolist()):
+        places.setdefault(key, {}).setdefault(text[begin[i] : begin[i] + size[i]], []).append(i)
+    out = [c["known"].reshape(-1, 4)]
+    alike = [i for members in places.values() for rows in members.values() if len(rows) > 1 for i in rows]
+    out.append(np.stack([c["docs"][alike], c["rows"][alike], c["starts"][alike], c["counts"][alike]], axis=1).astype(np.int64))
+    laid = [(number, context, rows) for number, members in enumerate(m for m in places.values() if len(m) > 1) for context, rows in members.items()]
+    if laid:
+        numbers, contexts, members = zip(*laid, strict=True)
+        found = repeated_windows(list(contexts), [int(c["places"][rows[0]]) for rows in members], list(numbers), core, width)
+        for rows, again in zip(members, found, strict=True):
+            if len(rows) == 1 and again.any():
+                at, i = np.flatnonzero(again), rows[0]
                 f, n = win.runs(at, np.zeros(len(at), np.int64))
-                (doc, start), = places
-                out.append(np.stack([np.full(len(f), doc), start + at[f], n], axis=1))
+                out.append(np.stack([np.full(len(f), c["docs"][i]), np.full(len(f), c["rows"][i]), c["starts"][i] + at[f], n], axis=1).astype(np.int64))
     rows = np.concatenate(out)
-    return {"row": rows[:, 0], "start": rows[:, 1], "count": rows[:, 2]}
+    return {k: rows[:, i] for i, k in enumerate(("doc", "row", "start", "count"))}
+
+
+def _send_prints(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows of the hot cores, each by itself; a window seen twice in a block is known to repeat and sent once."""
+    for batch in batches:
+        got: list[tuple[np.ndarray, ...]] = []
+        size, left = 0, batch.num_rows
+        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in _READ), strict=True):
+            left -= 1
+            start, count, key, _ = (np.array(x, np.int64) for x in spans)
+            some = win.is_hot(key.view(np.uint64), hot)
+            if some.any():
+                raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+                at = win.spread(start[some], count[some])
+                prints = [win.run_prints(win.prefix_prints(table[raw]), at, width) for table in (_BYTES, _OTHER_BYTES)]
+                got.append((*prints, np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64), at))
+                size += len(at)
+            if got and (size > BLOCK_CHARS or not left):
+                prints, others, docs, rows, starts = (np.concatenate(x) for x in zip(*got, strict=True))
+                got, size = [], 0
+                order = np.lexsort((others, prints))
+                prints, others, docs, rows, starts = (x[order] for x in (prints, others, docs, rows, starts))
+                head = np.concatenate([[True], (prints[1:] != prints[:-1]) | (others[1:] != others[:-1])])
+                again = (np.bincount(np.cumsum(head) - 1) > 1)[np.cumsum(head) - 1]
+                known = np.stack([docs, rows, starts], axis=1)[again]
+                columns = {"prints": prints, "others": others, "docs": docs, "rows": rows, "starts": starts.astype("<i4")}
+                out = win.packed((prints[head] % np.uint64(n)).astype(np.int64), {k: v[head] for k, v in columns.items()}, known)
+                if out is not None:
+                    yield out
+
+
+def _settle_prints(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    order = np.lexsort((c["others"], c["prints"]))
+    a, b = c["prints"][order], c["others"][order]
+    same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    again = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
+    known = c["known"].reshape(-1, 3)
+    docs, rows, starts = (np.concatenate([c[k][again].astype(np.int64), known[:, i]]) for i, k in enumerate(("docs", "rows", "starts")))
+    order = np.lexsort((starts, rows, docs))
+    docs, rows, starts = docs[order], rows[order], starts[order]
+    fresh = np.concatenate([[True], (docs[1:] != docs[:-1]) | (rows[1:] != rows[:-1])]) if len(docs) else np.zeros(0, bool)
+    first, count = win.runs(starts, np.cumsum(fresh))
+    return {"doc": docs[first], "row": rows[first], "start": starts[first], "count": count}
 
 
 def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
-    """(row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has row numbers."""
-    spans = "row long, start long, count long"
-    n = win.buckets_for(texts, 0.25)
-    keys = texts.mapInArrow(lambda batches: _send_keys(batches, width, n), "bucket long, " + ", ".join(f"{k} binary" for k in _KEYS))
-    shared = win.per_bucket(keys, n, _seen, _KEYS, spans)
-    m = win.buckets_for(texts, 0.4)
-    sent = win.with_spans(texts, shared).select(win.ROW, "text", "start").filter("start is not null")
-    contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, m), "bucket long, " + ", ".join(f"{k} binary" for k in _TEXT))
-    return win.per_bucket(contexts, m, lambda c: _settle(c, width), _TEXT, spans)
+    """(doc, row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has named rows."""
+    shared, hot, size = win.shared_runs(texts, lambda t: parts(t, width), 0.25, BLOCK_CHARS)
+    n = win.buckets_for(texts, size * 0.4)
+    sent = win.with_spans(texts, shared, "key", "place").filter("__start is not null")
+    contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, n, hot), win.schema_of(_TEXT))
+    found = win.per_bucket(contexts, n, lambda c: _settle(c, width), _TEXT, _FOUND)
+    if len(hot):
+        single = sent.mapInArrow(lambda batches: _send_prints(batches, width, n, hot), win.schema_of(_PRINT))
+        found = found.unionAll(win.per_bucket(single, n, _settle_prints, _PRINT, _FOUND))
+    return found
+
+
+def _left(text: str, starts: list | None, counts: list | None, width: int) -> tuple[bytes, np.ndarray]:
+    """The bytes of a text that stay, and the mask of all that go."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    gone = win.flagged(starts, counts, width, len(raw))
+    return (np.frombuffer(raw, np.uint8)[~gone].tobytes() if starts else raw), gone
 
 
 def cut_texts(docs: DataFrame, width: int = 400) -> DataFrame:
-    """`docs` without their repeated bytes: text as what remains (characters cut in two are dropped), n_chars, if there, its length; other columns as they are."""
+    """`docs` without the bytes that `remove_repeats` removes; other columns as they are.
+
+    Characters cut in two are dropped. n_chars, if there, becomes the text's new length. Null and
+    empty texts stay; a text that repeats whole stays as an empty one; repeated rows repeat each
+    other, whatever their doc_id. An empty table stays empty. Extra columns keep any name but
+    those that begin with "__".
+    """
     names, schema = docs.columns, docs.schema
-    own = win.with_row_ids(docs)
-    joined = win.with_spans(own, repeats(texts_of(own, win.ROW), width)).drop(win.ROW)
+    own = win.named(docs)
+    joined = win.with_spans(own, repeats(win.named(texts_of(docs)), width)).drop(win.DOC, win.ROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(names.index("text")).to_pylist()
             starts, counts = (batch.column(len(names) + k).to_pylist() for k in range(2))
-            for i, text in enumerate(texts):
-                if starts[i]:
-                    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                    texts[i] = raw[~win.flagged(starts[i], counts[i], width, len(raw))].tobytes().decode("utf-8", "ignore")
+            texts = [_left(t, s, c, width)[0].decode("utf-8", "ignore") if s else t for t, s, c in zip(texts, starts, counts, strict=True)]
             out = list(batch.columns[: len(names)])
             out[names.index("text")] = pa.array(texts, pa.string())
             if "n_chars" in names:
@@ -341,17 +339,16 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
 
     A byte of a text (UTF-8) goes if a `width`-byte string that covers it also starts anywhere
     else, in this document or another. Null and empty texts have no bytes; texts shorter than
-    `width` keep all. Each row is a document of its own, whatever its doc_id.
+    `width` keep all. Each row is a document of its own, whatever its doc_id: repeated rows repeat
+    each other. An empty table gives no rows; extra columns are left out.
     """
-    texts = win.with_row_ids(texts_of(docs))
+    texts = win.named(texts_of(docs))
 
     def rows(c):
         out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for text, starts, counts in zip(*(c[k].to_pylist() for k in ("text", "start", "count")), strict=True):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            gone = win.flagged(starts, counts, width, len(raw))
-            left = np.frombuffer(raw, np.uint8)[~gone].tobytes() if starts else raw
-            for k, v in zip(out, (len(raw), int(gone.sum()), int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)), hashlib.sha256(left).hexdigest(), left), strict=True):
+        for text, starts, counts in zip(*(c[k].to_pylist() for k in ("text", "__start", "__count")), strict=True):
+            left, gone = _left(text, starts, counts, width)
+            for k, v in zip(out, (len(gone), int(gone.sum()), int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)), hashlib.sha256(left).hexdigest(), left), strict=True):
                 out[k].append(v)
         return {"doc_id": c["doc_id"], **out}
 

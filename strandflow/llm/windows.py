@@ -1,7 +1,12 @@
-"""What the two repeat finders share: rolling prints, range minima, packed records and spans.
+"""What the two repeat finders share.
 
-Records go to buckets as packed binary columns, one row for each bucket and block of documents,
-so a shuffle moves few large rows and the bucket's task works on whole arrays.
+A window of a text repeats only if the core around its anchor does. So each text is cut into runs of
+windows with one core, and the cores' keys are counted in buckets (`shared_runs`); only runs
+with a shared key go on. Records go to buckets as packed binary columns, one row for each bucket and
+block of documents, so a shuffle moves few large rows and the bucket's task works on whole arrays.
+
+A row is named by its doc_id and a hash of its text, so no copy of the texts with row numbers is
+needed. Rows that agree in both carry the same name; their number still counts.
 """
 
 from __future__ import annotations
@@ -18,8 +23,13 @@ from strandflow.llm.common import BASE, cut, mix
 #: Bytes a bucket's task should hold at once.
 BUCKET_BYTES = 12 << 20
 NO_ID = -(2**63)
-#: Names each row; a doc_id may be null or shared.
-ROW = "__row"
+#: Columns that name a row: its doc_id (NO_ID where it is null) and a hash of its text.
+DOC, ROW = "__doc", "__row"
+#: A key at more places than this, or than its share of the corpus, is hot: its windows are told apart one by one.
+HOT_PLACES = 4096
+#: At most about this many keys can be hot, so their list may be sent to all tasks.
+HOT_KEYS = 1 << 17
+SPAN = "doc long, row long, start long, count long, key long, place long"
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
@@ -74,31 +84,55 @@ def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
 
 
-def with_row_ids(docs: DataFrame) -> DataFrame:
-    """`docs` with a number of its own for each row, written once so that every later read finds the same numbers."""
-    return cut(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def named(docs: DataFrame) -> DataFrame:
+    """`docs` with the two columns that name each row."""
+    return docs.withColumns({DOC: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), ROW: F.xxhash64(F.col("text").cast("string"))})
+
 
+def bytes_of(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
-def buckets_for(docs: DataFrame, factor: float) -> int:
-    """Number of buckets so that each holds about BUCKET_BYTES; `factor` is bytes sent per byte of text."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total * factor / BUCKET_BYTES) + 1)
 
+def buckets_for(docs: DataFrame, size: float) -> int:
+    """Number of buckets so that each holds about BUCKET_BYTES of `size` bytes."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size / BUCKET_BYTES) + 1)
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list, list]]:
-    """(row numbers, doc_ids, texts) in blocks of about `size` characters, in the order of the rows."""
+
+def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """(docs, rows, texts) in blocks of about `size` characters, in the order of the rows."""
     for batch in batches:
-        own, ids, texts, n = [], [], [], 0
-        for r, i, t in zip(*(batch.column(k).to_pylist() for k in (ROW, "doc_id", "text")), strict=True):
-            own.append(r)
-            ids.append(NO_ID if i is None else i)
+        docs, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (DOC, ROW))
+        texts, begin, n = [], 0, 0
+        for i, t in enumerate(batch.column("text").to_pylist()):
             texts.append(t or "")
             n += len(texts[-1])
-            if n >= size:
-                yield own, ids, texts
-                own, ids, texts, n = [], [], [], 0
-        if ids:
-            yield own, ids, texts
+            if n >= size or i + 1 == batch.num_rows:
+                yield docs[begin : i + 1], rows[begin : i + 1], texts
+                texts, begin, n = [], i + 1, 0
+
+
+def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], known: np.ndarray, text: list[bytes] | None = None) -> pa.RecordBatch | None:
+    """One packed row per bucket; `known` travels with the first (bucket 0 if there is no other)."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    ends = np.append(cuts[1:], len(bucket))
+    if not len(cuts) and not len(known):
+        return None
+    if not len(cuts):
+        bucket, cuts, ends = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+    out = {"bucket": pa.array(bucket[cuts], pa.int64())}
+    for k, v in columns.items():
+        v = v[order]
+        out[k] = pa.array([v[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())
+    out["known"] = pa.array([known.astype("<i8").tobytes(), *[b""] * (len(cuts) - 1)], pa.binary())
+    if text is not None:
+        out["text"] = pa.array([b"".join([text[i] for i in order[a:b]]) for a, b in zip(cuts, ends, strict=True)], pa.binary())
+    return pa.RecordBatch.from_pydict(out)
+
+
+def schema_of(kinds: dict[str, str]) -> str:
+    return "bucket long, " + ", ".join(f"{k} binary" for k in kinds)
 
 
 def per_bucket(df: DataFrame, n: int, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], kinds: dict[str, str], schema: str, carry: str = "bucket") -> DataFrame:
@@ -142,10 +176,71 @@ def runs(starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first, np.diff(np.append(first, len(starts)))
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The rows of `docs` (with their numbers) and the starts and counts of their flagged windows (null where there are none)."""
-    grouped = spans.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-    return docs.join(grouped, docs[ROW] == grouped["row"], "left").select(*(docs[c] for c in docs.columns), "spans.start", "spans.count")
+def with_spans(docs: DataFrame, spans: DataFrame, *more: str) -> DataFrame:
+    """The rows of `docs` and, as __start, __count and __<more>, those of their spans (null where there are none)."""
+    names = ("start", "count", *more)
+    grouped = spans.groupBy(F.col("doc").alias("_d"), F.col("row").alias("_r")).agg(F.collect_list(F.struct(*names)).alias("_spans"))
+    joined = docs.join(grouped, (docs[DOC] == grouped["_d"]) & (docs[ROW] == grouped["_r"]), "left")
+    return joined.select(*(docs[c] for c in docs.columns), *(F.col(f"_spans.{k}").alias(f"__{k}") for k in names))
+
+
+_KEYS = {"keys": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "places": "<i4", "many": "<i4", "known": "<i8"}
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _send_keys(batches: Iterator[pa.RecordBatch], parts: Callable[[str], Runs | None], block: int, n: int) -> Iterator[pa.RecordBatch]:
+    for docs, rows, texts in blocks(batches, block):
+        got = [(i, x) for i, t in enumerate(texts) if (x := parts(t)) is not None]
+        if not got:
+            continue
+        keys, starts, counts, places = (np.concatenate([x[k] for _, x in got]) for k in range(4))
+        at = np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got])
+        order = np.argsort(keys, kind="stable")
+        keys, starts, counts, places, at = keys[order], starts[order], counts[order], places[order], at[order]
+        head = np.concatenate([[True], keys[1:] != keys[:-1]])
+        many = np.bincount(np.cumsum(head) - 1)
+        again = np.repeat(many > 1, many)
+        known = np.stack([docs[at], rows[at], starts, counts, keys.view(np.int64), places], axis=1)[again]
+        one = np.flatnonzero(head)
+        columns = {"keys": keys[one], "docs": docs[at[one]], "rows": rows[at[one]], "starts": starts[one].astype("<i4"), "counts": counts[one].astype("<i4"), "places": places[one].astype("<i4"), "many": many.astype("<i4")}
+        if (out := packed((keys[one] % np.uint64(n)).astype(np.int64), columns, known)) is not None:
+            yield out
+
+
+def _seen(c: dict[str, np.ndarray], hot: int) -> dict[str, np.ndarray]:
+    """The runs whose key is at several places; a hot key is told as a row of its own: count -1, the key, and its places as start."""
+    order = np.argsort(c["keys"], kind="stable")
+    keys, many = c["keys"][order], c["many"][order].astype(np.int64)
+    head = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+    total = np.add.reduceat(many, np.flatnonzero(head)) if len(keys) else np.zeros(0, np.int64)
+    pick = order[(total[np.cumsum(head) - 1] > 1) & (many == 1)] if len(keys) else order
+    known = c["known"].reshape(-1, 6)
+    high = np.flatnonzero(total > hot)
+    none = np.zeros(len(high), np.int64)
+    told = {"doc": none, "row": none, "start": total[high], "count": none - 1, "key": keys[head][high].view(np.int64), "place": none}
+    out = {"doc": c["docs"], "row": c["rows"], "start": c["starts"], "count": c["counts"], "key": c["keys"].view(np.int64), "place": c["places"]}
+    return {k: np.concatenate([v[pick].astype(np.int64), known[:, i], told[k]]) for i, (k, v) in enumerate(out.items())}
+
+
+def shared_runs(texts: DataFrame, parts: Callable[[str], Runs | None], per_byte: float, block: int) -> tuple[DataFrame, np.ndarray, int]:
+    """Runs of windows (SPAN) whose key occurs at several places, the sorted hot keys, and the bytes of all texts.
+
+    `parts` gives a text's keys, first windows, numbers of windows and places of the core;
+    `per_byte` is about what it makes of a byte. Each block of texts tells a key once, with its number of places.
+    """
+    size = bytes_of(texts)
+    n = buckets_for(texts, size * per_byte)
+    hot = max(HOT_PLACES, int(size * per_byte / 32) // HOT_KEYS)
+    sent = texts.mapInArrow(lambda batches: _send_keys(batches, parts, block, n), schema_of(_KEYS))
+    found = cut(per_bucket(sent, n, lambda c: _seen(c, hot), _KEYS, SPAN), "shared")
+    keys = np.sort(np.array([r["key"] for r in found.filter("count < 0").select("key").collect()], np.int64).view(np.uint64))
+    return found.filter("count > 0"), keys, size
+
+
+def is_hot(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(keys), bool)
+    return hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys
 
 
 def flagged(starts: list | None, counts: list | None, width: int, n: int) -> np.ndarray:
