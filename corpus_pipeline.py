@@ -1,6 +1,6 @@
 """The training-data pipeline: STAGES over `documents`, each written as Parquet before the next reads it.
 
-Bad and toxic documents go, one document of each near-duplicate group stays, strings of 400 bytes
+Bad and toxic documents go, one document of each near-duplicate group stays, passages of 50 words
 that still repeat anywhere are cut out, and what is left is packed into training sequences. A
 document whose whole text is cut out stays with an empty text.
 """
@@ -13,6 +13,10 @@ from strandflow.llm import minhash, packing, quality, suffix, toxicity
 from strandflow.llm.common import cut
 from strandflow.llm.queries import table, vocabulary
 
+#: Bytes of a repeated string that is cut out: 50 words of four letters with their blanks. Longer strings
+#: would let passages of 50 common words pass (of 51-word windows of ordinary text, 1 in 1,000 is below 256 bytes).
+PASSAGE_BYTES = 250
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -29,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.cut_texts(docs)
+    return suffix.cut_texts(docs, PASSAGE_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
