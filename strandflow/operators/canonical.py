@@ -21,7 +21,7 @@ PREFIXES = {"q": ("joint", "jpos", "pos"), "dq": ("vel", "jvel", "qd", "dq"), "a
 
 
 def canonical_name(header: str) -> str:
-    """Canonical name of one header; an unknown one is only lower-cased and trimmed."""
+    """Canonical name of one header; an unknown one is only lower-cased and trimmed. joint_01 is joint 1, as joint_1."""
     name = header.strip().lower()
     if name in ALIASES:
         return ALIASES[name]
@@ -41,6 +41,24 @@ def canonicalise(df: DataFrame) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names, strict=True)])
 
 
+def merge_headers(df: DataFrame) -> DataFrame:
+    """`canonicalise` for a table of files with different headers: columns of one canonical name become one.
+
+    A row with values under two of them fails the job, as a file with both headers would.
+    """
+    groups: dict[str, list[Column]] = {}
+    for c in df.columns:
+        groups.setdefault(canonical_name(c), []).append(F.col(f"`{c}`"))
+
+    def one(name: str, columns: list[Column]) -> Column:
+        if len(columns) == 1:
+            return columns[0]
+        held = sum((c.isNotNull().cast("int") for c in columns), F.lit(0))
+        return F.when(held > 1, F.raise_error(F.lit(f"several columns are {name}"))).otherwise(F.coalesce(*columns))
+
+    return df.select([one(n, c).alias(n) for n, c in groups.items()])
+
+
 def known(c: Column) -> Column:
     """NaN and infinities are missing, once and for all at the boundary."""
     c = c.cast("double")
@@ -73,6 +91,21 @@ def derive_action(df: DataFrame, profile: Profile) -> DataFrame:
     return df.withColumns({f"act_q_{i}": F.when(last, 0.0).otherwise(F.lead(f"q_{i}").over(w) - F.col(f"q_{i}")) for i in range(profile.n_joints)})
 
 
+def derive_absent(df: DataFrame, profile: Profile) -> DataFrame:
+    """Velocities and commands of a table of episodes with different channels: all are derived in an episode where one of them has no value."""
+    for kind, derive in (("dq", derive_velocity), ("act_q", derive_action)):
+        names = profile.joints(kind)
+        given = [c for c in names if c in df.columns]
+        if given == names:
+            counts = [F.count(c).over(W.partitionBy(*KEYS)) for c in names]
+            lacking = F.least(*counts) == 0 if len(counts) > 1 else counts[0] == 0
+            df = derive(df.withColumns({f"_{c}": F.col(c) for c in names} | {"_lacking": lacking}), profile)
+            df = df.withColumns({c: F.when(F.col("_lacking"), F.col(c)).otherwise(F.col(f"_{c}")) for c in names}).drop("_lacking", *(f"_{c}" for c in names))
+        else:
+            df = derive(df, profile)
+    return df
+
+
 def coerce(df: DataFrame, profile: Profile, kind: str = "double") -> DataFrame:
     """Canonical columns in order; absent channels are null, velocity and command are derived if any of them is absent."""
     need = ["t_us", *profile.joints("q")]
@@ -96,13 +129,22 @@ def success_label(stem: Column) -> Column:
     return ~stem.rlike("(?i)(fail|bad|abort)")
 
 
-def with_pose(df: DataFrame, links: tuple[float, ...] = (0.333, 0.316, 0.384, 0.088)) -> DataFrame:
+# Fixed values of the placeholder geometry: centre and amplitude of each coordinate in metres.
+POSE = {"ee_x": (0.30, 0.25), "ee_y": (0.0, 0.25), "ee_z": (0.40, 0.20)}
+POSE_JOINTS = 6
+
+
+def with_pose(df: DataFrame) -> DataFrame:
     """End-effector position and unit quaternion from the joints where the recording has none (opt-in).
 
-    A planar chain: the first joint turns about the vertical, the next ones lift, and the
-    quaternion turns about the vertical by the first joint's angle.
+    A placeholder for rigs that log no pose; it reads joints 0, 1, 3 and 5, so a table of fewer than
+    six joints is an error.
     """
-    reach = links[1] * F.cos("q_1") + links[2] * F.cos(F.col("q_1") + F.col("q_2")) + links[3]
-    pose = {"ee_x": reach * F.cos("q_0"), "ee_y": reach * F.sin("q_0"), "ee_z": links[0] + links[1] * F.sin("q_1") + links[2] * F.sin(F.col("q_1") + F.col("q_2"))}
-    pose |= {"ee_qx": F.lit(0.0), "ee_qy": F.lit(0.0), "ee_qz": F.sin(F.col("q_0") / 2), "ee_qw": F.cos(F.col("q_0") / 2)}
+    if lacking := [f"q_{i}" for i in range(POSE_JOINTS) if f"q_{i}" not in df.columns]:
+        raise ValueError(f"a pose needs {POSE_JOINTS} joints; columns are missing: {', '.join(lacking)}")
+    turn, lift = F.sin("q_0"), F.col("q_1")
+    swing = {"ee_x": turn * F.cos(lift), "ee_y": turn * F.sin(lift), "ee_z": F.cos(lift + F.col("q_3"))}
+    pose = {k: F.lit(POSE[k][0]) + F.lit(POSE[k][1]) * v for k, v in swing.items()}
+    known_wrist = F.col("q_5").isNotNull()
+    pose |= {"ee_qx": F.sin(F.col("q_5") / 2), "ee_qy": F.when(known_wrist, 0.0), "ee_qz": F.when(known_wrist, 0.0), "ee_qw": F.cos(F.col("q_5") / 2)}
     return df.withColumns({k: F.coalesce(F.col(k), v) if k in df.columns else v for k, v in pose.items()})

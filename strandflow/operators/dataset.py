@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import json
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from strandflow.operators.canonical import KEYS, episode_window
 from strandflow.profile import Profile
@@ -43,9 +45,15 @@ def content_hash(steps: DataFrame, channels: list[str], unit: float = 1e6) -> Da
 
 
 def dedupe(episodes: DataFrame, order: tuple[str, ...] = KEYS, hash_column: str = "content_hash") -> DataFrame:
-    """Adds duplicate: not the first of its hash in `order`. Empty and null hashes are never duplicates."""
-    rank = F.row_number().over(W.partitionBy(hash_column).orderBy(*order))
-    return episodes.withColumn("duplicate", (F.coalesce(F.col(hash_column), F.lit("")) != "") & (rank > 1))
+    """Adds duplicate: not the first of its hash in `order`, whose columns name a row. Empty and null hashes are never duplicates.
+
+    The first of each hash is an aggregation that adds up before the shuffle, and is joined back on
+    `order`; so a hash that many rows share, or lack, loads no task.
+    """
+    hashed = F.coalesce(F.col(hash_column), F.lit("")) != ""
+    first = episodes.filter(hashed).groupBy(hash_column).agg(F.min(F.struct(*order)).alias("_f")).select(*(F.col(f"_f.{c}").alias(f"_{c}") for c in order), F.lit(True).alias("_first"))
+    joined = episodes.join(first, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order], "left")
+    return joined.withColumn("duplicate", hashed & F.col("_first").isNull()).drop("_first", *(f"_{c}" for c in order))
 
 
 def split_share(session: Column, seed: int) -> Column:
@@ -82,10 +90,11 @@ def normalise(table: DataFrame, stats: dict[str, tuple[float, float]], back: boo
     return table.withColumns({c: F.col(c) * s + m if back else (F.col(c) - m) / s for c, (m, s) in stats.items()})
 
 
-def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile) -> tuple[DataFrame, DataFrame]:
+def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile, check: bool = False) -> tuple[DataFrame, DataFrame]:
     """(table, members): the split step table, and every episode with its exclude_reason, split and content_hash.
 
-    Steps are joined to the passing episodes before any window work.
+    Steps are joined to the passing episodes before any window work. With `check`, a build without
+    episodes or with an empty side is an error (`check_split`), which runs a job.
     """
     base = [c for c in [*obs, *act] if not c.startswith("prev_")]
     passing = gated.filter("exclude_reason is null").select(*KEYS)
@@ -100,6 +109,8 @@ def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], pr
     members = members.join(left, list(KEYS), "left")
     hole = F.col("split").isNotNull() & F.col("_left").isNull()
     members = members.withColumns({"exclude_reason": F.when(hole, "all_nan").otherwise(F.col("exclude_reason")), "split": F.when(~hole, F.col("split"))}).drop("_left")
+    if check:
+        check_split(members)
     return table.select(*KEYS, "split", "step", "t_us", *dict.fromkeys([*obs, *base, *act])), members
 
 
@@ -113,10 +124,29 @@ def check_split(members: DataFrame) -> None:
             raise ValueError(f"the {side} split is empty")
 
 
-def dataset_hash(members: DataFrame, selection: str) -> DataFrame:
-    """One row: 16 hex digits that change with the selection, the members or their contents."""
-    digest = F.concat_ws(":", "split", "session_id", "episode_id", "content_hash")
-    return members.filter("split is not null").agg(F.substring(F.sha2(F.concat(F.lit(selection + "|"), F.array_join(F.array_sort(F.collect_list(digest)), "|")), 256), 1, 16).alias("dataset_hash"))
+def dataset_hash(members: DataFrame, selection: str, buckets: int = 4) -> DataFrame:
+    """One row: 16 hex digits that change with the selection, the members or their contents.
+
+    Members are hashed in 16^buckets groups by the first digits of their own digest, then the groups' hashes.
+    """
+    digest = F.sha2(F.concat_ws(":", "split", "session_id", "episode_id", "content_hash"), 256)
+    whole = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "|"), 256)
+    parts = members.filter("split is not null").select(digest.alias("d")).groupBy(F.substring("d", 1, buckets).alias("b")).agg(whole("d").alias("h"))
+    return parts.agg(F.substring(F.sha2(F.concat(F.lit(selection + "|"), whole("h")), 256), 1, 16).alias("dataset_hash"))
+
+
+def manifest(table: DataFrame, members: DataFrame, obs: list[str], act: list[str], profile: Profile) -> DataFrame:
+    """One row that describes a build: columns, filters, normalisation of the train split, exclusions, splits and dataset_hash."""
+    norm = norm_stats(table.filter("split = 'train'"), [*dict.fromkeys([*obs, *act])])
+    norm = norm.agg(F.sort_array(F.collect_list(F.struct("column", "mean", "std"))).alias("norm"))
+    out = members.filter("exclude_reason is not null").groupBy("exclude_reason").agg(F.count("*").alias("n")).agg(F.sort_array(F.collect_list(F.struct("exclude_reason", "n"))).alias("excluded"))
+    sides = members.filter("split is not null").groupBy("split").agg(F.count("*").alias("n_episodes"), F.countDistinct("session_id").alias("n_sessions"))
+    steps = table.groupBy("split").agg(F.count("*").alias("n_steps"))
+    sides = sides.join(steps, "split").agg(F.sort_array(F.collect_list(F.struct("split", "n_episodes", "n_sessions", "n_steps"))).alias("splits"))
+    filters = {"min_tier": profile.min_tier, "require_success": profile.require_success, "val_fraction": profile.val_fraction, "seed": profile.seed}
+    hashed = dataset_hash(members, json.dumps([obs, act, filters]))
+    fixed = hashed.select(F.array(*map(F.lit, obs)).alias("obs_columns"), F.array(*map(F.lit, act)).alias("action_columns"), F.lit(json.dumps(filters)).alias("filters"), "dataset_hash")
+    return fixed.join(norm).join(out).join(sides)  # one row each
 
 
 def action_chunks(table: DataFrame, act: list[str], horizon: int, obs: list[str] = (), contiguous_dt: int | None = None) -> DataFrame:

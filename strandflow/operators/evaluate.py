@@ -1,4 +1,8 @@
-"""Errors of predictors on action chunks: baselines, skill, bootstrap intervals, drift, and a ridge chunk policy."""
+"""Errors of predictors on action chunks: baselines, skill, bootstrap intervals, drift, and a ridge chunk policy.
+
+The policy reads normalised observations and gives normalised chunks; its model is a dict of the
+columns' means and deviations (from the train split) and one weight matrix per candidate.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +11,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from strandflow.operators.canonical import KEYS, episode_window
 
 PREDICTORS = ("zero", "train_mean", "persistence")
 
 
-def long_form(windows: DataFrame) -> DataFrame:
-    """One row per window, offset k and dimension d: truth and the previous action."""
-    df = windows.select(*KEYS, "window", "prev_action", F.posexplode("actions").alias("k", "action"))
-    return df.select(*KEYS, "window", "k", "prev_action", F.posexplode("action").alias("d", "truth")).withColumn("prev", F.element_at("prev_action", F.col("d") + 1)).drop("prev_action")
+def long_form(windows: DataFrame, *chunks: str) -> DataFrame:
+    """One row per window, offset k and dimension d: truth, the previous action and the cells of other `chunks` columns."""
+    rows = F.arrays_zip(F.col("actions").alias("truth"), *chunks)
+    df = windows.select(*KEYS, "window", "prev_action", F.posexplode(rows).alias("k", "_row"))
+    cells = F.arrays_zip(*(F.col(f"_row.{c}").alias(c) for c in ("truth", *chunks)))
+    df = df.select(*KEYS, "window", "k", "prev_action", F.posexplode(cells).alias("d", "_cell"))
+    return df.select(*KEYS, "window", "k", "d", F.element_at("prev_action", F.col("d") + 1).alias("prev"), "_cell.*")
 
 
 def baselines(long: DataFrame, train_mean: DataFrame) -> DataFrame:
@@ -36,33 +45,60 @@ def mae_by_offset(predicted: DataFrame, predictors: tuple[str, ...] = PREDICTORS
 
 
 def policy_errors(predicted: DataFrame, name: str, grip: int | None = None) -> DataFrame:
-    """One row: MAE and RMSE at offset 0, chunk MAE, and for the gripper's dimension MAE and open/closed accuracy."""
+    """One row: MAE and RMSE at offset 0, chunk MAE, for the gripper's dimension MAE and open/closed accuracy, windows and episodes."""
     e, now = F.col(name) - F.col("truth"), F.col("k") == 0
     at = now & (F.col("d") == (-1 if grip is None else grip))
     return predicted.agg(
         F.avg(F.when(now, F.abs(e))).alias("mae"), F.sqrt(F.avg(F.when(now, e * e))).alias("rmse"), F.avg(F.abs(e)).alias("chunk_mae"),
-        F.avg(F.when(at, F.abs(e))).alias("gripper_mae"), F.avg(F.when(at, ((F.col(name) > 0.5) == (F.col("truth") > 0.5)).cast("double"))).alias("gripper_accuracy"), F.count_if(now & (F.col("d") == 0)).alias("n_windows"),
+        F.avg(F.when(at, F.abs(e))).alias("gripper_mae"), F.avg(F.when(at, ((F.col(name) > 0.5) == (F.col("truth") > 0.5)).cast("double"))).alias("gripper_accuracy"),
+        F.count_if(now & (F.col("d") == 0)).alias("n_windows"), F.countDistinct(*KEYS).alias("n_episodes"),
     )
 
 
+def joint_errors(predicted: DataFrame, name: str) -> DataFrame:
+    """(d, mae): error at offset 0 per action dimension."""
+    return predicted.filter("k = 0").groupBy("d").agg(F.avg(F.abs(F.col(name) - F.col("truth"))).alias("mae"))
+
+
 def skill(errors: DataFrame, policy: str, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
-    """One row: the best baseline by chunk MAE (ties in the given order) and the policy's skill against it; null where the best error is 0."""
+    """One row: the best baseline by chunk MAE (ties in the given order) and the policy's skill; null where the best error is 0.
+
+    chunk_skill is against that baseline; next_step_skill is against the smallest next-step error of any baseline.
+    """
     place = F.array_position(F.array(*(F.lit(p) for p in predictors)), F.col("predictor"))
-    best = F.min(F.when(place > 0, F.struct("chunk_mae", place.alias("place"), "predictor", "next_step_mae")))
+    best = F.min(F.when(place > 0, F.struct("chunk_mae", place.alias("place"), "predictor")))
     own = lambda c: F.max(F.when(F.col("predictor") == policy, F.col(c)))
-    row = errors.agg(best.alias("b"), own("chunk_mae").alias("c"), own("next_step_mae").alias("n"))
+    row = errors.agg(best.alias("b"), F.min(F.when(place > 0, F.col("next_step_mae"))).alias("s"), own("chunk_mae").alias("c"), own("next_step_mae").alias("n"))
     gain = lambda own, base: 1 - F.try_divide(F.col(own), F.nullif(F.col(base), F.lit(0.0)))
-    return row.select(F.col("b.predictor").alias("best_baseline"), gain("c", "b.chunk_mae").alias("chunk_skill"), gain("n", "b.next_step_mae").alias("next_step_skill"))
+    return row.select(F.col("b.predictor").alias("best_baseline"), gain("c", "b.chunk_mae").alias("chunk_skill"), gain("n", "s").alias("next_step_skill"))
+
+
+def offset_curve(predicted: DataFrame, policy: str, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
+    """(k, policy, best_baseline, best, winner, loses_everywhere): the policy beside the one baseline with the lowest chunk MAE, offset by offset."""
+    cells = predicted.groupBy("k").agg(F.count("truth").alias("_n"), *(F.avg(F.abs(F.col(p) - F.col("truth"))).alias(f"_{p}") for p in (policy, *predictors)))
+    chunk = lambda p: F.sum(F.col(f"_{p}") * F.col("_n")) / F.sum("_n")
+    best = F.array_min(F.array(*(F.struct(chunk(p).alias("mae"), F.lit(i).alias("i"), F.lit(p).alias("name")) for i, p in enumerate(predictors))))
+    whole = cells.agg(best.alias("_b"))  # one row
+    value = F.coalesce(*(F.when(F.col("_b.name") == p, F.col(f"_{p}")) for p in predictors))
+    curve = cells.join(F.broadcast(whole)).select("k", F.col(f"_{policy}").alias("policy"), F.col("_b.name").alias("best_baseline"), value.alias("best"))
+    loses = curve.agg(F.min(F.col("policy") >= F.col("best")).alias("loses_everywhere"))  # one row
+    winner = F.when(F.col("policy") < F.col("best"), "policy").otherwise(F.col("best_baseline"))
+    return curve.withColumn("winner", winner).join(F.broadcast(loses))
 
 
 def cluster_bootstrap(values: DataFrame, group: list[str], value: str, draws: int, seed: int, alpha: float = 0.05) -> DataFrame:
     """One row (low, high): resamples whole groups with replacement; the mean is over all their rows. Below 2 groups both are null.
 
-    Draw r, i of a replicate is the md5 of "seed:r:i" modulo the number of groups. Groups get
-    consecutive numbers; per-group sums (one row per group) are joined to the draws.
+    Draw r, i of a replicate is the md5 of "seed:r:i" modulo the number of groups. Groups are numbered by
+    the first two digits of their keys' md5, then by their keys: within each of the 256 parts
+    by itself, behind the sizes of the parts before. Per-group sums are joined to the draws.
     """
     stats = values.groupBy(*group).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
-    numbered = stats.withColumn("g", F.row_number().over(W.orderBy(*group)) - 1)  # one row per group
+    stats = stats.withColumn("part", F.substring(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in group))), 1, 2))
+    parts = stats.groupBy("part").agg(F.count("*").alias("size"))
+    before = parts.alias("p").join(parts.alias("o"), F.col("o.part") < F.col("p.part"), "left")  # at most 256 x 256 rows
+    before = before.groupBy("p.part").agg(F.coalesce(F.sum("o.size"), F.lit(0)).alias("before"))
+    numbered = stats.join(F.broadcast(before), "part").withColumn("g", F.row_number().over(W.partitionBy("part").orderBy(*group)) - 1 + F.col("before"))
     size = stats.agg(F.count("*").alias("size"))
     rows = stats.sparkSession.range(draws).select(F.col("id").alias("r")).join(F.broadcast(size))
     rows = rows.select("r", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size"), F.lit(1)) - 1)).alias("i"))
@@ -97,20 +133,24 @@ def smooth_l1(error: Column, beta: float = 0.1) -> Column:
 
 
 def gram(table: DataFrame, x: list[str], y: list[str]) -> DataFrame:
-    """(i, j, value): sums of products of the columns x (and 1) with x and y, in one aggregation."""
-    left = [*x, "1"]
-    pairs = [(a, b) for a in left for b in [*left, *y]]
-    cell = lambda c: F.lit(1.0) if c == "1" else F.col(c)
-    row = table.agg(*(F.sum(cell(a) * cell(b)).alias(f"g{k}") for k, (a, b) in enumerate(pairs)))
-    return row.select(F.inline(F.array(*(F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), F.col(f"g{k}").alias("value")) for k, (a, b) in enumerate(pairs)))))
+    """(i, j, value): sums of products of the columns x (and 1) with x, 1 and y; each partition sums its own products first."""
+    left, right = [*x, "1"], [*x, "1", *y]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(left), len(right)))
+        for b in batches:
+            data = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names} | {"1": np.ones(b.num_rows)}
+            total += np.stack([data[c] for c in left]) @ np.stack([data[c] for c in right], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(left, len(right)).tolist()), pa.array(right * len(left)), pa.array(total.ravel())], ["i", "j", "value"])
 
-def _matrix(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = table.select(*x, *y).dropna().mapInArrow(run, "i string, j string, value double")
+    return sums.groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
+def _products(rows: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
     total = None
     for batch in rows:
-        x = np.array(batch.column("obs").to_pylist(), np.float64)
-        y = np.array(batch.column("actions").to_pylist(), np.float64).reshape(len(x), -1)
-        x = np.hstack([x, np.ones((len(x), 1))])
+        x, y = _normalised(batch, model)
         part = x.T @ np.hstack([x, y])
         total = part if total is None else total + part
     if total is not None:
@@ -118,38 +158,131 @@ def _matrix(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells)), pa.int64()), pa.array(cells)], ["cell", "value"])
 
 
-def fit_policy(windows: DataFrame, ridges: tuple[float, ...] = (1e-3, 1e-1, 10.0)) -> dict[float, np.ndarray]:
-    """Ridge weights (d + 1 rows, horizon * actions columns) per candidate, from one pass.
+def _normalised(batch: pa.RecordBatch, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A batch's normalised observations (and a 1) and actions."""
+    x = np.array(batch.column("obs").to_pylist(), np.float64)
+    y = np.array(batch.column("actions").to_pylist(), np.float64)
+    y = (y - model["act_mean"]) / model["act_std"]
+    return _inputs(x, model), y.reshape(len(x), -1)
+
+
+def _inputs(x: np.ndarray, model: dict) -> np.ndarray:
+    return np.hstack([(x - model["obs_mean"]) / model["obs_std"], np.ones((len(x), 1))])
+
+
+def _outputs(x: np.ndarray, model: dict, weights: np.ndarray) -> np.ndarray:
+    """Predicted chunks (rows x horizon x actions) of raw observations."""
+    y = (_inputs(x, model) @ weights).reshape(len(x), -1, len(model["act_mean"]))
+    return y * model["act_std"] + model["act_mean"]
+
+
+def fit_policy(windows: DataFrame, stats: dict[str, tuple[float, float]], obs: list[str], act: list[str], ridges: tuple[float, ...] = (1e-3, 1e-1, 10.0)) -> dict:
+    """The ridge chunk policy's model: `stats` of the columns and weights (d + 1 rows, horizon * actions columns) per candidate, from one pass.
 
-    Each partition sums its products; only the d x (d + outputs) cells are added up and reach the driver.
+    Each partition sums its products; only the d x (d + outputs) cells are added up and reach the
+    driver. The bias is not penalised.
     """
-    cells = windows.select("obs", "actions").mapInArrow(_matrix, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
+    model = {"obs": list(obs), "act": list(act)}
+    for name, columns in (("obs", obs), ("act", act)):
+        model[f"{name}_mean"], model[f"{name}_std"] = (np.array([stats[c][i] for c in columns], np.float64) for i in range(2))
+    cells = windows.select("obs", "actions").mapInArrow(lambda rows: _products(rows, model), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
     if not cells:
         raise ValueError("no window to fit on")
-    d = len(windows.select("obs").first()[0]) + 1
+    d = len(obs) + 1
     whole = np.array([r["value"] for r in cells]).reshape(d, -1)
-    return {r: np.linalg.solve(whole[:, :d] + r * np.eye(d), whole[:, d:]) for r in ridges}
+    free = np.append(np.ones(d - 1), 0.0)
+    model["weights"] = {r: np.linalg.lstsq(whole[:, :d] + np.diag(r * free), whole[:, d:], rcond=None)[0] for r in ridges}
+    return model
 
 
-def predict(windows: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Adds `predicted` (horizon x actions) to windows; weights are broadcast (their size is fixed by the layout)."""
-    sent = windows.sparkSession.sparkContext.broadcast(weights)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import ArrayType, DoubleType, StructType
+def fit_history(windows: DataFrame, model: dict) -> DataFrame:
+    """(ridge, chunk_mae, loss, chosen) of each candidate on held-out windows, from one pass; chosen is the one of least loss (the first on a tie)."""
+    names = list(model["weights"])
+    predicted = predict(windows, model, names)
+    row = predicted.select(F.flatten("actions").alias("a"), *(F.flatten(f"predicted_{i}").alias(f"p{i}") for i in range(len(names))))
+    pairs = F.explode(F.arrays_zip("a", *(f"p{i}" for i in range(len(names))))).alias("x")
+    flat = row.select(pairs)
+    error = lambda i: F.col("x.a") - F.col(f"x.p{i}")
+    means = flat.agg(*(m for i in range(len(names)) for m in (F.avg(F.abs(error(i))).alias(f"m{i}"), F.avg(smooth_l1(error(i))).alias(f"l{i}"))))
+    best = F.array_min(F.array(*(F.struct(F.col(f"l{i}").alias("loss"), F.lit(i).alias("i")) for i in range(len(names)))))
+    structs = [F.struct(F.lit(float(r)).alias("ridge"), F.col(f"m{i}").alias("chunk_mae"), F.col(f"l{i}").alias("loss"), (F.col("_best.i") == i).alias("chosen")) for i, r in enumerate(names)]
+    return means.withColumn("_best", best).select(F.inline(F.array(*structs)))
 
-    schema = StructType(list(windows.schema.fields)).add("predicted", ArrayType(ArrayType(DoubleType())))
+
+def choose(model: dict, history: DataFrame) -> np.ndarray:
+    """The weights that the history chose (its rows are as many as candidates)."""
+    return model["weights"][next(r["ridge"] for r in history.collect() if r["chosen"])]
+
+
+def predict(windows: DataFrame, model: dict, candidates: list | np.ndarray) -> DataFrame:
+    """Adds `predicted` (horizon x actions) by one weight matrix, or predicted_0... by several candidates of the model.
+
+    Weights are broadcast; their size is fixed by the layout.
+    """
+    one = isinstance(candidates, np.ndarray)
+    weights = [candidates] if one else [model["weights"][r] for r in candidates]
+    names = ["predicted"] if one else [f"predicted_{i}" for i in range(len(weights))]
+    sent = windows.sparkSession.sparkContext.broadcast((model, weights))
+    schema = StructType(list(windows.schema.fields))
+    for n in names:
+        schema = schema.add(n, ArrayType(ArrayType(DoubleType())))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array(b.column("obs").to_pylist(), np.float64)
-            y = np.hstack([x, np.ones((len(x), 1))]) @ sent.value
-            horizon = len(b.column("actions")[0])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(y.reshape(len(x), horizon, -1).tolist(), arrow.field("predicted").type)], schema=arrow)
+            x = np.array(b.column("obs").to_pylist(), np.float64).reshape(b.num_rows, -1)
+            if len(x):
+                made = [pa.array(_outputs(x, sent.value[0], w).tolist(), arrow.field(names[0]).type) for w in sent.value[1]]
+                yield pa.RecordBatch.from_arrays([*b.columns, *made], schema=arrow)
 
     return windows.mapInArrow(run, schema)
 
 
+def rollout_drift(table: DataFrame, model: dict, weights: np.ndarray, n: int, horizon: int) -> DataFrame:
+    """(keys, start, drift): open-loop distance from the recorded joints after n steps, from spread starts.
+
+    The policy is asked every `horizon` steps; its joint commands are added up and its own last action
+    is fed back as the previous action; other observations stay as recorded at the start. So a
+    rollout needs its start row and the joints n steps later, and each batch of starts runs at once.
+    Without joints, or without a command for each, there is no row.
+    """
+    obs, act = model["obs"], model["act"]
+    q = [i for i, c in enumerate(obs) if c.startswith("q_")]
+    commands = [i for i, c in enumerate(act) if c.startswith("act_q_")]
+    back = [(i, act.index(c.removeprefix("prev_"))) for i, c in enumerate(obs) if c.startswith("prev_") and c.removeprefix("prev_") in act]
+    schema = "session_id string, episode_id string, start int, drift double"
+    if not q or len(q) != len(commands):
+        return table.sparkSession.createDataFrame([], schema)
+    w = episode_window("step")
+    ends = table.select(*KEYS, F.col("step").alias("start"), F.array(*obs).alias("obs"), F.array(*(F.lead(obs[i], n).over(w) for i in q)).alias("truth"))
+    starts = rollout_starts(table.groupBy(*KEYS).agg(F.count("*").alias("length")), n)
+    rows = ends.join(starts, [*KEYS, "start"], "left_semi")
+    sent = table.sparkSession.sparkContext.broadcast((model, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            state, truth = (np.array(b.column(c).to_pylist(), np.float64) for c in ("obs", "truth"))
+            for step in range(n):
+                if step % horizon == 0:
+                    chunk = _outputs(state, *sent.value)
+                action = chunk[:, step % horizon]
+                state[:, q] += action[:, commands]
+                for i, a in back:
+                    state[:, i] = action[:, a]
+            drift = np.sqrt(((state[:, q] - truth) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2).cast(pa.int32()), pa.array(drift)], ["session_id", "episode_id", "start", "drift"])
+
+    return rows.select(*KEYS, "start", "obs", "truth").mapInArrow(run, schema)
+
+
 def check_layout(model: list[str], table: list[str]) -> None:
+    """An error if a model's columns are not the table's, in order."""
     if list(model) != list(table):
         raise ValueError(f"the model's columns differ from the table's: {model} and {table}")
+
+
+def hash_note(model_hash: str | None, dataset_hash: str) -> str | None:
+    """A remark, not an error, if a model was fitted on another dataset: that is how a data regression is found."""
+    return None if model_hash == dataset_hash else f"the model was fitted on dataset {model_hash}, not {dataset_hash}"

@@ -24,11 +24,34 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
+def _counted(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """(keys, column, _n): how often each value occurs within its keys; the map side adds up first."""
+    return df.groupBy(*keys, column).agg(F.count(column).alias("_n")).filter("_n > 0")
+
+
+def centre_and_scale(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """One row per keys: _median, _scale (scaled median absolute deviation) and _size of a column's known values.
+
+    Exact medians over counted values: tasks aggregate (keys, value) pairs, never all rows of a key.
+    """
+    counted = _counted(df, keys, column)
+    middle = counted.groupBy(*keys).agg(F.percentile(column, F.lit(0.5), F.col("_n")).alias("_median"), F.sum("_n").alias("_size"))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    off = counted.alias("c").join(middle.alias("m"), same)
+    off = off.select(*(F.col(f"c.{k}").alias(k) for k in keys), "_median", "_size", "_n", F.abs(F.col(f"c.{column}") - F.col("_median")).alias("_off"))
+    return off.groupBy(*keys).agg(F.first("_median").alias("_median"), (MAD_SCALE * F.percentile("_off", F.lit(0.5), F.col("_n"))).alias("_scale"), F.first("_size").alias("_size"))
+
+
+def _beside(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with its keys' statistics (null where they have none)."""
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    return df.alias("d").join(stats.alias("s"), same, "left").select("d.*", "_median", "_scale", "_size")
+
+
 def robust_scale(df: DataFrame, keys: list[str], column: str, name: str = "scale") -> DataFrame:
     """Adds the scaled median absolute deviation of a column within its keys (null values are skipped; 0 if there are none)."""
-    w = W.partitionBy(*keys)
-    df = df.withColumn("_median", F.median(column).over(w))
-    return df.withColumn(name, F.coalesce(MAD_SCALE * F.median(F.abs(F.col(column) - F.col("_median"))).over(w), F.lit(0.0))).drop("_median")
+    found = _beside(df, centre_and_scale(df, keys, column), keys)
+    return found.withColumn(name, F.coalesce("_scale", F.lit(0.0))).drop("_median", "_scale", "_size")
 
 
 def step_metrics(steps: DataFrame, profile: Profile) -> DataFrame:
@@ -41,7 +64,7 @@ def step_metrics(steps: DataFrame, profile: Profile) -> DataFrame:
     spike = any_of([F.coalesce((F.col(f"_s_{i}") > 0) & (F.col(f"_j_{i}") > F.col(f"_m_{i}") + profile.jerk_spike_k * F.col(f"_s_{i}")), F.lit(False)) for i in range(profile.n_joints)])
     # the gripper's state changes only at marker rows: the first known one, and those beyond either threshold
     grip = F.col("grip")
-    first = F.row_number().over(W.partitionBy(*KEYS).orderBy(grip.isNull(), "step")) == 1
+    first = F.col("step") == F.min(F.when(grip.isNotNull(), F.col("step"))).over(own)
     mark = F.when(grip.isNull(), None).when(first, (grip > 0.5).cast("int")).when(grip > 0.6, 1).when(grip < 0.4, 0)
     df = df.withColumns({"_spike": spike, "_mark": mark})
     df = df.withColumn("_held", F.last(F.col("_mark"), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)))
@@ -62,11 +85,13 @@ def step_metrics(steps: DataFrame, profile: Profile) -> DataFrame:
 
 
 def duration_zabs(episodes: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds each episode's distance from its population's median duration in robust scales; 0 below 3 episodes or without spread."""
-    w = W.partitionBy(*keys)
-    df = robust_scale(episodes, keys, "duration_s", "_scale").withColumns({"_mid": F.median("duration_s").over(w), "_size": F.count("duration_s").over(w)})
-    z = F.when((F.col("_size") < 3) | (F.col("_scale") <= 0), 0.0).otherwise(F.abs(F.col("duration_s") - F.col("_mid")) / F.nullif(F.col("_scale"), F.lit(0.0)))
-    return df.withColumn("duration_zabs", z).drop("_scale", "_mid", "_size")
+    """Adds each episode's distance from its population's median duration in robust scales; 0 below 3 episodes or without spread.
+
+    Durations are whole grid steps, so a population has few distinct ones.
+    """
+    df = _beside(episodes, centre_and_scale(episodes, keys, "duration_s"), keys)
+    z = F.abs(F.col("duration_s") - F.col("_median")) / F.nullif(F.col("_scale"), F.lit(0.0))
+    return df.withColumn("duration_zabs", F.when((F.col("_size") >= 3) & (F.col("_scale") > 0), z).otherwise(0.0)).drop("_median", "_scale", "_size")
 
 
 def metrics(steps: DataFrame, episodes: DataFrame, profile: Profile, population: list[str] | None = None) -> DataFrame:

@@ -49,7 +49,13 @@ def worst_episodes(quality: DataFrame, n: int = 10) -> DataFrame:
 
 
 def validation_rollup(validation: DataFrame) -> DataFrame:
-    """(code, severity, n): issue codes over all episodes, most frequent first."""
+    """(code, n): episodes per error code among those that failed, most frequent first."""
+    errors = validation.filter(~F.col("ok")).select(*KEYS, F.inline("issues")).filter("severity = 'error'")
+    return errors.groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code")
+
+
+def issue_counts(validation: DataFrame) -> DataFrame:
+    """(code, severity, n): issue codes over all episodes, warnings included, most frequent first."""
     return validation.select(F.inline("issues")).groupBy("code", "severity").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code")
 
 
@@ -62,8 +68,14 @@ def exclusions(members: DataFrame) -> DataFrame:
 
 
 def split_summary(members: DataFrame) -> DataFrame:
+    """Per split: episodes, sessions, steps, sorted operators and tasks, episodes per tier, mean score."""
     kept = members.filter("split is not null")
-    return kept.groupBy("split").agg(F.count("*").alias("n_episodes"), F.countDistinct("session_id").alias("n_sessions"), F.sum("n_steps").cast("long").alias("n_steps"), F.array_join(F.sort_array(F.collect_set("operator_id")), ",").alias("operators"), F.array_join(F.sort_array(F.collect_set("task_id")), ",").alias("tasks"), F.count_if(F.col("tier") == "gold").alias("gold"), F.avg("score").alias("mean_score"))
+    names = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
+    return kept.groupBy("split").agg(
+        F.count("*").alias("n_episodes"), F.countDistinct("session_id").alias("n_sessions"), F.sum("n_steps").cast("long").alias("n_steps"),
+        names("operator_id").alias("operators"), names("task_id").alias("tasks"),
+        *(F.count_if(F.col("tier") == t).alias(t) for t in ("gold", "silver", "reject")), F.avg("score").alias("mean_score"),
+    )
 
 
 def heldout_operators(members: DataFrame) -> DataFrame:
@@ -73,9 +85,17 @@ def heldout_operators(members: DataFrame) -> DataFrame:
 
 
 def ingest_summary(episodes: DataFrame) -> DataFrame:
+    """Per session: episodes and mean interpolated fraction."""
     return episodes.groupBy("session_id").agg(F.count("*").alias("n_episodes"), F.avg("interp_fraction").alias("mean_interp"))
 
 
+def ingest_result(episodes: DataFrame, skipped: DataFrame, pruned: DataFrame) -> DataFrame:
+    """One row: sessions, episodes, skipped and pruned sessions of a run, and (reason, n) of the skipped ones."""
+    done = episodes.agg(F.countDistinct("session_id").alias("sessions"), F.count("*").alias("episodes"))
+    reasons = skipped.groupBy("reason").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("skipped"), F.sort_array(F.collect_list(F.struct("reason", "n"))).alias("reasons"))
+    return done.join(reasons).join(pruned.agg(F.count("*").alias("pruned")))  # one row each
+
+
 def drop_rate(validation: DataFrame, quality: DataFrame, alarm: float = 0.4) -> DataFrame:
     """One row: episodes, quarantined, rejected among the rest, their share, and whether it is alarming."""
     both = validation.join(quality.select(*KEYS, "tier"), list(KEYS), "left")

@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandflow.operators import canonical, dataset, metrics, resample, validate
-from strandflow.profile import METRICS, Anchor, Profile
+from strandflow.profile import Anchor, Profile
 
 DAY_US = 86_400_000_000
-_ANCHORS = ((2, 0, 0.1, 0.05), (1, 0.7, 1.3, 1.1), (2, 0, 0.05, 0.01), (1.5, 0.1, 0.6, 0.1), (1.5, 0.02, 0.3, 0.1), (1, 0, 0.05, 0.01), (1, 0, 4e-5, 2e-5), (2, 20, 80, 45), (0.5, 0.5, 3, 2.5))
+_ANCHORS = {
+    "dropped_frame_rate": Anchor(2, 0, 0.1, 0.05),
+    "timing_jitter": Anchor(1, 0.7, 1.3, 1.1),
+    "nan_fraction": Anchor(2, 0, 0.05, 0.01),
+    "idle_fraction": Anchor(1.5, 0.1, 0.6, 0.3),
+    "action_saturation": Anchor(1.5, 0.02, 0.3, 0.1),
+    "jerk_spike_rate": Anchor(1, 0.02, 0.3, 0.15),
+    "gripper_chatter_hz": Anchor(1, 0, 2.5e-5, 1.2e-5),
+    "tracking_error": Anchor(2, 15, 40, 25),
+    "duration_zabs": Anchor(0.5, 0.5, 3, 2.5),
+}
 PROFILE = Profile(
     n_joints=3, dt_us=DAY_US // 4, max_gap_us=2 * DAY_US, lower=(0.0, 0.0, 0.0), upper=(300.0, 99.0, 4.0), limit_tolerance=30.0,
     action_limit=50.0, min_steps=36, max_steps=39, max_mean_dt_error=0.35, max_nan_fraction=0.1, idle_speed_eps=0.0006, jerk_spike_k=4.0,
-    anchors={m: Anchor(*v) for m, v in zip(METRICS, _ANCHORS, strict=True)}, gold=80.0, silver=60.0, hard_max_nan=0.2, hard_min_steps=30, horizon=4, bootstrap_samples=200, rollout_horizons=(1, 4, 8),
+    anchors=_ANCHORS, gold=80.0, silver=60.0, hard_max_nan=0.2, hard_min_steps=30, horizon=4, bootstrap_samples=200, rollout_horizons=(1, 4, 8),
 )
 OBS, ACT = ["q_0", "q_1", "q_2", "grip", "prev_act_q_0", "prev_act_q_1", "prev_act_q_2"], ["act_q_0", "act_q_1", "act_q_2"]
 CHANNELS = ["q_0", "q_1", "q_2", "grip", "act_q_0", "act_q_1", "act_q_2"]
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a table that a query reads several times, until `release`."""
+    _KEPT.append(df.persist())
+    return df
+
+
+def release() -> None:
+    """Let go of what earlier queries kept."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows with messy headers; a tenth of the sessions is recorded a second time under another id."""
+    """Raw rows with messy headers; a tenth of the sessions is recorded a second time under another id, and rates (samples a day) differ."""
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     k = F.get_json_object("props", "$.k").cast("double")
     code = F.array_position(F.array(*(F.lit(x) for x in ("click", "error", "purchase", "signup", "view"))), F.col("event_type")).cast("double") - 1
@@ -32,6 +54,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = F.pmod(F.col("user_id") + block, F.lit(10))
     rows = e.select(
         "event_id", "user_id", block.alias("block"), F.unix_micros("ts").alias("TimeStamp"),
+        F.when(F.col("user_id") % 9 == 4, 7.0).when(F.col("user_id") % 9 == 5, 3.7).otherwise(4.0).alias("rate"),
         F.when((F.col("event_type") == "error") & (F.col("event_id") % 25 == 0), None).otherwise(F.col("value")).alias("Joint_0"),
         k.alias("jpos1"), code.alias(" joint_2"), (k / 100).alias("Gripper"), (F.pmod(F.col("event_id") * 7, F.lit(41)) - 20.0).alias("cmd_0"), (k - 50).alias("action_1"), (code - 2).alias("target2"),
         F.concat(F.lit("episode_"), block, F.when(odd == 0, "_fail").when(odd == 1, "_ABORT").otherwise("_ok")).alias("stem"),
@@ -46,47 +69,56 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.resample(raw(spark, sf_dir), CHANNELS, PROFILE.dt_us, PROFILE.max_gap_us, ["event_id"])
+    return resample.resample(raw(spark, sf_dir), CHANNELS, F.col("rate"), PROFILE.max_gap_us, ["event_id"], DAY_US, ["user_id", "stem"])
+
+
+def _damaged(steps: DataFrame) -> DataFrame:
+    """Faults in some sessions, one kind each, so that every rule of the validity gate has something to find."""
+    kind = F.regexp_replace("session_id", "c", "").cast("int") % 13
+    time = F.when((kind == 7) & (F.col("step") == 5), None).when((kind == 8) & (F.col("step") == 9), F.col("t_us") - 10 * DAY_US).otherwise(F.col("t_us"))
+    faults = {"t_us": time, "grip": F.when(kind == 9, F.col("grip") + 0.5).otherwise(F.col("grip")), "act_q_1": F.when(kind == 10, F.col("act_q_1") * 3).otherwise(F.col("act_q_1"))}
+    pose = {"ee_qx": 0.6, "ee_qy": 0.0, "ee_qz": 0.0, "ee_qw": 1.0}
+    return steps.withColumns(faults | {c: F.when(kind == 11, v) for c, v in pose.items()})
 
 
-def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.coerce(grid(spark, sf_dir), PROFILE)
+def steps(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) -> DataFrame:
+    return _damaged(canonical.coerce(grid(spark, sf_dir) if made is None else made, PROFILE))
 
 
-def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def episodes(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) -> DataFrame:
     """One row per episode: ids, label, raw timing, and what the grid made of it."""
-    keys = list(canonical.KEYS)
-    r = raw(spark, sf_dir)
-    meta = r.groupBy(*keys).agg(F.first("user_id").alias("user_id"), F.first("stem").alias("stem"))
-    timing = resample.raw_timing(r, PROFILE.max_gap_us, ["event_id"])
-    made = grid(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("n_steps"), F.avg(F.col("off_grid").cast("double")).alias("interp_fraction"), (F.max("t_us") / 1e6).alias("duration_s"))
+    e = resample.episodes_of(grid(spark, sf_dir) if made is None else made, "user_id", "stem")
     ids = {"operator_id": F.concat(F.lit("op"), F.col("user_id") % 4), "task_id": F.concat(F.lit("task"), F.col("user_id") % 5), "success": canonical.success_label(F.col("stem"))}
-    return meta.join(timing, keys).join(made, keys).withColumns(ids).drop("user_id", "stem")
+    return e.withColumns(ids).drop("user_id", "stem")
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(steps, episodes, quality); steps and episodes are read several times below, so they are kept."""
-    s, e = steps(spark, sf_dir).persist(), episodes(spark, sf_dir).persist()
-    return s, e, metrics.score(metrics.metrics(s, e, PROFILE), PROFILE)
+def scored(spark: SparkSession, sf_dir: str, population: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(steps, episodes, quality); the grid is made once for all of them."""
+    made = keep(grid(spark, sf_dir))
+    s, e = keep(steps(spark, sf_dir, made)), keep(episodes(spark, sf_dir, made))
+    return s, e, metrics.score(metrics.metrics(s, e, PROFILE, population), PROFILE)
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir)[2]
+    return scored(spark, sf_dir)[2]
 
 
 def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate(steps(spark, sf_dir), PROFILE)
 
 
-def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    s, e, q = _scored(spark, sf_dir)
-    return s, dataset.gate(e, q, validate.validate(s, PROFILE), PROFILE)
+def judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(steps, episodes, quality, validation)."""
+    s, e, q = scored(spark, sf_dir)
+    return s, e, q, validate.validate(s, PROFILE)
 
 
-def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gated(spark, sf_dir)[1]
+def gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(steps, episodes with exclude_reason)."""
+    s, e, q, ok = judged(spark, sf_dir)
+    return s, dataset.gate(e, q, ok, PROFILE)
 
 
 def built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    s, g = _gated(spark, sf_dir)
-    return dataset.build(s, g.persist(), OBS, ACT, PROFILE)
+    s, g = gated(spark, sf_dir)
+    return dataset.build(s, keep(g), OBS, ACT, PROFILE)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.operators import canonical, dataset, evaluate, metrics, resample, rollups
+from strandflow.operators import canonical, dataset, evaluate, metrics, resample, rollups, validate
 from strandflow.plans import driver_views as v
 from strandflow.plans.driver_views import ACT, OBS, PROFILE, table
 
@@ -20,19 +21,41 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _windows(spark, sf):
     built, _ = v.built(spark, sf)
+    built = v.keep(built)
     return built, dataset.action_chunks(built, ACT, PROFILE.horizon, OBS)
 
 
+def _train_mean(built):
+    train = built.filter("split = 'train'").agg(*(F.avg(a).alias(a) for a in ACT))
+    return train.select(F.posexplode(F.array(*ACT)).alias("d", "mean"))
+
+
 def _predicted(spark, sf):
     built, windows = _windows(spark, sf)
-    train = built.filter("split = 'train'").agg(*(F.avg(a).alias(a) for a in ACT))
-    mean = train.select(F.posexplode(F.array(*ACT)).alias("d", "mean"))
-    return evaluate.baselines(evaluate.long_form(windows.filter("split = 'val'")), mean)
+    return evaluate.baselines(evaluate.long_form(windows.filter("split = 'val'")), _train_mean(built))
 
 
 def _policy(spark, sf):
-    """Baselines beside a policy that is the mean of the previous action and the train mean."""
-    return _predicted(spark, sf).withColumn("policy", (F.col("persistence") + F.col("train_mean")) / 2)
+    """Baselines beside a policy that SQL can state: the mean of the previous action and the train mean."""
+    return v.keep(_predicted(spark, sf).withColumn("policy", (F.col("persistence") + F.col("train_mean")) / 2))
+
+
+def _fitted(spark, sf):
+    """(table, val windows, model, history) of the ridge chunk policy fitted on the train split."""
+    built, windows = _windows(spark, sf)
+    train, val = (v.keep(windows.filter(f"split = '{side}'")) for side in ("train", "val"))
+    rows = dataset.norm_stats(built.filter("split = 'train'"), [*OBS, *ACT]).collect()
+    model = evaluate.fit_policy(train, {r["column"]: (r["mean"], r["std"]) for r in rows}, OBS, ACT)
+    return built, val, model, evaluate.fit_history(val, model)
+
+
+def _fitted_predictions(spark, sf):
+    """Baselines beside the fitted policy, in long form."""
+    built, val, model, history = _fitted(spark, sf)
+    evaluate.check_layout(model["obs"], OBS)
+    found = evaluate.predict(val, model, evaluate.choose(model, history))
+    long = evaluate.long_form(found, "predicted")
+    return v.keep(evaluate.baselines(long, _train_mean(built)).withColumnRenamed("predicted", "policy"))
 
 
 def _issue_counts(spark, sf):
@@ -64,7 +87,7 @@ def resample_grid(spark, sf):
 
 
 def resample_interp(spark, sf):
-    return rounded(v.grid(spark, sf).select(*KEYS, "step", "q_0", "q_1", "grip"), 5)
+    return rounded(v.grid(spark, sf).select(*KEYS, "step", *v.CHANNELS), 5)
 
 
 def resample_gaps(spark, sf):
@@ -101,7 +124,10 @@ def coerce_schema(spark, sf):
 
 
 def ee_pose(spark, sf):
-    return rounded(canonical.with_pose(v.steps(spark, sf)).select(*KEYS, "step", "ee_x", "ee_y", "ee_z", "ee_qz", "ee_qw"), 5)
+    """The driver's episodes have three joints; angles in turn stand for the six that a pose reads."""
+    angles = {f"q_{i}": F.col(f"q_{i % 3}") / 100 for i in range(6)}
+    six = v.steps(spark, sf).select(*KEYS, "step", *(c.alias(k) for k, c in angles.items()))
+    return rounded(canonical.with_pose(six).drop(*angles), 5)
 
 
 def m_step_metrics(spark, sf):
@@ -125,8 +151,12 @@ def tiering(spark, sf):
 
 
 def session_scoring(spark, sf):
-    m = metrics.metrics(v.steps(spark, sf), v.episodes(spark, sf), PROFILE, ["session_id"])
-    return rounded(metrics.score(m, PROFILE).select(*KEYS, "duration_zabs", "score"), 4)
+    return rounded(v.scored(spark, sf, ["session_id"])[2].select(*KEYS, "duration_zabs", "score"), 4)
+
+
+def penalty(spark, sf):
+    """The mean penalty of each metric."""
+    return rounded(v.quality(spark, sf).select(F.inline("metrics")).groupBy("name").agg(F.avg("penalty").alias("mean_penalty"), F.count_if("flagged").alias("flagged")), 5)
 
 
 def validate_issues(spark, sf):
@@ -138,15 +168,19 @@ def validate_ok(spark, sf):
 
 
 def v_time_not_increasing(spark, sf):
-    """Supplier-years of line items as episodes: dates tie, so time does not increase."""
-    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("session_id"), F.year("l_shipdate").cast("string").alias("episode_id"), F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("t_us"))
-    w = canonical.episode_window("t_us")
-    return li.withColumn("dt", F.col("t_us") - F.lag("t_us").over(w)).groupBy(*KEYS).agg(F.count("*").alias("n"), F.count_if(F.col("dt") <= 0).alias("not_increasing"))
+    """Supplier-years of line items as episodes, in the order of their dates: dates tie, so time does not increase."""
+    li = table(spark, sf, "lineitem")
+    li = li.select(F.col("l_suppkey").cast("string").alias("session_id"), F.year("l_shipdate").cast("string").alias("episode_id"), F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("t_us"), F.col("l_quantity").alias("q_0"), F.col("l_tax").alias("q_1"), F.col("l_discount").alias("q_2"))
+    li = li.withColumn("step", F.row_number().over(canonical.episode_window("t_us", "q_0", "q_1", "q_2")))
+    others = [c for c in PROFILE.channels() if c not in li.columns]
+    return validate.measure(li.withColumns({c: F.lit(None).cast("double") for c in others}), PROFILE).select(*KEYS, "n", "not_increasing")
 
 
 def quarantine_split(spark, sf):
-    ok = v.validation(spark, sf)
-    return v.steps(spark, sf).join(ok.select(*KEYS, "ok"), KEYS).groupBy("ok").agg(F.count("*").alias("n_steps"), F.countDistinct("episode_id").alias("n_episodes"))
+    s = v.keep(v.steps(spark, sf))
+    kept, failed = validate.quarantine(s, validate.validate(s, PROFILE))
+    counts = lambda df, ok: df.agg(F.lit(ok).alias("ok"), F.count("*").alias("n_steps"), F.countDistinct("episode_id").alias("n_episodes"))
+    return counts(kept, True).unionAll(counts(failed, False))
 
 
 def corpus_summary(spark, sf):
@@ -181,24 +215,57 @@ def validation_rollup(spark, sf):
     return rollups.validation_rollup(v.validation(spark, sf))
 
 
+def issue_counts(spark, sf):
+    return rollups.issue_counts(v.validation(spark, sf))
+
+
 def validation_summary(spark, sf):
     return rollups.validation_summary(v.validation(spark, sf))
 
 
 def drop_rate(spark, sf):
-    return rounded(rollups.drop_rate(v.validation(spark, sf), v.quality(spark, sf)))
+    _, _, quality, validation = v.judged(spark, sf)
+    return rounded(rollups.drop_rate(validation, quality))
 
 
 def ingest_summary(spark, sf):
     return rounded(rollups.ingest_summary(v.episodes(spark, sf)))
 
 
+def ingest_result(spark, sf):
+    """The sessions of a run, those skipped for their metadata, and those pruned since their source is gone."""
+    e = v.keep(v.episodes(spark, sf))
+    skipped = e.select("session_id").distinct().filter("session_id like '%c'").select(F.when(F.length("session_id") < 3, "n_joints").otherwise("unreadable").alias("reason"))
+    pruned = rollups.prune_orphans(e.select("session_id").distinct(), e.filter("length(session_id) < 3"), e.limit(0)).filter("not keep")
+    found = rollups.ingest_result(e, skipped, pruned)
+    return found.withColumn("reasons", F.array_join(F.transform("reasons", lambda x: F.concat_ws(":", x["reason"], x["n"].cast("string"))), ","))
+
+
+def episode_meta(spark, sf):
+    """Session metadata beside its episodes."""
+    e = v.episodes(spark, sf)
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("session_id"), F.col("c_mktsegment").alias("robot_id"))
+    return rounded(e.join(c, "session_id").select(*KEYS, "robot_id", "duration_s"))
+
+
+def episodes_with_quality(spark, sf):
+    _, e, q = v.scored(spark, sf)
+    e = e.join(q.select(*KEYS, "score", "tier", F.array_join("flags", ",").alias("flags")), KEYS, "left")
+    return rounded(e.select(*KEYS, "n_steps", "score", "tier", "flags"), 4)
+
+
+def project_obs(spark, sf):
+    """Columns of symbolic keys, in the order of the keys."""
+    columns = dataset.select_columns(["grip", "q", "act_q"], PROFILE)
+    return rounded(v.steps(spark, sf).select(*KEYS, "step", *columns), 5)
+
+
 def gate_reasons(spark, sf):
-    return v.gated(spark, sf).select(*KEYS, F.coalesce("exclude_reason", F.lit("")).alias("exclude_reason"))
+    return v.gated(spark, sf)[1].select(*KEYS, F.coalesce("exclude_reason", F.lit("")).alias("exclude_reason"))
 
 
 def gate_join(spark, sf):
-    return v.gated(spark, sf).groupBy("tier", "ok").agg(F.count("*").alias("n"))
+    return v.gated(spark, sf)[1].groupBy("tier", "ok").agg(F.count("*").alias("n"))
 
 
 def prune_orphans(spark, sf):
@@ -232,7 +299,7 @@ def dense_steps(spark, sf):
 
 
 def norm_stats(spark, sf):
-    wide = table(spark, sf, "embeddings").select(*(F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)))
+    wide = table(spark, sf, "embeddings").select(*(F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)))
     return rounded(dataset.norm_stats(wide, wide.columns))
 
 
@@ -259,6 +326,11 @@ def dataset_hash(spark, sf):
     return dataset.dataset_hash(v.built(spark, sf)[1], ",".join(OBS + ACT))
 
 
+def manifest(spark, sf):
+    built, members = v.built(spark, sf)
+    return dataset.manifest(v.keep(built), v.keep(members), OBS, ACT, PROFILE)
+
+
 def action_chunks(spark, sf):
     w = _windows(spark, sf)[1]
     return w.groupBy(*KEYS).agg(F.count("*").alias("n_windows"), F.round(F.sum(F.expr("aggregate(transform(actions, a -> a[0] + a[1] + a[2]), 0D, (s, x) -> s + x)")), 4).alias("total"))
@@ -287,15 +359,38 @@ def policy_errors(spark, sf):
     return rounded(evaluate.policy_errors(_policy(spark, sf), "policy", 2), 5)
 
 
+def joint_errors(spark, sf):
+    return rounded(evaluate.joint_errors(_policy(spark, sf), "policy"), 5)
+
+
 def skill(spark, sf):
     p = (*evaluate.PREDICTORS, "policy")
     return rounded(evaluate.skill(evaluate.baseline_errors(_policy(spark, sf), p), "policy"), 5)
 
 
 def offset_curve(spark, sf):
-    m = evaluate.mae_by_offset(_policy(spark, sf), (*evaluate.PREDICTORS, "policy"))
-    best = F.least("zero", "train_mean", "persistence")
-    return rounded(m.select("k", "policy", best.alias("best"), F.when(F.col("policy") < best, "policy").otherwise("baseline").alias("winner")), 5)
+    return rounded(evaluate.offset_curve(_policy(spark, sf), "policy"), 5)
+
+
+def fitted_errors(spark, sf):
+    """Errors and skill of the fitted policy."""
+    p = _fitted_predictions(spark, sf)
+    gain = evaluate.skill(evaluate.baseline_errors(p, (*evaluate.PREDICTORS, "policy")), "policy")
+    return evaluate.policy_errors(p, "policy", 2).join(gain)  # one row each
+
+
+def fitted_joint_errors(spark, sf):
+    return evaluate.joint_errors(_fitted_predictions(spark, sf), "policy")
+
+
+def fitted_curve(spark, sf):
+    return evaluate.offset_curve(_fitted_predictions(spark, sf), "policy")
+
+
+def fitted_interval(spark, sf):
+    """Interval of the fitted policy's next-step error, resampling episodes."""
+    p = _fitted_predictions(spark, sf).filter("k = 0").withColumn("error", F.abs(F.col("policy") - F.col("truth")))
+    return evaluate.cluster_bootstrap(p, KEYS, "error", PROFILE.bootstrap_samples, PROFILE.seed)
 
 
 def cluster_bootstrap(spark, sf):
@@ -312,26 +407,28 @@ def persistence_drift(spark, sf):
     return rounded(parts[0].unionAll(parts[1]).unionAll(parts[2]), 4)
 
 
+def rollout_drift(spark, sf):
+    """Mean open-loop drift of the fitted policy after each horizon."""
+    built, _, model, history = _fitted(spark, sf)
+    weights, val = evaluate.choose(model, history), built.filter("split = 'val'")
+    parts = [evaluate.rollout_drift(val, model, weights, n, PROFILE.horizon).agg(F.lit(n).alias("horizon"), F.avg("drift").alias("drift"), F.count("*").alias("n_rollouts")) for n in PROFILE.rollout_horizons]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def smooth_l1(spark, sf):
     e = evaluate.smooth_l1(F.col("l_discount") - F.col("l_tax") * 2)
     return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(F.avg(e), 6).alias("loss"))
 
 
 def gram(spark, sf):
-    wide = table(spark, sf, "embeddings").select(*(F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(4)))
-    return rounded(evaluate.gram(wide, ["e0", "e1", "e2"], ["e3"]), 5)
+    """Sums of products of all 64 components, the last one as the outcome."""
+    wide = table(spark, sf, "embeddings").select(*(F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)))
+    return rounded(evaluate.gram(wide, [f"e{i}" for i in range(63)], ["e63"]), 4)
 
 
 def fit_policy(spark, sf):
-    """Validation loss of each ridge candidate of the chunk policy."""
-    windows = _windows(spark, sf)[1].persist()  # read once for the fit and once for each candidate
-    fitted = evaluate.fit_policy(windows.filter("split = 'train'"))
-    out = None
-    for ridge, weights in fitted.items():
-        p = evaluate.predict(windows.filter("split = 'val'"), weights).select(F.explode(F.arrays_zip(F.flatten("actions").alias("a"), F.flatten("predicted").alias("p"))).alias("x"))
-        row = p.agg(F.lit(ridge).alias("ridge"), F.avg(F.abs(F.col("x.a") - F.col("x.p"))).alias("chunk_mae"), F.avg(evaluate.smooth_l1(F.col("x.a") - F.col("x.p"))).alias("loss"))
-        out = row if out is None else out.unionAll(row)
-    return out
+    """Validation loss of each ridge candidate of the chunk policy, and which one is chosen."""
+    return _fitted(spark, sf)[3]
 
 
 def retry_ledger(spark, sf):
@@ -342,6 +439,18 @@ def retry_ledger(spark, sf):
     return ledger(s("o_orderstatus = 'O'"), s("o_orderstatus = 'P'"), s("o_orderpriority = '1-URGENT'"))
 
 
+def _fresh(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, after letting go of what earlier ones kept."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v.release()
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     helpers = {"rounded", "table", "queries"}
-    return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers}
+    own = {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers}
+    return {k: _fresh(f) for k, f in own.items()}

@@ -4,11 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-METRICS = (
-    "dropped_frame_rate", "timing_jitter", "nan_fraction", "idle_fraction", "action_saturation",
-    "jerk_spike_rate", "gripper_chatter_hz", "tracking_error", "duration_zabs",
-)
-
 
 @dataclass(frozen=True)
 class Anchor:
@@ -20,14 +15,24 @@ class Anchor:
     flag_at: float
 
 
-def default_anchors() -> dict[str, Anchor]:
-    values = ((2, 0, 0.1, 0.05), (1, 0.05, 0.4, 0.3), (2, 0, 0.05, 0.01), (1.5, 0.1, 0.6, 0.5), (1.5, 0.02, 0.3, 0.2), (1, 0, 0.05, 0.03), (1, 0.05, 1, 0.6), (2, 0.002, 0.03, 0.02), (0.5, 0.5, 3, 2.5))
-    return {m: Anchor(*v) for m, v in zip(METRICS, values, strict=True)}
+# Weight, value of no penalty, value of full penalty, value of the flag.
+ANCHORS = {
+    "dropped_frame_rate": Anchor(2, 0, 0.1, 0.05),
+    "timing_jitter": Anchor(1, 0.05, 0.4, 0.3),
+    "nan_fraction": Anchor(2, 0, 0.05, 0.01),
+    "idle_fraction": Anchor(1.5, 0.1, 0.6, 0.5),
+    "action_saturation": Anchor(1.5, 0.02, 0.3, 0.2),
+    "jerk_spike_rate": Anchor(1, 0, 0.05, 0.03),
+    "gripper_chatter_hz": Anchor(1, 0.05, 1, 0.6),
+    "tracking_error": Anchor(2, 0.002, 0.03, 0.02),
+    "duration_zabs": Anchor(0.5, 0.5, 3, 2.5),
+}
+METRICS = tuple(ANCHORS)
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Defaults are those of a 7-joint arm recorded at 20 Hz."""
+    """Defaults are those of a 7-joint arm recorded at 20 Hz (fixed values)."""
 
     n_joints: int = 7
     dt_us: int = 50_000
@@ -42,7 +47,7 @@ class Profile:
     max_mean_dt_error: float = 0.35
     idle_speed_eps: float = 0.02
     jerk_spike_k: float = 12.0
-    anchors: dict[str, Anchor] = field(default_factory=default_anchors)
+    anchors: dict[str, Anchor] = field(default_factory=lambda: dict(ANCHORS))
     gold: float = 85.0
     silver: float = 65.0
     hard_max_nan: float = 0.10

@@ -1,4 +1,8 @@
-"""New sessions as a stream: discover, process each once, retry what failed; and gaps on a live stream."""
+"""New sessions as a stream: discover, process each once, retry what failed; and gaps on a live stream.
+
+What waits for another try is a small table of folders, written anew as a version of its own after
+every batch, so a batch that is replayed overwrites its own version and nothing doubles.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.sources.sessions import SESSION, check_sessions
+from strandflow.sources.sessions import SESSION, check_sessions, directory_of, read_sessions
+
+WAITING = "directory string, session_id string, reason string"
+Process = Callable[[DataFrame, int], DataFrame]
 
 
 def discover(spark: SparkSession, root: str, n_joints: int) -> DataFrame:
@@ -15,7 +22,7 @@ def discover(spark: SparkSession, root: str, n_joints: int) -> DataFrame:
     A folder counts once its session.json is there, so recorders write that file last.
     """
     raw = spark.readStream.schema(SESSION).option("multiLine", True).option("columnNameOfCorruptRecord", "_broken").option("pathGlobFilter", "session.json").option("recursiveFileLookup", True).json(root)
-    return check_sessions(raw.withColumn("directory", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)), n_joints)
+    return check_sessions(raw.withColumn("directory", directory_of()), n_joints)
 
 
 def retry_ledger(arrived: DataFrame, ledger: DataFrame, done: DataFrame) -> DataFrame:
@@ -23,19 +30,60 @@ def retry_ledger(arrived: DataFrame, ledger: DataFrame, done: DataFrame) -> Data
     return arrived.select("session_id").union(ledger.select("session_id")).distinct().join(done.select("session_id"), "session_id", "left_anti")
 
 
-def run(sessions: DataFrame, process: Callable[[DataFrame, int], DataFrame], checkpoint: str, ledger: str) -> None:
-    """Process everything that is new. `process` gets the sessions of a batch and returns (session_id) of those it finished;
-    the others wait in the ledger table and join the next batch."""
-    spark = sessions.sparkSession
+def waiting(spark: SparkSession, ledger: str, before: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
+    """(directory, session_id, reason) of the newest version (of the batches `before` one), and its (batch, try); (-1, 0) if there is none."""
+    none = spark.createDataFrame([], WAITING)
+    if not _exists(spark, ledger):
+        return none, (-1, 0)
+    rows = spark.read.schema(WAITING + ", batch long, try long").parquet(ledger)
+    if before is not None:
+        rows = rows.filter(F.col("batch") < before)
+    last = rows.agg(F.max(F.struct("batch", "try")).alias("v")).first()["v"]
+    if last is None:
+        return none, (-1, 0)
+    now = rows.filter((F.col("batch") == last["batch"]) & (F.col("try") == last["try"]))
+    return now.filter("directory is not null").select("directory", "session_id", "reason"), (last["batch"], last["try"])
+
+
+def _attempt(sessions: DataFrame, process: Process, batch_id: int) -> DataFrame:
+    """Process the usable sessions; the ones that still wait, bad metadata among them."""
+    sessions = sessions.select("directory", "session_id", "reason", "control_hz", "operator_id", "task_id").persist()
+    try:
+        work = sessions.filter("reason is null")
+        done = process(work, batch_id).select("session_id")
+        failed = work.join(done, "session_id", "left_anti").withColumn("reason", F.lit("failed"))
+        left = failed.unionByName(sessions.filter("reason is not null")).select("directory", "session_id", "reason")
+        rows = [tuple(r) for r in left.toLocalIterator()]  # names of the folders that failed in one batch
+        return sessions.sparkSession.createDataFrame(rows, WAITING)
+    finally:
+        sessions.unpersist()
+
+
+def _record(left: DataFrame, ledger: str, batch_id: int, attempt: int) -> None:
+    """A version of the ledger; a row without a directory marks it, even where nothing waits."""
+    mark = left.sparkSession.createDataFrame([(None, None, None)], WAITING)
+    left.unionAll(mark).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}/try={attempt}")
+
+
+def run(spark: SparkSession, root: str, n_joints: int, process: Process, checkpoint: str, ledger: str) -> None:
+    """Try again what waits, whether or not something new came; then process everything that is new.
+
+    `process` gets the usable sessions of a batch and returns (session_id) of those it finished. The
+    others, and sessions whose metadata is bad, wait in the ledger by their folder; each run
+    reads their session.json again, so a repaired one is processed.
+    """
+    old, (batch_id, attempt) = waiting(spark, ledger)
+    folders = [r["directory"] for r in old.select("directory").distinct().toLocalIterator()]
+    if folders:
+        again = read_sessions(spark, root, n_joints).filter(F.col("directory").isin(folders))
+        _record(_attempt(again, process, batch_id), ledger, batch_id, attempt + 1)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        previous = spark.read.schema("session_id string, batch long").parquet(ledger) if batch_id and _exists(spark, ledger) else spark.createDataFrame([], "session_id string, batch long")
-        last = previous.filter(F.col("batch") == batch_id - 1)
-        work = df.filter("reason is null").select("session_id").union(last.select("session_id")).distinct()
-        waiting = retry_ledger(work, spark.createDataFrame([], "session_id string"), process(work, batch_id))
-        waiting.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(ledger)
+        before, _ = waiting(spark, ledger, batch_id)
+        left = _attempt(df, process, batch_id)
+        _record(before.join(left, "directory", "left_anti").select(left.columns).unionAll(left), ledger, batch_id, 0)
 
-    sessions.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    discover(spark, root, n_joints).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
