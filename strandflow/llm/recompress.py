@@ -81,30 +81,37 @@ def anchors(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarr
     return name, place, number
 
 
-def _hashes(text: str) -> np.ndarray:
-    h = word_hashes(text.encode("utf-8", "surrogatepass").split())
-    return np.where(h == _SEAM, np.uint64(1), h)
-
-
-def parts(text: str, width: int) -> win.Runs | None:
-    """Runs of windows with the same anchor and half window: key, first window, number of windows; the last column is not used."""
-    words = np.concatenate([[_SEAM], _hashes(text), [_SEAM]])  # what the ends decide is decided outside the windows
-    n = len(words) - 1 - width
-    if n <= 0:
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word hashes of all texts, a seam before and behind each; where each text begins, and its number of words."""
+    hashes = [word_hashes(t.encode("utf-8", "surrogatepass").split()) for t in texts]
+    size = np.array([len(h) for h in hashes], np.int64)
+    seam = np.array([_SEAM])
+    words = np.concatenate([seam, *(x for h in hashes for x in (np.where(h == _SEAM, np.uint64(1), h), seam))])
+    return words, np.cumsum(size + 1) - size, size
+
+
+def parts(texts: list[str], width: int) -> win.Runs | None:
+    """Runs of windows with the same anchor and half window; the place is not used."""
+    words, begin, size = _words(texts)
+    own = np.maximum(size - width + 1, 0)
+    at = win.spread(begin, own)
+    if not len(at):
         return None
-    name, place, number = anchors(words, np.arange(1, n + 1), width)
+    doc = np.repeat(np.arange(len(texts)), own)
+    name, place, number = anchors(words, at, width)
     back = (width - 1) // 2
     half = min(back + 1, width - back)
-    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-    end, p = np.append(first[1:], n) + 1, place[first]
-    first += 1
-    turn = np.clip(p - back + 1, first, end)  # windows before it hold the half that ends at the anchor
-    start, stop = np.concatenate([first, turn]), np.concatenate([turn, end])
+    first = np.flatnonzero(np.concatenate([[True], (number[1:] != number[:-1]) | (doc[1:] != doc[:-1])]))
+    count = np.diff(np.append(first, len(at)))
+    start, p = at[first], place[first]
+    turn = np.clip(p - back + 1, start, start + count)  # windows before it hold the half that ends at the anchor
+    start, stop = np.concatenate([start, turn]), np.concatenate([turn, start + count])
     some = np.flatnonzero(stop > start)
     some = some[np.argsort(start[some], kind="stable")]
-    at = np.concatenate([p - back, p])[some]
-    key = mix(win.run_prints(win.prefix_prints(words), at, half) ^ mix(np.tile(name[first - 1], 2)[some] + (some < len(p)).astype(np.uint64)))
-    return key, start[some] - 1, (stop - start)[some], np.zeros(len(some), np.int64)
+    half_at = np.concatenate([p - back, p])[some]
+    key = mix(win.run_prints(win.prefix_prints(words), half_at, half) ^ mix(np.tile(name[first], 2)[some] + (some < len(p)).astype(np.uint64)))
+    doc = np.tile(doc[first], 2)[some]
+    return doc, key, start[some] - begin[doc], (stop - start)[some], np.zeros(len(some), np.int64)
 
 
 def _prints(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,46 +140,49 @@ def _runs(docs: np.ndarray, rows: np.ndarray, starts: np.ndarray, also: np.ndarr
 
 def _send(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple] = []
         size, left = 0, batch.num_rows
-        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in (win.DOC, win.ROW, "text", "__start", "__count", "__key")), strict=True):
+        for row in zip(*(batch.column(k).to_pylist() for k in (win.DOC, win.ROW, "text", "__start", "__count", "__key")), strict=True):
             left -= 1
-            start, count, key = (np.array(x, np.int64) for x in spans)
-            order = np.argsort(start)
-            start, count, key = start[order], count[order], key[order].view(np.uint64)
-            if len(start) > 1 and (start[1:] == start[:-1]).any():  # rows of one name: each tells its runs
-                keep = np.concatenate([[True], start[1:] != start[:-1]])
-                start, count, key = start[keep], count[keep], key[keep]
-            at = win.spread(start, count)
-            a, b = _prints(_hashes(text), at, width)
-            key = np.repeat(key, count)
-            goal = np.where(win.is_hot(key, hot), a, mix(key))
-            got.append((a, b, np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64), at, (goal % np.uint64(n)).astype(np.int64)))
-            size += len(text)
+            held.append(row)
+            size += len(row[2])
             if size > BLOCK_CHARS or not left:
-                prints, others, docs, rows, starts, bucket = (np.concatenate(x) for x in zip(*got, strict=True))
-                got, size = [], 0
-                late, leads = _later(prints, others, docs, rows, starts)
-                at = np.flatnonzero(late)
-                f, c = _runs(docs[at], rows[at], starts[at], at[:0] if not len(at) else np.zeros(len(at), np.int64))
-                known = np.stack([docs[at][f], rows[at][f], starts[at][f], c], axis=1)
-                at = np.flatnonzero(leads)
-                at = at[np.lexsort((starts[at], rows[at], docs[at], bucket[at]))]
-                f, c = _runs(docs[at], rows[at], starts[at], bucket[at])
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[at][1:] != bucket[at][:-1]])) if len(at) else at
-                ends = np.append(cuts[1:], len(at))
-                run_cuts, run_ends = np.searchsorted(f, cuts), np.searchsorted(f, ends)
-                out: dict[str, list] = {"bucket": bucket[at][cuts].tolist()}
-                for k, v, kind in (("docs", docs, "<i8"), ("rows", rows, "<i8"), ("starts", starts, "<i4")):
-                    v = v[at][f].astype(kind)
-                    out[k] = [v[x:y].tobytes() for x, y in zip(run_cuts, run_ends, strict=True)]
-                c = c.astype("<i4")
-                out["counts"] = [c[x:y].tobytes() for x, y in zip(run_cuts, run_ends, strict=True)]
-                for k, v in (("prints", prints[at]), ("others", others[at])):
-                    out[k] = [v[x:y].tobytes() for x, y in zip(cuts, ends, strict=True)]
-                out["known"] = [known.astype("<i8").tobytes(), *[b""] * (len(cuts) - 1)]
-                kinds = [pa.int64(), *[pa.binary()] * len(_KINDS)]
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
+                yield _block(held, width, n, hot)
+                held, size = [], 0
+
+
+def _block(held: list[tuple], width: int, n: int, hot: np.ndarray) -> pa.RecordBatch:
+    """The shared windows of a block, packed by bucket; those that are late in the block itself travel with the first."""
+    docs, rows = (np.array([r[k] for r in held], np.int64) for k in (0, 1))
+    words, begin, _ = _words([r[2] for r in held])
+    own = np.repeat(np.arange(len(held)), [len(r[3]) for r in held])
+    start, count, key = (np.concatenate([r[k] for r in held]).astype(np.int64) for k in (3, 4, 5))
+    order = np.lexsort((start, own))
+    own, start, count, key = own[order], start[order], count[order], key[order].view(np.uint64)
+    once = np.concatenate([[True], (own[1:] != own[:-1]) | (start[1:] != start[:-1])])  # rows of one name each told their runs
+    own, start, count, key = own[once], start[once], count[once], key[once]
+    starts = win.spread(start, count)
+    owner, bucket = np.repeat(own, count), np.repeat(mix(key), count)
+    prints, others = _prints(words, begin[owner] + starts, width)
+    goal = np.repeat(win.is_hot(key, hot), count)
+    bucket = (np.where(goal, prints, bucket) % np.uint64(n)).astype(np.int64)
+    docs, rows = docs[owner], rows[owner]
+    late, leads = _later(prints, others, docs, rows, starts)
+    at = np.flatnonzero(late)
+    f, c = _runs(docs[at], rows[at], starts[at], np.zeros(len(at), np.int64))
+    known = np.stack([docs[at][f], rows[at][f], starts[at][f], c], axis=1)
+    at = np.flatnonzero(leads)
+    at = at[np.lexsort((starts[at], rows[at], docs[at], bucket[at]))]
+    f, c = _runs(docs[at], rows[at], starts[at], bucket[at])
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[at][1:] != bucket[at][:-1]]))
+    ends = np.append(cuts[1:], len(at))
+    run_cuts, run_ends = np.searchsorted(f, cuts), np.searchsorted(f, ends)
+    runs = {"docs": docs[at][f], "rows": rows[at][f], "starts": starts[at][f].astype("<i4"), "counts": c.astype("<i4")}
+    out = [pa.array(bucket[at][cuts], pa.int64())]
+    out += [pa.array([v[x:y].tobytes() for x, y in zip(run_cuts, run_ends, strict=True)], pa.binary()) for v in runs.values()]
+    out += [pa.array([v[x:y].tobytes() for x, y in zip(cuts, ends, strict=True)], pa.binary()) for v in (prints[at], others[at])]
+    out.append(pa.array([known.astype("<i8").tobytes(), *[b""] * (len(cuts) - 1)], pa.binary()))
+    return pa.RecordBatch.from_arrays(out, ["bucket", *_KINDS])
 
 
 def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -190,7 +200,7 @@ def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def repeats(texts: DataFrame, width: int = 20) -> DataFrame:
     """(doc, row, start, count): runs of windows of `width` words that also start earlier in the corpus; `texts` has named rows."""
-    shared, hot, size = win.shared_runs(texts, lambda t: parts(t, width), 1.0, BLOCK_CHARS)
+    shared, hot, size = win.shared_runs(texts, lambda block: parts(block, width), 1.0, BLOCK_CHARS)
     n = win.buckets_for(texts, size * 1.5)
     sent = win.with_spans(texts, shared, "key").filter("__start is not null")
     prints = sent.mapInArrow(lambda batches: _send(batches, width, n, hot), win.schema_of(_KINDS))

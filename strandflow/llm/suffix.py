@@ -146,7 +146,7 @@ def repeated_windows(contexts: list[bytes], places: list[int], cores: list[int],
     return out
 
 
-def parts(text: str, width: int) -> win.Runs | None:
+def parts(text: str, width: int) -> tuple[np.ndarray, ...] | None:
     """Runs of windows of a text with the same core: key, first window, number of windows, and the core's place in the run."""
     raw = text.encode("utf-8", "surrogatepass")
     if len(raw) < width:
@@ -174,6 +174,14 @@ def parts(text: str, width: int) -> win.Runs | None:
     return key, start, stop - start, place - start
 
 
+def block_parts(texts: list[str], width: int) -> win.Runs | None:
+    """The runs of all texts of a block."""
+    got = [(i, x) for i, t in enumerate(texts) if (x := parts(t, width)) is not None]
+    if not got:
+        return None
+    return np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got]), *(np.concatenate([x[k] for _, x in got]) for k in range(4))
+
+
 def _core(width: int) -> tuple[int, int]:
     """Length of the core, and how far before the anchor the first kind begins."""
     back = (width - GRAM) // 2
@@ -290,7 +298,7 @@ def _settle_prints(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
     """(doc, row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has named rows."""
-    shared, hot, size = win.shared_runs(texts, lambda t: parts(t, width), 0.25, BLOCK_CHARS)
+    shared, hot, size = win.shared_runs(texts, lambda t: block_parts(t, width), 0.25, BLOCK_CHARS)
     n = win.buckets_for(texts, size * 0.4)
     sent = win.with_spans(texts, shared, "key", "place").filter("__start is not null")
     contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, n, hot), win.schema_of(_TEXT))

@@ -185,16 +185,15 @@ def with_spans(docs: DataFrame, spans: DataFrame, *more: str) -> DataFrame:
 
 
 _KEYS = {"keys": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "places": "<i4", "many": "<i4", "known": "<i8"}
-Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Of the runs of a block's windows: number of the text, key, first window, number of windows, place of the core.
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _send_keys(batches: Iterator[pa.RecordBatch], parts: Callable[[str], Runs | None], block: int, n: int) -> Iterator[pa.RecordBatch]:
+def _send_keys(batches: Iterator[pa.RecordBatch], parts: Callable[[list[str]], Runs | None], block: int, n: int) -> Iterator[pa.RecordBatch]:
     for docs, rows, texts in blocks(batches, block):
-        got = [(i, x) for i, t in enumerate(texts) if (x := parts(t)) is not None]
-        if not got:
+        if (got := parts(texts)) is None:
             continue
-        keys, starts, counts, places = (np.concatenate([x[k] for _, x in got]) for k in range(4))
-        at = np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got])
+        at, keys, starts, counts, places = got
         order = np.argsort(keys, kind="stable")
         keys, starts, counts, places, at = keys[order], starts[order], counts[order], places[order], at[order]
         head = np.concatenate([[True], keys[1:] != keys[:-1]])
@@ -222,11 +221,10 @@ def _seen(c: dict[str, np.ndarray], hot: int) -> dict[str, np.ndarray]:
     return {k: np.concatenate([v[pick].astype(np.int64), known[:, i], told[k]]) for i, (k, v) in enumerate(out.items())}
 
 
-def shared_runs(texts: DataFrame, parts: Callable[[str], Runs | None], per_byte: float, block: int) -> tuple[DataFrame, np.ndarray, int]:
+def shared_runs(texts: DataFrame, parts: Callable[[list[str]], Runs | None], per_byte: float, block: int) -> tuple[DataFrame, np.ndarray, int]:
     """Runs of windows (SPAN) whose key occurs at several places, the sorted hot keys, and the bytes of all texts.
 
-    `parts` gives a text's keys, first windows, numbers of windows and places of the core;
-    `per_byte` is about what it makes of a byte. Each block of texts tells a key once, with its number of places.
+    `parts` gives the runs of a block of texts (None: there are none); `per_byte` is about what it makes of a byte. Each block of texts tells a key once, with its number of places.
     """
     size = bytes_of(texts)
     n = buckets_for(texts, size * per_byte)
