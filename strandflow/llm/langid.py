@@ -18,10 +18,9 @@ from strandflow.llm.common import map_rows, texts_of
 
 BITS = 12
 WIDTH = 1 << BITS
-#: Learned rows and landmarks per language, languages learned at most (the most frequent), and the ridge.
+#: Learned rows per language, landmarks per language and about in all (never below LEAST of a language), and the ridge.
 PER_LANGUAGE = 400
-LANDMARKS = 40
-LANGUAGES = 64
+LANDMARKS, ALL_LANDMARKS, LEAST = 40, 2560, 4
 RIDGE = 0.01
 _LETTER = regex.compile(r"\p{L}")
 
@@ -45,14 +44,13 @@ def normalized(x: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> dict | None:
-    """The model from at most `per_language` texts of each language among the rows where `learn` holds; None if there are none."""
-    rows_in = texts_of(docs, "lang").filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
-    names = sorted(r["lang"] for r in rows_in.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
-    if not names:
-        return None
-    classes = F.array_position(F.array([F.lit(n) for n in names]), F.col("lang")).cast("int") - 1
-    picked = linear.sample(rows_in.select("doc_id", "lang"), classes, per_language, len(names)).select("doc_id", "class", "draw")
-    picked = texts_of(docs).join(F.broadcast(picked), "doc_id")
+    """The model from at most `per_language` texts of each language among the rows where `learn` holds; None if there are none.
+
+    Every language is learned; the model grows with their number. Null or empty texts and null
+    languages teach nothing.
+    """
+    rows_in = texts_of(docs, "lang").filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
+    picked = linear.sample(rows_in, "lang", per_language).select("doc_id", "text", "lang", "draw")
 
     def rows(c):
         out = []
@@ -60,12 +58,17 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> dic
             x = np.zeros(WIDTH, np.uint8)
             presence(text, x)
             out.append(np.packbits(x).tobytes())
-        return {"class": c["class"], "draw": c["draw"], "doc_id": c["doc_id"], "bits": out}
+        return {"lang": c["lang"], "draw": c["draw"], "doc_id": c["doc_id"], "bits": out}
 
-    got = sorted(map_rows(picked, rows, "class int, draw long, doc_id long, bits binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"]))
+    got = sorted(map_rows(picked, rows, "lang string, draw long, doc_id long, bits binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"] is None, r["doc_id"] or 0, r["bits"]))
+    if not got:
+        return None
+    names = sorted({r["lang"] for r in got})
+    number = {n: k for k, n in enumerate(names)}
     x = normalized(np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), -1), axis=1).astype(np.float32))
-    y = np.array([r["class"] for r in got])
-    marks = np.concatenate([np.flatnonzero(y == k)[:LANDMARKS] for k in range(len(names))])
+    y = np.array([number[r["lang"]] for r in got])
+    each = max(LEAST, min(LANDMARKS, ALL_LANDMARKS // len(names)))
+    marks = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(names))])
     landmarks = x[marks]
     k_nm = (x @ landmarks.T).astype(np.float64)
     targets = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
@@ -75,7 +78,10 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> dic
 
 
 def predict(docs: DataFrame, model: dict | None, block: int = 256) -> DataFrame:
-    """(doc_id, lang_pred, score) per row. A null text, or one without a letter, is `und` with score 0, as is every text without a model."""
+    """(doc_id, lang_pred, score) per row. A null text, or one without a letter, is `und` with score 0, as is every text without a model.
+
+    Repeated rows are each predicted; an empty table gives no rows; extra columns are not read.
+    """
     if model is not None:
         model = {"names": model["names"], "landmarks": model["weights"][0].astype(np.float32), "ridge": model["weights"][1].astype(np.float32)}
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
-def sample(labelled: DataFrame, classes: Column, per_class: int, n_classes: int) -> DataFrame:
-    """At most `per_class` rows of each of the first `n_classes` classes, those with the smallest hash of doc_id.
+def sample(labelled: DataFrame, name: str, per_class: int) -> DataFrame:
+    """At most `per_class` rows of each value of the column `name`, those with the smallest hash of doc_id, as `draw`.
 
-    Each class is a top-k over hashes, so no sort of the whole table and no group in one task.
+    One pass counts the classes and one draws: rows whose hash lies below a limit that leaves some
+    more than `per_class` of each class, of which the first are taken. So what a window sorts is
+    bounded by the classes, whatever their share of the table. Nulls are no class.
     """
-    picked = labelled.withColumn("class", classes).withColumn("draw", F.xxhash64("doc_id"))
-    parts = [picked.filter(F.col("class") == k).orderBy("draw", "doc_id").limit(per_class) for k in range(n_classes)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    drawn = labelled.filter(F.col(name).isNotNull()).withColumn("draw", F.xxhash64("doc_id"))
+    limits = drawn.groupBy(F.col(name).alias("_class")).agg(F.count("*").alias("_n"))
+    limits = limits.select("_class", F.least(F.lit(1.0), (1.5 * per_class + 100) / F.col("_n")).alias("_limit"))
+    share = F.pmod("draw", F.lit(1 << 32)) / float(1 << 32)
+    near = drawn.join(F.broadcast(limits), F.col(name) == F.col("_class")).filter(share < F.col("_limit"))  # one row per class
+    rank = F.row_number().over(W.partitionBy(name).orderBy(share, "draw", "doc_id"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= per_class).drop("_class", "_limit", "_rank")
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
