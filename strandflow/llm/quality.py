@@ -1,7 +1,7 @@
 r"""Quality rules: fixed base measures, then a calibrated hashed n-gram classifier.
 
 Each text is one pass in an Arrow task: its words, symbols, repeated lines and repeated word
-windows, and the margin of a logistic regression over hashed word 1- and 2-grams and byte 2-, 3-
+windows, and the margin of a logistic regression over hashed word 1- and 2-grams and character 2-, 3-
 and 4-grams. Within a family the feature value is the n-gram's share, so the margin is a mean of
 weights and long texts weigh as much as short ones. The model is fitted on a bounded sample of
 labelled rows, its probability calibrated on the part of the sample it was not fitted on.
@@ -24,6 +24,8 @@ FAMILIES = 5
 #: Labelled rows per class that the model is fitted on, and the probability of good below which a text is rejected.
 PER_CLASS = 1000
 KEEP_FROM = 0.3
+#: Features of all rows fitted on, at most (8 bytes each on the driver); the sample ends with the row that reaches it.
+MAX_FEATURES = 20_000_000
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 
 
@@ -48,16 +50,15 @@ def base_measures(text: str | None, raw: bytes, words: list[bytes], hashes: np.n
     )
 
 
-def features(raw: bytes, hashes: np.ndarray) -> list[np.ndarray]:
+def features(text: str | None, hashes: np.ndarray) -> list[np.ndarray]:
     """Bucket of each n-gram, family by family."""
-    b = np.frombuffer(raw, np.uint8)
+    c = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
     out = [(hashes & np.uint64(SIZE - 1)).astype(np.int64), (shingles(hashes, 2) & np.uint64(SIZE - 1)).astype(np.int64)]
-    wide = b.astype(np.uint32)
-    two = (wide[:-1] << np.uint32(8)) | wide[1:] if len(b) > 1 else wide[:0]
-    three = (two[:-1] << np.uint32(8)) | wide[2:] if len(b) > 2 else wide[:0]
-    four = (three[:-1] << np.uint32(8)) | wide[3:] if len(b) > 3 else wide[:0]
-    hashed = [(x * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS) for x in (three, four)]
-    return [*out, two, *hashed]
+    key = c
+    for n in (2, 3, 4):
+        key = key[:-1] * np.uint32(0x01000193) ^ c[n - 1 :] if len(c) >= n else c[:0]
+        out.append((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))
+    return out
 
 
 def margin(weights: np.ndarray, bias: float, families: list[np.ndarray]) -> float:
@@ -65,16 +66,19 @@ def margin(weights: np.ndarray, bias: float, families: list[np.ndarray]) -> floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
-    """The model from at most `per_class` good and bad labelled texts; None if a class is absent."""
-    wanted = linear.sample(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").dropDuplicates(["doc_id"]), F.col("quality").cast("int"), per_class, 2)
-    picked = texts_of(docs).join(F.broadcast(wanted.select("doc_id", "class", "draw")), "doc_id")
+    """The model from at most `per_class` good and bad labelled texts and MAX_FEATURES features; None if a class is absent.
+
+    A document with several labels counts as bad if any of them says so; null labels say nothing.
+    """
+    marks = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("class"))
+    wanted = linear.sample(marks, "class", per_class).select("doc_id", "class", "draw")
+    picked = texts_of(docs).join(F.broadcast(wanted), "doc_id")  # at most 2 * per_class rows
 
     def rows(c):
         index, value = [], []
         for text in c["text"].to_pylist():
-            raw = (text or "").encode()
             i, v = [], []
-            for k, f in enumerate(features(raw, word_hashes(split_words(text)))):
+            for k, f in enumerate(features(text, word_hashes(split_words(text)))):
                 u, n = np.unique(f, return_counts=True)
                 i.append((u + k * SIZE).astype(np.int32))
                 v.append((n / max(1, len(f))).astype(np.float32))
@@ -82,7 +86,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
             value.append(np.concatenate(v).tobytes())
         return {"class": c["class"], "draw": c["draw"], "doc_id": c["doc_id"], "index": index, "value": value}
 
-    got = sorted(map_rows(picked, rows, "class int, draw long, doc_id long, index binary, value binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"]))
+    got, size = [], 0
+    for r in map_rows(picked, rows, "class int, draw long, doc_id long, index binary, value binary").orderBy("draw", "doc_id", "index").toLocalIterator():
+        got.append(r)
+        size += len(r["index"]) // 4
+        if size >= MAX_FEATURES:
+            break
     y = np.array([r["class"] for r in got], np.float64)
     if len(set(y)) < 2:
         return None
@@ -103,19 +112,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
 
 def judge(model: dict | None, text: str | None, keep_from: float = KEEP_FROM) -> tuple:
     """The base measures, base_failed, p_good and kept of one text."""
-    raw = (text or "").encode()
+    raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     hashes = word_hashes(words)
     base = base_measures(text, raw, words, hashes)
     failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
     p = None
     if model is not None:
-        p = float(linear.sigmoid(np.float64(model["slope"] * margin(model["weights"], model["bias"], features(raw, hashes)) + model["shift"])))
+        p = float(linear.sigmoid(np.float64(model["slope"] * margin(model["weights"], model["bias"], features(text, hashes)) + model["shift"])))
     return *base, failed, p, not failed and (p is None or p >= keep_from)
 
 
 def keep(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of `docs` that pass the base rules and the classifier."""
+    """The rows of `docs` that pass the base rules and the classifier, as they are. Null and empty texts fail; repeated rows share a fate; an empty table stays empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return filter_rows(docs, lambda texts: [judge(sent.value, t)[-1] for t in texts])
 
