@@ -2,9 +2,12 @@
 
 Features say whether a text holds selected hashed words and byte 5-grams of its lower-cased
 words; presence rather than share, so that a few toxic words in a long text count as in a short
-one. The buckets are selected on the sample by their chi-square association with any category.
-The categories are predicted one after the other: each linear model sees the features and the
-probabilities of the categories before it, which in training are out-of-fold predictions.
+one. The buckets are selected on the sample by their chi-square association with the label.
+
+The labels name no kinds of toxicity, so kinds are learned: toxic texts of the sample are clustered by the
+selected features they hold, and each cluster is a category of its own kind of vocabulary. The
+categories are predicted one after the other, then toxicity itself: each linear model sees the
+features and the probabilities of the categories before it, which in training are out-of-fold predictions.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ PER_CLASS = 1000
 KEPT_FEATURES = 600
 FOLDS = 4
 TOXIC_FROM = 0.5
-#: Name and SQL condition over the labelled row of each category, in chain order; the last decides.
-CHAIN = (("toxic_en", "toxic = 1 and lang = 'en'"), ("toxic_other", "toxic = 1 and lang <> 'en'"), ("toxic", "toxic = 1"))
+#: Kinds of toxic vocabulary that are learned; the chain is kind_0, kind_1 ..., toxic.
+KINDS = 3
 _EDGES = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 
 
@@ -31,7 +34,7 @@ def buckets(text: str | None) -> np.ndarray:
     """Distinct buckets of a text: its words without outer punctuation, and the byte 5-grams of its words with their edges."""
     if not text:
         return np.zeros(0, np.int64)
-    raw = text.lower().encode()
+    raw = text.lower().encode("utf-8", "surrogatepass")
     words = word_hashes([w.strip(_EDGES) for w in raw.split()])
     flags = np.zeros(SIZE, bool)
     flags[(words >> np.uint64(64 - BITS)).astype(np.int64)] = True
@@ -47,45 +50,56 @@ def buckets(text: str | None) -> np.ndarray:
 _SPACED = bytes(32 if c < 33 else c for c in range(256))
 
 
-def fit(docs: DataFrame, labels: DataFrame, chain=CHAIN, per_class: int = PER_CLASS, kept: int = KEPT_FEATURES) -> dict | None:
-    """The chain from at most `per_class` labelled rows with and without the last category; None if one is absent.
+def kinds_of(x: np.ndarray, n: int, rounds: int = 20) -> np.ndarray:
+    """Cluster of each row of presence features: k-means on directions, begun with rows far from each other; larger clusters first."""
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    seeds = [int(np.argmax(x.sum(1)))]
+    while len(seeds) < min(n, len(x)):
+        seeds.append(int(np.argmin((unit @ unit[seeds].T).max(1))))
+    centres = unit[seeds]
+    for _ in range(rounds):
+        own = (unit @ centres.T).argmax(1)
+        sums = np.stack([unit[own == k].sum(0) for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    order = np.argsort(-np.bincount(own, minlength=len(centres)), kind="stable")
+    return np.argsort(order)[own]
+
 
-    Conditions read the labels' columns and the documents' lang; the last one the labels' only.
+def fit(docs: DataFrame, labels: DataFrame, kinds: int = KINDS, per_class: int = PER_CLASS, kept: int = KEPT_FEATURES) -> dict | None:
+    """The chain from at most `per_class` toxic and as many other labelled rows; None if one is absent.
+
+    A document with several labels is toxic if any of them says so; null labels say nothing.
     """
-    target = F.expr(chain[-1][1]).cast("int")
-    marks = labels.drop("lang", "text").withColumn("doc_id", F.col("doc_id").cast("long")).dropDuplicates(["doc_id"])
-    wanted = linear.sample(marks, target, per_class, 2)
-    extra = [F.col(c) for c in ("lang",) if c in docs.columns]
-    picked = texts_of(docs, *extra).join(F.broadcast(wanted), "doc_id")
-    if not extra:
-        picked = picked.withColumn("lang", F.lit(None).cast("string"))
-    picked = picked.select("doc_id", "text", "draw", F.array([F.coalesce(F.expr(e), F.lit(False)).cast("int") for _, e in chain]).alias("marks"))
+    marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("mark"))
+    wanted = linear.sample(marks, "mark", per_class).select("doc_id", "mark", "draw")
+    picked = texts_of(docs).join(F.broadcast(wanted), "doc_id")  # at most 2 * per_class rows
 
     def rows(c):
-        return {"doc_id": c["doc_id"], "draw": c["draw"], "marks": c["marks"], "index": [buckets(t).astype(np.int32).tobytes() for t in c["text"].to_pylist()]}
+        return {"doc_id": c["doc_id"], "draw": c["draw"], "mark": c["mark"], "index": [buckets(t).astype(np.int32).tobytes() for t in c["text"].to_pylist()]}
 
-    got = sorted(map_rows(picked, rows, "doc_id long, draw long, marks array<int>, index binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"]))
+    got = sorted(map_rows(picked, rows, "doc_id long, draw long, mark int, index binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"], r["index"]))
     if not got:
         return None
-    y = np.array([r["marks"] for r in got], np.float64)
-    if len(set(y[:, -1])) < 2:
+    toxic_rows = np.array([r["mark"] for r in got], np.float64)
+    if len(set(toxic_rows)) < 2:
         return None
     index = [np.frombuffer(r["index"], np.int32) for r in got]
     flat, row = np.concatenate(index), np.repeat(np.arange(len(got)), list(map(len, index)))
-    best = np.zeros(SIZE)
-    total = np.bincount(flat, minlength=SIZE).astype(np.float64)
-    for k in range(y.shape[1]):
-        up = y[:, k].sum()
-        if 0 < up < len(got):
-            a = np.bincount(flat, weights=y[row, k], minlength=SIZE)
-            gap = a / up - (total - a) / (len(got) - up)
-            best = np.maximum(best, np.where(total >= 3, gap * gap * len(got) / np.maximum(total * (len(got) - total) / len(got), 1e-9), 0))
+    total, up = np.bincount(flat, minlength=SIZE).astype(np.float64), toxic_rows.sum()
+    a = np.bincount(flat, weights=toxic_rows[row], minlength=SIZE)
+    gap = a / up - (total - a) / (len(got) - up)
+    best = np.where(total >= 3, gap * gap * len(got) / np.maximum(total * (len(got) - total) / len(got), 1e-9), 0)
     chosen = np.sort(np.argsort(-best, kind="stable")[:kept])
     place = np.full(SIZE, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
     x = np.zeros((len(got), len(chosen)))
     at = place[flat]
     x[row[at >= 0], at[at >= 0]] = 1
+    telling = a[chosen] / up > (total - a)[chosen] / (len(got) - up)  # features of toxic texts, not of the others
+    found = np.flatnonzero(toxic_rows)
+    own = kinds_of(x[np.ix_(found, np.flatnonzero(telling))], kinds)
+    y = np.zeros((len(got), kinds + 1))
+    y[found, own], y[:, -1] = 1, toxic_rows
     fold, weights = np.arange(len(got)) % FOLDS, []
     for k in range(y.shape[1]):
         out = np.zeros(len(got))
@@ -94,7 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, chain=CHAIN, per_class: int = PER_CL
             out[fold == f] = linear.sigmoid(x[fold == f] @ w[:-1] + w[-1])
         weights.append(linear.fit_dense(x, y[:, k]))
         x = np.hstack([x, out[:, None]])
-    return {"place": place.astype(np.int32), "n": len(chosen), "weights": weights, "names": [n for n, _ in chain]}
+    return {"place": place.astype(np.int32), "n": len(chosen), "weights": weights, "names": [*(f"kind_{k}" for k in range(kinds)), "toxic"]}
 
 
 def probabilities(model: dict, text: str | None) -> list[float]:
@@ -113,7 +127,7 @@ def toxic(model: dict | None, text: str | None, toxic_from: float = TOXIC_FROM)
 
 
 def keep(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of `docs` that are not toxic."""
+    """The rows of `docs` that are not toxic, as they are. Null and empty texts stay; repeated rows share a fate; an empty table stays empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return filter_rows(docs, lambda texts: [not toxic(sent.value, t) for t in texts])
 
@@ -125,7 +139,7 @@ def score(docs: DataFrame, model: dict | None, toxic_from: float = TOXIC_FROM) -
     Without a model (a class is absent from the labels) probabilities are null and nothing is toxic.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"p_{n}" for n in (model["names"] if model else [n for n, _ in CHAIN])]
+    names = [f"p_{n}" for n in (model["names"] if model else [*(f"kind_{k}" for k in range(KINDS)), "toxic"])]
 
     def rows(c):
         m, out = sent.value, {k: [] for k in [*names, "toxic"]}
