@@ -36,6 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        now = cut(_star(_star(now, True), False), "links")
+        now = cut(_star(_star(now, True), False), "links", now)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return roots.unionAll(now.select(F.col("b"), F.col("b")).distinct())

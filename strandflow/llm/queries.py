@@ -66,8 +66,5 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """By name; their SQL is in `oracle`."""
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -299,7 +299,7 @@ def _settle_prints(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
     """(doc, row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has named rows."""
     shared, hot, size = win.shared_runs(texts, lambda t: block_parts(t, width), 0.25, BLOCK_CHARS)
-    n = win.buckets_for(texts, size * 0.4)
+    n = win.buckets_for(texts, size * 2.0)  # small shards: Python's lists take many times the bytes
     sent = win.with_spans(texts, shared, "key", "place").filter("__start is not null")
     contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, n, hot), win.schema_of(_TEXT))
     found = win.per_bucket(contexts, n, lambda c: _settle(c, width), _TEXT, _FOUND)

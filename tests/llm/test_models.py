@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandflow.llm import ann, langid, minhash, quality, toxicity
+from strandflow.llm import ann, langid, linear, minhash, quality, toxicity
 from strandflow.llm.common import split_words, word_hashes
 from strandflow.llm.queries import vocabulary
 
@@ -109,6 +109,61 @@ def test_neighbours(spark, tables):
     assert ann.nearest(rows.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    rng = np.random.RandomState(8)
+    v = np.concatenate([rng.randn(900, 16) + 4 * rng.randn(6, 16)[rng.randint(0, 6, 900)], np.repeat(rng.randn(2, 16), 40, axis=0)]).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5000 + i, [float(i + 1), 2.0]) for i in range(30)]
+    # each row three times: a copy of a row is no neighbour of its own
+    df = spark.createDataFrame(rows * 3, "vec_id long, embedding array<float>").repartition(6)
+    got: dict = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    hits = total = 0
+    for ids, x in ((np.arange(980), v.astype(np.float64)), (np.arange(5000, 5030), np.array([[i + 1, 2.0] for i in range(30)]))):
+        for i in np.flatnonzero(ids % 20 == 0):
+            s = x @ x[i]
+            s[i] = -np.inf
+            mine = got.pop(int(ids[i]))
+            assert len(mine) == 20 == len({n for n, _ in mine}) and [-a for _, a in mine] == sorted(-a for _, a in mine)
+            assert np.allclose([a for _, a in mine], [s[n - ids[0]] for n, _ in mine])
+            hits += len({n for n, _ in mine} & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
+            total += 20
+    assert not got and hits / total >= 0.9
+
+
+def test_every_language_is_learned(spark):
+    import random
+
+    rng, rows = random.Random(2), []
+    for k in range(70):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèçñøåæœ", 5)
+        rows += [(100 * k + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(40)), f"l{k:02}") for i in range(12)]
+    rows += [(9000, "zz zz", None), (None, "", "l00")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = langid.fit(docs, ~held)
+    assert len(model["names"]) == 70
+    found = langid.predict(docs, model).join(docs.filter(held).select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in found]) > 0.9
+
+
+def test_samples_are_bounded_in_each_class(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "case when id % 1000 = 0 then 'rare' when id = 7 then null else 'hot' end as kind")
+    got = {r["kind"]: r["count"] for r in linear.sample(rows, "kind", 100).groupBy("kind").count().collect()}
+    assert got == {"rare": 20, "hot": 100}
+
+
+def test_kinds_tell_vocabularies_apart():
+    rng = np.random.RandomState(1)
+    x = np.zeros((60, 30))
+    for k in range(60):
+        x[k, 10 * (k % 3) + rng.choice(10, 4, replace=False)] = 1
+    own = toxicity.kinds_of(x, 3)
+    assert all(len(set(own[k::3])) == 1 for k in range(3)) and len(set(own)) == 3
+    assert toxicity.kinds_of(x[:1], 3).tolist() == [0]
+
+
 def test_near_duplicates_of_odd_rows(spark, edge):
     got = minhash.near_duplicates(edge).collect()
     assert len(got) == 2 * len(EDGE)
@@ -125,6 +180,17 @@ def test_pipeline_stages(spark, tables):
         before = docs.count()
         docs = stage(spark, docs, DATA).cache()
         assert docs.columns == names and docs.count() <= before, name
+        if name == "near_duplicates":
+            texts = [r["text"] or "" for r in docs.orderBy("doc_id").collect()]
+    again: dict = {}
+    for t in texts:
+        b, n = t.encode(), p.PASSAGE_BYTES
+        for k in range(len(b) - n + 1):
+            again[b[k : k + n]] = again.get(b[k : k + n], 0) + 1
+    for t, r in zip(texts, docs.orderBy("doc_id").collect(), strict=True):
+        b, keep = t.encode(), bytearray(t.encode())
+        gone = {j for k in range(len(b) - n + 1) if again[b[k : k + n]] > 1 for j in range(k, k + n)}
+        assert (r["text"] or "") == bytes(x for j, x in enumerate(keep) if j not in gone).decode("utf-8", "ignore")
     packed = p.STAGES[-1][1](spark, docs, DATA).collect()
     import tokenizers
 

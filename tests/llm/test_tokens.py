@@ -75,6 +75,43 @@ def test_plan_places_every_length():
     assert packing.plan({}, 64) == []
 
 
+def test_ranks_of_one_frequent_length(spark):
+    docs = spark.range(100_000).selectExpr("id as doc_id", "'the cat' as text").repartition(8)
+    rows = packing.pack(docs, vocabulary("word_bpe_49k.json")).select("doc_id", "length", "sequence_id", "offset").toPandas()
+    assert set(rows.length) == {3} and len(rows) == 100_000 == rows.doc_id.nunique() == len(rows[["sequence_id", "offset"]].drop_duplicates())
+    assert rows.offset.max() <= 2045 and rows.sequence_id.nunique() == -(-100_000 // 682)
+
+
+def test_encoding_of_words_equals_the_library():
+    path = vocabulary("word_bpe_49k.json")
+    t = tokenizers.Tokenizer.from_file(path)
+    texts = [*made(3000, 9), *(x or "" for x in ODD), *(f"w{chr(c)}x {chr(c)}Y{chr(c)}, {chr(c)}." for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000)]
+    for text, ids in zip(texts, packing.encode_texts(texts, path), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("rule", ["first", "longest"])
+def test_attribution_by_bytes_over_fields(spark, rule):
+    path = vocabulary("byte_bpe_50k.json")
+    t = tokenizers.Tokenizer.from_file(path)
+    texts = [x for x in ODD + made(200, 12)]
+    docs = spark.createDataFrame([(i, x, texts[-1 - i]) for i, x in enumerate(texts)], "doc_id long, text string, body string")
+    rows = token_counts.attribute(docs, path, ("text", "body"), rule=rule).toPandas()
+    for i, x in enumerate(texts):
+        whole = (x or "") + (texts[-1 - i] or "")
+        own = rows[rows.doc_id == i].sort_values("section")
+        ends = [len(whole[: s + n].encode()) for s, n in zip(own.start_char, own.n_chars, strict=True)]
+        count, crossing, at = [0] * len(ends), [0] * len(ends), 0
+        for token in t.encode(whole, add_special_tokens=False).ids:
+            size = len(bpe.encoder(path).decode(np.array([token])))
+            held = [max(0, min(at + size, e) - max(at, b)) for b, e in zip([0, *ends], ends, strict=False)]
+            owner = next(k for k, h in enumerate(held) if h) if rule == "first" else int(np.argmax(held))
+            count[owner] += 1
+            crossing[owner] += sum(h > 0 for h in held) > 1
+            at += size
+        assert own.n_tokens.tolist() == count and own.n_crossing.tolist() == crossing, repr(whole)
+
+
 def test_attribution_counts_every_token_once(spark):
     texts = ODD + made(300, 4)
     path = vocabulary("byte_bpe_50k.json")
