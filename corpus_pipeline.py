@@ -53,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents of `sf_dir`; every stage but the last is written in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        docs = before = cut(stage(spark, docs, sf_dir), name, before)
     return STAGES[-1][1](spark, docs, sf_dir)
