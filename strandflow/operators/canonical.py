@@ -106,8 +106,8 @@ def derive_absent(df: DataFrame, profile: Profile) -> DataFrame:
     return df
 
 
-def coerce(df: DataFrame, profile: Profile, kind: str = "double") -> DataFrame:
-    """Canonical columns in order; absent channels are null, velocity and command are derived if any of them is absent."""
+def coerce(df: DataFrame, profile: Profile, kind: str = "double", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Canonical columns in order, then those to `carry`; absent channels are null, velocity and command are derived if any of them is absent."""
     need = ["t_us", *profile.joints("q")]
     if lacking := [c for c in need if c not in df.columns]:
         raise ValueError(f"columns are missing: {', '.join(lacking)}")
@@ -117,7 +117,7 @@ def coerce(df: DataFrame, profile: Profile, kind: str = "double") -> DataFrame:
     if not set(profile.joints("act_q")) <= has:
         df = derive_action(df, profile)
     has = set(df.columns)
-    return df.select(*KEYS, "step", "t_us", *(known(F.col(c)).cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c in profile.channels()))
+    return df.select(*KEYS, "step", "t_us", *(known(F.col(c)).cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c in profile.channels()), *carry)
 
 
 def rebase_time(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -90,11 +91,12 @@ def normalise(table: DataFrame, stats: dict[str, tuple[float, float]], back: boo
     return table.withColumns({c: F.col(c) * s + m if back else (F.col(c) - m) / s for c, (m, s) in stats.items()})
 
 
-def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile, check: bool = False) -> tuple[DataFrame, DataFrame]:
+def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile, check: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(table, members): the split step table, and every episode with its exclude_reason, split and content_hash.
 
     Steps are joined to the passing episodes before any window work. With `check`, a build without
-    episodes or with an empty side is an error (`check_split`), which runs a job.
+    episodes or with an empty side is an error (`check_split`), which runs a job. `keep` may store a
+    table that is read several times.
     """
     base = [c for c in [*obs, *act] if not c.startswith("prev_")]
     passing = gated.filter("exclude_reason is null").select(*KEYS)
@@ -102,16 +104,17 @@ def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], pr
     members = gated.join(content_hash(kept, profile.channels()), list(KEYS), "left")
     members = dedupe(members).withColumn("exclude_reason", F.when(F.col("duplicate"), "duplicate").otherwise(F.col("exclude_reason")))
     members = members.withColumn("split", F.when(F.col("exclude_reason").isNull(), assign_split(F.col("session_id"), profile)))
+    members = keep(members)
     rows = kept.join(members.filter("split is not null").select(*KEYS, "split"), list(KEYS))
     rows = prev_action(rows, [c.removeprefix("prev_") for c in obs if c.startswith("prev_")])
-    table = dense_steps(rows, [*obs, *act])
+    table = keep(dense_steps(rows, [*obs, *act]).select(*KEYS, "split", "step", "t_us", *dict.fromkeys([*obs, *base, *act])))
     left = table.select(*KEYS).distinct().withColumn("_left", F.lit(True))
     members = members.join(left, list(KEYS), "left")
     hole = F.col("split").isNotNull() & F.col("_left").isNull()
     members = members.withColumns({"exclude_reason": F.when(hole, "all_nan").otherwise(F.col("exclude_reason")), "split": F.when(~hole, F.col("split"))}).drop("_left")
     if check:
         check_split(members)
-    return table.select(*KEYS, "split", "step", "t_us", *dict.fromkeys([*obs, *base, *act])), members
+    return table, keep(members)
 
 
 def check_split(members: DataFrame) -> None:

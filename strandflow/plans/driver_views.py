@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandflow.operators import canonical, dataset, metrics, resample, validate
 from strandflow.profile import Anchor, Profile
+from strandflow.sources.scratch import cut
 
 DAY_US = 86_400_000_000
 _ANCHORS = {
@@ -26,19 +27,11 @@ PROFILE = Profile(
 )
 OBS, ACT = ["q_0", "q_1", "q_2", "grip", "prev_act_q_0", "prev_act_q_1", "prev_act_q_2"], ["act_q_0", "act_q_1", "act_q_2"]
 CHANNELS = ["q_0", "q_1", "q_2", "grip", "act_q_0", "act_q_1", "act_q_2"]
-_KEPT: list[DataFrame] = []
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Persist a table that a query reads several times, until `release`."""
-    _KEPT.append(df.persist())
-    return df
-
-
-def release() -> None:
-    """Let go of what earlier queries kept."""
-    while _KEPT:
-        _KEPT.pop().unpersist()
+    """A table that a query reads several times, written once."""
+    return cut(df, "kept")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,21 +74,31 @@ def _damaged(steps: DataFrame) -> DataFrame:
     return steps.withColumns(faults | {c: F.when(kind == 11, v) for c, v in pose.items()})
 
 
+_MADE = ("off_grid", "n_raw", "raw_dt_jitter", "raw_gap_fraction", "user_id", "stem", "grid_us")
+
+
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The steps, and beside them what the grid says of its episodes."""
+    made = grid(spark, sf_dir).withColumn("grid_us", F.col("t_us"))
+    return _damaged(canonical.coerce(made, PROFILE, carry=_MADE))
+
+
 def steps(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) -> DataFrame:
-    return _damaged(canonical.coerce(grid(spark, sf_dir) if made is None else made, PROFILE))
+    return (wide(spark, sf_dir) if made is None else made).drop(*_MADE)
 
 
 def episodes(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) -> DataFrame:
     """One row per episode: ids, label, raw timing, and what the grid made of it."""
-    e = resample.episodes_of(grid(spark, sf_dir) if made is None else made, "user_id", "stem")
+    made = grid(spark, sf_dir) if made is None else made.withColumn("t_us", F.col("grid_us"))
+    e = resample.episodes_of(made, "user_id", "stem")
     ids = {"operator_id": F.concat(F.lit("op"), F.col("user_id") % 4), "task_id": F.concat(F.lit("task"), F.col("user_id") % 5), "success": canonical.success_label(F.col("stem"))}
     return e.withColumns(ids).drop("user_id", "stem")
 
 
 def scored(spark: SparkSession, sf_dir: str, population: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(steps, episodes, quality); the grid is made once for all of them."""
-    made = keep(grid(spark, sf_dir))
-    s, e = keep(steps(spark, sf_dir, made)), keep(episodes(spark, sf_dir, made))
+    made = keep(wide(spark, sf_dir))
+    s, e = steps(spark, sf_dir, made), keep(episodes(spark, sf_dir, made))
     return s, e, metrics.score(metrics.metrics(s, e, PROFILE, population), PROFILE)
 
 
@@ -121,4 +124,4 @@ def gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     s, g = gated(spark, sf_dir)
-    return dataset.build(s, keep(g), OBS, ACT, PROFILE)
+    return dataset.build(s, keep(g), OBS, ACT, PROFILE, keep=keep)

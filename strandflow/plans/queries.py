@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce, wraps
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,7 +21,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _windows(spark, sf):
     built, _ = v.built(spark, sf)
-    built = v.keep(built)
     return built, dataset.action_chunks(built, ACT, PROFILE.horizon, OBS)
 
 
@@ -328,7 +327,7 @@ def dataset_hash(spark, sf):
 
 def manifest(spark, sf):
     built, members = v.built(spark, sf)
-    return dataset.manifest(v.keep(built), v.keep(members), OBS, ACT, PROFILE)
+    return dataset.manifest(built, members, OBS, ACT, PROFILE)
 
 
 def action_chunks(spark, sf):
@@ -439,18 +438,6 @@ def retry_ledger(spark, sf):
     return ledger(s("o_orderstatus = 'O'"), s("o_orderstatus = 'P'"), s("o_orderpriority = '1-URGENT'"))
 
 
-def _fresh(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    """The query, after letting go of what earlier ones kept."""
-
-    @wraps(query)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        v.release()
-        return query(spark, sf_dir)
-
-    return run
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     helpers = {"rounded", "table", "queries"}
-    own = {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers}
-    return {k: _fresh(f) for k, f in own.items()}
+    return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers}

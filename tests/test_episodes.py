@@ -175,7 +175,6 @@ def test_every_rule_and_flag_has_something_to_find(spark):
     assert found == {"too_short", "too_long", "nonfinite_time", "time_not_increasing", "dt_mismatch", "columns_absent", "excess_nan", "joint_limit_violation", "joint_limit_grazed", "quaternion_not_unit", "gripper_out_of_range", "action_over_limit"}
     assert {r["flag"] for r in rollups.flag_counts(quality).collect()} == set(v.PROFILE.anchors)
     assert {r["tier"] for r in rollups.tier_counts(quality).filter("n > 0").collect()} == {"gold", "silver", "reject"}
-    v.release()
 
 
 def test_missing_columns_are_told_from_the_header():
