@@ -1,15 +1,15 @@
-"""Helpers shared by the text operators: shared scratch tables, word arrays, Arrow plumbing."""
+"""Helpers shared by the text operators: word arrays, Arrow plumbing; `cut` is passed on for them."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from strandflow.sources.scratch import cut as cut
 
 #: Entries a per-worker cache may hold before it is emptied; bounds its memory (about 100 MB).
 CACHE_ENTRIES = 500_000
@@ -19,32 +19,6 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`; where that is unset, one in the warehouse, or a temporary one on a local master."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        local = spark.sparkContext.master.startswith("local")
-        found = tempfile.mkdtemp(prefix="spark-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
-    """Write `df` once as a table in the shared folder and read it back, so that a lost executor costs no recomputation.
-
-    The table that it is made `instead_of`, a result of `cut` that nothing else reads, is deleted.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    if instead_of is not None:
-        old = spark._jvm.org.apache.hadoop.fs.Path(instead_of._scratch)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    return out
-
-
 def map_rows(df: DataFrame, rows: Callable[[dict], dict], schema: T.StructType | str) -> DataFrame:
     """mapInArrow over record batches; `rows` turns a dict of Arrow columns into a dict of output columns."""
     out_schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
