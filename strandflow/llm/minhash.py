@@ -15,12 +15,13 @@ is left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strandflow.llm.common import cut, map_rows, shingles, texts_of, word_hashes
 from strandflow.llm.components import components
@@ -133,7 +134,7 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, docs: DataFra
     """Linked pairs of nodes that share a band but lie in different components.
 
     Plausible pairs are confirmed where they meet, in the first band they share, so that a group
-    of many texts just below the threshold yields no rows.
+    of many texts just below the threshold yields no rows. Members meet by their registers first.
     """
     least = percent / 100
     placed = banded.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -141,51 +142,80 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, docs: DataFra
     mixed = sizes.groupBy("band").agg(F.sum("own").alias("members"), F.count("*").alias("parts"), F.max_by("component", F.struct("own", "component")).alias("most")).filter("parts > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows_in = placed.join(mixed.select("band", "most", blocks.alias("blocks")), "band").join(nodes.select("node", "n", "registers"), "node")
-    rows_in = rows_in.join(texts_of(docs).withColumnRenamed("doc_id", "node"), "node")
     # the largest component's members stay in their own block; only the others visit every block
     home, roams = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("component") != F.col("most")
     visits = F.explode(F.when(roams, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))).alias("block")
-    dealt = rows_in.withColumns({"home": home, "roams": roams}).select("band", visits, "home", "roams", "node", "component", "n", "registers", "place", "text")
-    dealt = dealt.select("band", "block", (F.col("home") == F.col("block")).alias("resident"), "roams", "node", "component", "n", "registers", "place", "text").repartition("band", "block").sortWithinPartitions("band", "block", "node")
-
-    def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        resident, roams, node, comp, n = (np.array([g[x] for g in group]) for x in (2, 3, 4, 5, 6))
-        regs = np.frombuffer(b"".join(g[7] for g in group), np.uint16).reshape(-1, BUCKETS)
-        place, sets = group[0][8], {}
-
-        def own(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = shingle_set(group[i][9], k)
-            return sets[i]
-
-        for x in np.flatnonzero(roams).tolist():
-            rest = np.flatnonzero(resident & (comp != comp[x]) & (~roams | (node > node[x])))
-            if len(rest):
-                same = regs[rest] == regs[x]
-                here = same.reshape(len(rest), -1, BAND).all(2).argmax(1) == place
-                for y in rest[here & hopeful(same.mean(1), n[rest], n[x], least)].tolist():
-                    shared = len(np.intersect1d(own(x), own(y), assume_unique=True))
-                    if 100 * shared >= percent * (len(own(x)) + len(own(y)) - shared):
-                        yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))
+    dealt = rows_in.withColumns({"home": home, "roams": roams}).select("band", visits, "home", *_MEMBER[1:])
+    dealt = dealt.select("band", "block", (F.col("home") == F.col("block")).alias("resident"), *_MEMBER[1:])
+
+    # registers alone tell which members of which blocks have a plausible partner there; only those bring their text
+    def involved(group: list[tuple]) -> Iterator[tuple]:
+        for i in sorted({i for pair in _pairs(group, least) for i in pair}):
+            yield group[i]
+
+    def confirmed(group: list[tuple]) -> Iterator[tuple]:
+        sets: dict[int, np.ndarray] = {}
+        for pair in _pairs(group, least):
+            for i in pair:
+                if i not in sets:
+                    sets[i] = shingle_set(group[i][-1], k)
+            x, y = (sets[i] for i in pair)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * shared >= percent * (len(x) + len(y) - shared):
+                a, b = (int(group[i][4]) for i in pair)
+                yield min(a, b), max(a, b)
+
+    kinds = "band long, block int, resident boolean, roams boolean, node long, component long, n long, registers binary, place int"
+    some = cut(_per_block(dealt, involved, kinds), "involved")
+    texts = texts_of(docs).select(F.col("doc_id").alias("node"), "text")
+    met = some.join(texts, "node").select(*some.columns, "text")
+    return _per_block(met, confirmed, "a long, b long").distinct()
+
+
+_MEMBER = ("resident", "roams", "node", "component", "n", "registers", "place")
+
+
+def _pairs(group: list[tuple], least: float) -> Iterator[tuple[int, int]]:
+    """Positions of the plausible pairs across components in a band's block, each in the first band the two share."""
+    resident, roams, node, comp, n = (np.array([g[x] for g in group]) for x in (2, 3, 4, 5, 6))
+    regs = np.frombuffer(b"".join(g[7] for g in group), np.uint16).reshape(-1, BUCKETS)
+    place = group[0][8]
+    for x in np.flatnonzero(roams).tolist():
+        rest = np.flatnonzero(resident & (comp != comp[x]) & (~roams | (node > node[x])))
+        if len(rest):
+            same = regs[rest] == regs[x]
+            here = same.reshape(len(rest), -1, BAND).all(2).argmax(1) == place
+            for y in rest[here & hopeful(same.mean(1), n[rest], n[x], least)].tolist():
+                yield x, y
+
+
+def _per_block(dealt: DataFrame, work: Callable[[list[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """Bring the members of each band's block together and call `work` once for each."""
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
+        out: list[tuple] = []
 
-        def flush() -> pa.RecordBatch:
-            out = list(compare(group)) if len(group) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
+        def told() -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+            out.clear()
+            return made
 
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
                 if group and row[:2] != group[0][:2]:
-                    if (out := flush()).num_rows:
-                        yield out
+                    out += work(group) if len(group) > 1 else ()
                     group = []
+                    if len(out) >= 1000:
+                        yield told()
                 group.append(row)
-        if group and (out := flush()).num_rows:
-            yield out
+        out += work(group) if len(group) > 1 else ()
+        if out:
+            yield told()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("band", "block").sortWithinPartitions("band", "block", "node").mapInArrow(run, schema)
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
