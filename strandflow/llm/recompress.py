@@ -139,24 +139,13 @@ def _runs(docs: np.ndarray, rows: np.ndarray, starts: np.ndarray, also: np.ndarr
 
 
 def _send(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        held: list[tuple] = []
-        size, left = 0, batch.num_rows
-        for row in zip(*(batch.column(k).to_pylist() for k in (win.DOC, win.ROW, "text", "__start", "__count", "__key")), strict=True):
-            left -= 1
-            held.append(row)
-            size += len(row[2])
-            if size > BLOCK_CHARS or not left:
-                yield _block(held, width, n, hot)
-                held, size = [], 0
-
-
-def _block(held: list[tuple], width: int, n: int, hot: np.ndarray) -> pa.RecordBatch:
+    for docs, rows, texts, own, (start, count, key) in win.span_blocks(batches, BLOCK_CHARS, "start", "count", "key"):
+        yield _block(docs, rows, texts, own, start, count, key, width, n, hot)
+
+
+def _block(docs: np.ndarray, rows: np.ndarray, texts: list[str], own: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray, width: int, n: int, hot: np.ndarray) -> pa.RecordBatch:
     """The shared windows of a block, packed by bucket; those that are late in the block itself travel with the first."""
-    docs, rows = (np.array([r[k] for r in held], np.int64) for k in (0, 1))
-    words, begin, _ = _words([r[2] for r in held])
-    own = np.repeat(np.arange(len(held)), [len(r[3]) for r in held])
-    start, count, key = (np.concatenate([r[k] for r in held]).astype(np.int64) for k in (3, 4, 5))
+    words, begin, _ = _words(texts)
     order = np.lexsort((start, own))
     own, start, count, key = own[order], start[order], count[order], key[order].view(np.uint64)
     once = np.concatenate([[True], (own[1:] != own[:-1]) | (start[1:] != start[:-1])])  # rows of one name each told their runs

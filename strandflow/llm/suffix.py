@@ -191,41 +191,25 @@ def _core(width: int) -> tuple[int, int]:
 _TEXT = {"keys": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "counts": "<i4", "places": "<i4", "known": "<i8", "text": "u1"}
 _PRINT = {"prints": "<u8", "others": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "known": "<i8"}
 _FOUND = "doc long, row long, start long, count long"
-_READ = (win.DOC, win.ROW, "text", "__start", "__count", "__key", "__place")
 
 
 def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The contexts of the cores that are not hot, one row for each shard and block."""
-    names = ("docs", "rows", "starts", "counts", "keys", "places")
-    for batch in batches:
-        held: dict[str, list] = {k: [] for k in names}
-        texts: list[bytes] = []
-        size, left = 0, batch.num_rows
-        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in _READ), strict=True):
-            left -= 1
-            start, count, key, place = (np.array(x, np.int64) for x in spans)
-            some = ~win.is_hot(key.view(np.uint64), hot)
-            if some.any():
-                raw = text.encode("utf-8", "surrogatepass")
-                start, count, key, place = start[some], count[some], key[some], place[some]
-                own = np.full(len(start), doc, np.int64), np.full(len(start), row, np.int64)
-                for k, v in zip(names, (*own, start, count, key, place), strict=True):
-                    held[k].append(v)
-                texts += [raw[a : a + c - 1 + width] for a, c in zip(start.tolist(), count.tolist(), strict=True)]
-                size += len(raw)
-            if texts and (size > BLOCK_CHARS or not left):
-                c = {k: np.concatenate(v) for k, v in held.items()}
-                first: dict[tuple, int] = {}
-                twice: set[int] = set()
-                same = [first.setdefault(m, i) for i, m in enumerate(zip(c["keys"].tolist(), texts, strict=True))]
-                twice = {j for i, j in enumerate(same) if i != j}
-                again = np.array([j in twice for j in same])
-                known = np.stack([c["docs"], c["rows"], c["starts"], c["counts"]], axis=1)[again]
-                one = np.array(sorted(first.values()))
-                c = {k: c[k][one].astype(np.dtype(_TEXT[k])) for k in names}
-                if (out := win.packed((c["keys"] % np.uint64(n)).astype(np.int64), {k: c[k] for k in _TEXT if k in c}, known, [texts[i] for i in one])) is not None:
-                    yield out.select(["bucket", *_TEXT])
-                held, texts, size = {k: [] for k in names}, [], 0
+    for docs, rows, texts, own, columns in win.span_blocks(batches, BLOCK_CHARS, "start", "count", "key", "place"):
+        some = ~win.is_hot(columns[2].view(np.uint64), hot)
+        own, (start, count, key, place) = own[some], (v[some] for v in columns)
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        contexts = [raw[i][a : a + c - 1 + width] for i, a, c in zip(own.tolist(), start.tolist(), count.tolist(), strict=True)]
+        first: dict[tuple, int] = {}
+        same = [first.setdefault(m, i) for i, m in enumerate(zip(key.tolist(), contexts, strict=True))]
+        twice = {j for i, j in enumerate(same) if i != j}
+        again = np.array([j in twice for j in same], bool)
+        c = {"keys": key.view(np.uint64), "docs": docs[own], "rows": rows[own], "starts": start, "counts": count, "places": place}
+        known = np.stack([c[k] for k in ("docs", "rows", "starts", "counts")], axis=1)[again]
+        one = np.array(sorted(first.values()), np.int64)
+        c = {k: v[one].astype(np.dtype(_TEXT[k])) for k, v in c.items()}
+        if (out := win.packed((c["keys"] % np.uint64(n)).astype(np.int64), c, known, [contexts[i] for i in one])) is not None:
+            yield out.select(["bucket", *_TEXT])
 
 
 def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
@@ -255,31 +239,26 @@ def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
 
 def _send_prints(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The windows of the hot cores, each by itself; a window seen twice in a block is known to repeat and sent once."""
-    for batch in batches:
-        got: list[tuple[np.ndarray, ...]] = []
-        size, left = 0, batch.num_rows
-        for doc, row, text, *spans in zip(*(batch.column(k).to_pylist() for k in _READ), strict=True):
-            left -= 1
-            start, count, key, _ = (np.array(x, np.int64) for x in spans)
-            some = win.is_hot(key.view(np.uint64), hot)
-            if some.any():
-                raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                at = win.spread(start[some], count[some])
-                prints = [win.run_prints(win.prefix_prints(table[raw]), at, width) for table in (_BYTES, _OTHER_BYTES)]
-                got.append((*prints, np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64), at))
-                size += len(at)
-            if got and (size > BLOCK_CHARS or not left):
-                prints, others, docs, rows, starts = (np.concatenate(x) for x in zip(*got, strict=True))
-                got, size = [], 0
-                order = np.lexsort((others, prints))
-                prints, others, docs, rows, starts = (x[order] for x in (prints, others, docs, rows, starts))
-                head = np.concatenate([[True], (prints[1:] != prints[:-1]) | (others[1:] != others[:-1])])
-                again = (np.bincount(np.cumsum(head) - 1) > 1)[np.cumsum(head) - 1]
-                known = np.stack([docs, rows, starts], axis=1)[again]
-                columns = {"prints": prints, "others": others, "docs": docs, "rows": rows, "starts": starts.astype("<i4")}
-                out = win.packed((prints[head] % np.uint64(n)).astype(np.int64), {k: v[head] for k, v in columns.items()}, known)
-                if out is not None:
-                    yield out
+    for docs, rows, texts, own, (start, count, key) in win.span_blocks(batches, BLOCK_CHARS, "start", "count", "key"):
+        some = win.is_hot(key.view(np.uint64), hot)
+        if not some.any():
+            continue
+        own, start, count = own[some], start[some], count[some]
+        starts, owner = win.spread(start, count), np.repeat(own, count)
+        prints, others = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
+        for i in np.unique(own).tolist():
+            raw, mine = np.frombuffer(texts[i].encode("utf-8", "surrogatepass"), np.uint8), slice(*np.searchsorted(owner, [i, i + 1]))
+            for out, values in ((prints, _BYTES), (others, _OTHER_BYTES)):
+                out[mine] = win.run_prints(win.prefix_prints(values[raw]), starts[mine], width)
+        order = np.lexsort((others, prints))
+        prints, others, starts, owner = prints[order], others[order], starts[order], owner[order]
+        head = np.concatenate([[True], (prints[1:] != prints[:-1]) | (others[1:] != others[:-1])])
+        again = (np.bincount(np.cumsum(head) - 1) > 1)[np.cumsum(head) - 1]
+        known = np.stack([docs[owner], rows[owner], starts], axis=1)[again]
+        columns = {"prints": prints, "others": others, "docs": docs[owner], "rows": rows[owner], "starts": starts.astype("<i4")}
+        out = win.packed((prints[head] % np.uint64(n)).astype(np.int64), {k: v[head] for k, v in columns.items()}, known)
+        if out is not None:
+            yield out
 
 
 def _settle_prints(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:

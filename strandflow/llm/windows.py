@@ -103,8 +103,8 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.nd
     for batch in batches:
         docs, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (DOC, ROW))
         texts, begin, n = [], 0, 0
-        for i, t in enumerate(batch.column("text").to_pylist()):
-            texts.append(t or "")
+        for i, t in enumerate(batch.column("text")):
+            texts.append(t.as_py() or "")
             n += len(texts[-1])
             if n >= size or i + 1 == batch.num_rows:
                 yield docs[begin : i + 1], rows[begin : i + 1], texts
@@ -235,6 +235,27 @@ def shared_runs(texts: DataFrame, parts: Callable[[list[str]], Runs | None], per
     return found.filter("count > 0"), keys, size
 
 
+def span_blocks(batches: Iterator[pa.RecordBatch], size: int, *names: str) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[np.ndarray]]]:
+    """Rows with spans in blocks of about `size` characters: docs, rows, texts, and of all spans the number of its text in the block and the columns of `names`.
+
+    Spans stay arrays; Python lists of them would take many times the memory.
+    """
+    for batch in batches:
+        docs, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (DOC, ROW))
+        columns = [batch.column(f"__{k}") for k in names]
+        ends = np.cumsum(columns[0].value_lengths().to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros(0, np.int64)
+        flat = [c.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+        texts, begin, n = [], 0, 0
+        for i, t in enumerate(batch.column("text")):
+            texts.append(t.as_py())
+            n += len(texts[-1])
+            if n >= size or i + 1 == batch.num_rows:
+                a, b = (ends[begin - 1] if begin else 0), ends[i]
+                owner = np.searchsorted(ends[begin : i + 1], np.arange(a, b), "right")
+                yield docs[begin : i + 1], rows[begin : i + 1], texts, owner, [v[a:b] for v in flat]
+                texts, begin, n = [], i + 1, 0
+
+
 def is_hot(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
     if not len(hot):
         return np.zeros(len(keys), bool)
