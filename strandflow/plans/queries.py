@@ -327,7 +327,8 @@ def dataset_hash(spark, sf):
 
 def manifest(spark, sf):
     built, members = v.built(spark, sf)
-    return dataset.manifest(built, members, OBS, ACT, PROFILE)
+    made = dataset.manifest(built, members, OBS, ACT, PROFILE)
+    return made.select(*(F.to_json(c).alias(c) if t.startswith("array") else c for c, t in made.dtypes))
 
 
 def action_chunks(spark, sf):
