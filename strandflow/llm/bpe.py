@@ -36,6 +36,8 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Longest piece that is remembered, so that the caches are bounded in bytes.
+REMEMBERED = 64
 #: Distance of a word-final byte's letter from that byte's own.
 WORD_END = 0x200
 
@@ -183,7 +185,8 @@ class Encoder(dict):
                 value = self.pieces(lead + word)
             if line:
                 value = self.pre_token("\n") + value
-        self[unit] = value
+        if len(unit) <= REMEMBERED:
+            self[unit] = value
         return value
 
     def pre_token(self, word: str) -> bytes:
@@ -191,7 +194,7 @@ class Encoder(dict):
         value = self.pre_tokens.find(word)
         if value is None:
             value = array("I", self.encode_pre_token(word.encode().decode("latin-1"))).tobytes()
-            if len(word) <= 64:
+            if len(word) <= REMEMBERED:
                 self.pre_tokens[word] = value
         return value
 

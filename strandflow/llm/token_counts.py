@@ -43,7 +43,8 @@ def attribute(docs: DataFrame, vocabulary: str, fields: tuple[str, ...] = ("text
     The document is its `fields` in order, one after the other; a section ends behind each match
     of the regular expression `boundary`, and at each field's end. Null or empty fields have no
     section; a document without any text has one section of 0 tokens, so no document is lost.
-    n_crossing counts the section's own tokens that also reach into other sections.
+    n_crossing counts the section's own tokens that also reach into other sections. Repeated rows
+    each give their sections; an empty table gives no rows; columns that are not among `fields` are not read.
     """
     if rule not in ("first", "longest"):
         raise ValueError(f"unknown rule: {rule}")
