@@ -2,7 +2,8 @@
 
 Bad and toxic documents go, one document of each near-duplicate group stays, passages of 50 words
 that still repeat anywhere are cut out, and what is left is packed into training sequences. A
-document whose whole text is cut out stays with an empty text.
+document whose whole text is cut out stays with an empty text. Every stage takes an empty table, very long
+texts, and extra columns of any name that does not begin with "__"; all but the last return the columns they get.
 """
 
 from __future__ import annotations
@@ -19,24 +20,31 @@ PASSAGE_BYTES = 250
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that pass the base rules and the classifier. Null and empty texts go; repeated rows share a fate."""
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # learned on all labelled documents: the stage before has dropped some of the toxic ones
+    """Rows that are not toxic; a null or empty text is not. Repeated rows share a fate.
+
+    Learned on all labelled documents: the stage before has dropped some of the toxic ones.
+    """
     return toxicity.keep(docs, toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: the smallest doc_id. Rows without a doc_id stay, and so do rows that repeat the one that stays."""
     gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, its text without repeated passages. Null and empty texts stay as they are; repeated rows empty each other."""
     return suffix.cut_texts(docs, PASSAGE_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document. A null or empty text is the end id alone; repeated rows are packed each."""
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 

@@ -219,6 +219,14 @@ def test_orphans_are_kept_while_their_folder_is_there(spark):
     assert {r["session_id"]: r["keep"] for r in rollups.prune_orphans(store, declared, folders).collect()} == {"a": True, "b": True, "c": False}
 
 
+def test_gate_falls_back_to_the_stored_tier(spark):
+    episodes = spark.createDataFrame([("s", x, t, ok) for x, t, ok in (("a", "gold", True), ("b", None, True), ("c", "reject", True), ("d", "gold", False), ("e", "reject", True), ("f", "gold", True))], "session_id string, episode_id string, quality_tier string, success boolean")
+    quality = spark.createDataFrame([("s", "e", "silver", 70.0)], "session_id string, episode_id string, tier string, score double")
+    validation = spark.createDataFrame([("s", "f", False)], "session_id string, episode_id string, ok boolean")
+    got = {r["episode_id"]: r["exclude_reason"] for r in dataset.gate(episodes, quality, validation, P).collect()}
+    assert got == {"a": None, "b": "unscored", "c": "tier:reject", "d": "failed", "e": None, "f": "invalid"}
+
+
 def _policy_fixture(spark):
     rng = np.random.RandomState(3)
     obs, act, rows = ["q_0", "prev_act_q_0", "grip"], ["act_q_0"], []
