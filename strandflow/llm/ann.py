@@ -128,7 +128,10 @@ def _index(dealt: DataFrame, n: int, most: float, dims: int, kind: str) -> DataF
 
     def pack(block: int, ids: list[np.ndarray], vectors: list[np.ndarray]) -> list[pa.Array]:
         i, v = np.concatenate(ids), np.concatenate(vectors)
-        whole = np.concatenate([i[:, None].view(np.uint8).reshape(len(i), -1), np.ascontiguousarray(v).view(np.uint8).reshape(len(i), -1)], axis=1)
+        whole = np.concatenate(
+            [i[:, None].view(np.uint8).reshape(len(i), -1), np.ascontiguousarray(v).view(np.uint8).reshape(len(i), -1)],
+            axis=1,
+        )
         once = np.sort(np.unique(np.ascontiguousarray(whole).view(np.dtype((np.void, whole.shape[1]))).ravel(), return_index=True)[1])
         i, v = i[once], v[once]
         p = lifted(v, most)
@@ -137,7 +140,10 @@ def _index(dealt: DataFrame, n: int, most: float, dims: int, kind: str) -> DataF
         bounds = np.array([[p[x].min(0), p[x].max(0)] for x in parts])
         sizes = np.array([len(x) for x in parts], np.int64)
         box = np.array([p.min(0), p.max(0)])
-        return [pa.array([block], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (i[order], v[order].astype(kind), bounds, sizes, box))]
+        return [
+            pa.array([block], pa.int64()),
+            *(pa.array([x.tobytes()], pa.binary()) for x in (i[order], v[order].astype(kind), bounds, sizes, box)),
+        ]
 
     names = ["block", "ids", "vectors", "bounds", "sizes", "box"]
 
@@ -160,7 +166,18 @@ def _index(dealt: DataFrame, n: int, most: float, dims: int, kind: str) -> DataF
     return own.mapInArrow(run, "block long, ids binary, vectors binary, bounds binary, sizes binary, box binary")
 
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, known: np.ndarray, ids: np.ndarray, v: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, most: float, k: int, sure: float) -> tuple[np.ndarray, np.ndarray]:
+def search_block(
+    q_ids: np.ndarray,
+    q: np.ndarray,
+    known: np.ndarray,
+    ids: np.ndarray,
+    v: np.ndarray,
+    bounds: np.ndarray,
+    sizes: np.ndarray,
+    most: float,
+    k: int,
+    sure: float,
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores (one row per query, best first, -inf where there are fewer) of the k best found in a block; `known` is each query's k-th score so far."""
     limit = reach(sure, DIRECTIONS)
     projected = q @ directions(q.shape[1] + 1)[:-1]
@@ -196,18 +213,49 @@ def _search(visits: DataFrame, index: DataFrame, dims: int, most: float, k: int,
     """(query_id, embedding, vec_ids, scores): for each visit (_VISIT), the at most k best of its block."""
     # a block's one row comes first, then its visits
     none = F.lit(None)
-    rows = index.select("block", F.lit(0).alias("part"), none.cast("long").alias("query_id"), none.cast("array<double>").alias("embedding"), none.cast("double").alias("known"), "ids", "vectors", "bounds", "sizes")
-    asks = visits.select("block", F.lit(1).alias("part"), "query_id", "embedding", "known", *(none.cast("binary").alias(c) for c in ("ids", "vectors", "bounds", "sizes")))
+    rows = index.select(
+        "block",
+        F.lit(0).alias("part"),
+        none.cast("long").alias("query_id"),
+        none.cast("array<double>").alias("embedding"),
+        none.cast("double").alias("known"),
+        "ids",
+        "vectors",
+        "bounds",
+        "sizes",
+    )
+    asks = visits.select(
+        "block",
+        F.lit(1).alias("part"),
+        "query_id",
+        "embedding",
+        "known",
+        *(none.cast("binary").alias(c) for c in ("ids", "vectors", "bounds", "sizes")),
+    )
     both = rows.unionAll(asks).repartition("block").sortWithinPartitions("block", "part")
 
     def answer(held: dict, q_ids: list, q: list, known: list) -> Iterator[pa.RecordBatch]:
         if q_ids and held:
             vectors = np.array(q, np.float64)
-            best, score = search_block(np.array(q_ids, np.int64), vectors, np.array(known), held["ids"], held["vectors"], held["bounds"], held["sizes"], most, k, sure)
+            best, score = search_block(
+                np.array(q_ids, np.int64),
+                vectors,
+                np.array(known),
+                held["ids"],
+                held["vectors"],
+                held["bounds"],
+                held["sizes"],
+                most,
+                k,
+                sure,
+            )
             some = score > -np.inf
             yield pa.RecordBatch.from_arrays([
                 pa.array(q_ids, pa.int64()), pa.array(q, pa.list_(pa.float64())),
-                pa.array([b[s] for b, s in zip(best, some, strict=True)], pa.list_(pa.int64())), pa.array([x[s] for x, s in zip(score, some, strict=True)], pa.list_(pa.float64())),
+                pa.array([b[s] for b, s in zip(best, some, strict=True)], pa.list_(pa.int64())), pa.array(
+                    [x[s] for x, s in zip(score, some, strict=True)],
+                    pa.list_(pa.float64()),
+                ),
             ], ["query_id", "embedding", "vec_ids", "scores"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +269,12 @@ def _search(visits: DataFrame, index: DataFrame, dims: int, most: float, k: int,
                     now, held = block, {}
                 if part == 0:
                     ids, vectors, bounds, sizes = packed
-                    held = {"ids": np.frombuffer(ids, np.int64), "vectors": np.frombuffer(vectors, kind).astype(np.float64).reshape(-1, dims), "bounds": np.frombuffer(bounds).reshape(-1, 2, DIRECTIONS), "sizes": np.frombuffer(sizes, np.int64)}
+                    held = {
+                        "ids": np.frombuffer(ids, np.int64),
+                        "vectors": np.frombuffer(vectors, kind).astype(np.float64).reshape(-1, dims),
+                        "bounds": np.frombuffer(bounds).reshape(-1, 2, DIRECTIONS),
+                        "sizes": np.frombuffer(sizes, np.int64),
+                    }
                 else:
                     q_ids.append(i)
                     q.append(e)
@@ -245,8 +298,15 @@ def _nearest(rows_in: DataFrame, n: int, most: float, dims: int, k: int, sure: f
 
     dealt = map_rows(rows_in, deal, "block long, vec_id long, embedding array<double>, asks boolean")
     index = cut(_index(dealt, n_blocks, most, dims, kind), "index")
-    boxes = {r["block"]: np.frombuffer(r["box"]).reshape(2, DIRECTIONS) for r in index.select("block", "box").collect()}  # n_blocks small rows
-    asked = dealt.filter("asks").select(F.col("vec_id").alias("query_id"), "embedding", F.lit(None).cast("double").alias("known"), "block").distinct()
+    boxes = {
+        r["block"]: np.frombuffer(r["box"]).reshape(2, DIRECTIONS) for r in index.select("block", "box").collect()
+    }  # n_blocks small rows
+    asked = dealt.filter("asks").select(
+        F.col("vec_id").alias("query_id"),
+        "embedding",
+        F.lit(None).cast("double").alias("known"),
+        "block",
+    ).distinct()
     home = cut(_search(asked, index, dims, most, k, sure, kind), "home")
     names, low, high = np.array(sorted(boxes), np.int64), *(np.array([boxes[b][i] for b in sorted(boxes)]) for i in range(2))
     limit = reach(sure, DIRECTIONS)
@@ -280,16 +340,34 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sure: float = SUR
     both id and vector count once; rows that share only an id are candidates of their own, and their
     queries one query. An empty table gives no rows.
     """
-    good = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
+    good = F.col("embedding").isNotNull() & ~F.exists(
+        "embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    ) & F.exists("embedding", lambda x: x != 0)
     single = dict(vectors.dtypes)["embedding"] in ("array<float>",)
-    rows_in = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows_in = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
+    )
     rows_in = rows_in.filter(good & F.col("vec_id").isNotNull())
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    stats = rows_in.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("n"), F.max(norm).alias("most"), F.count_if("asks").alias("asked")).collect()
+    stats = rows_in.groupBy(F.size("embedding").alias("dims")).agg(
+        F.count("*").alias("n"),
+        F.max(norm).alias("most"),
+        F.count_if("asks").alias("asked"),
+    ).collect()
     found = None
     for r in stats:  # the lengths of vectors
         if r["asked"]:
-            one = _nearest(rows_in.filter(F.size("embedding") == r["dims"]), r["n"], float(r["most"]) * (1 + 1e-9), r["dims"], k, sure, "<f4" if single else "<f8")
+            one = _nearest(
+                rows_in.filter(F.size("embedding") == r["dims"]),
+                r["n"],
+                float(r["most"]) * (1 + 1e-9),
+                r["dims"],
+                k,
+                sure,
+                "<f4" if single else "<f8",
+            )
             found = one if found is None else found.unionAll(one)
     if found is None:
         return vectors.sparkSession.createDataFrame([], RESULT)

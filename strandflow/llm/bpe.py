@@ -254,7 +254,10 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
 
     def rows(c):
         e = encoder(vocabulary)
-        return {"doc_id": c["doc_id"], "text": [e.decode(np.array(i or [], np.int64)).decode("utf-8", "replace") for i in c["ids"].to_pylist()]}
+        return {
+            "doc_id": c["doc_id"],
+            "text": [e.decode(np.array(i or [], np.int64)).decode("utf-8", "replace") for i in c["ids"].to_pylist()],
+        }
 
     return map_rows(tokens.select("doc_id", "ids"), rows, "doc_id long, text string")
 

@@ -60,12 +60,20 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> dic
             out.append(np.packbits(x).tobytes())
         return {"lang": c["lang"], "draw": c["draw"], "doc_id": c["doc_id"], "bits": out}
 
-    got = sorted(map_rows(picked, rows, "lang string, draw long, doc_id long, bits binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"] is None, r["doc_id"] or 0, r["bits"]))
+    got = sorted(
+        map_rows(
+            picked,
+            rows,
+            "lang string, draw long, doc_id long, bits binary",
+        ).toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"] is None, r["doc_id"] or 0, r["bits"])
+    )
     if not got:
         return None
     names = sorted({r["lang"] for r in got})
     number = {n: k for k, n in enumerate(names)}
-    x = normalized(np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), -1), axis=1).astype(np.float32))
+    x = normalized(
+        np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), -1), axis=1).astype(np.float32)
+    )
     y = np.array([number[r["lang"]] for r in got])
     each = max(LEAST, min(LANDMARKS, ALL_LANDMARKS // len(names)))
     marks = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(names))])
@@ -83,7 +91,11 @@ def predict(docs: DataFrame, model: dict | None, block: int = 256) -> DataFrame:
     Repeated rows are each predicted; an empty table gives no rows; extra columns are not read.
     """
     if model is not None:
-        model = {"names": model["names"], "landmarks": model["weights"][0].astype(np.float32), "ridge": model["weights"][1].astype(np.float32)}
+        model = {
+            "names": model["names"],
+            "landmarks": model["weights"][0].astype(np.float32),
+            "ridge": model["weights"][1].astype(np.float32),
+        }
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(c):

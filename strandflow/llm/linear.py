@@ -41,7 +41,16 @@ def platt(z: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float]
     return float(a), float(b)
 
 
-def fit_sparse(index: np.ndarray, value: np.ndarray, row: np.ndarray, y: np.ndarray, size: int, rounds: int = 80, rate: float = 0.3, ridge: float = 1e-5) -> tuple[np.ndarray, float]:
+def fit_sparse(
+    index: np.ndarray,
+    value: np.ndarray,
+    row: np.ndarray,
+    y: np.ndarray,
+    size: int,
+    rounds: int = 80,
+    rate: float = 0.3,
+    ridge: float = 1e-5,
+) -> tuple[np.ndarray, float]:
     """Logistic regression over sparse rows (Adam on the whole sample; classes weighted alike)."""
     w, bias = np.zeros(size), 0.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0

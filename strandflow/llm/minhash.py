@@ -99,7 +99,10 @@ def bands(nodes: DataFrame) -> DataFrame:
 def _plausible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose estimated similarity is not clearly below `least`."""
     for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}")), side)
+        pairs = pairs.join(
+            nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}")),
+            side,
+        )
 
     def rows(c):
         a, b = (np.frombuffer(b"".join(c[k].to_pylist()), np.uint16).reshape(-1, BUCKETS) for k in ("r_a", "r_b"))
@@ -139,7 +142,11 @@ def _across(banded: DataFrame, nodes: DataFrame, found: DataFrame, docs: DataFra
     least = percent / 100
     placed = banded.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("band", "component").agg(F.count("*").alias("own"))
-    mixed = sizes.groupBy("band").agg(F.sum("own").alias("members"), F.count("*").alias("parts"), F.max_by("component", F.struct("own", "component")).alias("most")).filter("parts > 1")
+    mixed = sizes.groupBy("band").agg(
+        F.sum("own").alias("members"),
+        F.count("*").alias("parts"),
+        F.max_by("component", F.struct("own", "component")).alias("most"),
+    ).filter("parts > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows_in = placed.join(mixed.select("band", "most", blocks.alias("blocks")), "band").join(nodes.select("node", "n", "registers"), "node")
     # the largest component's members stay in their own block; only the others visit every block
@@ -237,7 +244,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     least = percent / 100
     sketches = cut(sketch(docs, k), "sketches")
-    nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("print").agg(
+        F.min("doc_id").alias("node"),
+        F.first("n_shingles").alias("n"),
+        F.first("registers").alias("registers"),
+    )
     nodes = cut(nodes, "nodes")
     banded = bands(nodes)
     shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
@@ -254,7 +265,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     more = cut(_across(banded.select("band", "place", "node"), nodes, found, docs, k, percent), "across")
     if not more.isEmpty():
         found = cut(components(links.unionAll(more)), "components")
-    of_print = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
+    of_print = nodes.select("print", "node").join(found, "node", "left").select(
+        "print",
+        F.coalesce("component", "node").alias("component_id"),
+    )
     out = sketches.select("doc_id", "n_shingles", "print").join(of_print, "print", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    out = out.select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+    )
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -54,7 +54,9 @@ class Units(dict):
         self.tokenizer.no_padding()
         # lower-case Latin words between blanks need no normalizer, and no pattern to be told apart
         self.words = Tokenizer(self.tokenizer.model)
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         suffix = model["end_of_word_suffix"]
@@ -182,7 +184,9 @@ def plan(histogram: dict[int, int], width: int) -> list[tuple[tuple[int, ...], i
                 add(pattern, count - used, most)
             left_over -= used
             # a pack that takes this length may take it again, as long as it is the emptiest
-            add(pattern + (length,), used, most - length) if most - length >= length else placed.append((pattern + (length,), used, most - length))
+            add(pattern + (length,), used, most - length) if most - length >= length else placed.append(
+                (pattern + (length,), used, most - length)
+            )
         for p in placed:
             add(*p)
         if left_over:

@@ -70,7 +70,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
 
     A document with several labels counts as bad if any of them says so; null labels say nothing.
     """
-    marks = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("class"))
+    marks = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min(F.col("quality").cast("int")).alias("class")
+    )
     wanted = linear.sample(marks, "class", per_class).select("doc_id", "class", "draw")
     picked = texts_of(docs).join(F.broadcast(wanted), "doc_id")  # at most 2 * per_class rows
 
@@ -87,7 +89,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
         return {"class": c["class"], "draw": c["draw"], "doc_id": c["doc_id"], "index": index, "value": value}
 
     got, size = [], 0
-    for r in map_rows(picked, rows, "class int, draw long, doc_id long, index binary, value binary").orderBy("draw", "doc_id", "index").toLocalIterator():
+    for r in map_rows(
+        picked,
+        rows,
+        "class int, draw long, doc_id long, index binary, value binary",
+    ).orderBy("draw", "doc_id", "index").toLocalIterator():
         got.append(r)
         size += len(r["index"]) // 4
         if size >= MAX_FEATURES:
@@ -100,7 +106,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
 
     def stacked(which: np.ndarray):
         rows_in = np.flatnonzero(which)
-        return np.concatenate([index[i] for i in rows_in]), np.concatenate([value[i] for i in rows_in]), np.repeat(np.arange(len(rows_in)), [len(index[i]) for i in rows_in])
+        return np.concatenate([index[i] for i in rows_in]), np.concatenate([value[i] for i in rows_in]), np.repeat(
+            np.arange(len(rows_in)),
+            [len(index[i]) for i in rows_in],
+        )
 
     i, v, r = stacked(~held)
     w, bias = linear.fit_sparse(i, v, r, y[~held], FAMILIES * SIZE)
@@ -119,7 +128,9 @@ def judge(model: dict | None, text: str | None, keep_from: float = KEEP_FROM) ->
     failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
     p = None
     if model is not None:
-        p = float(linear.sigmoid(np.float64(model["slope"] * margin(model["weights"], model["bias"], features(text, hashes)) + model["shift"])))
+        p = float(
+            linear.sigmoid(np.float64(model["slope"] * margin(model["weights"], model["bias"], features(text, hashes)) + model["shift"]))
+        )
     return *base, failed, p, not failed and (p is None or p >= keep_from)
 
 
@@ -145,4 +156,8 @@ def score(docs: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) ->
                 out[k].append(x)
         return {"doc_id": c["doc_id"], **out}
 
-    return map_rows(texts_of(docs), rows, "doc_id long, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, p_good double, kept boolean")
+    return map_rows(
+        texts_of(docs),
+        rows,
+        "doc_id long, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, p_good double, kept boolean",
+    )

@@ -109,7 +109,9 @@ def parts(texts: list[str], width: int) -> win.Runs | None:
     some = np.flatnonzero(stop > start)
     some = some[np.argsort(start[some], kind="stable")]
     half_at = np.concatenate([p - back, p])[some]
-    key = mix(win.run_prints(win.prefix_prints(words), half_at, half) ^ mix(np.tile(name[first], 2)[some] + (some < len(p)).astype(np.uint64)))
+    key = mix(
+        win.run_prints(win.prefix_prints(words), half_at, half) ^ mix(np.tile(name[first], 2)[some] + (some < len(p)).astype(np.uint64))
+    )
     doc = np.tile(doc[first], 2)[some]
     return doc, key, start[some] - begin[doc], (stop - start)[some], np.zeros(len(some), np.int64)
 
@@ -143,7 +145,18 @@ def _send(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.ndarray
         yield _block(docs, rows, texts, own, start, count, key, width, n, hot)
 
 
-def _block(docs: np.ndarray, rows: np.ndarray, texts: list[str], own: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray, width: int, n: int, hot: np.ndarray) -> pa.RecordBatch:
+def _block(
+    docs: np.ndarray,
+    rows: np.ndarray,
+    texts: list[str],
+    own: np.ndarray,
+    start: np.ndarray,
+    count: np.ndarray,
+    key: np.ndarray,
+    width: int,
+    n: int,
+    hot: np.ndarray,
+) -> pa.RecordBatch:
     """The shared windows of a block, packed by bucket; those that are late in the block itself travel with the first."""
     words, begin, _ = _words(texts)
     order = np.lexsort((start, own))
@@ -220,4 +233,8 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
             kept.append(left.decode("utf-8", "replace"))
         return {"doc_id": c["doc_id"], "n_words": n_words, "n_removed": removed, "kept_sha256": sha, "kept_text": kept}
 
-    return map_rows(win.with_spans(texts, repeats(texts, width)), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return map_rows(
+        win.with_spans(texts, repeats(texts, width)),
+        rows,
+        "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string",
+    )

@@ -179,7 +179,10 @@ def block_parts(texts: list[str], width: int) -> win.Runs | None:
     got = [(i, x) for i, t in enumerate(texts) if (x := parts(t, width)) is not None]
     if not got:
         return None
-    return np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got]), *(np.concatenate([x[k] for _, x in got]) for k in range(4))
+    return np.repeat(
+        np.array([i for i, _ in got], np.int64),
+        [len(x[0]) for _, x in got],
+    ), *(np.concatenate([x[k] for _, x in got]) for k in range(4))
 
 
 def _core(width: int) -> tuple[int, int]:
@@ -224,7 +227,11 @@ def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
     out = [c["known"].reshape(-1, 4)]
     alike = [i for members in places.values() for rows in members.values() if len(rows) > 1 for i in rows]
     out.append(np.stack([c["docs"][alike], c["rows"][alike], c["starts"][alike], c["counts"][alike]], axis=1).astype(np.int64))
-    laid = [(number, context, rows) for number, members in enumerate(m for m in places.values() if len(m) > 1) for context, rows in members.items()]
+    laid = [
+        (number, context, rows) for number, members in enumerate(
+            m for m in places.values() if len(m) > 1
+        ) for context, rows in members.items()
+    ]
     if laid:
         numbers, contexts, members = zip(*laid, strict=True)
         found = repeated_windows(list(contexts), [int(c["places"][rows[0]]) for rows in members], list(numbers), core, width)
@@ -232,7 +239,12 @@ def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
             if len(rows) == 1 and again.any():
                 at, i = np.flatnonzero(again), rows[0]
                 f, n = win.runs(at, np.zeros(len(at), np.int64))
-                out.append(np.stack([np.full(len(f), c["docs"][i]), np.full(len(f), c["rows"][i]), c["starts"][i] + at[f], n], axis=1).astype(np.int64))
+                out.append(
+                    np.stack(
+                        [np.full(len(f), c["docs"][i]), np.full(len(f), c["rows"][i]), c["starts"][i] + at[f], n],
+                        axis=1,
+                    ).astype(np.int64)
+                )
     rows = np.concatenate(out)
     return {k: rows[:, i] for i, k in enumerate(("doc", "row", "start", "count"))}
 
@@ -335,8 +347,22 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
         out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
         for text, starts, counts in zip(*(c[k].to_pylist() for k in ("text", "__start", "__count")), strict=True):
             left, gone = _left(text, starts, counts, width)
-            for k, v in zip(out, (len(gone), int(gone.sum()), int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)), hashlib.sha256(left).hexdigest(), left), strict=True):
+            for k, v in zip(
+                out,
+                (
+                    len(gone),
+                    int(gone.sum()),
+                    int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)),
+                    hashlib.sha256(left).hexdigest(),
+                    left,
+                ),
+                strict=True,
+            ):
                 out[k].append(v)
         return {"doc_id": c["doc_id"], **out}
 
-    return map_rows(win.with_spans(texts, repeats(texts, width)), rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return map_rows(
+        win.with_spans(texts, repeats(texts, width)),
+        rows,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+    )

@@ -37,7 +37,13 @@ def owners(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tuple
     return first, crossing
 
 
-def attribute(docs: DataFrame, vocabulary: str, fields: tuple[str, ...] = ("text",), boundary: str = r"\n", rule: str = "longest") -> DataFrame:
+def attribute(
+    docs: DataFrame,
+    vocabulary: str,
+    fields: tuple[str, ...] = ("text",),
+    boundary: str = r"\n",
+    rule: str = "longest",
+) -> DataFrame:
     r"""One row per section of each document: its place, its characters and the tokens counted in it.
 
     The document is its `fields` in order, one after the other; a section ends behind each match
@@ -86,5 +92,8 @@ def attribute(docs: DataFrame, vocabulary: str, fields: tuple[str, ...] = ("text
             out["n_crossing"].append(np.bincount(owner[crossing], minlength=n))
         return {k: np.concatenate(v) if k in ("start_char", "n_chars", "n_tokens", "n_crossing") else v for k, v in out.items()}
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(f).cast("string").alias(f"field_{i}") for i, f in enumerate(fields)))
+    picked = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *(F.col(f).cast("string").alias(f"field_{i}") for i, f in enumerate(fields)),
+    )
     return map_rows(picked, rows, COLUMNS)

@@ -70,14 +70,27 @@ def fit(docs: DataFrame, labels: DataFrame, kinds: int = KINDS, per_class: int =
 
     A document with several labels is toxic if any of them says so; null labels say nothing.
     """
-    marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("mark"))
+    marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.max(F.col("toxic").cast("int")).alias("mark")
+    )
     wanted = linear.sample(marks, "mark", per_class).select("doc_id", "mark", "draw")
     picked = texts_of(docs).join(F.broadcast(wanted), "doc_id")  # at most 2 * per_class rows
 
     def rows(c):
-        return {"doc_id": c["doc_id"], "draw": c["draw"], "mark": c["mark"], "index": [buckets(t).astype(np.int32).tobytes() for t in c["text"].to_pylist()]}
-
-    got = sorted(map_rows(picked, rows, "doc_id long, draw long, mark int, index binary").toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"], r["index"]))
+        return {
+            "doc_id": c["doc_id"],
+            "draw": c["draw"],
+            "mark": c["mark"],
+            "index": [buckets(t).astype(np.int32).tobytes() for t in c["text"].to_pylist()],
+        }
+
+    got = sorted(
+        map_rows(
+            picked,
+            rows,
+            "doc_id long, draw long, mark int, index binary",
+        ).toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"], r["index"])
+    )
     if not got:
         return None
     toxic_rows = np.array([r["mark"] for r in got], np.float64)

@@ -135,7 +135,14 @@ def schema_of(kinds: dict[str, str]) -> str:
     return "bucket long, " + ", ".join(f"{k} binary" for k in kinds)
 
 
-def per_bucket(df: DataFrame, n: int, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], kinds: dict[str, str], schema: str, carry: str = "bucket") -> DataFrame:
+def per_bucket(
+    df: DataFrame,
+    n: int,
+    work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]],
+    kinds: dict[str, str],
+    schema: str,
+    carry: str = "bucket",
+) -> DataFrame:
     """Bring each bucket's packed rows together and call `work` once per bucket with its concatenated columns.
 
     `kinds` maps packed columns to numpy types; `work` returns int64 columns of `schema`.
@@ -189,7 +196,12 @@ _KEYS = {"keys": "<u8", "docs": "<i8", "rows": "<i8", "starts": "<i4", "counts":
 Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _send_keys(batches: Iterator[pa.RecordBatch], parts: Callable[[list[str]], Runs | None], block: int, n: int) -> Iterator[pa.RecordBatch]:
+def _send_keys(
+    batches: Iterator[pa.RecordBatch],
+    parts: Callable[[list[str]], Runs | None],
+    block: int,
+    n: int,
+) -> Iterator[pa.RecordBatch]:
     for docs, rows, texts in blocks(batches, block):
         if (got := parts(texts)) is None:
             continue
@@ -201,7 +213,15 @@ def _send_keys(batches: Iterator[pa.RecordBatch], parts: Callable[[list[str]], R
         again = np.repeat(many > 1, many)
         known = np.stack([docs[at], rows[at], starts, counts, keys.view(np.int64), places], axis=1)[again]
         one = np.flatnonzero(head)
-        columns = {"keys": keys[one], "docs": docs[at[one]], "rows": rows[at[one]], "starts": starts[one].astype("<i4"), "counts": counts[one].astype("<i4"), "places": places[one].astype("<i4"), "many": many.astype("<i4")}
+        columns = {
+            "keys": keys[one],
+            "docs": docs[at[one]],
+            "rows": rows[at[one]],
+            "starts": starts[one].astype("<i4"),
+            "counts": counts[one].astype("<i4"),
+            "places": places[one].astype("<i4"),
+            "many": many.astype("<i4"),
+        }
         if (out := packed((keys[one] % np.uint64(n)).astype(np.int64), columns, known)) is not None:
             yield out
 
@@ -217,11 +237,23 @@ def _seen(c: dict[str, np.ndarray], hot: int) -> dict[str, np.ndarray]:
     high = np.flatnonzero(total > hot)
     none = np.zeros(len(high), np.int64)
     told = {"doc": none, "row": none, "start": total[high], "count": none - 1, "key": keys[head][high].view(np.int64), "place": none}
-    out = {"doc": c["docs"], "row": c["rows"], "start": c["starts"], "count": c["counts"], "key": c["keys"].view(np.int64), "place": c["places"]}
+    out = {
+        "doc": c["docs"],
+        "row": c["rows"],
+        "start": c["starts"],
+        "count": c["counts"],
+        "key": c["keys"].view(np.int64),
+        "place": c["places"],
+    }
     return {k: np.concatenate([v[pick].astype(np.int64), known[:, i], told[k]]) for i, (k, v) in enumerate(out.items())}
 
 
-def shared_runs(texts: DataFrame, parts: Callable[[list[str]], Runs | None], per_byte: float, block: int) -> tuple[DataFrame, np.ndarray, int]:
+def shared_runs(
+    texts: DataFrame,
+    parts: Callable[[list[str]], Runs | None],
+    per_byte: float,
+    block: int,
+) -> tuple[DataFrame, np.ndarray, int]:
     """Runs of windows (SPAN) whose key occurs at several places, the sorted hot keys, and the bytes of all texts.
 
     `parts` gives the runs of a block of texts (None: there are none); `per_byte` is about what it makes of a byte. Each block of texts tells a key once, with its number of places.
@@ -235,7 +267,9 @@ def shared_runs(texts: DataFrame, parts: Callable[[list[str]], Runs | None], per
     return found.filter("count > 0"), keys, size
 
 
-def span_blocks(batches: Iterator[pa.RecordBatch], size: int, *names: str) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[np.ndarray]]]:
+def span_blocks(batches: Iterator[pa.RecordBatch], size: int, *names: str) -> Iterator[
+    tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[np.ndarray]]
+]:
     """Rows with spans in blocks of about `size` characters: docs, rows, texts, and of all spans the number of its text in the block and the columns of `names`.
 
     Spans stay arrays; Python lists of them would take many times the memory.

@@ -13,7 +13,13 @@ from strandflow.llm.queries import vocabulary
 
 DATA = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EDGE = [(None, "word " * 500 + "end", "en"), (7, None, None), (10**9, "", None), (10**9 + 1, "²½ 12", None), (10**9 + 2, "y" * 300_000, "en")]
+EDGE = [
+    (None, "word " * 500 + "end", "en"),
+    (7, None, None),
+    (10**9, "", None),
+    (10**9 + 1, "²½ 12", None),
+    (10**9 + 2, "y" * 300_000, "en"),
+]
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +84,10 @@ def test_language_of_held_out_rows(spark, tables, edge):
     docs = tables["documents"]
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     model = langid.fit(docs, ~held)
-    rows = langid.predict(docs, model).join(docs.filter("lang is not null and length(text) > 0").filter(held).select("doc_id", "lang"), "doc_id").collect()
+    rows = langid.predict(docs, model).join(
+        docs.filter("lang is not null and length(text) > 0").filter(held).select("doc_id", "lang"),
+        "doc_id",
+    ).collect()
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and 0 <= r["score"] <= 1 for r in rows)
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.95
     got = langid.predict(edge, model).collect()
@@ -88,7 +97,10 @@ def test_language_of_held_out_rows(spark, tables, edge):
 
 
 def test_neighbours(spark, tables):
-    odd = spark.createDataFrame([(10**9, None), (10**9 + 20, [0.0] * 4), (None, [1.0] * 4), (10**9 + 40, [float("nan")] * 4)], "vec_id long, embedding array<float>")
+    odd = spark.createDataFrame(
+        [(10**9, None), (10**9 + 20, [0.0] * 4), (None, [1.0] * 4), (10**9 + 40, [float("nan")] * 4)],
+        "vec_id long, embedding array<float>",
+    )
     rows = tables["embeddings"].select("vec_id", "embedding").unionAll(odd)
     got: dict = {}
     for r in ann.nearest(rows, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
@@ -112,7 +124,9 @@ def test_neighbours(spark, tables):
 def test_neighbours_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
     rng = np.random.RandomState(8)
-    v = np.concatenate([rng.randn(900, 16) + 4 * rng.randn(6, 16)[rng.randint(0, 6, 900)], np.repeat(rng.randn(2, 16), 40, axis=0)]).astype(np.float32)
+    v = np.concatenate(
+        [rng.randn(900, 16) + 4 * rng.randn(6, 16)[rng.randint(0, 6, 900)], np.repeat(rng.randn(2, 16), 40, axis=0)]
+    ).astype(np.float32)
     rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5000 + i, [float(i + 1), 2.0]) for i in range(30)]
     # each row three times: a copy of a row is no neighbour of its own
     df = spark.createDataFrame(rows * 3, "vec_id long, embedding array<float>").repartition(6)
@@ -138,7 +152,13 @@ def test_every_language_is_learned(spark):
     rng, rows = random.Random(2), []
     for k in range(70):
         letters = rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèçñøåæœ", 5)
-        rows += [(100 * k + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(40)), f"l{k:02}") for i in range(12)]
+        rows += [
+            (
+                100 * k + i,
+                " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(40)),
+                f"l{k:02}",
+            ) for i in range(12)
+        ]
     rows += [(9000, "zz zz", None), (None, "", "l00")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
@@ -149,7 +169,10 @@ def test_every_language_is_learned(spark):
 
 
 def test_samples_are_bounded_in_each_class(spark):
-    rows = spark.range(20_000).selectExpr("id as doc_id", "case when id % 1000 = 0 then 'rare' when id = 7 then null else 'hot' end as kind")
+    rows = spark.range(20_000).selectExpr(
+        "id as doc_id",
+        "case when id % 1000 = 0 then 'rare' when id = 7 then null else 'hot' end as kind",
+    )
     got = {r["kind"]: r["count"] for r in linear.sample(rows, "kind", 100).groupBy("kind").count().collect()}
     assert got == {"rare": 20, "hot": 100}
 
@@ -175,7 +198,10 @@ def test_pipeline_stages(spark, tables):
     import corpus_pipeline as p
 
     docs, names = tables["documents"], tables["documents"].columns
-    docs = docs.filter("doc_id < 300").unionByName(spark.createDataFrame([(None, "a b c", None)], "doc_id long, text string, lang string"), allowMissingColumns=True)
+    docs = docs.filter("doc_id < 300").unionByName(
+        spark.createDataFrame([(None, "a b c", None)], "doc_id long, text string, lang string"),
+        allowMissingColumns=True,
+    )
     for name, stage in p.STAGES[:-1]:
         before = docs.count()
         docs = stage(spark, docs, DATA).cache()

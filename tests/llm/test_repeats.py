@@ -15,7 +15,11 @@ ODD = [None, "", "a", "a b", "x " * 60, "y" * 900, "é " * 300]
 
 def texts(seed):
     rng = random.Random(seed)
-    base = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee", "ff"]) + str(rng.randint(0, 9)) for _ in range(rng.randint(20, 90))) for _ in range(12)]
+    base = [
+        " ".join(
+            rng.choice(["aa", "bb", "cc", "dd", "ee", "ff"]) + str(rng.randint(0, 9)) for _ in range(rng.randint(20, 90))
+        ) for _ in range(12)
+    ]
     out = [*ODD, *base, *base[:3]]
     for b in base * 2:
         w = b.split()
@@ -102,7 +106,13 @@ def left_bytes(b, gone):
 def test_repeated_words(spark, monkeypatch, hot):
     monkeypatch.setattr(windows, "HOT_PLACES", hot)
     rows = texts(2)
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in recompress.remove_repeats(table(spark, rows).repartition(3)).collect()}
+    got = {
+        r["doc_id"]: (
+            r["n_words"],
+            r["n_removed"],
+            r["kept_sha256"],
+        ) for r in recompress.remove_repeats(table(spark, rows).repartition(3)).collect()
+    }
     assert got == late_words(rows) and recompress.remove_repeats(table(spark, [])).count() == 0
 
 
@@ -112,8 +122,20 @@ def test_repeated_bytes(spark, monkeypatch, hot, width):
     rows = texts(3)
     raw, want = [(t or "").encode() for _, t in rows], {}
     for (i, _), b, gone in zip(rows, raw, repeated_bytes(raw, width), strict=True):
-        want[i] = (len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(left_bytes(b, gone)).hexdigest())
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.remove_repeats(table(spark, rows).repartition(3), width).collect()}
+        want[i] = (
+            len(b),
+            int(gone.sum()),
+            int((np.diff(gone.astype(int), prepend=0) == 1).sum()),
+            hashlib.sha256(left_bytes(b, gone)).hexdigest(),
+        )
+    got = {
+        r["doc_id"]: (
+            r["n_bytes"],
+            r["n_removed"],
+            r["n_spans"],
+            r["kept_sha256"],
+        ) for r in suffix.remove_repeats(table(spark, rows).repartition(3), width).collect()
+    }
     assert got == want and suffix.remove_repeats(table(spark, []), width).count() == 0
 
 
@@ -136,7 +158,11 @@ def test_cut_texts_leaves_other_columns(spark):
     got = {r["doc_id"]: r for r in suffix.cut_texts(docs, 250).collect()}
     for (i, t), b, gone in zip(rows, raw, masks, strict=True):
         want = None if t is None else left_bytes(b, gone).decode("utf-8", "ignore")
-        assert got[i]["text"] == want and got[i]["n_chars"] == (None if t is None else len(want)) and (got[i]["spans"], got[i]["start"], got[i]["count"]) == ("x", 1, 1)
+        assert got[i]["text"] == want and got[i]["n_chars"] == (None if t is None else len(want)) and (
+            got[i]["spans"],
+            got[i]["start"],
+            got[i]["count"],
+        ) == ("x", 1, 1)
     assert suffix.cut_texts(docs, 250).columns == docs.columns and suffix.cut_texts(docs.limit(0), 250).count() == 0
 
 
@@ -144,7 +170,19 @@ def test_rows_without_an_own_id(spark):
     rng = random.Random(5)
     other = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
     passage, clean = other(30), other(120)
-    rows = [(None, f"{other(40)} {passage} {other(9)} {passage}"), (None, clean), (None, None), (None, "short"), (None, passage), (None, passage), (7, f"{passage} {other(60)}"), (7, other(150)), (7, "a b"), (8, clean), (8, clean)]
+    rows = [
+        (None, f"{other(40)} {passage} {other(9)} {passage}"),
+        (None, clean),
+        (None, None),
+        (None, "short"),
+        (None, passage),
+        (None, passage),
+        (7, f"{passage} {other(60)}"),
+        (7, other(150)),
+        (7, "a b"),
+        (8, clean),
+        (8, clean),
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     raw = [(t or "").encode() for _, t in rows]
     want = [(i, t and left_bytes(b, g).decode()) for (i, t), b, g in zip(rows, raw, repeated_bytes(raw, 100), strict=True)]
@@ -154,7 +192,16 @@ def test_rows_without_an_own_id(spark):
     assert sorted([(r[0], r[1].decode()) for r in kept], key=by) == sorted([(i, t or "") for i, t in want], key=by)
     got = [(r["doc_id"], r["n_words"], r["n_removed"]) for r in recompress.remove_repeats(docs).collect()]
     # one of the texts without an id holds the passage first, whichever it is; the texts of row 8 are one document, later than that without an id
-    assert sorted(got, key=str) == sorted([(None, n, x) for n, x in ((0, 0), (1, 0), (120, 0))] + [r for r in got if r[0] is None and r[1] in (30, 109)] + [(7, 90, 30), (7, 150, 0), (7, 2, 0), (8, 120, 120), (8, 120, 120)], key=str)
+    assert sorted(got, key=str) == sorted(
+        [(None, n, x) for n, x in ((0, 0), (1, 0), (120, 0))] + [r for r in got if r[0] is None and r[1] in (30, 109)] + [
+            (7, 90, 30),
+            (7, 150, 0),
+            (7, 2, 0),
+            (8, 120, 120),
+            (8, 120, 120),
+        ],
+        key=str,
+    )
     assert sum(r[2] for r in got if r[0] is None) in (30, 60, 90) and len(got) == len(rows)
 
 

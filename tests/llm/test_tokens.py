@@ -11,7 +11,22 @@ from strandflow.llm import bpe, packing, token_counts
 from strandflow.llm.queries import vocabulary
 
 tokenizers = pytest.importorskip("tokenizers")
-ODD = [None, "", " ", "\n\n", "a  b\n c", "<|endoftext|>", "x<|endoftext|> y", "naïve é 中文 😀", "\t tab\r\n", "it's I'LL", "a" * 5000, "the " * 3000, "０１", "é İstanbul Σσς"]
+ODD = [
+    None,
+    "",
+    " ",
+    "\n\n",
+    "a  b\n c",
+    "<|endoftext|>",
+    "x<|endoftext|> y",
+    "naïve é 中文 😀",
+    "\t tab\r\n",
+    "it's I'LL",
+    "a" * 5000,
+    "the " * 3000,
+    "０１",
+    "é İstanbul Σσς",
+]
 
 
 def made(n: int, seed: int) -> list[str]:
@@ -78,14 +93,20 @@ def test_plan_places_every_length():
 def test_ranks_of_one_frequent_length(spark):
     docs = spark.range(100_000).selectExpr("id as doc_id", "'the cat' as text").repartition(8)
     rows = packing.pack(docs, vocabulary("word_bpe_49k.json")).select("doc_id", "length", "sequence_id", "offset").toPandas()
-    assert set(rows.length) == {3} and len(rows) == 100_000 == rows.doc_id.nunique() == len(rows[["sequence_id", "offset"]].drop_duplicates())
+    assert set(rows.length) == {3} and len(rows) == 100_000 == rows.doc_id.nunique() == len(
+        rows[["sequence_id", "offset"]].drop_duplicates()
+    )
     assert rows.offset.max() <= 2045 and rows.sequence_id.nunique() == -(-100_000 // 682)
 
 
 def test_encoding_of_words_equals_the_library():
     path = vocabulary("word_bpe_49k.json")
     t = tokenizers.Tokenizer.from_file(path)
-    texts = [*made(3000, 9), *(x or "" for x in ODD), *(f"w{chr(c)}x {chr(c)}Y{chr(c)}, {chr(c)}." for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000)]
+    texts = [
+        *made(3000, 9),
+        *(x or "" for x in ODD),
+        *(f"w{chr(c)}x {chr(c)}Y{chr(c)}, {chr(c)}." for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000),
+    ]
     for text, ids in zip(texts, packing.encode_texts(texts, path), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
