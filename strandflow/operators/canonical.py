@@ -81,14 +81,18 @@ def derive_velocity(df: DataFrame, profile: Profile) -> DataFrame:
         return F.when(F.col("_rn") == 1, ahead - x).when(F.col("_rn") == F.col("_n"), x - back).otherwise((ahead - back) / 2)
 
     dt = slope("t_us") / 1e6
-    return df.withColumns({f"dq_{i}": F.try_divide(slope(f"q_{i}"), F.nullif(dt, F.lit(0.0))) for i in range(profile.n_joints)}).drop("_rn", "_n")
+    return df.withColumns(
+        {f"dq_{i}": F.try_divide(slope(f"q_{i}"), F.nullif(dt, F.lit(0.0))) for i in range(profile.n_joints)}
+    ).drop("_rn", "_n")
 
 
 def derive_action(df: DataFrame, profile: Profile) -> DataFrame:
     """act_q as the forward difference of q; 0 in the last row."""
     w = episode_window("t_us", "step")
     last = F.lead(F.lit(1)).over(w).isNull()
-    return df.withColumns({f"act_q_{i}": F.when(last, 0.0).otherwise(F.lead(f"q_{i}").over(w) - F.col(f"q_{i}")) for i in range(profile.n_joints)})
+    return df.withColumns(
+        {f"act_q_{i}": F.when(last, 0.0).otherwise(F.lead(f"q_{i}").over(w) - F.col(f"q_{i}")) for i in range(profile.n_joints)}
+    )
 
 
 def derive_absent(df: DataFrame, profile: Profile) -> DataFrame:
@@ -100,7 +104,9 @@ def derive_absent(df: DataFrame, profile: Profile) -> DataFrame:
             counts = [F.count(c).over(W.partitionBy(*KEYS)) for c in names]
             lacking = F.least(*counts) == 0 if len(counts) > 1 else counts[0] == 0
             df = derive(df.withColumns({f"_{c}": F.col(c) for c in names} | {"_lacking": lacking}), profile)
-            df = df.withColumns({c: F.when(F.col("_lacking"), F.col(c)).otherwise(F.col(f"_{c}")) for c in names}).drop("_lacking", *(f"_{c}" for c in names))
+            df = df.withColumns(
+                {c: F.when(F.col("_lacking"), F.col(c)).otherwise(F.col(f"_{c}")) for c in names}
+            ).drop("_lacking", *(f"_{c}" for c in names))
         else:
             df = derive(df, profile)
     return df
@@ -117,7 +123,13 @@ def coerce(df: DataFrame, profile: Profile, kind: str = "double", carry: tuple[s
     if not set(profile.joints("act_q")) <= has:
         df = derive_action(df, profile)
     has = set(df.columns)
-    return df.select(*KEYS, "step", "t_us", *(known(F.col(c)).cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c in profile.channels()), *carry)
+    return df.select(
+        *KEYS,
+        "step",
+        "t_us",
+        *(known(F.col(c)).cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c in profile.channels()),
+        *carry,
+    )
 
 
 def rebase_time(df: DataFrame) -> DataFrame:
@@ -146,5 +158,10 @@ def with_pose(df: DataFrame) -> DataFrame:
     swing = {"ee_x": turn * F.cos(lift), "ee_y": turn * F.sin(lift), "ee_z": F.cos(lift + F.col("q_3"))}
     pose = {k: F.lit(POSE[k][0]) + F.lit(POSE[k][1]) * v for k, v in swing.items()}
     known_wrist = F.col("q_5").isNotNull()
-    pose |= {"ee_qx": F.sin(F.col("q_5") / 2), "ee_qy": F.when(known_wrist, 0.0), "ee_qz": F.when(known_wrist, 0.0), "ee_qw": F.cos(F.col("q_5") / 2)}
+    pose |= {
+        "ee_qx": F.sin(F.col("q_5") / 2),
+        "ee_qy": F.when(known_wrist, 0.0),
+        "ee_qz": F.when(known_wrist, 0.0),
+        "ee_qw": F.cos(F.col("q_5") / 2),
+    }
     return df.withColumns({k: F.coalesce(F.col(k), v) if k in df.columns else v for k, v in pose.items()})

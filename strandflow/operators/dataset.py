@@ -15,7 +15,11 @@ TIERS = ("reject", "silver", "gold")
 
 def select_columns(keys: list[str], profile: Profile) -> list[str]:
     """Ordered columns of symbolic keys; an unknown key is an error."""
-    groups = {k: profile.joints(k) for k in ("q", "dq", "act_q")} | {"prev_act_q": profile.joints("prev_act_q"), "ee_pos": ["ee_x", "ee_y", "ee_z"], "ee_quat": ["ee_qx", "ee_qy", "ee_qz", "ee_qw"]}
+    groups = {k: profile.joints(k) for k in ("q", "dq", "act_q")} | {
+        "prev_act_q": profile.joints("prev_act_q"),
+        "ee_pos": ["ee_x", "ee_y", "ee_z"],
+        "ee_quat": ["ee_qx", "ee_qy", "ee_qz", "ee_qw"],
+    }
     groups |= {k: [k] for k in ("grip", "act_grip", "prev_act_grip")}
     if unknown := [k for k in keys if k not in groups]:
         raise ValueError(f"unknown keys: {', '.join(unknown)}")
@@ -52,7 +56,10 @@ def dedupe(episodes: DataFrame, order: tuple[str, ...] = KEYS, hash_column: str
     `order`; so a hash that many rows share, or lack, loads no task.
     """
     hashed = F.coalesce(F.col(hash_column), F.lit("")) != ""
-    first = episodes.filter(hashed).groupBy(hash_column).agg(F.min(F.struct(*order)).alias("_f")).select(*(F.col(f"_f.{c}").alias(f"_{c}") for c in order), F.lit(True).alias("_first"))
+    first = episodes.filter(hashed).groupBy(hash_column).agg(F.min(F.struct(*order)).alias("_f")).select(
+        *(F.col(f"_f.{c}").alias(f"_{c}") for c in order),
+        F.lit(True).alias("_first"),
+    )
     joined = episodes.join(first, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order], "left")
     return joined.withColumn("duplicate", hashed & F.col("_first").isNull()).drop("_first", *(f"_{c}" for c in order))
 
@@ -82,7 +89,15 @@ def dense_steps(df: DataFrame, needed: list[str]) -> DataFrame:
 def norm_stats(table: DataFrame, columns: list[str]) -> DataFrame:
     """(column, mean, std): population deviation, at least 1e-6; a column without values is (0, 1)."""
     row = table.agg(*(x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))))
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"m_{c}"), F.lit(0.0)).alias("mean"), F.coalesce(F.greatest(F.col(f"s_{c}"), F.lit(1e-6)), F.lit(1.0)).alias("std")) for c in columns))
+    pairs = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.coalesce(F.col(f"m_{c}"), F.lit(0.0)).alias("mean"),
+                F.coalesce(F.greatest(F.col(f"s_{c}"), F.lit(1e-6)), F.lit(1.0)).alias("std"),
+            ) for c in columns
+        )
+    )
     return row.select(F.inline(pairs))
 
 
@@ -91,7 +106,9 @@ def normalise(table: DataFrame, stats: dict[str, tuple[float, float]], back: boo
     return table.withColumns({c: F.col(c) * s + m if back else (F.col(c) - m) / s for c, (m, s) in stats.items()})
 
 
-def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile, check: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+def build(
+    steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], profile: Profile, check: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> tuple[DataFrame, DataFrame]:
     """(table, members): the split step table, and every episode with its exclude_reason, split and content_hash.
 
     Steps are joined to the passing episodes before any window work. With `check`, a build without
@@ -111,7 +128,9 @@ def build(steps: DataFrame, gated: DataFrame, obs: list[str], act: list[str], pr
     left = table.select(*KEYS).distinct().withColumn("_left", F.lit(True))
     members = members.join(left, list(KEYS), "left")
     hole = F.col("split").isNotNull() & F.col("_left").isNull()
-    members = members.withColumns({"exclude_reason": F.when(hole, "all_nan").otherwise(F.col("exclude_reason")), "split": F.when(~hole, F.col("split"))}).drop("_left")
+    members = members.withColumns(
+        {"exclude_reason": F.when(hole, "all_nan").otherwise(F.col("exclude_reason")), "split": F.when(~hole, F.col("split"))}
+    ).drop("_left")
     if check:
         check_split(members)
     return table, keep(members)
@@ -134,7 +153,9 @@ def dataset_hash(members: DataFrame, selection: str, buckets: int = 4) -> DataFr
     """
     digest = F.sha2(F.concat_ws(":", "split", "session_id", "episode_id", "content_hash"), 256)
     whole = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "|"), 256)
-    parts = members.filter("split is not null").select(digest.alias("d")).groupBy(F.substring("d", 1, buckets).alias("b")).agg(whole("d").alias("h"))
+    parts = members.filter("split is not null").select(digest.alias("d")).groupBy(
+        F.substring("d", 1, buckets).alias("b")
+    ).agg(whole("d").alias("h"))
     return parts.agg(F.substring(F.sha2(F.concat(F.lit(selection + "|"), whole("h")), 256), 1, 16).alias("dataset_hash"))
 
 
@@ -142,13 +163,30 @@ def manifest(table: DataFrame, members: DataFrame, obs: list[str], act: list[str
     """One row that describes a build: columns, filters, normalisation of the train split, exclusions, splits and dataset_hash."""
     norm = norm_stats(table.filter("split = 'train'"), [*dict.fromkeys([*obs, *act])])
     norm = norm.agg(F.sort_array(F.collect_list(F.struct("column", "mean", "std"))).alias("norm"))
-    out = members.filter("exclude_reason is not null").groupBy("exclude_reason").agg(F.count("*").alias("n")).agg(F.sort_array(F.collect_list(F.struct("exclude_reason", "n"))).alias("excluded"))
-    sides = members.filter("split is not null").groupBy("split").agg(F.count("*").alias("n_episodes"), F.countDistinct("session_id").alias("n_sessions"))
+    out = members.filter("exclude_reason is not null").groupBy("exclude_reason").agg(F.count("*").alias("n")).agg(
+        F.sort_array(F.collect_list(F.struct("exclude_reason", "n"))).alias("excluded")
+    )
+    sides = members.filter("split is not null").groupBy("split").agg(
+        F.count("*").alias("n_episodes"),
+        F.countDistinct("session_id").alias("n_sessions"),
+    )
     steps = table.groupBy("split").agg(F.count("*").alias("n_steps"))
-    sides = sides.join(steps, "split").agg(F.sort_array(F.collect_list(F.struct("split", "n_episodes", "n_sessions", "n_steps"))).alias("splits"))
-    filters = {"min_tier": profile.min_tier, "require_success": profile.require_success, "val_fraction": profile.val_fraction, "seed": profile.seed}
+    sides = sides.join(steps, "split").agg(
+        F.sort_array(F.collect_list(F.struct("split", "n_episodes", "n_sessions", "n_steps"))).alias("splits")
+    )
+    filters = {
+        "min_tier": profile.min_tier,
+        "require_success": profile.require_success,
+        "val_fraction": profile.val_fraction,
+        "seed": profile.seed,
+    }
     hashed = dataset_hash(members, json.dumps([obs, act, filters]))
-    fixed = hashed.select(F.array(*map(F.lit, obs)).alias("obs_columns"), F.array(*map(F.lit, act)).alias("action_columns"), F.lit(json.dumps(filters)).alias("filters"), "dataset_hash")
+    fixed = hashed.select(
+        F.array(*map(F.lit, obs)).alias("obs_columns"),
+        F.array(*map(F.lit, act)).alias("action_columns"),
+        F.lit(json.dumps(filters)).alias("filters"),
+        "dataset_hash",
+    )
     return fixed.join(norm).join(out).join(sides)  # one row each
 
 

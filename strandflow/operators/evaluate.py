@@ -30,13 +30,34 @@ def long_form(windows: DataFrame, *chunks: str) -> DataFrame:
 
 def baselines(long: DataFrame, train_mean: DataFrame) -> DataFrame:
     """Adds the three trivial predictions; train_mean is (d, mean), one row per action dimension."""
-    return long.join(F.broadcast(train_mean), "d").withColumns({"zero": F.lit(0.0), "train_mean": F.col("mean"), "persistence": F.col("prev")}).drop("mean")
+    return long.join(F.broadcast(train_mean), "d").withColumns(
+        {"zero": F.lit(0.0), "train_mean": F.col("mean"), "persistence": F.col("prev")}
+    ).drop("mean")
 
 
 def baseline_errors(predicted: DataFrame, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
     """(predictor, next_step_mae, chunk_mae)."""
-    row = predicted.agg(*(x for p in predictors for e in [F.abs(F.col(p) - F.col("truth"))] for x in (F.avg(F.when(F.col("k") == 0, e)).alias(f"n_{p}"), F.avg(e).alias(f"c_{p}"))))
-    return row.select(F.inline(F.array(*(F.struct(F.lit(p).alias("predictor"), F.col(f"n_{p}").alias("next_step_mae"), F.col(f"c_{p}").alias("chunk_mae")) for p in predictors))))
+    row = predicted.agg(
+        *(
+            x for p in predictors for e in [F.abs(F.col(p) - F.col("truth"))] for x in (
+                F.avg(F.when(F.col("k") == 0, e)).alias(f"n_{p}"),
+                F.avg(e).alias(f"c_{p}"),
+            )
+        )
+    )
+    return row.select(
+        F.inline(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(p).alias("predictor"),
+                        F.col(f"n_{p}").alias("next_step_mae"),
+                        F.col(f"c_{p}").alias("chunk_mae"),
+                    ) for p in predictors
+                )
+            )
+        )
+    )
 
 
 def mae_by_offset(predicted: DataFrame, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
@@ -50,7 +71,9 @@ def policy_errors(predicted: DataFrame, name: str, grip: int | None = None) -> D
     at = now & (F.col("d") == (-1 if grip is None else grip))
     return predicted.agg(
         F.avg(F.when(now, F.abs(e))).alias("mae"), F.sqrt(F.avg(F.when(now, e * e))).alias("rmse"), F.avg(F.abs(e)).alias("chunk_mae"),
-        F.avg(F.when(at, F.abs(e))).alias("gripper_mae"), F.avg(F.when(at, ((F.col(name) > 0.5) == (F.col("truth") > 0.5)).cast("double"))).alias("gripper_accuracy"),
+        F.avg(F.when(at, F.abs(e))).alias("gripper_mae"), F.avg(
+            F.when(at, ((F.col(name) > 0.5) == (F.col("truth") > 0.5)).cast("double"))
+        ).alias("gripper_accuracy"),
         F.count_if(now & (F.col("d") == 0)).alias("n_windows"), F.countDistinct(*KEYS).alias("n_episodes"),
     )
 
@@ -68,19 +91,38 @@ def skill(errors: DataFrame, policy: str, predictors: tuple[str, ...] = PREDICTO
     place = F.array_position(F.array(*(F.lit(p) for p in predictors)), F.col("predictor"))
     best = F.min(F.when(place > 0, F.struct("chunk_mae", place.alias("place"), "predictor")))
     own = lambda c: F.max(F.when(F.col("predictor") == policy, F.col(c)))
-    row = errors.agg(best.alias("b"), F.min(F.when(place > 0, F.col("next_step_mae"))).alias("s"), own("chunk_mae").alias("c"), own("next_step_mae").alias("n"))
+    row = errors.agg(
+        best.alias("b"),
+        F.min(F.when(place > 0, F.col("next_step_mae"))).alias("s"),
+        own("chunk_mae").alias("c"),
+        own("next_step_mae").alias("n"),
+    )
     gain = lambda own, base: 1 - F.try_divide(F.col(own), F.nullif(F.col(base), F.lit(0.0)))
-    return row.select(F.col("b.predictor").alias("best_baseline"), gain("c", "b.chunk_mae").alias("chunk_skill"), gain("n", "s").alias("next_step_skill"))
+    return row.select(
+        F.col("b.predictor").alias("best_baseline"),
+        gain("c", "b.chunk_mae").alias("chunk_skill"),
+        gain("n", "s").alias("next_step_skill"),
+    )
 
 
 def offset_curve(predicted: DataFrame, policy: str, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
     """(k, policy, best_baseline, best, winner, loses_everywhere): the policy beside the one baseline with the lowest chunk MAE, offset by offset."""
-    cells = predicted.groupBy("k").agg(F.count("truth").alias("_n"), *(F.avg(F.abs(F.col(p) - F.col("truth"))).alias(f"_{p}") for p in (policy, *predictors)))
+    cells = predicted.groupBy("k").agg(
+        F.count("truth").alias("_n"),
+        *(F.avg(F.abs(F.col(p) - F.col("truth"))).alias(f"_{p}") for p in (policy, *predictors)),
+    )
     chunk = lambda p: F.sum(F.col(f"_{p}") * F.col("_n")) / F.sum("_n")
-    best = F.array_min(F.array(*(F.struct(chunk(p).alias("mae"), F.lit(i).alias("i"), F.lit(p).alias("name")) for i, p in enumerate(predictors))))
+    best = F.array_min(
+        F.array(*(F.struct(chunk(p).alias("mae"), F.lit(i).alias("i"), F.lit(p).alias("name")) for i, p in enumerate(predictors)))
+    )
     whole = cells.agg(best.alias("_b"))  # one row
     value = F.coalesce(*(F.when(F.col("_b.name") == p, F.col(f"_{p}")) for p in predictors))
-    curve = cells.join(F.broadcast(whole)).select("k", F.col(f"_{policy}").alias("policy"), F.col("_b.name").alias("best_baseline"), value.alias("best"))
+    curve = cells.join(F.broadcast(whole)).select(
+        "k",
+        F.col(f"_{policy}").alias("policy"),
+        F.col("_b.name").alias("best_baseline"),
+        value.alias("best"),
+    )
     loses = curve.agg(F.min(F.col("policy") >= F.col("best")).alias("loses_everywhere"))  # one row
     winner = F.when(F.col("policy") < F.col("best"), "policy").otherwise(F.col("best_baseline"))
     return curve.withColumn("winner", winner).join(F.broadcast(loses))
@@ -98,7 +140,10 @@ def cluster_bootstrap(values: DataFrame, group: list[str], value: str, draws: in
     parts = stats.groupBy("part").agg(F.count("*").alias("size"))
     before = parts.alias("p").join(parts.alias("o"), F.col("o.part") < F.col("p.part"), "left")  # at most 256 x 256 rows
     before = before.groupBy("p.part").agg(F.coalesce(F.sum("o.size"), F.lit(0)).alias("before"))
-    numbered = stats.join(F.broadcast(before), "part").withColumn("g", F.row_number().over(W.partitionBy("part").orderBy(*group)) - 1 + F.col("before"))
+    numbered = stats.join(F.broadcast(before), "part").withColumn(
+        "g",
+        F.row_number().over(W.partitionBy("part").orderBy(*group)) - 1 + F.col("before"),
+    )
     size = stats.agg(F.count("*").alias("size"))
     rows = stats.sparkSession.range(draws).select(F.col("id").alias("r")).join(F.broadcast(size))
     rows = rows.select("r", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size"), F.lit(1)) - 1)).alias("i"))
@@ -119,11 +164,18 @@ def persistence_drift(table: DataFrame, q: list[str], act: list[str], n: int) ->
     w = episode_window("step")
     df = prev = table
     for i, (c, a) in enumerate(zip(q, act, strict=True)):
-        prev = prev.withColumn(f"_p{i}", F.when(F.row_number().over(w) == 1, F.col(a)).otherwise(F.lag(a).over(w))).withColumn(f"_e{i}", F.lead(c, n).over(w))
+        prev = prev.withColumn(
+            f"_p{i}",
+            F.when(F.row_number().over(w) == 1, F.col(a)).otherwise(F.lag(a).over(w)),
+        ).withColumn(f"_e{i}", F.lead(c, n).over(w))
     df = prev
     gap = sum(((F.col(c) + n * F.col(f"_p{i}") - F.col(f"_e{i}")) ** 2 for i, c in enumerate(q)), F.lit(0.0))
     starts = rollout_starts(table.groupBy(*KEYS).agg(F.count("*").alias("length")), n)
-    hit = df.join(starts, (df["session_id"] == starts["session_id"]) & (df["episode_id"] == starts["episode_id"]) & (df["step"] == starts["start"]), "left_semi")
+    hit = df.join(
+        starts,
+        (df["session_id"] == starts["session_id"]) & (df["episode_id"] == starts["episode_id"]) & (df["step"] == starts["start"]),
+        "left_semi",
+    )
     return hit.agg(F.lit(n).alias("horizon"), F.avg(F.sqrt(gap)).alias("drift"), F.count("*").alias("n_rollouts"))
 
 
@@ -141,7 +193,10 @@ def gram(table: DataFrame, x: list[str], y: list[str]) -> DataFrame:
         for b in batches:
             data = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names} | {"1": np.ones(b.num_rows)}
             total += np.stack([data[c] for c in left]) @ np.stack([data[c] for c in right], axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(left, len(right)).tolist()), pa.array(right * len(left)), pa.array(total.ravel())], ["i", "j", "value"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(left, len(right)).tolist()), pa.array(right * len(left)), pa.array(total.ravel())],
+            ["i", "j", "value"],
+        )
 
     sums = table.select(*x, *y).dropna().mapInArrow(run, "i string, j string, value double")
     return sums.groupBy("i", "j").agg(F.sum("value").alias("value"))
@@ -176,7 +231,13 @@ def _outputs(x: np.ndarray, model: dict, weights: np.ndarray) -> np.ndarray:
     return y * model["act_std"] + model["act_mean"]
 
 
-def fit_policy(windows: DataFrame, stats: dict[str, tuple[float, float]], obs: list[str], act: list[str], ridges: tuple[float, ...] = (1e-3, 1e-1, 10.0)) -> dict:
+def fit_policy(
+    windows: DataFrame,
+    stats: dict[str, tuple[float, float]],
+    obs: list[str],
+    act: list[str],
+    ridges: tuple[float, ...] = (1e-3, 1e-1, 10.0),
+) -> dict:
     """The ridge chunk policy's model: `stats` of the columns and weights (d + 1 rows, horizon * actions columns) per candidate, from one pass.
 
     Each partition sums its products; only the d x (d + outputs) cells are added up and reach the
@@ -185,7 +246,9 @@ def fit_policy(windows: DataFrame, stats: dict[str, tuple[float, float]], obs: l
     model = {"obs": list(obs), "act": list(act)}
     for name, columns in (("obs", obs), ("act", act)):
         model[f"{name}_mean"], model[f"{name}_std"] = (np.array([stats[c][i] for c in columns], np.float64) for i in range(2))
-    cells = windows.select("obs", "actions").mapInArrow(lambda rows: _products(rows, model), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
+    cells = windows.select("obs", "actions").mapInArrow(
+        lambda rows: _products(rows, model), "cell long, value double"
+    ).groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
     if not cells:
         raise ValueError("no window to fit on")
     d = len(obs) + 1
@@ -203,9 +266,18 @@ def fit_history(windows: DataFrame, model: dict) -> DataFrame:
     pairs = F.explode(F.arrays_zip("a", *(f"p{i}" for i in range(len(names))))).alias("x")
     flat = row.select(pairs)
     error = lambda i: F.col("x.a") - F.col(f"x.p{i}")
-    means = flat.agg(*(m for i in range(len(names)) for m in (F.avg(F.abs(error(i))).alias(f"m{i}"), F.avg(smooth_l1(error(i))).alias(f"l{i}"))))
+    means = flat.agg(
+        *(m for i in range(len(names)) for m in (F.avg(F.abs(error(i))).alias(f"m{i}"), F.avg(smooth_l1(error(i))).alias(f"l{i}")))
+    )
     best = F.array_min(F.array(*(F.struct(F.col(f"l{i}").alias("loss"), F.lit(i).alias("i")) for i in range(len(names)))))
-    structs = [F.struct(F.lit(float(r)).alias("ridge"), F.col(f"m{i}").alias("chunk_mae"), F.col(f"l{i}").alias("loss"), (F.col("_best.i") == i).alias("chosen")) for i, r in enumerate(names)]
+    structs = [
+        F.struct(
+            F.lit(float(r)).alias("ridge"),
+            F.col(f"m{i}").alias("chunk_mae"),
+            F.col(f"l{i}").alias("loss"),
+            (F.col("_best.i") == i).alias("chosen"),
+        ) for i, r in enumerate(names)
+    ]
     return means.withColumn("_best", best).select(F.inline(F.array(*structs)))
 
 
@@ -254,7 +326,12 @@ def rollout_drift(table: DataFrame, model: dict, weights: np.ndarray, n: int, ho
     if not q or len(q) != len(commands):
         return table.sparkSession.createDataFrame([], schema)
     w = episode_window("step")
-    ends = table.select(*KEYS, F.col("step").alias("start"), F.array(*obs).alias("obs"), F.array(*(F.lead(obs[i], n).over(w) for i in q)).alias("truth"))
+    ends = table.select(
+        *KEYS,
+        F.col("step").alias("start"),
+        F.array(*obs).alias("obs"),
+        F.array(*(F.lead(obs[i], n).over(w) for i in q)).alias("truth"),
+    )
     starts = rollout_starts(table.groupBy(*KEYS).agg(F.count("*").alias("length")), n)
     rows = ends.join(starts, [*KEYS, "start"], "left_semi")
     sent = table.sparkSession.sparkContext.broadcast((model, weights))
@@ -272,7 +349,10 @@ def rollout_drift(table: DataFrame, model: dict, weights: np.ndarray, n: int, ho
                 for i, a in back:
                     state[:, i] = action[:, a]
             drift = np.sqrt(((state[:, q] - truth) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2).cast(pa.int32()), pa.array(drift)], ["session_id", "episode_id", "start", "drift"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), b.column(2).cast(pa.int32()), pa.array(drift)],
+                ["session_id", "episode_id", "start", "drift"],
+            )
 
     return rows.select(*KEYS, "start", "obs", "truth").mapInArrow(run, schema)
 

@@ -38,8 +38,18 @@ def centre_and_scale(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     middle = counted.groupBy(*keys).agg(F.percentile(column, F.lit(0.5), F.col("_n")).alias("_median"), F.sum("_n").alias("_size"))
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
     off = counted.alias("c").join(middle.alias("m"), same)
-    off = off.select(*(F.col(f"c.{k}").alias(k) for k in keys), "_median", "_size", "_n", F.abs(F.col(f"c.{column}") - F.col("_median")).alias("_off"))
-    return off.groupBy(*keys).agg(F.first("_median").alias("_median"), (MAD_SCALE * F.percentile("_off", F.lit(0.5), F.col("_n"))).alias("_scale"), F.first("_size").alias("_size"))
+    off = off.select(
+        *(F.col(f"c.{k}").alias(k) for k in keys),
+        "_median",
+        "_size",
+        "_n",
+        F.abs(F.col(f"c.{column}") - F.col("_median")).alias("_off"),
+    )
+    return off.groupBy(*keys).agg(
+        F.first("_median").alias("_median"),
+        (MAD_SCALE * F.percentile("_off", F.lit(0.5), F.col("_n"))).alias("_scale"),
+        F.first("_size").alias("_size"),
+    )
 
 
 def _beside(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,10 +68,23 @@ def step_metrics(steps: DataFrame, profile: Profile) -> DataFrame:
     """Per episode: the seven metrics that come from the steps, and n_steps."""
     q, dq, act = profile.joints("q"), profile.joints("dq"), profile.joints("act_q")
     w, own = episode_window("step"), W.partitionBy(*KEYS)
-    df = steps.withColumns({f"_j_{i}": F.abs(F.col(a) - F.lag(a).over(w)) for i, a in enumerate(act)} | {f"_d_{i}": F.abs(F.lead(c).over(w) - F.col(c) - F.col(a)) for i, (c, a) in enumerate(zip(q, act, strict=True))} | {"_rn": F.row_number().over(w)})
+    df = steps.withColumns(
+        {f"_j_{i}": F.abs(F.col(a) - F.lag(a).over(w)) for i, a in enumerate(act)} | {
+            f"_d_{i}": F.abs(F.lead(c).over(w) - F.col(c) - F.col(a)) for i, (c, a) in enumerate(zip(q, act, strict=True))
+        } | {"_rn": F.row_number().over(w)}
+    )
     df = df.withColumns({f"_m_{i}": F.median(f"_j_{i}").over(own) for i in range(profile.n_joints)})
-    df = df.withColumns({f"_s_{i}": MAD_SCALE * F.median(F.abs(F.col(f"_j_{i}") - F.col(f"_m_{i}"))).over(own) for i in range(profile.n_joints)})
-    spike = any_of([F.coalesce((F.col(f"_s_{i}") > 0) & (F.col(f"_j_{i}") > F.col(f"_m_{i}") + profile.jerk_spike_k * F.col(f"_s_{i}")), F.lit(False)) for i in range(profile.n_joints)])
+    df = df.withColumns(
+        {f"_s_{i}": MAD_SCALE * F.median(F.abs(F.col(f"_j_{i}") - F.col(f"_m_{i}"))).over(own) for i in range(profile.n_joints)}
+    )
+    spike = any_of(
+        [
+            F.coalesce(
+                (F.col(f"_s_{i}") > 0) & (F.col(f"_j_{i}") > F.col(f"_m_{i}") + profile.jerk_spike_k * F.col(f"_s_{i}")),
+                F.lit(False),
+            ) for i in range(profile.n_joints)
+        ]
+    )
     # the gripper's state changes only at marker rows: the first known one, and those beyond either threshold
     grip = F.col("grip")
     first = F.col("step") == F.min(F.when(grip.isNotNull(), F.col("step"))).over(own)
@@ -75,12 +98,27 @@ def step_metrics(steps: DataFrame, profile: Profile) -> DataFrame:
     return df.groupBy(*KEYS).agg(
         n.alias("n_steps"),
         F.avg(any_of([F.col(c).isNull() for c in [*q, *dq, *act]]).cast("double")).alias("dropped"),
-        F.when(F.size(held) == 0, 1.0).otherwise(1 - F.try_divide(F.aggregate(held, F.lit(0).cast("long"), lambda a, x: a + x), n * F.size(held))).alias("nan_fraction"),
-        F.avg((F.sqrt(total([F.coalesce(F.col(c), F.lit(0.0)) ** 2 for c in dq])) < profile.idle_speed_eps).cast("double")).alias("idle_fraction"),
-        F.coalesce(F.avg(F.when(highest.isNotNull(), (highest >= 0.98 * profile.action_limit).cast("double"))), F.lit(0.0)).alias("action_saturation"),
+        F.when(F.size(held) == 0, 1.0).otherwise(
+            1 - F.try_divide(F.aggregate(held, F.lit(0).cast("long"), lambda a, x: a + x), n * F.size(held))
+        ).alias("nan_fraction"),
+        F.avg(
+            (F.sqrt(total([F.coalesce(F.col(c), F.lit(0.0)) ** 2 for c in dq])) < profile.idle_speed_eps).cast("double")
+        ).alias("idle_fraction"),
+        F.coalesce(
+            F.avg(F.when(highest.isNotNull(), (highest >= 0.98 * profile.action_limit).cast("double"))),
+            F.lit(0.0),
+        ).alias("action_saturation"),
         F.when(n < 3, 0.0).otherwise(F.try_divide(F.sum(F.col("_spike").cast("double")), n - 1)).alias("jerk_spike_rate"),
         F.when(F.count("grip") < 2, 0).otherwise(F.count_if(F.col("_mark") != F.col("_held"))).alias("grip_changes"),
-        F.when(n < 2, 0.0).otherwise(F.coalesce(F.try_divide(total([F.coalesce(F.sum(f"_d_{i}"), F.lit(0.0)) for i in range(profile.n_joints)]), total([F.count(f"_d_{i}") for i in range(profile.n_joints)])), F.lit(0.0))).alias("tracking_error"),
+        F.when(n < 2, 0.0).otherwise(
+            F.coalesce(
+                F.try_divide(
+                    total([F.coalesce(F.sum(f"_d_{i}"), F.lit(0.0)) for i in range(profile.n_joints)]),
+                    total([F.count(f"_d_{i}") for i in range(profile.n_joints)]),
+                ),
+                F.lit(0.0),
+            )
+        ).alias("tracking_error"),
     )
 
 
@@ -91,7 +129,10 @@ def duration_zabs(episodes: DataFrame, keys: list[str]) -> DataFrame:
     """
     df = _beside(episodes, centre_and_scale(episodes, keys, "duration_s"), keys)
     z = F.abs(F.col("duration_s") - F.col("_median")) / F.nullif(F.col("_scale"), F.lit(0.0))
-    return df.withColumn("duration_zabs", F.when((F.col("_size") >= 3) & (F.col("_scale") > 0), z).otherwise(0.0)).drop("_median", "_scale", "_size")
+    return df.withColumn(
+        "duration_zabs",
+        F.when((F.col("_size") >= 3) & (F.col("_scale") > 0), z).otherwise(0.0),
+    ).drop("_median", "_scale", "_size")
 
 
 def metrics(steps: DataFrame, episodes: DataFrame, profile: Profile, population: list[str] | None = None) -> DataFrame:
@@ -102,7 +143,10 @@ def metrics(steps: DataFrame, episodes: DataFrame, profile: Profile, population:
         F.greatest("dropped", "raw_gap_fraction").alias("dropped_frame_rate"),
         F.col("raw_dt_jitter").alias("timing_jitter"),
         "nan_fraction", "idle_fraction", "action_saturation", "jerk_spike_rate",
-        F.when(F.col("duration_s") > 0, F.col("grip_changes") / F.nullif(F.col("duration_s"), F.lit(0.0))).otherwise(0.0).alias("gripper_chatter_hz"),
+        F.when(
+            F.col("duration_s") > 0,
+            F.col("grip_changes") / F.nullif(F.col("duration_s"), F.lit(0.0)),
+        ).otherwise(0.0).alias("gripper_chatter_hz"),
         "tracking_error", "duration_zabs",
     )
 
@@ -120,12 +164,27 @@ def score(measured: DataFrame, profile: Profile) -> DataFrame:
     weights = sum(a[m].weight for m in METRICS)
     worth = 100 * (1 - total([a[m].weight * penalty(value[m], a[m]) for m in METRICS]) / weights)
     flags = F.array(*(F.when(value[m] >= a[m].flag_at, F.lit(m)) for m in METRICS))
-    structs = F.array(*(F.struct(F.lit(m).alias("name"), value[m].alias("value"), penalty(value[m], a[m]).alias("penalty"), F.lit(float(a[m].weight)).alias("weight"), (value[m] >= a[m].flag_at).alias("flagged")) for m in METRICS))
+    structs = F.array(
+        *(
+            F.struct(
+                F.lit(m).alias("name"),
+                value[m].alias("value"),
+                penalty(value[m], a[m]).alias("penalty"),
+                F.lit(float(a[m].weight)).alias("weight"),
+                (value[m] >= a[m].flag_at).alias("flagged"),
+            ) for m in METRICS
+        )
+    )
     reasons = F.array(
         F.when(value["nan_fraction"] > profile.hard_max_nan, F.lit("nan_fraction")),
         F.when(value["dropped_frame_rate"] > profile.hard_max_dropped, F.lit("dropped_frame_rate")),
         F.when(F.col("n_steps") < profile.hard_min_steps, F.lit("n_steps")),
     )
-    df = measured.withColumns({"score": worth, "flags": F.filter(flags, F.isnotnull), "metrics": structs, "hard_reject_reasons": F.filter(reasons, F.isnotnull)})
-    tier = F.when(F.size("hard_reject_reasons") > 0, "reject").when(F.col("score") >= profile.gold, "gold").when(F.col("score") >= profile.silver, "silver").otherwise("reject")
+    df = measured.withColumns(
+        {"score": worth, "flags": F.filter(flags, F.isnotnull), "metrics": structs, "hard_reject_reasons": F.filter(reasons, F.isnotnull)}
+    )
+    tier = F.when(
+        F.size("hard_reject_reasons") > 0,
+        "reject",
+    ).when(F.col("score") >= profile.gold, "gold").when(F.col("score") >= profile.silver, "silver").otherwise("reject")
     return df.withColumn("tier", tier)

@@ -28,7 +28,15 @@ def _timing(dt: Column, max_gap_us: int, over=None) -> dict[str, Column]:
     }
 
 
-def resample(raw: DataFrame, channels: list[str], rate: Column | float, max_gap_us: int, tie: list[str] = (), unit_us: int = SECOND_US, carry: list[str] = ()) -> DataFrame:
+def resample(
+    raw: DataFrame,
+    channels: list[str],
+    rate: Column | float,
+    max_gap_us: int,
+    tie: list[str] = (),
+    unit_us: int = SECOND_US,
+    carry: list[str] = (),
+) -> DataFrame:
     """(keys, step, t_us, channels, off_grid, n_raw, raw_dt_jitter, raw_gap_fraction, carry): linear interpolation on a uniform grid.
 
     The grid begins at the first sample and has `rate` points per `unit_us`: the session's own rate

@@ -9,19 +9,34 @@ from strandflow.profile import METRICS
 
 
 def corpus_summary(quality: DataFrame) -> DataFrame:
-    return quality.agg(F.count("*").alias("n_episodes"), F.avg("score").alias("mean"), F.median("score").alias("median"), F.percentile("score", F.lit(0.1)).alias("p10"), F.min("score").alias("min"), F.max("score").alias("max"))
+    return quality.agg(
+        F.count("*").alias("n_episodes"),
+        F.avg("score").alias("mean"),
+        F.median("score").alias("median"),
+        F.percentile("score", F.lit(0.1)).alias("p10"),
+        F.min("score").alias("min"),
+        F.max("score").alias("max"),
+    )
 
 
 def tier_counts(quality: DataFrame) -> DataFrame:
     """(tier, n, share), with rows for tiers that no episode has."""
     tiers = quality.sparkSession.createDataFrame([(t,) for t in ("gold", "silver", "reject")], "tier string")
     n = F.coalesce("n", F.lit(0)).cast("long")
-    return tiers.join(quality.groupBy("tier").agg(F.count("*").alias("n")), "tier", "left").select("tier", n.alias("n"), F.try_divide(n, F.sum(n).over(W.partitionBy(F.lit(1)))).alias("share"))
+    return tiers.join(quality.groupBy("tier").agg(F.count("*").alias("n")), "tier", "left").select(
+        "tier",
+        n.alias("n"),
+        F.try_divide(n, F.sum(n).over(W.partitionBy(F.lit(1)))).alias("share"),
+    )
 
 
 def flag_counts(quality: DataFrame) -> DataFrame:
     n = quality.select("*", F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
-    return n.join(F.broadcast(quality.agg(F.count("*").alias("_all")))).select("flag", "n", (F.col("n") / F.col("_all")).alias("share")).orderBy(F.desc("n"), "flag")
+    return n.join(F.broadcast(quality.agg(F.count("*").alias("_all")))).select(
+        "flag",
+        "n",
+        (F.col("n") / F.col("_all")).alias("share"),
+    ).orderBy(F.desc("n"), "flag")
 
 
 def _order(flag: str = "flag"):
@@ -31,17 +46,34 @@ def _order(flag: str = "flag"):
 def operator_rollup(quality: DataFrame) -> DataFrame:
     """Per operator: episodes, mean, gold, reject, the most common flag (ties in metric order), lowest mean first."""
     flags = quality.select("operator_id", F.explode("flags").alias("flag")).groupBy("operator_id", "flag").agg(F.count("*").alias("n"))
-    top = flags.withColumn("rn", F.row_number().over(W.partitionBy("operator_id").orderBy(F.desc("n"), _order()))).filter("rn = 1").select("operator_id", F.col("flag").alias("top_flag"))
-    base = quality.groupBy("operator_id").agg(F.count("*").alias("n_episodes"), F.avg("score").alias("mean"), F.count_if(F.col("tier") == "gold").alias("gold"), F.count_if(F.col("tier") == "reject").alias("reject"))
+    top = flags.withColumn(
+        "rn",
+        F.row_number().over(W.partitionBy("operator_id").orderBy(F.desc("n"), _order())),
+    ).filter("rn = 1").select("operator_id", F.col("flag").alias("top_flag"))
+    base = quality.groupBy("operator_id").agg(
+        F.count("*").alias("n_episodes"),
+        F.avg("score").alias("mean"),
+        F.count_if(F.col("tier") == "gold").alias("gold"),
+        F.count_if(F.col("tier") == "reject").alias("reject"),
+    )
     return base.join(top, "operator_id", "left").orderBy("mean", "operator_id")
 
 
 def task_rollup(quality: DataFrame) -> DataFrame:
-    return quality.groupBy("task_id").agg(F.count("*").alias("n_episodes"), F.avg("score").alias("mean"), F.count_if(F.col("tier") == "reject").alias("reject"))
+    return quality.groupBy("task_id").agg(
+        F.count("*").alias("n_episodes"),
+        F.avg("score").alias("mean"),
+        F.count_if(F.col("tier") == "reject").alias("reject"),
+    )
 
 
 def metric_distributions(quality: DataFrame) -> DataFrame:
-    return quality.select(F.inline("metrics")).groupBy("name").agg(F.median("value").alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"), F.max("value").alias("max"), F.avg("penalty").alias("mean_penalty"))
+    return quality.select(F.inline("metrics")).groupBy("name").agg(
+        F.median("value").alias("median"),
+        F.percentile("value", F.lit(0.9)).alias("p90"),
+        F.max("value").alias("max"),
+        F.avg("penalty").alias("mean_penalty"),
+    )
 
 
 def worst_episodes(quality: DataFrame, n: int = 10) -> DataFrame:
@@ -60,7 +92,11 @@ def issue_counts(validation: DataFrame) -> DataFrame:
 
 
 def validation_summary(validation: DataFrame) -> DataFrame:
-    return validation.agg(F.count("*").alias("checked"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("ok") & (F.size("issues") > 0)).alias("warned"))
+    return validation.agg(
+        F.count("*").alias("checked"),
+        F.count_if(~F.col("ok")).alias("failed"),
+        F.count_if(F.col("ok") & (F.size("issues") > 0)).alias("warned"),
+    )
 
 
 def exclusions(members: DataFrame) -> DataFrame:
@@ -92,14 +128,21 @@ def ingest_summary(episodes: DataFrame) -> DataFrame:
 def ingest_result(episodes: DataFrame, skipped: DataFrame, pruned: DataFrame) -> DataFrame:
     """One row: sessions, episodes, skipped and pruned sessions of a run, and (reason, n) of the skipped ones."""
     done = episodes.agg(F.countDistinct("session_id").alias("sessions"), F.count("*").alias("episodes"))
-    reasons = skipped.groupBy("reason").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("skipped"), F.sort_array(F.collect_list(F.struct("reason", "n"))).alias("reasons"))
+    reasons = skipped.groupBy("reason").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("skipped"),
+        F.sort_array(F.collect_list(F.struct("reason", "n"))).alias("reasons"),
+    )
     return done.join(reasons).join(pruned.agg(F.count("*").alias("pruned")))  # one row each
 
 
 def drop_rate(validation: DataFrame, quality: DataFrame, alarm: float = 0.4) -> DataFrame:
     """One row: episodes, quarantined, rejected among the rest, their share, and whether it is alarming."""
     both = validation.join(quality.select(*KEYS, "tier"), list(KEYS), "left")
-    row = both.agg(F.count("*").alias("total"), F.count_if(~F.col("ok")).alias("quarantined"), F.count_if(F.col("ok") & (F.col("tier") == "reject")).alias("rejected"))
+    row = both.agg(
+        F.count("*").alias("total"),
+        F.count_if(~F.col("ok")).alias("quarantined"),
+        F.count_if(F.col("ok") & (F.col("tier") == "reject")).alias("rejected"),
+    )
     share = F.try_divide(F.col("quarantined") + F.col("rejected"), F.col("total"))
     return row.withColumns({"drop_rate": share, "alarm": share > alarm})
 

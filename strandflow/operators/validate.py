@@ -19,7 +19,10 @@ def measure(steps: DataFrame, profile: Profile) -> DataFrame:
     channels, q, act = profile.channels(), profile.joints("q"), profile.joints("act_q")
     dt = steps.withColumn("_dt", (F.col("t_us") - F.lag("t_us").over(w)).cast("double"))
     n = F.count("*")
-    excess = F.greatest(*(x for c, lo, up in zip(q, profile.lower, profile.upper, strict=True) for x in (F.lit(lo) - F.col(c), F.col(c) - F.lit(up))), F.lit(0.0))
+    excess = F.greatest(
+        *(x for c, lo, up in zip(q, profile.lower, profile.upper, strict=True) for x in (F.lit(lo) - F.col(c), F.col(c) - F.lit(up))),
+        F.lit(0.0),
+    )
     norm = F.sqrt(F.col("ee_qx") ** 2 + F.col("ee_qy") ** 2 + F.col("ee_qz") ** 2 + F.col("ee_qw") ** 2)
     seen = [F.count(c) for c in channels]
     held = F.filter(F.array(*seen), lambda x: x > 0)
@@ -60,7 +63,14 @@ def validate(steps: DataFrame, profile: Profile) -> DataFrame:
         issue("joint_limit_violation", rest & (F.col("excess") > tol), "error", F.col("excess")),
         issue("joint_limit_grazed", rest & (F.col("excess") > 0) & (F.col("excess") <= tol), "warning", F.col("excess")),
         issue("quaternion_not_unit", rest & (F.col("quat_off") > 0.05), "warning", F.col("quat_off")),
-        *(issue("gripper_out_of_range", rest & ((F.col(f"min_{c}") < -0.01) | (F.col(f"max_{c}") > 1.01)), "warning", F.lit(c)) for c in ("grip", "act_grip")),
+        *(
+            issue(
+                "gripper_out_of_range",
+                rest & ((F.col(f"min_{c}") < -0.01) | (F.col(f"max_{c}") > 1.01)),
+                "warning",
+                F.lit(c),
+            ) for c in ("grip", "act_grip")
+        ),
         issue("action_over_limit", rest & (F.col("peak_action") > 1.05 * profile.action_limit), "warning", F.col("peak_action")),
     ]
     found = m.withColumn("issues", F.filter(F.array(*issues), F.isnotnull))

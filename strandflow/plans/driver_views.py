@@ -42,18 +42,26 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with messy headers; a tenth of the sessions is recorded a second time under another id, and rates (samples a day) differ."""
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     k = F.get_json_object("props", "$.k").cast("double")
-    code = F.array_position(F.array(*(F.lit(x) for x in ("click", "error", "purchase", "signup", "view"))), F.col("event_type")).cast("double") - 1
+    code = F.array_position(
+        F.array(*(F.lit(x) for x in ("click", "error", "purchase", "signup", "view"))),
+        F.col("event_type"),
+    ).cast("double") - 1
     block = F.expr("cast((day(ts) - 1) div 10 as int)")
     odd = F.pmod(F.col("user_id") + block, F.lit(10))
     rows = e.select(
         "event_id", "user_id", block.alias("block"), F.unix_micros("ts").alias("TimeStamp"),
         F.when(F.col("user_id") % 9 == 4, 7.0).when(F.col("user_id") % 9 == 5, 3.7).otherwise(4.0).alias("rate"),
         F.when((F.col("event_type") == "error") & (F.col("event_id") % 25 == 0), None).otherwise(F.col("value")).alias("Joint_0"),
-        k.alias("jpos1"), code.alias(" joint_2"), (k / 100).alias("Gripper"), (F.pmod(F.col("event_id") * 7, F.lit(41)) - 20.0).alias("cmd_0"), (k - 50).alias("action_1"), (code - 2).alias("target2"),
+        k.alias("jpos1"), code.alias(" joint_2"), (k / 100).alias("Gripper"), (
+            F.pmod(F.col("event_id") * 7, F.lit(41)) - 20.0
+        ).alias("cmd_0"), (k - 50).alias("action_1"), (code - 2).alias("target2"),
         F.concat(F.lit("episode_"), block, F.when(odd == 0, "_fail").when(odd == 1, "_ABORT").otherwise("_ok")).alias("stem"),
     )
     copies = F.explode(F.when(F.col("user_id") % 10 == 3, F.array(F.lit(""), F.lit("c"))).otherwise(F.array(F.lit("")))).alias("copy")
-    return rows.select("*", copies).withColumn("session_id", F.concat(F.col("user_id").cast("string"), F.col("copy"))).withColumn("episode_id", F.concat_ws("__", "session_id", "stem"))
+    return rows.select("*", copies).withColumn(
+        "session_id",
+        F.concat(F.col("user_id").cast("string"), F.col("copy")),
+    ).withColumn("episode_id", F.concat_ws("__", "session_id", "stem"))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +76,15 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged(steps: DataFrame) -> DataFrame:
     """Faults in some sessions, one kind each, so that every rule of the validity gate has something to find."""
     kind = F.regexp_replace("session_id", "c", "").cast("int") % 13
-    time = F.when((kind == 7) & (F.col("step") == 5), None).when((kind == 8) & (F.col("step") == 9), F.col("t_us") - 10 * DAY_US).otherwise(F.col("t_us"))
-    faults = {"t_us": time, "grip": F.when(kind == 9, F.col("grip") + 0.5).otherwise(F.col("grip")), "act_q_1": F.when(kind == 10, F.col("act_q_1") * 3).otherwise(F.col("act_q_1"))}
+    time = F.when((kind == 7) & (F.col("step") == 5), None).when(
+        (kind == 8) & (F.col("step") == 9),
+        F.col("t_us") - 10 * DAY_US,
+    ).otherwise(F.col("t_us"))
+    faults = {
+        "t_us": time,
+        "grip": F.when(kind == 9, F.col("grip") + 0.5).otherwise(F.col("grip")),
+        "act_q_1": F.when(kind == 10, F.col("act_q_1") * 3).otherwise(F.col("act_q_1")),
+    }
     pose = {"ee_qx": 0.6, "ee_qy": 0.0, "ee_qz": 0.0, "ee_qw": 1.0}
     return steps.withColumns(faults | {c: F.when(kind == 11, v) for c, v in pose.items()})
 
@@ -91,7 +106,11 @@ def episodes(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) ->
     """One row per episode: ids, label, raw timing, and what the grid made of it."""
     made = grid(spark, sf_dir) if made is None else made.withColumn("t_us", F.col("grid_us"))
     e = resample.episodes_of(made, "user_id", "stem")
-    ids = {"operator_id": F.concat(F.lit("op"), F.col("user_id") % 4), "task_id": F.concat(F.lit("task"), F.col("user_id") % 5), "success": canonical.success_label(F.col("stem"))}
+    ids = {
+        "operator_id": F.concat(F.lit("op"), F.col("user_id") % 4),
+        "task_id": F.concat(F.lit("task"), F.col("user_id") % 5),
+        "success": canonical.success_label(F.col("stem")),
+    }
     return e.withColumns(ids).drop("user_id", "stem")
 
 

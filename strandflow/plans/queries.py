@@ -62,12 +62,22 @@ def _issue_counts(spark, sf):
 
 
 def scan_events(spark, sf):
-    return table(spark, sf, "events").filter("value > 50").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return table(spark, sf, "events").filter("value > 50").groupBy("event_type").agg(
+        F.count("*").alias("n"),
+        F.round(F.sum("value"), 4).alias("total"),
+    )
 
 
 def session_meta_check(spark, sf):
     n = F.lit(3)
-    s = table(spark, sf, "customer").select(F.concat(F.lit(" s"), "c_custkey").alias("session_id"), F.when(F.col("c_custkey") % 7 == 0, " ").otherwise("op").alias("operator_id"), F.lit("r").alias("robot_id"), F.lit("t").alias("task_id"), (F.col("c_custkey") % 11).cast("double").alias("control_hz"), F.when(F.col("c_custkey") % 13 == 0, n + 1).otherwise(n).cast("int").alias("n_joints"))
+    s = table(spark, sf, "customer").select(
+        F.concat(F.lit(" s"), "c_custkey").alias("session_id"),
+        F.when(F.col("c_custkey") % 7 == 0, " ").otherwise("op").alias("operator_id"),
+        F.lit("r").alias("robot_id"),
+        F.lit("t").alias("task_id"),
+        (F.col("c_custkey") % 11).cast("double").alias("control_hz"),
+        F.when(F.col("c_custkey") % 13 == 0, n + 1).otherwise(n).cast("int").alias("n_joints"),
+    )
     from strandflow.sources.sessions import check_sessions
 
     return check_sessions(s, 3).groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
@@ -138,7 +148,14 @@ def m_duration_zabs(spark, sf):
 
 
 def robust_scale(spark, sf):
-    return rounded(metrics.robust_scale(table(spark, sf, "lineitem"), ["l_suppkey"], "l_extendedprice").groupBy("l_suppkey").agg(F.max("scale").alias("scale")), 4)
+    return rounded(
+        metrics.robust_scale(
+            table(spark, sf, "lineitem"),
+            ["l_suppkey"],
+            "l_extendedprice",
+        ).groupBy("l_suppkey").agg(F.max("scale").alias("scale")),
+        4,
+    )
 
 
 def quality_score(spark, sf):
@@ -155,7 +172,13 @@ def session_scoring(spark, sf):
 
 def penalty(spark, sf):
     """The mean penalty of each metric."""
-    return rounded(v.quality(spark, sf).select(F.inline("metrics")).groupBy("name").agg(F.avg("penalty").alias("mean_penalty"), F.count_if("flagged").alias("flagged")), 5)
+    return rounded(
+        v.quality(spark, sf).select(F.inline("metrics")).groupBy("name").agg(
+            F.avg("penalty").alias("mean_penalty"),
+            F.count_if("flagged").alias("flagged"),
+        ),
+        5,
+    )
 
 
 def validate_issues(spark, sf):
@@ -169,7 +192,14 @@ def validate_ok(spark, sf):
 def v_time_not_increasing(spark, sf):
     """Supplier-years of line items as episodes, in the order of their dates: dates tie, so time does not increase."""
     li = table(spark, sf, "lineitem")
-    li = li.select(F.col("l_suppkey").cast("string").alias("session_id"), F.year("l_shipdate").cast("string").alias("episode_id"), F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("t_us"), F.col("l_quantity").alias("q_0"), F.col("l_tax").alias("q_1"), F.col("l_discount").alias("q_2"))
+    li = li.select(
+        F.col("l_suppkey").cast("string").alias("session_id"),
+        F.year("l_shipdate").cast("string").alias("episode_id"),
+        F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("t_us"),
+        F.col("l_quantity").alias("q_0"),
+        F.col("l_tax").alias("q_1"),
+        F.col("l_discount").alias("q_2"),
+    )
     li = li.withColumn("step", F.row_number().over(canonical.episode_window("t_us", "q_0", "q_1", "q_2")))
     others = [c for c in PROFILE.channels() if c not in li.columns]
     return validate.measure(li.withColumns({c: F.lit(None).cast("double") for c in others}), PROFILE).select(*KEYS, "n", "not_increasing")
@@ -234,10 +264,15 @@ def ingest_summary(spark, sf):
 def ingest_result(spark, sf):
     """The sessions of a run, those skipped for their metadata, and those pruned since their source is gone."""
     e = v.keep(v.episodes(spark, sf))
-    skipped = e.select("session_id").distinct().filter("session_id like '%c'").select(F.when(F.length("session_id") < 3, "n_joints").otherwise("unreadable").alias("reason"))
+    skipped = e.select("session_id").distinct().filter("session_id like '%c'").select(
+        F.when(F.length("session_id") < 3, "n_joints").otherwise("unreadable").alias("reason")
+    )
     pruned = rollups.prune_orphans(e.select("session_id").distinct(), e.filter("length(session_id) < 3"), e.limit(0)).filter("not keep")
     found = rollups.ingest_result(e, skipped, pruned)
-    return found.withColumn("reasons", F.array_join(F.transform("reasons", lambda x: F.concat_ws(":", x["reason"], x["n"].cast("string"))), ","))
+    return found.withColumn(
+        "reasons",
+        F.array_join(F.transform("reasons", lambda x: F.concat_ws(":", x["reason"], x["n"].cast("string"))), ","),
+    )
 
 
 def episode_meta(spark, sf):
@@ -280,7 +315,10 @@ def dedupe_episodes(spark, sf):
 
 def content_hash(spark, sf):
     """Copied sessions have equal content: hashes are counted, not shown, since engines print doubles unlike."""
-    h = dataset.content_hash(v.raw(spark, sf).withColumn("step", F.row_number().over(canonical.episode_window("t_us", "event_id"))), ["q_0", "q_1", "q_2"])
+    h = dataset.content_hash(
+        v.raw(spark, sf).withColumn("step", F.row_number().over(canonical.episode_window("t_us", "event_id"))),
+        ["q_0", "q_1", "q_2"],
+    )
     return h.groupBy("content_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
 
 
@@ -317,7 +355,10 @@ def exclusions(spark, sf):
 
 
 def heldout_operators(spark, sf):
-    c = table(spark, sf, "orders").select(F.col("o_custkey").alias("operator_id"), dataset.assign_split(F.col("o_orderkey").cast("string"), PROFILE).alias("split"))
+    c = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("operator_id"),
+        dataset.assign_split(F.col("o_orderkey").cast("string"), PROFILE).alias("split"),
+    )
     return rollups.heldout_operators(c)
 
 
@@ -333,18 +374,35 @@ def manifest(spark, sf):
 
 def action_chunks(spark, sf):
     w = _windows(spark, sf)[1]
-    return w.groupBy(*KEYS).agg(F.count("*").alias("n_windows"), F.round(F.sum(F.expr("aggregate(transform(actions, a -> a[0] + a[1] + a[2]), 0D, (s, x) -> s + x)")), 4).alias("total"))
+    return w.groupBy(*KEYS).agg(
+        F.count("*").alias("n_windows"),
+        F.round(F.sum(F.expr("aggregate(transform(actions, a -> a[0] + a[1] + a[2]), 0D, (s, x) -> s + x)")), 4).alias("total"),
+    )
 
 
 def conversation_windows(spark, sf):
     """Windows of three turns that never leave a conversation."""
-    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("session_id"), F.lit("c").alias("episode_id"), F.col("turn").alias("step"), F.col("turn").alias("t_us"), F.length("text").cast("double").alias("chars"))
+    c = table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("string").alias("session_id"),
+        F.lit("c").alias("episode_id"),
+        F.col("turn").alias("step"),
+        F.col("turn").alias("t_us"),
+        F.length("text").cast("double").alias("chars"),
+    )
     w = dataset.action_chunks(c, ["chars"], 3)
     return w.select("session_id", "window", F.expr("aggregate(actions, 0D, (s, x) -> s + x[0])").alias("chars"))
 
 
 def baselines(spark, sf):
-    return rounded(_predicted(spark, sf).groupBy("d", "k").agg(F.count("*").alias("n"), F.avg("truth").alias("truth"), F.avg("train_mean").alias("train_mean"), F.avg("persistence").alias("persistence")), 5)
+    return rounded(
+        _predicted(spark, sf).groupBy("d", "k").agg(
+            F.count("*").alias("n"),
+            F.avg("truth").alias("truth"),
+            F.avg("train_mean").alias("train_mean"),
+            F.avg("persistence").alias("persistence"),
+        ),
+        5,
+    )
 
 
 def baseline_errors(spark, sf):
@@ -394,7 +452,10 @@ def fitted_interval(spark, sf):
 
 
 def cluster_bootstrap(spark, sf):
-    return rounded(evaluate.cluster_bootstrap(table(spark, sf, "supplier"), ["s_nationkey"], "s_acctbal", PROFILE.bootstrap_samples, PROFILE.seed), 4)
+    return rounded(
+        evaluate.cluster_bootstrap(table(spark, sf, "supplier"), ["s_nationkey"], "s_acctbal", PROFILE.bootstrap_samples, PROFILE.seed),
+        4,
+    )
 
 
 def rollout_starts(spark, sf):
@@ -411,7 +472,13 @@ def rollout_drift(spark, sf):
     """Mean open-loop drift of the fitted policy after each horizon."""
     built, _, model, history = _fitted(spark, sf)
     weights, val = evaluate.choose(model, history), built.filter("split = 'val'")
-    parts = [evaluate.rollout_drift(val, model, weights, n, PROFILE.horizon).agg(F.lit(n).alias("horizon"), F.avg("drift").alias("drift"), F.count("*").alias("n_rollouts")) for n in PROFILE.rollout_horizons]
+    parts = [
+        evaluate.rollout_drift(val, model, weights, n, PROFILE.horizon).agg(
+            F.lit(n).alias("horizon"),
+            F.avg("drift").alias("drift"),
+            F.count("*").alias("n_rollouts"),
+        ) for n in PROFILE.rollout_horizons
+    ]
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -441,4 +508,6 @@ def retry_ledger(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     helpers = {"rounded", "table", "queries"}
-    return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers}
+    return {
+        k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in helpers
+    }

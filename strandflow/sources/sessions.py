@@ -39,7 +39,10 @@ def check_sessions(sessions: DataFrame, n_joints: int) -> DataFrame:
     reason = F.when(F.col("_broken").isNotNull(), "unreadable") if "_broken" in sessions.columns else F.when(F.lit(False), "")
     for c in ("session_id", "operator_id", "robot_id", "task_id"):
         reason = reason.when(blank(c), f"empty {c}")
-    reason = reason.when(~F.coalesce(F.col("control_hz") > 0, F.lit(False)), "control_hz").when(~F.coalesce(F.col("n_joints") == n_joints, F.lit(False)), "n_joints")
+    reason = reason.when(~F.coalesce(F.col("control_hz") > 0, F.lit(False)), "control_hz").when(
+        ~F.coalesce(F.col("n_joints") == n_joints, F.lit(False)),
+        "n_joints",
+    )
     ids = {c: F.trim(c) for c in ("session_id", "operator_id", "robot_id", "task_id")}
     return sessions.withColumn("reason", reason).withColumns(ids).drop("_broken")
 
@@ -57,7 +60,11 @@ def _under(df: DataFrame, directories: DataFrame | None) -> DataFrame:
 
 def _read_csv(spark: SparkSession, root: str, directories: DataFrame | None) -> DataFrame | None:
     glob = {"pathGlobFilter": GLOBS["csv"]}
-    lines = spark.read.options(**glob).text(f"{root}/*").select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"))
+    lines = spark.read.options(**glob).text(f"{root}/*").select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("begin"),
+    )
     # within a file's first block, rows are numbered in the order of its lines
     numbered = lines.filter("begin = 0").withColumns({"n": F.monotonically_increasing_id(), "directory": directory_of("path")})
     heads = _under(numbered, directories).groupBy("path").agg(F.min_by("value", "n").alias("head"))
@@ -117,8 +124,14 @@ def read_episodes(spark: SparkSession, root: str, directories: DataFrame | None
     files = _under(list_files(spark, root), directories)
     known = F.col("name").rlike(SUFFIX)
     odd = files.filter(~known & (F.col("name") != "session.json")).select("directory", "path", F.lit("unsupported suffix").alias("reason"))
-    none = files.groupBy("directory").agg(F.count_if(known).alias("n"), F.min("path").alias("path")).filter("n = 0").select("directory", "path", F.lit("no episode files").alias("reason"))
-    kinds = {r["k"] for r in files.filter(known).select(F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)).alias("k")).distinct().collect()}
+    none = files.groupBy("directory").agg(F.count_if(known).alias("n"), F.min("path").alias("path")).filter("n = 0").select(
+        "directory",
+        "path",
+        F.lit("no episode files").alias("reason"),
+    )
+    kinds = {
+        r["k"] for r in files.filter(known).select(F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)).alias("k")).distinct().collect()
+    }
     parts = [_read_csv(spark, root, directories)] if "csv" in kinds else []
     parts += [_read_named(spark, root, "json")] if kinds & {"jsonl", "ndjson"} else []
     parts += [_read_named(spark, root, "parquet")] if "parquet" in kinds else []
@@ -141,7 +154,10 @@ def write_store(df: DataFrame, path: str) -> None:
     """One table of the canonical store: float channels, zstd, folders by hash prefix and session; a session written again replaces itself."""
     floats = {c: F.col(c).cast("float") for c, t in df.dtypes if t == "double" and c not in ("duration_s", "control_hz", "score")}
     df = df.withColumns(floats | {"bucket": _bucket()})
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("bucket", "session_id").parquet(path)
+    df.write.mode("overwrite").option(
+        "partitionOverwriteMode",
+        "dynamic",
+    ).option("compression", "zstd").partitionBy("bucket", "session_id").parquet(path)
 
 
 def write_episodes(steps: DataFrame, episodes: DataFrame, path: str) -> None:

@@ -21,13 +21,20 @@ def discover(spark: SparkSession, root: str, n_joints: int) -> DataFrame:
 
     A folder counts once its session.json is there, so recorders write that file last.
     """
-    raw = spark.readStream.schema(SESSION).option("multiLine", True).option("columnNameOfCorruptRecord", "_broken").option("pathGlobFilter", "session.json").option("recursiveFileLookup", True).json(root)
+    raw = spark.readStream.schema(SESSION).option("multiLine", True).option(
+        "columnNameOfCorruptRecord",
+        "_broken",
+    ).option("pathGlobFilter", "session.json").option("recursiveFileLookup", True).json(root)
     return check_sessions(raw.withColumn("directory", directory_of()), n_joints)
 
 
 def retry_ledger(arrived: DataFrame, ledger: DataFrame, done: DataFrame) -> DataFrame:
     """Sessions to process next time: what arrived or waited, without what is done."""
-    return arrived.select("session_id").union(ledger.select("session_id")).distinct().join(done.select("session_id"), "session_id", "left_anti")
+    return arrived.select("session_id").union(ledger.select("session_id")).distinct().join(
+        done.select("session_id"),
+        "session_id",
+        "left_anti",
+    )
 
 
 def waiting(spark: SparkSession, ledger: str, before: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
@@ -83,7 +90,10 @@ def run(spark: SparkSession, root: str, n_joints: int, process: Process, checkpo
         left = _attempt(df, process, batch_id)
         _record(before.join(left, "directory", "left_anti").select(left.columns).unionAll(left), ledger, batch_id, 0)
 
-    discover(spark, root, n_joints).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    discover(spark, root, n_joints).writeStream.foreachBatch(batch).option(
+        "checkpointLocation",
+        checkpoint,
+    ).trigger(availableNow=True).start().awaitTermination()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -93,4 +103,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def gap_sessions(stream: DataFrame, time: str, keys: list[str], gap: str, late: str = "1 hour") -> DataFrame:
     """Stretches without a gap: a new session window begins where `gap` passed without a row."""
-    return stream.withWatermark(time, late).groupBy(*keys, F.session_window(time, gap).alias("stretch")).agg(F.count("*").alias("n")).select(*keys, F.col("stretch.start").alias("start"), F.col("stretch.end").alias("end"), "n")
+    return stream.withWatermark(time, late).groupBy(*keys, F.session_window(time, gap).alias("stretch")).agg(F.count("*").alias("n")).select(
+        *keys,
+        F.col("stretch.start").alias("start"),
+        F.col("stretch.end").alias("end"),
+        "n",
+    )

@@ -18,7 +18,9 @@ def ingest(rows: DataFrame, sessions: DataFrame, profile: Profile) -> tuple[Data
     Rows without a time are left out. Rows whose folder has no usable session are left out, too.
     """
     keyed = rows.join(sessions.select("directory", "session_id", "operator_id", "task_id", "control_hz"), "directory")
-    raw = keyed.withColumns({"episode_id": F.concat_ws("__", "session_id", "stem"), "t_us": F.round(F.col("t") * resample.SECOND_US).cast("long")}).filter("t_us is not null")
+    raw = keyed.withColumns(
+        {"episode_id": F.concat_ws("__", "session_id", "stem"), "t_us": F.round(F.col("t") * resample.SECOND_US).cast("long")}
+    ).filter("t_us is not null")
     channels = [c for c in profile.channels() if c in raw.columns]
     known = raw.withColumns({c: canonical.known(F.col(c)) for c in channels})
     carried = ["operator_id", "task_id", "success", "source_file", "control_hz"]
@@ -53,9 +55,16 @@ def processor(root: str, profile: Profile, store: str, quarantine: str, runs: st
             fate = F.when(~F.col("ok"), "quarantined").when(F.col("tier") == "reject", "rejected").otherwise("accepted")
             judged = judged.withColumn("fate", fate).drop("metrics").persist()
             good, bad = judged.filter("fate = 'accepted'"), judged.filter("fate <> 'accepted'")
-            source.write_episodes(steps.join(good, list(KEYS), "left_semi"), good.drop("ok", "issues", "fate", "hard_reject_reasons"), store)
+            source.write_episodes(
+                steps.join(good, list(KEYS), "left_semi"),
+                good.drop("ok", "issues", "fate", "hard_reject_reasons"),
+                store,
+            )
             source.write_episodes(steps.join(bad, list(KEYS), "left_semi"), bad.drop("ok"), quarantine)
-            counts = [F.count("*").alias("episodes"), *(F.count_if(F.col("fate") == f).alias(f) for f in ("accepted", "quarantined", "rejected"))]
+            counts = [
+                F.count("*").alias("episodes"),
+                *(F.count_if(F.col("fate") == f).alias(f) for f in ("accepted", "quarantined", "rejected")),
+            ]
             done = judged.groupBy("session_id").agg(*counts)
             outcome = work.select("session_id").join(done, "session_id", "left")
             outcome = outcome.withColumn("error", F.when(F.col("episodes").isNull(), "no episode"))
@@ -80,7 +89,13 @@ def run_summary(runs: DataFrame, alarm: float = 0.4) -> DataFrame:
 
     Of a session that a batch ran twice, the later outcome counts.
     """
-    last = runs.groupBy("batch", "session_id").agg(F.max_by(F.struct("episodes", "accepted", "quarantined", "rejected", "error"), "ran_at").alias("o")).select("batch", "session_id", "o.*")
-    row = last.groupBy("batch").agg(F.count("*").alias("sessions"), *(F.sum(c).alias(c) for c in ("episodes", "accepted", "quarantined", "rejected")), F.count("error").alias("failed"))
+    last = runs.groupBy("batch", "session_id").agg(
+        F.max_by(F.struct("episodes", "accepted", "quarantined", "rejected", "error"), "ran_at").alias("o")
+    ).select("batch", "session_id", "o.*")
+    row = last.groupBy("batch").agg(
+        F.count("*").alias("sessions"),
+        *(F.sum(c).alias(c) for c in ("episodes", "accepted", "quarantined", "rejected")),
+        F.count("error").alias("failed"),
+    )
     share = F.try_divide(F.col("quarantined") + F.col("rejected"), F.col("accepted") + F.col("quarantined") + F.col("rejected"))
     return row.withColumns({"drop_rate": share, "alarm": F.coalesce(share > alarm, F.lit(False))})

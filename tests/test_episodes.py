@@ -17,9 +17,25 @@ def clean(n=150, turn=40):
     there = [min(k % (2 * turn), 2 * turn - k % (2 * turn)) for k in range(n)]
     rows = []
     for k in range(n):
-        row = {"session_id": "s", "episode_id": "s__e", "step": k, "t_us": k * P.dt_us, "grip": 0.9 if 3 * k < n else 0.1, "act_grip": 0.2, "ee_x": 0.3, "ee_y": -0.2, "ee_z": 0.5, "ee_qx": 0.6, "ee_qy": 0.0, "ee_qz": 0.8, "ee_qw": 0.0}
+        row = {
+            "session_id": "s",
+            "episode_id": "s__e",
+            "step": k,
+            "t_us": k * P.dt_us,
+            "grip": 0.9 if 3 * k < n else 0.1,
+            "act_grip": 0.2,
+            "ee_x": 0.3,
+            "ee_y": -0.2,
+            "ee_z": 0.5,
+            "ee_qx": 0.6,
+            "ee_qy": 0.0,
+            "ee_qz": 0.8,
+            "ee_qw": 0.0,
+        }
         ahead = there[k + 1] if k + 1 < n else there[k]
-        row |= {f"q_{j}": middle[j] + v * there[k] for j, v in enumerate(SPEED)} | {f"act_q_{j}": v * (ahead - there[k]) for j, v in enumerate(SPEED)}
+        row |= {f"q_{j}": middle[j] + v * there[k] for j, v in enumerate(SPEED)} | {
+            f"act_q_{j}": v * (ahead - there[k]) for j, v in enumerate(SPEED)
+        }
         rows.append(row)
     return rows
 
@@ -75,7 +91,17 @@ def test_jerk_spike_and_saturation(spark):
     assert measured(spark, rows)["action_saturation"] == 1
 
 
-@pytest.mark.parametrize("defect, code, ok", [("short", "too_short", False), ("time", "time_not_increasing", False), ("unit", "joint_limit_violation", False), ("quaternion", "quaternion_not_unit", True), ("absent", "columns_absent", True), ("holes", "excess_nan", False)])
+@pytest.mark.parametrize(
+    "defect, code, ok",
+    [
+        ("short", "too_short", False),
+        ("time", "time_not_increasing", False),
+        ("unit", "joint_limit_violation", False),
+        ("quaternion", "quaternion_not_unit", True),
+        ("absent", "columns_absent", True),
+        ("holes", "excess_nan", False),
+    ],
+)
 def test_validation_defects(spark, defect, code, ok):
     rows = clean()
     if defect == "short":
@@ -97,7 +123,10 @@ def test_validation_defects(spark, defect, code, ok):
 
 def test_gap_is_not_bridged(spark):
     times = [k * 50_000 for k in range(20)] + [3_000_000 + k * 50_000 for k in range(20)]
-    raw = spark.createDataFrame([("s", "e", t, float(i)) for i, t in enumerate(times)], "session_id string, episode_id string, t_us long, q_0 double")
+    raw = spark.createDataFrame(
+        [("s", "e", t, float(i)) for i, t in enumerate(times)],
+        "session_id string, episode_id string, t_us long, q_0 double",
+    )
     grid = {r["t_us"]: r["q_0"] for r in resample.resample(raw, ["q_0"], 20.0, 250_000).collect()}
     assert len(grid) == 80 and grid[950_000] == 19 and grid[1_000_000] is None and grid[2_950_000] is None and grid[3_000_000] == 20
     timing = resample.raw_timing(raw, 250_000).first()
@@ -111,7 +140,9 @@ def test_late_steps(spark):
 
 
 def test_names():
-    assert [canonical.canonical_name(c) for c in (" TimeStamp", "joint_0", "jpos3", "vel_2", "cmd_1", "Target4", "gripper_cmd", "WeirdSensor")] == ["t", "q_0", "q_3", "dq_2", "act_q_1", "act_q_4", "act_grip", "weirdsensor"]
+    assert [
+        canonical.canonical_name(c) for c in (" TimeStamp", "joint_0", "jpos3", "vel_2", "cmd_1", "Target4", "gripper_cmd", "WeirdSensor")
+    ] == ["t", "q_0", "q_3", "dq_2", "act_q_1", "act_q_4", "act_grip", "weirdsensor"]
     with pytest.raises(ValueError):
         dataset.select_columns(["nope"], P)
 
@@ -125,7 +156,11 @@ def test_split_is_stable_and_fair(spark):
 
 def test_chunks_never_cross_episodes(spark):
     rows = [("s", e, k, k * 10, float(k)) for e, n in (("a", 5), ("b", 2)) for k in range(n)]
-    w = dataset.action_chunks(spark.createDataFrame(rows, "session_id string, episode_id string, step int, t_us long, a double"), ["a"], 3).collect()
+    w = dataset.action_chunks(
+        spark.createDataFrame(rows, "session_id string, episode_id string, step int, t_us long, a double"),
+        ["a"],
+        3,
+    ).collect()
     assert {(r["episode_id"], r["window"]) for r in w} == {("a", 0), ("a", 1), ("a", 2)}
     assert next(r for r in w if r["window"] == 0)["prev_action"] == [0.0]
 
@@ -134,7 +169,10 @@ def test_norm_stats_and_duplicates(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (None, 5.0), (3.0, 5.0)], "a double, b double")
     s = {r["column"]: (r["mean"], r["std"]) for r in dataset.norm_stats(df, ["a", "b"]).collect()}
     assert s["a"][0] == 2 and s["b"] == (5.0, 1e-6)
-    e = spark.createDataFrame([("1", "a", "h"), ("2", "b", "h"), ("3", "c", ""), ("4", "d", "")], "session_id string, episode_id string, content_hash string")
+    e = spark.createDataFrame(
+        [("1", "a", "h"), ("2", "b", "h"), ("3", "c", ""), ("4", "d", "")],
+        "session_id string, episode_id string, content_hash string",
+    )
     assert {r["session_id"] for r in dataset.dedupe(e).filter("duplicate").collect()} == {"2"}
 
 
@@ -148,7 +186,12 @@ def test_idle_and_tracking(spark):
 
 def test_duration_outlier_and_small_populations(spark):
     rows = [("t", str(i), 8.0 + 0.1 * i) for i in range(9)] + [("t", "x", 30.0), ("u", "y", 1.0), ("u", "z", 99.0), (None, "n", 2.0)]
-    got = {r["episode_id"]: r["duration_zabs"] for r in metrics.duration_zabs(spark.createDataFrame(rows, "task_id string, episode_id string, duration_s double"), ["task_id"]).collect()}
+    got = {
+        r["episode_id"]: r["duration_zabs"] for r in metrics.duration_zabs(
+            spark.createDataFrame(rows, "task_id string, episode_id string, duration_s double"),
+            ["task_id"],
+        ).collect()
+    }
     values = np.array([r[2] for r in rows if r[0] == "t"])
     scale = 1.4826 * np.median(np.abs(values - np.median(values)))
     assert got["x"] == pytest.approx((30 - np.median(values)) / scale) and got["x"] > 5
@@ -162,7 +205,10 @@ def test_penalties_clamp_and_hard_rejects_override(spark):
     assert [r[0] for r in value.select(metrics.penalty(F.col("x"), metrics.Anchor(1, 0.5, 0.5, 1))).collect()] == [0, 0, 0, 1, 1]
     fine = {m: 0.0 for m in P.anchors} | {"n_steps": 100}
     rows = [fine, fine | {"nan_fraction": 0.2}, fine | {"dropped_frame_rate": 0.3}, fine | {"n_steps": 5}, fine | {"timing_jitter": None}]
-    table = spark.createDataFrame([[r[c] for c in fine] for r in rows], ", ".join(f"{c} {'int' if c == 'n_steps' else 'double'}" for c in fine))
+    table = spark.createDataFrame(
+        [[r[c] for c in fine] for r in rows],
+        ", ".join(f"{c} {'int' if c == 'n_steps' else 'double'}" for c in fine),
+    )
     got = [(r["tier"], list(r["hard_reject_reasons"]), r["score"]) for r in metrics.score(table, P).collect()]
     assert [g[0] for g in got] == ["gold", "reject", "reject", "reject", "gold"] and got[3][1] == ["n_steps"] and got[1][2] > P.silver
 
@@ -172,7 +218,20 @@ def test_every_rule_and_flag_has_something_to_find(spark):
 
     _, _, quality, validation = v.judged(spark, "/root/testdata/sf0.01")
     found = {r["code"] for r in rollups.issue_counts(validation).collect()}
-    assert found == {"too_short", "too_long", "nonfinite_time", "time_not_increasing", "dt_mismatch", "columns_absent", "excess_nan", "joint_limit_violation", "joint_limit_grazed", "quaternion_not_unit", "gripper_out_of_range", "action_over_limit"}
+    assert found == {
+        "too_short",
+        "too_long",
+        "nonfinite_time",
+        "time_not_increasing",
+        "dt_mismatch",
+        "columns_absent",
+        "excess_nan",
+        "joint_limit_violation",
+        "joint_limit_grazed",
+        "quaternion_not_unit",
+        "gripper_out_of_range",
+        "action_over_limit",
+    }
     assert {r["flag"] for r in rollups.flag_counts(quality).collect()} == set(v.PROFILE.anchors)
     assert {r["tier"] for r in rollups.tier_counts(quality).filter("n > 0").collect()} == {"gold", "silver", "reject"}
 
@@ -191,11 +250,21 @@ def test_time_without_a_value(spark):
     assert kept.count() == 0 and failed.count() == 150 and failed.first()["issues"]
 
 
-@pytest.mark.parametrize("hz, times", [(30.0, [0, 40_000, 70_000, 160_000]), (20.0, [0, 50_000, 125_000]), (29.97, [5, 100_005]), (20.0, [3])])
+@pytest.mark.parametrize(
+    "hz, times",
+    [(30.0, [0, 40_000, 70_000, 160_000]), (20.0, [0, 50_000, 125_000]), (29.97, [5, 100_005]), (20.0, [3])],
+)
 def test_grid_follows_the_rate_of_the_session(spark, hz, times):
     rows = [("s", "e", t, float(t * t % 1000), hz) for t in times]
     raw = spark.createDataFrame(rows, "session_id string, episode_id string, t_us long, q_0 double, hz double")
-    got = [(r["step"], r["t_us"], r["q_0"], r["off_grid"]) for r in resample.resample(raw, ["q_0"], F.col("hz"), 10**9).orderBy("step").collect()]
+    got = [
+        (
+            r["step"],
+            r["t_us"],
+            r["q_0"],
+            r["off_grid"],
+        ) for r in resample.resample(raw, ["q_0"], F.col("hz"), 10**9).orderBy("step").collect()
+    ]
     t, want, k = np.array(times), [], 0
     while (g := int(np.floor(k * 1e6 / hz + 1e-3))) < times[-1] - times[0] + 5e5 / hz:
         near = np.abs(t - times[0] - g).min()
@@ -208,19 +277,38 @@ def test_pose_needs_six_joints(spark):
     q = [0.3, -0.4, 0.0, 0.7, 0.0, 1.1]
     df = spark.createDataFrame([tuple(q)], ", ".join(f"q_{i} double" for i in range(6)))
     got = canonical.with_pose(df).first()
-    assert np.allclose([got["ee_x"], got["ee_y"], got["ee_z"]], [0.30 + 0.25 * np.sin(0.3) * np.cos(-0.4), 0.25 * np.sin(-0.4) * np.sin(0.3), 0.40 + 0.20 * np.cos(0.3)])
-    assert sum(got[c] ** 2 for c in ("ee_qx", "ee_qy", "ee_qz", "ee_qw")) == pytest.approx(1) and got["ee_qx"] == pytest.approx(np.sin(0.55))
+    assert np.allclose(
+        [got["ee_x"], got["ee_y"], got["ee_z"]],
+        [0.30 + 0.25 * np.sin(0.3) * np.cos(-0.4), 0.25 * np.sin(-0.4) * np.sin(0.3), 0.40 + 0.20 * np.cos(0.3)],
+    )
+    assert sum(
+        got[c] ** 2 for c in ("ee_qx", "ee_qy", "ee_qz", "ee_qw")
+    ) == pytest.approx(1) and got["ee_qx"] == pytest.approx(np.sin(0.55))
     with pytest.raises(ValueError, match="6 joints"):
         canonical.with_pose(df.drop("q_5"))
 
 
 def test_orphans_are_kept_while_their_folder_is_there(spark):
     store, declared, folders = (spark.createDataFrame([(x,) for x in ids], "session_id string") for ids in ("abc", "a", "b"))
-    assert {r["session_id"]: r["keep"] for r in rollups.prune_orphans(store, declared, folders).collect()} == {"a": True, "b": True, "c": False}
+    assert {
+        r["session_id"]: r["keep"] for r in rollups.prune_orphans(store, declared, folders).collect()
+    } == {"a": True, "b": True, "c": False}
 
 
 def test_gate_falls_back_to_the_stored_tier(spark):
-    episodes = spark.createDataFrame([("s", x, t, ok) for x, t, ok in (("a", "gold", True), ("b", None, True), ("c", "reject", True), ("d", "gold", False), ("e", "reject", True), ("f", "gold", True))], "session_id string, episode_id string, quality_tier string, success boolean")
+    episodes = spark.createDataFrame(
+        [
+            ("s", x, t, ok) for x, t, ok in (
+                ("a", "gold", True),
+                ("b", None, True),
+                ("c", "reject", True),
+                ("d", "gold", False),
+                ("e", "reject", True),
+                ("f", "gold", True),
+            )
+        ],
+        "session_id string, episode_id string, quality_tier string, success boolean",
+    )
     quality = spark.createDataFrame([("s", "e", "silver", 70.0)], "session_id string, episode_id string, tier string, score double")
     validation = spark.createDataFrame([("s", "f", False)], "session_id string, episode_id string, ok boolean")
     got = {r["episode_id"]: r["exclude_reason"] for r in dataset.gate(episodes, quality, validation, P).collect()}
@@ -233,8 +321,23 @@ def _policy_fixture(spark):
     for e in range(6):
         a = np.convolve(rng.randn(30), np.ones(4) / 4, "same") * 0.1
         q = np.cumsum(np.append(0, a[:-1])) + rng.randn()
-        rows += [("s", str(e), "val" if e > 3 else "train", k, k * 50_000, float(q[k]), float(a[max(k - 1, 0)]), float(rng.rand()), float(a[k])) for k in range(30)]
-    table = spark.createDataFrame(rows, "session_id string, episode_id string, split string, step int, t_us long, q_0 double, prev_act_q_0 double, grip double, act_q_0 double")
+        rows += [
+            (
+                "s",
+                str(e),
+                "val" if e > 3 else "train",
+                k,
+                k * 50_000,
+                float(q[k]),
+                float(a[max(k - 1, 0)]),
+                float(rng.rand()),
+                float(a[k]),
+            ) for k in range(30)
+        ]
+    table = spark.createDataFrame(
+        rows,
+        "session_id string, episode_id string, split string, step int, t_us long, q_0 double, prev_act_q_0 double, grip double, act_q_0 double",
+    )
     return obs, act, table, dataset.action_chunks(table, act, 3, obs)
 
 
@@ -253,7 +356,9 @@ def test_policy_is_fitted_on_normalised_windows_and_chosen(spark):
     for r in history:
         p = evaluate.predict(windows.filter("split = 'val'"), model, model["weights"][r["ridge"]]).collect()
         off = np.abs(np.array([v["actions"] for v in p]) - np.array([v["predicted"] for v in p]))
-        assert r["chunk_mae"] == pytest.approx(off.mean()) and r["loss"] == pytest.approx(np.where(off < 0.1, off**2 / 0.2, off - 0.05).mean())
+        assert r["chunk_mae"] == pytest.approx(off.mean()) and r["loss"] == pytest.approx(
+            np.where(off < 0.1, off**2 / 0.2, off - 0.05).mean()
+        )
     assert [r["chosen"] for r in history] == [r["loss"] == min(h["loss"] for h in history) for r in history]
     evaluate.check_layout(model["obs"], obs)
     with pytest.raises(ValueError):
@@ -289,7 +394,10 @@ def test_rollouts_against_single_steps(spark):
 def test_skill_and_curve_use_the_right_baselines(spark):
     # persistence is best over the chunk, zero at the next step
     rows = [("s", "e", w, k, 0, 1.0, z, 5.0, q, 0.7) for w in range(3) for k, (z, q) in enumerate([(0.9, 0.6), (0.0, 0.8)])]
-    p = spark.createDataFrame(rows, "session_id string, episode_id string, window int, k int, d int, truth double, zero double, train_mean double, persistence double, policy double")
+    p = spark.createDataFrame(
+        rows,
+        "session_id string, episode_id string, window int, k int, d int, truth double, zero double, train_mean double, persistence double, policy double",
+    )
     got = evaluate.skill(evaluate.baseline_errors(p, (*evaluate.PREDICTORS, "policy")), "policy").first()
     assert got["best_baseline"] == "persistence" and got["chunk_skill"] == pytest.approx(1 - 0.3 / 0.3) and got["next_step_skill"] == pytest.approx(1 - 0.3 / 0.1)
     curve = {r["k"]: (r["best"], r["winner"], r["loses_everywhere"]) for r in evaluate.offset_curve(p, "policy").collect()}
@@ -299,7 +407,14 @@ def test_skill_and_curve_use_the_right_baselines(spark):
 def test_hashes_and_duplicates_do_not_depend_on_the_layout(spark):
     rows = [(s, "e", k, k * 10, 0.5 * k + (s == "c") * 1e-3) for s in "abc" for k in range(5)]
     df = spark.createDataFrame(rows, "session_id string, episode_id string, step int, t_us long, x double")
-    one, two = ({r["session_id"]: r["content_hash"] for r in dataset.content_hash(x, ["x"]).collect()} for x in (df, df.orderBy(F.rand(3)).repartition(7)))
+    one, two = (
+        {
+            r["session_id"]: r["content_hash"] for r in dataset.content_hash(x, ["x"]).collect()
+        } for x in (df, df.orderBy(F.rand(3)).repartition(7))
+    )
     assert one == two and one["a"] == one["b"] != one["c"]
-    e = spark.createDataFrame([(s, "e", h) for s, h in (*one.items(), ("d", None), ("f", None))], "session_id string, episode_id string, content_hash string")
+    e = spark.createDataFrame(
+        [(s, "e", h) for s, h in (*one.items(), ("d", None), ("f", None))],
+        "session_id string, episode_id string, content_hash string",
+    )
     assert {r["session_id"] for r in dataset.dedupe(e).filter("duplicate").collect()} == {"b"}

@@ -17,7 +17,15 @@ SMALL = Profile(n_joints=1, lower=(-9.0,), upper=(9.0,), min_steps=3, hard_min_s
 def session(root, name, n_joints=1, text=None, files=(), hz=20.0, declared=None):
     d = root / name
     d.mkdir(parents=True, exist_ok=True)
-    meta = {"session_id": declared or name, "operator_id": "o", "robot_id": "r", "task_id": "t", "recorded_at": "2024-01-01T00:00:00Z", "control_hz": hz, "n_joints": n_joints}
+    meta = {
+        "session_id": declared or name,
+        "operator_id": "o",
+        "robot_id": "r",
+        "task_id": "t",
+        "recorded_at": "2024-01-01T00:00:00Z",
+        "control_hz": hz,
+        "n_joints": n_joints,
+    }
     for f, body in files:
         (d / f).write_text(body)
     (d / "session.json").write_text(text or json.dumps(meta))
@@ -29,13 +37,26 @@ def recording(n=20, jump=0.0):
 
 def test_mixed_headers_and_bad_metadata(spark, tmp_path):
     raw = tmp_path / "raw"
-    session(raw, "a", files=[("episode_0_ok.csv", "timestamp,joint_0\n0.0,1.5\n"), ("episode_1_FAIL.csv", "joint_0,Odd,timestamp\n2.5,x,1.0\n"), ("notes.txt", "x")])
+    session(
+        raw,
+        "a",
+        files=[
+            ("episode_0_ok.csv", "timestamp,joint_0\n0.0,1.5\n"),
+            ("episode_1_FAIL.csv", "joint_0,Odd,timestamp\n2.5,x,1.0\n"),
+            ("notes.txt", "x"),
+        ],
+    )
     session(raw, "b", n_joints=4, files=[("episode_0.jsonl", '{"secs": 3.0, "jpos0": 4.5}\n')])
     session(raw, "c", text="{broken", files=[("episode_0.jsonl", '{"timestamp": 1.0, "q_0": 1.0}\n')])
     session(raw, "d")
     rows, skipped = sessions.read_episodes(spark, str(raw))
     got = {(r["directory"], r["stem"]): (r["t"], r["q_0"], r["odd"], r["success"]) for r in rows.collect()}
-    assert got == {("a", "episode_0_ok"): (0.0, 1.5, None, True), ("a", "episode_1_FAIL"): (1.0, 2.5, "x", False), ("b", "episode_0"): (3.0, 4.5, None, True), ("c", "episode_0"): (1.0, 1.0, None, True)}
+    assert got == {
+        ("a", "episode_0_ok"): (0.0, 1.5, None, True),
+        ("a", "episode_1_FAIL"): (1.0, 2.5, "x", False),
+        ("b", "episode_0"): (3.0, 4.5, None, True),
+        ("c", "episode_0"): (1.0, 1.0, None, True),
+    }
     assert {(r["directory"], r["reason"]) for r in skipped.collect()} == {("a", "unsupported suffix"), ("d", "no episode files")}
     reasons = {r["directory"]: r["reason"] for r in sessions.read_sessions(spark, str(raw), 1).collect()}
     assert reasons == {"a": None, "b": "n_joints", "c": "unreadable", "d": None}
@@ -43,7 +64,11 @@ def test_mixed_headers_and_bad_metadata(spark, tmp_path):
 
 def test_parquet_layouts_are_all_read(spark, tmp_path):
     raw = tmp_path / "raw"
-    for name, columns in (("a", "1.0D as timestamp, 2.0D as joint_0"), ("b", "3 as secs, 4.0D as jpos0"), ("c", "5.0D as secs, 6 as joint_0")):
+    for name, columns in (
+        ("a", "1.0D as timestamp, 2.0D as joint_0"),
+        ("b", "3 as secs, 4.0D as jpos0"),
+        ("c", "5.0D as secs, 6 as joint_0"),
+    ):
         session(raw, name)
         spark.sql(f"select {columns}").coalesce(1).write.parquet(str(tmp_path / name))
         (file,) = (tmp_path / name).glob("*.parquet")
@@ -61,7 +86,10 @@ def test_two_headers_of_one_name_are_an_error(spark, tmp_path):
 
 def test_store_replaces_a_session_and_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "store")
-    steps = spark.createDataFrame([(s, "e", k, 0.1 * k) for s in ("1", "2") for k in range(3)], "session_id string, episode_id string, step int, q_0 double")
+    steps = spark.createDataFrame(
+        [(s, "e", k, 0.1 * k) for s in ("1", "2") for k in range(3)],
+        "session_id string, episode_id string, step int, q_0 double",
+    )
     episodes = spark.createDataFrame([("1", "e", 0.2), ("2", "e", 0.2)], "session_id string, episode_id string, duration_s double")
     sessions.write_episodes(steps, episodes, path)
     sessions.write_episodes(steps.filter("session_id = '2' and step < 2"), episodes.filter("session_id = '2'"), path)
@@ -71,8 +99,14 @@ def test_store_replaces_a_session_and_keeps_the_others(spark, tmp_path):
 
 
 def test_dataset_and_manifest_are_written(spark, tmp_path):
-    table = spark.createDataFrame([("s", "a", "train", 0, 1.0, 0.5), ("s", "a", "train", 1, 3.0, 0.5), ("v", "b", "val", 0, 9.0, 0.5)], "session_id string, episode_id string, split string, step int, q_0 double, act_q_0 double")
-    members = spark.createDataFrame([("s", "a", "train", "h", None), ("v", "b", "val", "i", None), ("w", "c", None, "j", "failed")], "session_id string, episode_id string, split string, content_hash string, exclude_reason string")
+    table = spark.createDataFrame(
+        [("s", "a", "train", 0, 1.0, 0.5), ("s", "a", "train", 1, 3.0, 0.5), ("v", "b", "val", 0, 9.0, 0.5)],
+        "session_id string, episode_id string, split string, step int, q_0 double, act_q_0 double",
+    )
+    members = spark.createDataFrame(
+        [("s", "a", "train", "h", None), ("v", "b", "val", "i", None), ("w", "c", None, "j", "failed")],
+        "session_id string, episode_id string, split string, content_hash string, exclude_reason string",
+    )
     made = dataset.manifest(table, members, ["q_0"], ["act_q_0"], SMALL)
     sessions.write_dataset(table, made, str(tmp_path / "out"))
     (row,) = spark.read.json(str(tmp_path / "out" / "manifest")).collect()
@@ -118,7 +152,12 @@ def test_loop_retries_on_every_run(spark, tmp_path):
 
 def test_a_session_is_stored_quarantined_and_summed_up(spark, tmp_path):
     raw, runs = tmp_path / "raw", str(tmp_path / "runs")
-    session(raw, "a", declared="real", files=[("e0_ok.csv", recording()), ("e1_ok.csv", recording(2)), ("e2_fail.csv", recording(jump=50.0))])
+    session(
+        raw,
+        "a",
+        declared="real",
+        files=[("e0_ok.csv", recording()), ("e1_ok.csv", recording(2)), ("e2_fail.csv", recording(jump=50.0))],
+    )
     session(raw, "b")
     process = onboard.processor(str(raw), SMALL, str(tmp_path / "store"), str(tmp_path / "bad"), runs)
     for _ in range(2):  # the second run finds the store as the first left it
@@ -126,7 +165,9 @@ def test_a_session_is_stored_quarantined_and_summed_up(spark, tmp_path):
     stored = sessions.read_store(spark, str(tmp_path / "store"), "episodes").collect()
     assert [(r["session_id"], r["episode_id"], r["n_steps"]) for r in stored] == [("real", "real__e0_ok", 20)]
     bad = sessions.read_store(spark, str(tmp_path / "bad"), "episodes")
-    assert {r["episode_id"]: {i["code"] for i in r["issues"]} & {"too_short", "joint_limit_violation"} for r in bad.collect()} == {"real__e1_ok": {"too_short"}, "real__e2_fail": {"joint_limit_violation"}}
+    assert {
+        r["episode_id"]: {i["code"] for i in r["issues"]} & {"too_short", "joint_limit_violation"} for r in bad.collect()
+    } == {"real__e1_ok": {"too_short"}, "real__e2_fail": {"joint_limit_violation"}}
     row = onboard.run_summary(spark.read.parquet(runs)).collect()[0]
     assert (row["sessions"], row["episodes"], row["accepted"], row["quarantined"], row["failed"], row["alarm"]) == (2, 3, 1, 2, 1, True)
     assert [r["directory"] for r in loop.waiting(spark, str(tmp_path / "ledger"))[0].collect()] == ["b"]
@@ -138,6 +179,12 @@ def test_gaps_on_a_stream(spark, tmp_path):
     (src / "a.json").write_text("".join(json.dumps({"ts": f"2024-01-01T00:0{m}:00Z", "k": "x"}) + "\n" for m in (0, 1, 5, 6)))
     (src / "b.json").write_text(json.dumps({"ts": "2024-01-02T00:00:00Z", "k": "x"}) + "\n")
     stream = spark.readStream.schema("ts timestamp, k string").option("maxFilesPerTrigger", 1).json(str(src))
-    query = loop.gap_sessions(stream, "ts", ["k"], "2 minutes", "1 minute").writeStream.format("memory").queryName("stretches").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query = loop.gap_sessions(
+        stream,
+        "ts",
+        ["k"],
+        "2 minutes",
+        "1 minute",
+    ).writeStream.format("memory").queryName("stretches").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r["n"] for r in spark.table("stretches").collect()) == [2, 2]
