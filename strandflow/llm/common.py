@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from strandflow.sources.scratch import cut as cut
 
-#: Entries a per-worker cache may hold before it is emptied; bounds its memory (about 100 MB).
-CACHE_ENTRIES = 500_000
+#: Entries a per-worker cache may hold before it is emptied; bounds its memory (about 60 MB). A worker may serve
+#: several operators one after the other, and their caches add up.
+CACHE_ENTRIES = 300_000
+#: The same for word hashes, which cost little to make anew.
+WORD_ENTRIES = 100_000
 #: Odd multipliers of the 64-bit mixers (fixed values).
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -52,7 +55,7 @@ _WORDS = WordHashes()
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of `words`, from a bounded cache of this worker."""
-    if len(_WORDS) > CACHE_ENTRIES:
+    if len(_WORDS) > WORD_ENTRIES:
         _WORDS.clear()
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
