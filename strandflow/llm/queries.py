@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import ann, bpe, langid, minhash, packing, quality, recompress, suffix, token_counts, toxicity
+from strandflow.llm import ann, bpe, langid, merkle, minhash, packing, quality, recompress, suffix, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -65,6 +65,15 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    altered = merkle.leaf(*(more if c == "n_chars" else F.col(c) for c in merkle.FIELDS))
+    found = merkle.manifest(docs, F.when(chosen, altered))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name; their SQL is in `oracle`."""
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
