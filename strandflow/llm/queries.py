@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import ann, bpe, langid, merkle, minhash, packing, quality, recompress, suffix, token_counts, toxicity
+from strandflow.llm import ann, best_fit, bpe, langid, merkle, minhash, packing, quality, recompress, suffix, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -65,6 +65,10 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chosen = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
