@@ -38,6 +38,18 @@ select h.doc_id, n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, c
   sha256(unhex(coalesce(front, '') || substr(hex, 2 * coalesce(last, 0) + 1))) as kept_sha256
 from h left join parts using (doc_id)"""
 
+HARD_NEGATIVES = """with v as materialized (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as w from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.w, b.w) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, s.vec_id) as rank,
+  s.vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10"""
+
 _PART = "case when {0} is null then '-' else cast(octet_length(encode(cast({0} as varchar))) as varchar) || ':' || cast({0} as varchar) end"
 _LEAF = lambda n_chars: f"sha256({' || '.join(_PART.format(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
 #: CRC-32 bit by bit.
@@ -78,4 +90,4 @@ from climb join doc using (doc_id) join tops using (tree, named), (select hash a
 
 def oracle_sql() -> dict[str, str]:
     """By query name. The result of op2 is not exact, so SQL cannot state it; the other operators use models or vocabularies."""
-    return {"op4_minhash": MINHASH, "op5_substring": SUBSTRING, "op10_suffix": SUFFIX, "op13_merkle": MERKLE}
+    return {"op4_minhash": MINHASH, "op5_substring": SUBSTRING, "op10_suffix": SUFFIX, "op11_hard_negatives": HARD_NEGATIVES, "op13_merkle": MERKLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandflow.llm import ann, best_fit, bpe, langid, merkle, minhash, packing, quality, recompress, suffix, token_counts, toxicity
+from strandflow.llm import ann, best_fit, bpe, hard_negatives, langid, merkle, minhash, packing, quality, recompress, suffix, token_counts, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -65,6 +65,12 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
