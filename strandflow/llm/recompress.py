@@ -161,8 +161,6 @@ def _block(
     words, begin, _ = _words(texts)
     order = np.lexsort((start, own))
     own, start, count, key = own[order], start[order], count[order], key[order].view(np.uint64)
-    once = np.concatenate([[True], (own[1:] != own[:-1]) | (start[1:] != start[:-1])])  # rows of one name each told their runs
-    own, start, count, key = own[once], start[once], count[once], key[once]
     starts = win.spread(start, count)
     owner, bucket = np.repeat(own, count), np.repeat(mix(key), count)
     prints, others = _prints(words, begin[owner] + starts, width)
@@ -202,7 +200,8 @@ def _late(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def repeats(texts: DataFrame, width: int = 20) -> DataFrame:
     """(doc, row, start, count): runs of windows of `width` words that also start earlier in the corpus; `texts` has named rows."""
-    shared, hot, size = win.shared_runs(texts, lambda block: parts(block, width), 1.0, BLOCK_CHARS)
+    texts, _, size = win.one_of_each(texts)  # rows of one name are one document
+    shared, hot = win.shared_runs(texts, size, lambda block: parts(block, width), 1.0, BLOCK_CHARS)
     n = win.buckets_for(texts, size * 1.5)
     sent = win.with_spans(texts, shared, "key").filter("__start is not null")
     prints = sent.mapInArrow(lambda batches: _send(batches, width, n, hot), win.schema_of(_KINDS))

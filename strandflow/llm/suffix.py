@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from strandflow.llm.common import map_rows, mix, texts_of
 from strandflow.llm import windows as win
@@ -289,7 +289,8 @@ def _settle_prints(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
     """(doc, row, start, count): runs of windows of `width` bytes that also start anywhere else in the corpus; `texts` has named rows."""
-    shared, hot, size = win.shared_runs(texts, lambda t: block_parts(t, width), 0.25, BLOCK_CHARS)
+    texts, again, size = win.one_of_each(texts)
+    shared, hot = win.shared_runs(texts, size, lambda t: block_parts(t, width), 0.25, BLOCK_CHARS)
     n = win.buckets_for(texts, size * 2.0)  # small shards: Python's lists take many times the bytes
     sent = win.with_spans(texts, shared, "key", "place").filter("__start is not null")
     contexts = sent.mapInArrow(lambda batches: _send_text(batches, width, n, hot), win.schema_of(_TEXT))
@@ -297,6 +298,9 @@ def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
     if len(hot):
         single = sent.mapInArrow(lambda batches: _send_prints(batches, width, n, hot), win.schema_of(_PRINT))
         found = found.unionAll(win.per_bucket(single, n, _settle_prints, _PRINT, _FOUND))
+    if again is not None:  # every window of a text that is there twice repeats
+        whole = again.filter(F.col("bytes") >= width).select("doc", "row", F.lit(0).cast("long").alias("start"), (F.col("bytes") - width + 1).alias("count"))
+        found = found.unionAll(whole)
     return found
 
 
@@ -312,22 +316,22 @@ def cut_texts(docs: DataFrame, width: int = 400) -> DataFrame:
 
     Characters cut in two are dropped. n_chars, if there, becomes the text's new length. Null and
     empty texts stay; a text that repeats whole stays as an empty one; repeated rows repeat each
-    other, whatever their doc_id. An empty table stays empty. Extra columns keep any name but
-    those that begin with "__".
+    other, whatever their doc_id. An empty table stays empty. Extra columns may have any name: rows
+    travel as one struct.
     """
     names, schema = docs.columns, docs.schema
-    own = win.named(docs)
+    own = win.named(docs.select(F.struct("*").alias("whole"), "doc_id", "text")).select("whole", win.DOC, win.ROW)
     joined = win.with_spans(own, repeats(win.named(texts_of(docs)), width)).drop(win.DOC, win.ROW)
+    at, n_chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(names.index("text")).to_pylist()
-            starts, counts = (batch.column(len(names) + k).to_pylist() for k in range(2))
-            texts = [_left(t, s, c, width)[0].decode("utf-8", "ignore") if s else t for t, s, c in zip(texts, starts, counts, strict=True)]
-            out = list(batch.columns[: len(names)])
-            out[names.index("text")] = pa.array(texts, pa.string())
-            if "n_chars" in names:
-                out[names.index("n_chars")] = pa.array([None if t is None else len(t) for t in texts], out[names.index("n_chars")].type)
+            out = batch.column(0).flatten()
+            starts, counts = (batch.column(k).to_pylist() for k in (1, 2))
+            texts = [_left(t, s, c, width)[0].decode("utf-8", "ignore") if s else t for t, s, c in zip(out[at].to_pylist(), starts, counts, strict=True)]
+            out[at] = pa.array(texts, pa.string())
+            if n_chars is not None:
+                out[n_chars] = pa.array([None if t is None else len(t) for t in texts], out[n_chars].type)
             yield pa.RecordBatch.from_arrays(out, names)
 
     return joined.mapInArrow(run, schema)

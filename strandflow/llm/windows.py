@@ -6,7 +6,8 @@ with a shared key go on. Records go to buckets as packed binary columns, one row
 block of documents, so a shuffle moves few large rows and the bucket's task works on whole arrays.
 
 A row is named by its doc_id and a hash of its text, so no copy of the texts with row numbers is
-needed. Rows that agree in both carry the same name; their number still counts.
+needed. Rows that agree in both carry the same name; only one of them goes on (`one_of_each`), and what is
+found for it holds for all.
 """
 
 from __future__ import annotations
@@ -89,8 +90,20 @@ def named(docs: DataFrame) -> DataFrame:
     return docs.withColumns({DOC: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), ROW: F.xxhash64(F.col("text").cast("string"))})
 
 
-def bytes_of(docs: DataFrame) -> int:
-    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def one_of_each(texts: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+    """One row for each name of `texts`, (doc, row, bytes) of the names that several rows share (None: there are none), and the bytes of all names.
+
+    Names are counted without their texts; only texts of shared names are moved, one for each name and task.
+    """
+    counted = texts.groupBy(DOC, ROW).agg(F.count("*").alias("many"), F.max(F.octet_length("text")).cast("long").alias("bytes"))
+    size, shared = counted.agg(F.sum("bytes"), F.count_if(F.col("many") > 1)).first()
+    texts = texts.select(DOC, ROW, "text")
+    if not shared:
+        return texts, None, size or 0
+    again = cut(counted.filter("many > 1").select(F.col(DOC).alias("doc"), F.col(ROW).alias("row"), "bytes"), "again")
+    same = (texts[DOC] == again["doc"]) & (texts[ROW] == again["row"])
+    first = texts.join(again, same, "left_semi").groupBy(DOC, ROW).agg(F.first("text").alias("text"))
+    return texts.join(again, same, "left_anti").unionAll(first), again, size or 0
 
 
 def buckets_for(docs: DataFrame, size: float) -> int:
@@ -184,7 +197,10 @@ def runs(starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, *more: str) -> DataFrame:
-    """The rows of `docs` and, as __start, __count and __<more>, those of their spans (null where there are none)."""
+    """The rows of `docs` and, as __start, __count and __<more>, those of their names' spans (null where there are none).
+
+    Columns of a user's table do not come here by name: they travel in one struct.
+    """
     names = ("start", "count", *more)
     grouped = spans.groupBy(F.col("doc").alias("_d"), F.col("row").alias("_r")).agg(F.collect_list(F.struct(*names)).alias("_spans"))
     joined = docs.join(grouped, (docs[DOC] == grouped["_d"]) & (docs[ROW] == grouped["_r"]), "left")
@@ -250,21 +266,21 @@ def _seen(c: dict[str, np.ndarray], hot: int) -> dict[str, np.ndarray]:
 
 def shared_runs(
     texts: DataFrame,
+    size: int,
     parts: Callable[[list[str]], Runs | None],
     per_byte: float,
     block: int,
-) -> tuple[DataFrame, np.ndarray, int]:
-    """Runs of windows (SPAN) whose key occurs at several places, the sorted hot keys, and the bytes of all texts.
+) -> tuple[DataFrame, np.ndarray]:
+    """Runs of windows (SPAN) whose key occurs at several places, and the sorted hot keys; `size` is the bytes of all texts.
 
     `parts` gives the runs of a block of texts (None: there are none); `per_byte` is about what it makes of a byte. Each block of texts tells a key once, with its number of places.
     """
-    size = bytes_of(texts)
     n = buckets_for(texts, size * per_byte)
     hot = max(HOT_PLACES, int(size * per_byte / 32) // HOT_KEYS)
     sent = texts.mapInArrow(lambda batches: _send_keys(batches, parts, block, n), schema_of(_KEYS))
     found = cut(per_bucket(sent, n, lambda c: _seen(c, hot), _KEYS, SPAN), "shared")
     keys = np.sort(np.array([r["key"] for r in found.filter("count < 0").select("key").collect()], np.int64).view(np.uint64))
-    return found.filter("count > 0"), keys, size
+    return found.filter("count > 0"), keys
 
 
 def span_blocks(batches: Iterator[pa.RecordBatch], size: int, *names: str) -> Iterator[

@@ -210,3 +210,36 @@ def test_suffix_array():
     for _ in range(500):
         s = [rng.randint(0, rng.choice([1, 2, 5])) for _ in range(rng.randint(0, 14))]
         assert suffix.suffix_array(s, 6) == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i])
+def test_ten_thousand_rows_of_one_text(spark, ids):
+    rng = random.Random(8)
+    other = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    text, clean = other(250), other(100)
+    holder = f"{clean} {text[:900]}"
+    docs = spark.createDataFrame([(ids(i), text) for i in range(10_000)] + [(20_000, holder), (20_001, clean[:150])], "doc_id long, text string")
+    got = suffix.remove_repeats(docs.repartition(4), 400).groupBy("n_bytes", "n_removed", "n_spans", "kept_sha256").count().collect()
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["count"]) for r in got) == sorted(
+        [(len(text), len(text), 1, 10_000), (len(holder), 900, 1, 1), (150, 0, 0, 1)]
+    )
+    words = recompress.remove_repeats(docs.repartition(4)).groupBy("n_words", "n_removed").agg({"*": "count"}).collect()
+    found = {(r[0], r[1]): r[2] for r in words}
+    if ids(1) == 1:
+        assert found[250, 0] == 1 and found[250, 250] == 9_999
+    else:  # one document, and the first of all
+        assert found[250, 0] == 10_000
+    assert sum(found.values()) == 10_002
+
+
+def test_extra_columns_of_any_name(spark):
+    rng = random.Random(9)
+    clean = " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+    extra = ["_spans", "_d", "_r", "__doc", "__row", "__start", "__count", "whole", "doc", "row", "start", "count", "key", "place", "again", "many", "bytes", "a.b", "bucket"]
+    docs = spark.createDataFrame([(i, clean, 5, *extra) for i in (1, 1, 2, None, None)] + [(3, None, None, *extra), (4, "short", 5, *extra)], ["doc_id", "text", "n_chars", *extra])
+    got = suffix.cut_texts(docs, 100)
+    assert got.schema == docs.schema
+    rows = [tuple(r) for r in got.collect()]
+    assert all(r[3:] == tuple(extra) for r in rows)
+    assert sorted((str(r[0]), r[1], r[2]) for r in rows) == sorted([("1", "", 0), ("1", "", 0), ("2", "", 0), ("None", "", 0), ("None", "", 0), ("3", None, None), ("4", "short", 5)], key=str)
+    assert suffix.remove_repeats(docs, 100).count() == recompress.remove_repeats(docs).count() == 7
