@@ -1,36 +1,39 @@
-"""Raw session folders as tables, and the canonical store.
+"""Raw session folders as tables, and what is written of them.
 
-Files of one format are one read, whatever their headers. JSON and Parquet columns meet by name, and
-those of one canonical name are merged. CSV cells have no names, so each file's first line is read
-beside its rows and says which cell is which channel; only the distinct headers reach the driver.
+Files are read by the data sources of `session_files`, folder by folder, so the cost of a batch is
+that of its own files. A file that cannot be used is an error of its session, told beside the rows.
 """
 
 from __future__ import annotations
 
-import csv
-import re
+import json
+from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from strandflow.operators.canonical import canonical_name, merge_headers, success_label
+from strandflow.operators.canonical import success_label
+from strandflow.sources import store
+from strandflow.sources.scratch import cut
+from strandflow.sources.session_files import SessionEpisodes, SessionMeta
 
-#: Files of each format below a session's folder.
-GLOBS = {"csv": "*.[cC][sS][vV]", "json": "*.{jsonl,ndjson,JSONL,NDJSON}", "parquet": "*.{parquet,PARQUET}"}
-SUFFIX = r"(?i)\.(csv|jsonl|ndjson|parquet)$"
 SESSION = T.StructType().add("session_id", "string").add("operator_id", "string").add("robot_id", "string").add("task_id", "string").add("recorded_at", "timestamp").add("control_hz", "double").add("n_joints", "integer").add("notes", "string").add("_broken", "string")
+PROBLEM = "directory string, source_file string, reason string"
 
 
-def directory_of(path: str = "_metadata.file_path"):
-    return F.element_at(F.split(F.col(path), "/"), -2)
+def _asked(reader, root: str, directories: list[str] | None):
+    reader = reader.option("root", root)
+    return reader if directories is None else reader.option("directories", json.dumps(directories))
 
 
 def read_sessions(spark: SparkSession, root: str, n_joints: int, directories: list[str] | None = None) -> DataFrame:
-    """One row per session.json under `root` (or in its named `directories`): its fields, `directory`, and `reason` where it cannot be used (null: fine)."""
-    paths = f"{root}/*/session.json" if directories is None else [f"{root}/{d}/session.json" for d in directories]
-    raw = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", "_broken").schema(SESSION).json(paths)
-    return check_sessions(raw.withColumn("directory", directory_of()), n_joints)
+    """One row per folder under `root` (or per named one): the fields of its session.json, `directory`, and `reason` where it cannot be used (null: fine)."""
+    spark.dataSource.register(SessionMeta)
+    raw = _asked(spark.read.format("session_meta"), root, directories).load()
+    parsed = F.from_json("body", SESSION, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    found = raw.select("directory", "body", parsed.alias("s")).select("directory", "body", "s.*")
+    checked = check_sessions(found, n_joints)
+    reason = F.when(F.col("body").isNull(), "no session.json").otherwise(F.col("reason"))
+    return checked.withColumn("reason", reason).drop("body")
 
 
 def check_sessions(sessions: DataFrame, n_joints: int) -> DataFrame:
@@ -47,132 +50,31 @@ def check_sessions(sessions: DataFrame, n_joints: int) -> DataFrame:
     return sessions.withColumn("reason", reason).withColumns(ids).drop("_broken")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, directory, name): every file two levels below `root`, by Spark's own file reader; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(f"{root}/*/*").select("path")
-    return files.select("path", directory_of("path").alias("directory"), F.element_at(F.split("path", "/"), -1).alias("name"))
+def read_episodes(
+    spark: SparkSession, root: str, n_joints: int, directories: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, errors, skipped) of the episode files below `root` (or below its named folders).
 
+    rows: canonical channels as doubles (null where a cell is no number), t, `extra` (unknown columns
+    by lower-cased name, as text), directory, stem, source_file and success. errors and skipped:
+    (directory, source_file, reason). An error makes its session unusable: no recognisable time column, a
+    missing joint, two headers of one canonical name, no row with a time, an unreadable file, a folder without episode
+    files. Files of other formats are skipped. Files are read once, into a table of the shared folder, or as `keep` says.
+    """
+    spark.dataSource.register(SessionEpisodes)
+    read = _asked(spark.read.format("session_episodes"), root, directories).option("n_joints", n_joints).load()
+    read = keep(read) if keep else cut(read, "episodes")
+    told = lambda c: read.filter(F.col(c).isNotNull()).select("directory", "source_file", F.col(c).alias("reason"))
+    rows = read.filter("error is null and skipped is null").drop("error", "skipped")
+    return rows.withColumn("success", success_label(F.col("stem"))), told("error"), told("skipped")
 
-def _under(df: DataFrame, directories: DataFrame | None) -> DataFrame:
-    """The rows whose file lies in one of `directories` (all: None)."""
-    return df if directories is None else df.join(directories.select("directory"), "directory", "left_semi")
 
+def write_episodes(steps: DataFrame, episodes: DataFrame, path: str) -> int:
+    """Steps and the one-row-per-episode table of whole sessions, as one commit of the store (`store.commit`)."""
+    sessions = episodes.select("session_id").union(steps.select("session_id")).distinct()
+    return store.commit(path, sessions, {"steps": steps, "episodes": episodes})
 
-def _read_csv(spark: SparkSession, root: str, directories: DataFrame | None) -> DataFrame | None:
-    glob = {"pathGlobFilter": GLOBS["csv"]}
-    lines = spark.read.options(**glob).text(f"{root}/*").select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("begin"),
-    )
-    # within a file's first block, rows are numbered in the order of its lines
-    numbered = lines.filter("begin = 0").withColumns({"n": F.monotonically_increasing_id(), "directory": directory_of("path")})
-    heads = _under(numbered, directories).groupBy("path").agg(F.min_by("value", "n").alias("head"))
-    layouts = {r["head"]: next(csv.reader([r["head"]])) for r in heads.select("head").distinct().collect() if r["head"]}
-    if not layouts:
-        return None
-    for cells in layouts.values():
-        names = [canonical_name(c) for c in cells]
-        if twice := sorted({n for n in names if names.count(n) > 1}):
-            raise ValueError(f"several columns are {', '.join(twice)}")
-    width = max(map(len, layouts.values()))
-    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = spark.read.options(**glob).schema(cells).csv(f"{root}/*").select("*", F.col("_metadata.file_path").alias("path"))
-    rows = rows.join(heads, "path")
-    is_head = F.lit(False)
-    columns: dict[str, list] = {}
-    for head, own in layouts.items():
-        mine = F.col("head") == head
-        same = mine
-        for i, c in enumerate(own):
-            same = same & F.col(f"_c{i}").eqNullSafe(F.lit(c or None))
-            columns.setdefault(canonical_name(c), []).append(F.when(mine, F.col(f"_c{i}")))
-        is_head = is_head | same
-    return rows.filter(~is_head).select("path", *(F.coalesce(*c).alias(n) for n, c in columns.items()))
-
-
-def _read_named(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    read = spark.read.option("pathGlobFilter", GLOBS[kind])
-    if kind == "json":
-        return merge_headers(read.json(f"{root}/*").select("*", F.col("_metadata.file_path").alias("path")))
-    try:
-        return merge_headers(read.option("mergeSchema", True).parquet(f"{root}/*").select("*", F.col("_metadata.file_path").alias("path")))
-    except (PySparkException, Py4JJavaError):  # types that do not merge: one read for each layout
-        groups: dict[str, list[str]] = {}
-        for r in read.format("binaryFile").load(f"{root}/*").select("path").collect():
-            groups.setdefault(spark.read.parquet(r["path"]).schema.json(), []).append(r["path"])
-        out = None
-        for paths in groups.values():
-            part = _typed(merge_headers(spark.read.parquet(*paths).select("*", F.col("_metadata.file_path").alias("path"))))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        return out
-
-
-def _typed(df: DataFrame) -> DataFrame:
-    """Channels and time as doubles (null where a cell is no number), other columns as strings."""
-    number = r"t|q_\d+|dq_\d+|act_q_\d+|ee_(x|y|z|qx|qy|qz|qw)|grip|act_grip"
-    kinds = {c: "double" if re.fullmatch(number, c) else "string" for c in df.columns}
-    return df.select(*(F.col(f"`{c}`").try_cast(k).alias(c) for c, k in kinds.items()))
-
-
-def read_episodes(spark: SparkSession, root: str, directories: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """(rows, skipped): raw rows of all episode files with canonical headers, `directory`, `stem`, `source_file` and success;
-    and what is left out: files that no reader knows, and folders without an episode file. rows is None if there is no episode file.
-
-    `directories` restricts it to some folders. A file with two headers of one canonical name is an error.
-    """
-    files = _under(list_files(spark, root), directories)
-    known = F.col("name").rlike(SUFFIX)
-    odd = files.filter(~known & (F.col("name") != "session.json")).select("directory", "path", F.lit("unsupported suffix").alias("reason"))
-    none = files.groupBy("directory").agg(F.count_if(known).alias("n"), F.min("path").alias("path")).filter("n = 0").select(
-        "directory",
-        "path",
-        F.lit("no episode files").alias("reason"),
-    )
-    kinds = {
-        r["k"] for r in files.filter(known).select(F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)).alias("k")).distinct().collect()
-    }
-    parts = [_read_csv(spark, root, directories)] if "csv" in kinds else []
-    parts += [_read_named(spark, root, "json")] if kinds & {"jsonl", "ndjson"} else []
-    parts += [_read_named(spark, root, "parquet")] if "parquet" in kinds else []
-    out = None
-    for df in (_typed(p) for p in parts if p is not None):
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is not None:
-        name = F.element_at(F.split("path", "/"), -1)
-        out = _under(out.withColumn("directory", directory_of("path")), directories)
-        out = out.withColumns({"stem": F.regexp_replace(name, r"\.[^.]+$", ""), "source_file": F.concat_ws("/", "directory", name)})
-        out = out.withColumn("success", success_label(F.col("stem"))).drop("path")
-    return out, odd.unionAll(none)
-
-
-def _bucket():
-    return F.substring(F.sha2(F.col("session_id"), 256), 1, 2)
-
-
-def write_store(df: DataFrame, path: str) -> None:
-    """One table of the canonical store: float channels, zstd, folders by hash prefix and session; a session written again replaces itself."""
-    floats = {c: F.col(c).cast("float") for c, t in df.dtypes if t == "double" and c not in ("duration_s", "control_hz", "score")}
-    df = df.withColumns(floats | {"bucket": _bucket()})
-    df.write.mode("overwrite").option(
-        "partitionOverwriteMode",
-        "dynamic",
-    ).option("compression", "zstd").partitionBy("bucket", "session_id").parquet(path)
-
-
-def write_episodes(steps: DataFrame, episodes: DataFrame, path: str) -> None:
-    """Steps and the one-row-per-episode table of the store, below `path`/steps and `path`/episodes."""
-    write_store(steps, f"{path}/steps")
-    write_store(episodes, f"{path}/episodes")
-
-
-def read_store(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """`steps` or `episodes` of the store; ids stay strings."""
-    base = spark.read.parquet(f"{path}/{table}")
-    return base.withColumn("session_id", F.col("session_id").cast("string")).drop("bucket")
-
-
-def write_dataset(table: DataFrame, manifest: DataFrame, path: str) -> None:
-    """Split tables below `path`/steps, one folder per split, and the manifest (one row of JSON) below `path`/manifest."""
-    table.write.mode("overwrite").option("compression", "zstd").partitionBy("split").parquet(f"{path}/steps")
-    manifest.write.mode("overwrite").json(f"{path}/manifest")
+
+def write_dataset(table: DataFrame, manifest: DataFrame, path: str) -> int:
+    """Split tables, one folder per split, and the manifest, as one snapshot."""
+    return store.write_snapshot(path, {"steps": table, "manifest": manifest}, {"steps": "split"})

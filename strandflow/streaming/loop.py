@@ -1,31 +1,63 @@
-"""New sessions as a stream: discover, process each once, retry what failed; and gaps on a live stream.
+"""New sessions as a stream: discover, process each once, try again what failed; and gaps on a live stream.
 
-What waits for another try is a small table of folders, written anew as a version of its own after
-every batch, so a batch that is replayed overwrites its own version and nothing doubles.
+What is known of a session is keyed state: new folders and the outcomes of former attempts are one stream,
+grouped by folder, and the state says which of them are to be processed now. An outcome is a row of a
+small table; the next run reads it as input, so a failure is tried again once in each run, until it is
+done or, if a limit is set, given up. Nothing that is known of other sessions is read for that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from strandflow.sources.sessions import SESSION, check_sessions, directory_of, read_sessions
+from strandflow.sources.session_files import Sessions
 
-WAITING = "directory string, session_id string, reason string"
+OUTCOME = "directory string, session_id string, error string"
+EVENT = "directory string, kind string, error string"
+STATE = "status string, attempts int, error string"
 Process = Callable[[DataFrame, int], DataFrame]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def discover(spark: SparkSession, root: str, n_joints: int) -> DataFrame:
-    """A stream of session metadata: each session.json once, by the checkpoint's memory of files, not by time.
+class Attempts(StatefulProcessor):
+    """Per folder: waiting, done or given up, how often it was tried, and the last error. Emits (directory, attempt) of what is to be processed."""
 
-    A folder counts once its session.json is there, so recorders write that file last.
-    """
-    raw = spark.readStream.schema(SESSION).option("multiLine", True).option(
-        "columnNameOfCorruptRecord",
-        "_broken",
-    ).option("pathGlobFilter", "session.json").option("recursiveFileLookup", True).json(root)
-    return check_sessions(raw.withColumn("directory", directory_of()), n_joints)
+    def __init__(self, most: int | None):
+        self.most = most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("status", STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        status, attempts, error = self.state.get() if self.state.exists() else ("new", 0, None)
+        events = pd.concat(list(rows))
+        kinds = set(events["kind"])
+        failed = events[events["kind"] == "failed"]
+        if len(failed):
+            status, error = "waiting", str(failed["error"].iloc[-1])
+        if "done" in kinds:
+            status, error = "done", None
+        tries = ("arrived" in kinds and status == "new") or "again" in kinds or status == "waiting"
+        if tries and status == "waiting" and self.most is not None and attempts >= self.most and "again" not in kinds:
+            status, tries = "given up", False
+        if tries:
+            status, attempts = "waiting", attempts + 1
+            yield pd.DataFrame({"directory": [key[0]], "attempt": [attempts]})
+        self.state.update((status, attempts, error))
+
+    def close(self) -> None:
+        pass
+
+
+def discover(spark: SparkSession, root: str) -> DataFrame:
+    """A stream of (directory): each folder once, as soon as its session.json is there, so recorders write that file last."""
+    spark.dataSource.register(Sessions)
+    return spark.readStream.format("sessions").option("root", root).load()
 
 
 def retry_ledger(arrived: DataFrame, ledger: DataFrame, done: DataFrame) -> DataFrame:
@@ -37,68 +69,56 @@ def retry_ledger(arrived: DataFrame, ledger: DataFrame, done: DataFrame) -> Data
     )
 
 
-def waiting(spark: SparkSession, ledger: str, before: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
-    """(directory, session_id, reason) of the newest version (of the batches `before` one), and its (batch, try); (-1, 0) if there is none."""
-    none = spark.createDataFrame([], WAITING)
-    if not _exists(spark, ledger):
-        return none, (-1, 0)
-    rows = spark.read.schema(WAITING + ", batch long, try long").parquet(ledger)
-    if before is not None:
-        rows = rows.filter(F.col("batch") < before)
-    last = rows.agg(F.max(F.struct("batch", "try")).alias("v")).first()["v"]
-    if last is None:
-        return none, (-1, 0)
-    now = rows.filter((F.col("batch") == last["batch"]) & (F.col("try") == last["try"]))
-    return now.filter("directory is not null").select("directory", "session_id", "reason"), (last["batch"], last["try"])
-
-
-def _attempt(sessions: DataFrame, process: Process, batch_id: int) -> DataFrame:
-    """Process the usable sessions; the ones that still wait, bad metadata among them."""
-    sessions = sessions.select("directory", "session_id", "reason", "control_hz", "operator_id", "task_id").persist()
-    try:
-        work = sessions.filter("reason is null")
-        done = process(work, batch_id).select("session_id")
-        failed = work.join(done, "session_id", "left_anti").withColumn("reason", F.lit("failed"))
-        left = failed.unionByName(sessions.filter("reason is not null")).select("directory", "session_id", "reason")
-        rows = [tuple(r) for r in left.toLocalIterator()]  # names of the folders that failed in one batch
-        return sessions.sparkSession.createDataFrame(rows, WAITING)
-    finally:
-        sessions.unpersist()
+def _record(events: DataFrame, outcomes: str, name: str) -> None:
+    events.select("directory", "kind", "error").coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/{name}")
 
 
-def _record(left: DataFrame, ledger: str, batch_id: int, attempt: int) -> None:
-    """A version of the ledger; a row without a directory marks it, even where nothing waits."""
-    mark = left.sparkSession.createDataFrame([(None, None, None)], WAITING)
-    left.unionAll(mark).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}/try={attempt}")
+def again(spark: SparkSession, outcomes: str, directories: list[str]) -> None:
+    """Have these folders processed in the next run, whatever became of them."""
+    rows = [(d, "again", None) for d in directories]
+    spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(f"{outcomes}/asked")
 
 
-def run(spark: SparkSession, root: str, n_joints: int, process: Process, checkpoint: str, ledger: str) -> None:
-    """Try again what waits, whether or not something new came; then process everything that is new.
+def run(spark: SparkSession, root: str, process: Process, checkpoint: str, outcomes: str, attempts: int | None = None) -> None:
+    """Process everything that is new, and everything that failed in the run before.
 
-    `process` gets the usable sessions of a batch and returns (session_id) of those it finished. The
-    others, and sessions whose metadata is bad, wait in the ledger by their folder; each run
-    reads their session.json again, so a repaired one is processed.
+    `process` gets (directory) of a batch and returns (directory, session_id, error) of each; without an error
+    a session is done. A folder that it says nothing of has failed. `attempts` limits how often a session is tried.
+    A batch that is replayed writes over its own outcomes.
     """
-    old, (batch_id, attempt) = waiting(spark, ledger)
-    folders = [r["directory"] for r in old.select("directory").distinct().toLocalIterator()]
-    if folders:
-        again = read_sessions(spark, root, n_joints).filter(F.col("directory").isin(folders))
-        _record(_attempt(again, process, batch_id), ledger, batch_id, attempt + 1)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        before, _ = waiting(spark, ledger, batch_id)
-        left = _attempt(df, process, batch_id)
-        _record(before.join(left, "directory", "left_anti").select(left.columns).unionAll(left), ledger, batch_id, 0)
-
-    discover(spark, root, n_joints).writeStream.foreachBatch(batch).option(
-        "checkpointLocation",
-        checkpoint,
-    ).trigger(availableNow=True).start().awaitTermination()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{outcomes}/asked")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+
+    def batch(work: DataFrame, batch_id: int) -> None:
+        work = work.select("directory").distinct().persist()
+        try:
+            if work.isEmpty():
+                return
+            told = work.join(process(work, batch_id).select("directory", "session_id", "error", F.lit(True).alias("told")), "directory", "left")
+            error = F.when(F.col("told").isNull(), "nothing was said of it").otherwise(F.col("error"))
+            kind = F.when(error.isNull(), "done").otherwise("failed")
+            _record(told.select("directory", kind.alias("kind"), error.alias("error")), outcomes, f"batch_{batch_id}")
+        finally:
+            work.unpersist()
+
+    new = discover(spark, root).select("directory", F.lit("arrived").alias("kind"), F.lit(None).cast("string").alias("error"))
+    former = spark.readStream.schema(EVENT).option("recursiveFileLookup", True).parquet(outcomes)
+    known = new.unionByName(former).groupBy("directory").transformWithStateInPandas(
+        Attempts(attempts), "directory string, attempt int", "update", "none"
+    )
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)  # the one that keeps keyed state of this kind; the query remembers it
+    try:
+        query = known.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+    query.awaitTermination()
+
+
+def known_sessions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(directory, status, attempts, error) of every folder seen so far, read from the state itself."""
+    state = spark.read.format("statestore").option("stateVarName", "status").load(checkpoint)
+    return state.select(F.col("key.directory").alias("directory"), "value.*")
 
 
 def gap_sessions(stream: DataFrame, time: str, keys: list[str], gap: str, late: str = "1 hour") -> DataFrame:

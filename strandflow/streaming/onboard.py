@@ -1,15 +1,27 @@
-"""Onboarding of sessions: read, resample, validate, score, store or quarantine, and a summary row for each run."""
+"""Onboarding of sessions: read, resample, validate, score, store or quarantine, and what became of each.
+
+A session is onboarded as a whole or not at all. What is wrong with one session is that session's
+error and never keeps another one from the store.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandflow.operators import canonical, dataset, metrics, resample, validate
 from strandflow.operators.canonical import KEYS
-from strandflow.profile import Profile
-from strandflow.sources import sessions as source
+from strandflow.profile import METRICS, Profile
+from strandflow.sources import sessions as source, store as versions
+from strandflow.sources.scratch import cut
+from strandflow.streaming.loop import OUTCOME
+
+FATES = ("accepted", "quarantined", "rejected")
+RUN = (
+    "batch long, ran_at timestamp, directory string, session_id string, episodes long, accepted long, quarantined long, rejected long, "
+    "flags map<string, long>, error string"
+)
 
 
 def ingest(rows: DataFrame, sessions: DataFrame, profile: Profile) -> tuple[DataFrame, DataFrame]:
@@ -30,72 +42,114 @@ def ingest(rows: DataFrame, sessions: DataFrame, profile: Profile) -> tuple[Data
     return steps, episodes.join(dataset.content_hash(steps, profile.channels()), list(KEYS))
 
 
-def processor(root: str, profile: Profile, store: str, quarantine: str, runs: str) -> Callable[[DataFrame, int], DataFrame]:
-    """The function that onboards the sessions of a batch; it returns (session_id) of those it finished.
+def judge(steps: DataFrame, episodes: DataFrame, profile: Profile) -> DataFrame:
+    """Episodes with metrics, score, tier, ok, issues and their fate; durations are compared within the session."""
+    scored = metrics.score(metrics.metrics(steps, episodes, profile, ["session_id"]), profile)
+    judged = scored.join(validate.validate(steps, profile), list(KEYS))
+    fate = F.when(~F.col("ok"), "quarantined").when(F.col("tier") == "reject", "rejected").otherwise("accepted")
+    return judged.withColumn("fate", fate)
+
+
+def _counts(judged: DataFrame) -> DataFrame:
+    """Per session: episodes, how many met each fate, and how often each flag was raised among the valid ones."""
+    flags = F.map_from_entries(F.filter(F.array(*(
+        F.struct(F.lit(m).alias("key"), F.count_if(F.col("ok") & F.array_contains("flags", m)).alias("value")) for m in METRICS
+    )), lambda x: x["value"] > 0))
+    fates = (F.count_if(F.col("fate") == f).alias(f) for f in FATES)
+    return judged.groupBy("session_id").agg(F.count("*").alias("episodes"), *fates, flags.alias("flags"))
+
+
+def usable(spark: SparkSession, root: str, profile: Profile, directories: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(sessions, bad): metadata of the folders that can be used, and (directory, session_id, error) of the others. An id that several folders declare is an error of each."""
+    meta = cut(source.read_sessions(spark, root, profile.n_joints, directories), "sessions")
+    twice = meta.filter("reason is null").groupBy("session_id").count().filter("count > 1").select("session_id", F.lit("several folders declare this session_id").alias("twice"))
+    meta = meta.join(twice, "session_id", "left").withColumn("error", F.coalesce("reason", "twice"))
+    return meta.filter("error is null").drop("reason", "twice", "error"), meta.filter("error is not null").select("directory", "session_id", "error")
+
 
-    Durations are compared within the session. Accepted episodes go to the store with score and
-    tier; invalid and rejected ones to `quarantine` with their reasons. A session without any
-    episode is not finished. Each call appends the batch's outcome to `runs`: per session the
-    episodes, accepted, quarantined and rejected ones, or the error. A session's tables are
-    replaced as a whole, so a batch may run twice.
+def onboard(spark: SparkSession, root: str, profile: Profile, store: str, directories: list[str], carry: dict[str, object] | None = None) -> DataFrame:
+    """Onboard these folders in one commit of the store; (directory, session_id, episodes, accepted, quarantined, rejected, flags, error) of each.
+
+    The store's tables: steps and episodes hold the accepted ones, with score and tier, quarantine_steps and
+    quarantine the others with their reasons. Only the folders' own files are read.
+    """
+    sessions, bad = usable(spark, root, profile, directories)
+    rows, errors, _ = source.read_episodes(spark, root, profile.n_joints, directories)
+    text = F.concat_ws(": ", F.element_at(F.split("source_file", "/"), -1), "reason")
+    failed = errors.groupBy("directory").agg(F.array_join(F.sort_array(F.collect_list(text)), "; ").alias("error"))
+    failed = cut(sessions.select("directory", "session_id").join(failed, "directory"), "failed")
+    good = sessions.join(failed, "directory", "left_anti")
+    steps, episodes = ingest(rows, good, profile)
+    steps = cut(steps, "steps")
+    judged = cut(judge(steps, episodes, profile), "judged")
+    counts = cut(_counts(judged).join(good.select("session_id", "directory"), "session_id"), "counts")
+    if not counts.isEmpty():
+        accepted, others = judged.filter("fate = 'accepted'"), judged.filter("fate <> 'accepted'")
+        versions.commit(
+            store,
+            counts.withColumns({k: F.lit(v) for k, v in (carry or {}).items()}),
+            {
+                "steps": steps.join(accepted, list(KEYS), "left_semi"),
+                "episodes": accepted.drop("ok", "issues", "fate", "hard_reject_reasons"),
+                "quarantine_steps": steps.join(others, list(KEYS), "left_semi"),
+                "quarantine": others.drop("ok"),
+            },
+        )
+    nothing = good.join(counts, "directory", "left_anti").select("directory", "session_id", F.lit("no episode").alias("error"))
+    told = failed.select("directory", "session_id", "error").unionByName(bad).unionByName(nothing)
+    return counts.unionByName(told, allowMissingColumns=True)
+
+
+def _apart(directories: list[str], work: Callable[[list[str]], DataFrame]) -> list[DataFrame]:
+    """Results of `work`; where it raises, its folders are halved until the one that brings it about stands alone."""
+    try:
+        return [work(directories)]
+    except Exception as e:  # whatever went wrong with one session is that session's error
+        if len(directories) == 1:
+            spark = SparkSession.active()
+            message = f"{type(e).__name__}: {e}".strip().split("\n")[0][:500]
+            return [spark.createDataFrame([(directories[0], None, message)], OUTCOME)]
+        half = len(directories) // 2
+        return _apart(directories[:half], work) + _apart(directories[half:], work)
+
+
+def processor(root: str, profile: Profile, store: str, runs: str) -> Callable[[DataFrame, int], DataFrame]:
+    """The function that onboards the folders of a batch (`loop.run`); it returns (directory, session_id, error) of each.
+
+    Each call writes the batch's outcomes below `runs`, one row per folder (RUN). A batch may run twice.
     """
 
     def process(work: DataFrame, batch_id: int) -> DataFrame:
         spark = work.sparkSession
-        if work.isEmpty():
-            return work.select("session_id")
-        rows, _ = source.read_episodes(spark, root, work.select("directory"))
-        if rows is None:
-            _summary(work.select("session_id", F.lit("no episode files").alias("error")), runs, batch_id)
-            return work.select("session_id").limit(0)
-        steps, episodes = (df.persist() for df in ingest(rows, work, profile))
-        try:
-            scored = metrics.score(metrics.metrics(steps, episodes, profile, ["session_id"]), profile)
-            judged = scored.join(validate.validate(steps, profile), list(KEYS))
-            fate = F.when(~F.col("ok"), "quarantined").when(F.col("tier") == "reject", "rejected").otherwise("accepted")
-            judged = judged.withColumn("fate", fate).drop("metrics").persist()
-            good, bad = judged.filter("fate = 'accepted'"), judged.filter("fate <> 'accepted'")
-            source.write_episodes(
-                steps.join(good, list(KEYS), "left_semi"),
-                good.drop("ok", "issues", "fate", "hard_reject_reasons"),
-                store,
-            )
-            source.write_episodes(steps.join(bad, list(KEYS), "left_semi"), bad.drop("ok"), quarantine)
-            counts = [
-                F.count("*").alias("episodes"),
-                *(F.count_if(F.col("fate") == f).alias(f) for f in ("accepted", "quarantined", "rejected")),
-            ]
-            done = judged.groupBy("session_id").agg(*counts)
-            outcome = work.select("session_id").join(done, "session_id", "left")
-            outcome = outcome.withColumn("error", F.when(F.col("episodes").isNull(), "no episode"))
-            _summary(outcome, runs, batch_id)
-            return spark.createDataFrame([(r["session_id"],) for r in done.select("session_id").collect()], "session_id string")
-        finally:
-            for df in (steps, episodes):
-                df.unpersist()
+        directories = sorted(r["directory"] for r in work.select("directory").distinct().collect())  # names of one batch's folders
+        parts = _apart(directories, lambda own: onboard(spark, root, profile, store, own, {"batch": batch_id}))
+        found = parts[0]
+        for more in parts[1:]:
+            found = found.unionByName(more, allowMissingColumns=True)
+        nothing = {c: F.lit(0).cast("long") for c in ("episodes", *FATES)}
+        found = found.select(
+            F.lit(batch_id).cast("long").alias("batch"), F.current_timestamp().alias("ran_at"), "directory", "session_id",
+            *(F.coalesce(F.col(c), z).alias(c) if c in found.columns else z.alias(c) for c, z in nothing.items()),
+            (F.col("flags") if "flags" in found.columns else F.lit(None)).cast("map<string, bigint>").alias("flags"),
+            (F.col("error") if "error" in found.columns else F.lit(None)).cast("string").alias("error"),
+        )
+        found.write.mode("overwrite").parquet(f"{runs}/run={batch_id}")
+        return spark.read.schema(RUN).parquet(f"{runs}/run={batch_id}")
 
     return process
 
 
-def _summary(outcome: DataFrame, runs: str, batch_id: int) -> None:
-    counts = ("episodes", "accepted", "quarantined", "rejected")
-    have = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") if c in outcome.columns else F.lit(0).cast("long") for c in counts}
-    row = outcome.withColumns(have).withColumns({"batch": F.lit(batch_id).cast("long"), "ran_at": F.current_timestamp()})
-    row.select("batch", "ran_at", "session_id", *counts, "error").write.mode("append").parquet(runs)
-
-
 def run_summary(runs: DataFrame, alarm: float = 0.4) -> DataFrame:
-    """Per batch: sessions, episodes, accepted, quarantined, rejected, failed sessions, the drop rate and whether it is alarming.
-
-    Of a session that a batch ran twice, the later outcome counts.
-    """
-    last = runs.groupBy("batch", "session_id").agg(
-        F.max_by(F.struct("episodes", "accepted", "quarantined", "rejected", "error"), "ran_at").alias("o")
-    ).select("batch", "session_id", "o.*")
-    row = last.groupBy("batch").agg(
+    """Per batch: sessions, episodes, accepted, quarantined, rejected, failed sessions, the error of each, the flags raised, the drop rate and whether it is alarming."""
+    row = runs.groupBy("batch").agg(
+        F.max("ran_at").alias("ran_at"),
         F.count("*").alias("sessions"),
-        *(F.sum(c).alias(c) for c in ("episodes", "accepted", "quarantined", "rejected")),
+        *(F.sum(c).alias(c) for c in ("episodes", *FATES)),
         F.count("error").alias("failed"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("directory", "error"))))).alias("errors"),
     )
+    raised = runs.select("batch", F.explode("flags").alias("flag", "n")).groupBy("batch", "flag").agg(F.sum("n").alias("n"))
+    flags = raised.groupBy("batch").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("flag", "n")))).alias("flags"))
     share = F.try_divide(F.col("quarantined") + F.col("rejected"), F.col("accepted") + F.col("quarantined") + F.col("rejected"))
+    row = row.join(flags, "batch", "left").withColumn("flags", F.coalesce("flags", F.expr("cast(map() as map<string, bigint>)")))
     return row.withColumns({"drop_rate": share, "alarm": F.coalesce(share > alarm, F.lit(False))})
