@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: `spark.checkpoint.dir`; where that is unset, one in the warehouse, or a temporary one on a local master."""
@@ -25,7 +27,12 @@ def cut(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFr
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # what was exchanged for the table goes once it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     if instead_of is not None:
