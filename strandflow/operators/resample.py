@@ -12,7 +12,7 @@ from strandflow.operators.canonical import KEYS
 
 SECOND_US = 1_000_000
 #: Added before a grid point is rounded down, so that points on whole microseconds stay there.
-_NUDGE = 1e-3
+NUDGE = 1e-3
 
 
 def _timing(dt: Column, max_gap_us: int, over=None) -> dict[str, Column]:
@@ -60,7 +60,7 @@ def resample(
     low = F.greatest(F.ceil(index(F.col("t_us"))).cast("long") - 1, F.lit(0).cast("long"))
     high = F.ceil(index(F.when(F.col("_last"), F.col("t_us") + half).otherwise(F.col("_t_us")))).cast("long") + 1
     df = df.withColumn("step", F.explode(F.sequence(low, F.greatest(high, low))))
-    df = df.withColumn("_g", F.col("_t0") + F.floor(F.col("step") * F.lit(float(unit_us)) / F.col("_rate") + _NUDGE).cast("long"))
+    df = df.withColumn("_g", F.col("_t0") + F.floor(F.col("step") * F.lit(float(unit_us)) / F.col("_rate") + NUDGE).cast("long"))
     g = F.col("_g")
     end = F.when(F.col("_last"), g < F.col("t_us") + half).otherwise(g < F.col("_t_us"))
     df = df.filter((g >= F.col("t_us")) & end)
