@@ -39,67 +39,61 @@ def suffix_array(s: list[int], letters: int) -> list[int]:
     n = len(s)
     if n < 2:
         return list(range(n))
-    small = bytearray(n)  # 1: the suffix is smaller than the next one
-    for i in range(n - 2, -1, -1):
-        a, b = s[i], s[i + 1]
-        small[i] = a < b or (a == b and small[i + 1])
-    size = [0] * letters
-    for c in s:
-        size[c] += 1
-    head, at = [0] * letters, 0
-    for c in range(letters):
-        head[c] = at
-        at += size[c]
-    tail = [h + z for h, z in zip(head, size, strict=True)]
-    leftmost = [i for i in range(1, n) if small[i] and not small[i - 1]]
+    text = np.array(s, np.int32)
+    differs = np.flatnonzero(text[1:] != text[:-1])  # a suffix compares to the next one as these letters do
+    turn = np.searchsorted(differs, np.arange(n - 1))
+    rises = np.append(text[differs] < text[differs + 1], False)  # the last letters fall to the end of the text
+    smaller = np.append(rises[turn], False)
+    small, large = smaller.tolist(), (~smaller).tolist()
+    size = np.bincount(text, minlength=letters)
+    heads, tails = (np.cumsum(size) - size).tolist(), np.cumsum(size).tolist()
+    is_leftmost = np.append(False, smaller[1:] & ~smaller[:-1])
+    leftmost = np.flatnonzero(is_leftmost)
 
     def induce(order: list[int]) -> list[int]:
         """All suffixes, sorted from the order of the leftmost smaller ones."""
         sa = [-1] * n
-        free = tail[:]
+        free = tails[:]
         for i in reversed(order):
-            free[s[i]] -= 1
-            sa[free[s[i]]] = i
-        free = head[:]
-        sa_last = s[n - 1]  # the last suffix is larger than the end of the text
-        sa[free[sa_last]] = n - 1
-        free[sa_last] += 1
-        for i in sa_order(sa):
-            c = s[i - 1]
-            sa[free[c]] = i - 1
-            free[c] += 1
-        free = tail[:]
-        for k in range(n - 1, -1, -1):
-            i = sa[k] - 1
-            if i >= 0 and small[i]:
-                c = s[i]
+            c = s[i]
+            free[c] -= 1
+            sa[free[c]] = i
+        free = heads[:]
+        last = s[n - 1]  # the last suffix is larger than the end of the text
+        sa[free[last]] = n - 1
+        free[last] += 1
+        for i in sa:  # grows while it is read
+            if i > 0 and large[i - 1]:
+                c = s[i - 1]
+                sa[free[c]] = i - 1
+                free[c] += 1
+        free = tails[:]
+        for i in reversed(sa):
+            if i > 0 and small[i - 1]:
+                c = s[i - 1]
                 free[c] -= 1
-                sa[free[c]] = i
+                sa[free[c]] = i - 1
         return sa
 
-    def sa_order(sa: list[int]) -> Iterator[int]:
-        for i in sa:  # grows while it is read
-            if i > 0 and not small[i - 1]:
-                yield i
-
-    if not leftmost:
+    if not len(leftmost):
         return induce([])
-    sa = induce(leftmost)
-    ends = dict(zip(leftmost, [*leftmost[1:], n - 1], strict=True))
-    is_leftmost = bytearray(n)
-    for i in leftmost:
-        is_leftmost[i] = 1
-    name, names, last = -1, {}, None
-    for i in sa:
-        if is_leftmost[i]:
-            word = s[i : ends[i] + 1]
-            if word != last or ends[i] == n - 1:  # the one at the end is only like itself
-                name += 1
-            last = word if ends[i] != n - 1 else None
-            names[i] = name
-    if name + 1 < len(leftmost):
-        return induce([leftmost[k] for k in suffix_array([names[i] for i in leftmost], name + 1)])
-    return induce([i for i in sa if is_leftmost[i]])
+    sa = np.array(induce(leftmost.tolist()), np.int64)
+    order = sa[is_leftmost[sa]]
+    ends = np.zeros(n, np.int64)
+    ends[leftmost] = np.append(leftmost[1:], n - 1)
+    size = ends[order] - order
+    like = np.append(False, (size[1:] == size[:-1]) & (ends[order[1:]] < n - 1) & (ends[order[:-1]] < n - 1))  # the one at the end is only like itself
+    raw = text.tobytes()
+    for k in np.flatnonzero(like).tolist():
+        i, j, z = 4 * int(order[k]), 4 * int(order[k - 1]), 4 * int(size[k]) + 4
+        like[k] = raw[i : i + z] == raw[j : j + z]
+    name = np.cumsum(~like) - 1
+    if name[-1] + 1 < len(leftmost):
+        names = np.zeros(n, np.int64)
+        names[order] = name
+        inner = suffix_array(names[leftmost].tolist(), int(name[-1]) + 1)
+        return induce(leftmost[np.array(inner, np.int64)].tolist())
+    return induce(order.tolist())
 
 
 def common_prefixes(s: list[int], sa: list[int]) -> tuple[list[int], list[int]]:
