@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from strandflow.operators.canonical import KEYS, episode_window
+from strandflow.operators.quantiles import quantiles
 from strandflow.profile import METRICS, Anchor, Profile
 
 MAD_SCALE = 1.4826
@@ -24,32 +25,17 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def _counted(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """(keys, column, _n): how often each value occurs within its keys; the map side adds up first."""
-    return df.groupBy(*keys, column).agg(F.count(column).alias("_n")).filter("_n > 0")
-
-
 def centre_and_scale(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """One row per keys: _median, _scale (scaled median absolute deviation) and _size of a column's known values.
 
-    Exact medians over counted values: tasks aggregate (keys, value) pairs, never all rows of a key.
+    Exact, by `quantiles`; no task holds more of a key than its bound.
     """
-    counted = _counted(df, keys, column)
-    middle = counted.groupBy(*keys).agg(F.percentile(column, F.lit(0.5), F.col("_n")).alias("_median"), F.sum("_n").alias("_size"))
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
-    off = counted.alias("c").join(middle.alias("m"), same)
-    off = off.select(
-        *(F.col(f"c.{k}").alias(k) for k in keys),
-        "_median",
-        "_size",
-        "_n",
-        F.abs(F.col(f"c.{column}") - F.col("_median")).alias("_off"),
-    )
-    return off.groupBy(*keys).agg(
-        F.first("_median").alias("_median"),
-        (MAD_SCALE * F.percentile("_off", F.lit(0.5), F.col("_n"))).alias("_scale"),
-        F.first("_size").alias("_size"),
-    )
+    middle = quantiles(df, keys, column, {"_median": 0.5})
+    off = df.select(*keys, column).alias("d").join(middle.alias("m"), [F.col(f"d.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys])
+    off = off.select(*(F.col(f"d.{k}").alias(k) for k in keys), F.abs(F.col(f"d.{column}") - F.col("_median")).alias("_off"))
+    spread = quantiles(off, keys, "_off", {"_mad": 0.5}).drop("size")
+    both = middle.alias("m").join(spread.alias("s"), [F.col(f"m.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    return both.select(*(F.col(f"m.{k}").alias(k) for k in keys), "_median", (MAD_SCALE * F.col("_mad")).alias("_scale"), F.col("size").alias("_size"))
 
 
 def _beside(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from strandflow.operators.canonical import KEYS
+from strandflow.operators.quantiles import quantiles
 from strandflow.profile import METRICS
+from strandflow.sources.scratch import cut
 
 
 def corpus_summary(quality: DataFrame) -> DataFrame:
-    return quality.agg(
-        F.count("*").alias("n_episodes"),
-        F.avg("score").alias("mean"),
-        F.median("score").alias("median"),
-        F.percentile("score", F.lit(0.1)).alias("p10"),
-        F.min("score").alias("min"),
-        F.max("score").alias("max"),
-    )
+    """One row: number of episodes, mean, median, 10 % quantile, minimum and maximum of the score."""
+    scores = cut(quality.select("score"), "scores")
+    rest = scores.agg(F.count("*").alias("n_episodes"), F.avg("score").alias("mean"), F.min("score").alias("min"), F.max("score").alias("max"))
+    middle = quantiles(scores, [], "score", {"median": 0.5, "p10": 0.1}).drop("size")
+    return rest.join(middle).select("n_episodes", "mean", "median", "p10", "min", "max")  # one row each
 
 
 def tier_counts(quality: DataFrame) -> DataFrame:
@@ -68,12 +67,10 @@ def task_rollup(quality: DataFrame) -> DataFrame:
 
 
 def metric_distributions(quality: DataFrame) -> DataFrame:
-    return quality.select(F.inline("metrics")).groupBy("name").agg(
-        F.median("value").alias("median"),
-        F.percentile("value", F.lit(0.9)).alias("p90"),
-        F.max("value").alias("max"),
-        F.avg("penalty").alias("mean_penalty"),
-    )
+    """(name, median, p90, max, mean_penalty) of each metric."""
+    found = cut(quality.select(F.inline("metrics")).select("name", "value", "penalty"), "metrics")
+    rest = found.groupBy("name").agg(F.max("value").alias("max"), F.avg("penalty").alias("mean_penalty"))
+    return quantiles(found, ["name"], "value", {"median": 0.5, "p90": 0.9}).join(rest, "name").select("name", "median", "p90", "max", "mean_penalty")
 
 
 def worst_episodes(quality: DataFrame, n: int = 10) -> DataFrame:
