@@ -30,6 +30,8 @@ from strandflow.llm import windows as win
 
 GRAM = 32
 BLOCK_CHARS = 1 << 20
+#: Bytes of contexts that one suffix array is built of (more, if one core has more): its lists should stay in a CPU's cache.
+SHARD_BYTES = 1 << 15
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _OTHER_BYTES = mix(_BYTES + np.uint64(1))
 
@@ -209,6 +211,19 @@ def _send_text(batches: Iterator[pa.RecordBatch], width: int, n: int, hot: np.nd
             yield out.select(["bucket", *_TEXT])
 
 
+def _shards(cores: list[dict], size: int) -> Iterator[list[dict]]:
+    """The contexts of whole cores in groups of about `size` bytes, one suffix array each."""
+    held, n = [], 0
+    for contexts in cores:
+        held.append(contexts)
+        n += sum(map(len, contexts))
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
     """Within a shard: the windows that occur again, as runs."""
     core, _ = _core(width)
@@ -221,24 +236,16 @@ def _settle(c: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
     out = [c["known"].reshape(-1, 4)]
     alike = [i for members in places.values() for rows in members.values() if len(rows) > 1 for i in rows]
     out.append(np.stack([c["docs"][alike], c["rows"][alike], c["starts"][alike], c["counts"][alike]], axis=1).astype(np.int64))
-    laid = [
-        (number, context, rows) for number, members in enumerate(
-            m for m in places.values() if len(m) > 1
-        ) for context, rows in members.items()
-    ]
-    if laid:
-        numbers, contexts, members = zip(*laid, strict=True)
-        found = repeated_windows(list(contexts), [int(c["places"][rows[0]]) for rows in members], list(numbers), core, width)
-        for rows, again in zip(members, found, strict=True):
+    for members in _shards([m for m in places.values() if len(m) > 1], SHARD_BYTES):
+        laid = [(number, context, rows) for number, m in enumerate(members) for context, rows in m.items()]
+        numbers, contexts, own = zip(*laid, strict=True)
+        found = repeated_windows(list(contexts), [int(c["places"][rows[0]]) for rows in own], list(numbers), core, width)
+        for rows, again in zip(own, found, strict=True):
             if len(rows) == 1 and again.any():
                 at, i = np.flatnonzero(again), rows[0]
                 f, n = win.runs(at, np.zeros(len(at), np.int64))
-                out.append(
-                    np.stack(
-                        [np.full(len(f), c["docs"][i]), np.full(len(f), c["rows"][i]), c["starts"][i] + at[f], n],
-                        axis=1,
-                    ).astype(np.int64)
-                )
+                first = [np.full(len(f), c["docs"][i]), np.full(len(f), c["rows"][i]), c["starts"][i] + at[f], n]
+                out.append(np.stack(first, axis=1).astype(np.int64))
     rows = np.concatenate(out)
     return {k: rows[:, i] for i, k in enumerate(("doc", "row", "start", "count"))}
 
