@@ -41,12 +41,35 @@ def gate(episodes: DataFrame, quality: DataFrame, validation: DataFrame, profile
     return df.withColumn("exclude_reason", reason)
 
 
-def content_hash(steps: DataFrame, channels: list[str], unit: float = 1e6) -> DataFrame:
-    """(keys, content_hash): of an episode's values in units of 1/`unit`, independent of row order."""
+def digest_sums(steps: DataFrame, channels: list[str], unit: float = 1e6) -> DataFrame:
+    """(keys, sum_0 ... sum_3): sums of the four words of each row's md5; a row is its step, time and values in units of 1/`unit`.
+
+    They add up before the shuffle, in any order, and to those of rows that come later (`add_sums`).
+    """
     cell = lambda c: F.coalesce(F.round(F.col(c) * unit).cast("long").cast("string"), F.lit("-"))
-    line = F.struct("step", F.concat_ws(",", F.col("t_us").cast("string"), *(cell(c) for c in channels)).alias("line"))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), ";")
-    return steps.groupBy(*KEYS).agg(F.sha2(whole, 256).alias("content_hash"))
+    fixed = (F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("step", "t_us"))
+    rows = steps.select(*KEYS, F.md5(F.concat_ws(",", *fixed, *(cell(c) for c in channels))).alias("d"))
+    word = lambda i: F.conv(F.substring("d", 8 * i + 1, 8), 16, 10).cast("long")
+    return rows.groupBy(*KEYS).agg(*(F.sum(word(i)).alias(f"sum_{i}") for i in range(4)))
+
+
+def add_sums(sums: DataFrame, more: DataFrame) -> DataFrame:
+    """`digest_sums` of the rows of both; an episode's appended steps are hashed alone."""
+    return sums.unionByName(more).groupBy(*KEYS).agg(*(F.sum(f"sum_{i}").alias(f"sum_{i}") for i in range(4)))
+
+
+def hash_of(sums: DataFrame) -> DataFrame:
+    """(keys, content_hash): the sum of the rows' digests modulo 2^128, as 32 hexadecimal digits."""
+    carried = sums
+    for i in (2, 1, 0):
+        carried = carried.withColumn(f"sum_{i}", F.col(f"sum_{i}") + F.shiftright(f"sum_{i + 1}", 32))
+    digits = (F.lower(F.lpad(F.hex(F.col(f"sum_{i}").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")) for i in range(4))
+    return carried.select(*KEYS, F.concat(*digits).alias("content_hash"))
+
+
+def content_hash(steps: DataFrame, channels: list[str], unit: float = 1e6) -> DataFrame:
+    """(keys, content_hash): of an episode's values in units of 1/`unit`, independent of row order; no task holds an episode."""
+    return hash_of(digest_sums(steps, channels, unit))
 
 
 def dedupe(episodes: DataFrame, order: tuple[str, ...] = KEYS, hash_column: str = "content_hash") -> DataFrame:

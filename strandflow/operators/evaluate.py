@@ -133,7 +133,8 @@ def cluster_bootstrap(values: DataFrame, group: list[str], value: str, draws: in
 
     Draw r, i of a replicate is the md5 of "seed:r:i" modulo the number of groups. Groups are numbered by
     the first two digits of their keys' md5, then by their keys: within each of the 256 parts
-    by itself, behind the sizes of the parts before. Per-group sums are joined to the draws.
+    by itself, behind the sizes of the parts before. Per-group sums are joined to the draws: a row
+    for each group and replicate, so that SQL can state them; `bootstrap` draws without such rows.
     """
     stats = values.groupBy(*group).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
     stats = stats.withColumn("part", F.substring(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in group))), 1, 2))
@@ -153,6 +154,75 @@ def cluster_bootstrap(values: DataFrame, group: list[str], value: str, draws: in
     return means.agg(F.percentile("mean", F.lit(alpha / 2)).alias("low"), F.percentile("mean", F.lit(1 - alpha / 2)).alias("high"))
 
 
+#: Groups whose replicate counts are drawn together: rows of a matrix with a column for each replicate.
+DRAWN = 1024
+
+
+def _replicates(seed: int, part: int, sizes: np.ndarray, draws: int, groups: Iterator[np.ndarray]) -> np.ndarray:
+    """(draws, 2): of a part's groups (rows of sum and number), what each replicate drew of them in total.
+
+    A replicate draws as many groups as there are. The part's share of these draws is binomial given those
+    of the parts before, a block's given those of the blocks before, and within a block all groups
+    are alike. The same seeds give every task the same shares.
+    """
+    shares, left, open_ = np.random.default_rng([seed, 0]), np.full(draws, sizes.sum()), int(sizes.sum())
+    for size in sizes[:part].tolist():
+        left = left - shares.binomial(left, size / open_)
+        open_ -= size
+    size = int(sizes[part])
+    left = shares.binomial(left, size / open_)
+    rng, total = np.random.default_rng([seed, 1, part]), np.zeros((draws, 2))
+    for block in groups:
+        own = rng.binomial(left, len(block) / size)
+        left, size = left - own, size - len(block)
+        counts = rng.multinomial(own, np.full(len(block), 1 / len(block)))
+        total += counts @ block
+    return total
+
+
+def bootstrap(values: DataFrame, group: list[str], value: str, draws: int, seed: int, alpha: float = 0.05, parts: int = 256) -> DataFrame:
+    """One row (low, high, mean, deviation) of the mean over all rows when whole groups are drawn with replacement, and its replicates' mean and deviation. Below 2 groups all are null.
+
+    Groups are dealt to `parts` by a hash of their keys, and each part draws by itself how often a replicate takes each of its
+    groups (`_replicates`), DRAWN groups at a time; it hands on one row for each replicate.
+    There is no row for a draw, and no task holds more than DRAWN x `draws` counts.
+    """
+    keys = [f"g{i}" for i in range(len(group))]
+    stats = values.groupBy(*(F.col(c).alias(k) for c, k in zip(group, keys, strict=True))).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
+    stats = stats.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+    sizes = np.zeros(parts, np.int64)
+    for r in stats.groupBy("part").agg(F.count("*").alias("size")).collect():  # at most `parts` rows
+        sizes[r["part"]] = r["size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        now = None
+
+        def told() -> Iterator[pa.RecordBatch]:
+            rows = np.concatenate(held)
+            found = _replicates(seed, now, sizes, draws, (rows[at : at + DRAWN] for at in range(0, len(rows), DRAWN)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(draws)), pa.array(found[:, 0]), pa.array(found[:, 1])], ["r", "s", "n"])
+
+        for b in batches:
+            part, s, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+            for x, y in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+                if part[x] != now:
+                    if held:
+                        yield from told()
+                    now, held = int(part[x]), []
+                held.append(np.stack([np.nan_to_num(s[x:y].astype(np.float64)), n[x:y].astype(np.float64)], axis=1))
+        if held:
+            yield from told()
+
+    dealt = stats.repartition("part").sortWithinPartitions("part", *keys).select("part", "s", "n")
+    sums = dealt.mapInArrow(run, "r long, s double, n double").groupBy("r").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    enough = F.lit(bool(sizes.sum() >= 2))
+    means = sums.select(F.when(enough, F.col("s") / F.nullif("n", F.lit(0.0))).alias("mean"))
+    q = lambda p: F.percentile("mean", F.lit(p))
+    return means.agg(q(alpha / 2).alias("low"), q(1 - alpha / 2).alias("high"), F.avg("mean").alias("mean"), F.stddev_pop("mean").alias("deviation"))
+
+
 def rollout_starts(lengths: DataFrame, n: int, most: int = 5) -> DataFrame:
     """(keys, start): up to `most` spread starts of each episode that is longer than n."""
     at = F.expr(f"array_distinct(transform(sequence(0, {most - 1}), x -> cast(floor(x * (length - {n} - 1) / {most - 1}) as int)))")
@@ -215,12 +285,19 @@ def _products(rows: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.Record
 
 def _normalised(batch: pa.RecordBatch, model: dict) -> tuple[np.ndarray, np.ndarray]:
     """A batch's normalised observations (and a 1) and actions."""
-    x = np.array(batch.column("obs").to_pylist(), np.float64)
-    y = np.array(batch.column("actions").to_pylist(), np.float64)
-    y = (y - model["act_mean"]) / model["act_std"]
+    x, y = _matrix(batch, "obs"), _matrix(batch, "actions")
+    y = (y.reshape(len(x), -1, len(model["act_mean"])) - model["act_mean"]) / model["act_std"]
     return _inputs(x, model), y.reshape(len(x), -1)
 
 
+def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """A column of arrays of one length (or of arrays of such arrays) as rows of numbers."""
+    cells = batch.column(name)
+    while pa.types.is_list(cells.type):
+        cells = cells.flatten()
+    return cells.to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+
+
 def _inputs(x: np.ndarray, model: dict) -> np.ndarray:
     return np.hstack([(x - model["obs_mean"]) / model["obs_std"], np.ones((len(x), 1))])
 
@@ -258,6 +335,56 @@ def fit_policy(
     return model
 
 
+def _weighted(rows: Iterator[pa.RecordBatch], model: dict, weights: list[np.ndarray], beta: float) -> Iterator[pa.RecordBatch]:
+    """Sums of products weighted by 1 / max(|error|, beta), for each output of each candidate; and the loss of each."""
+    total = None
+    for batch in rows:
+        if not batch.num_rows:
+            continue
+        x, y = _normalised(batch, model)
+        parts = []
+        for w in weights:
+            off = np.abs(y - x @ w)
+            u = 1 / np.maximum(off, beta)
+            parts += [np.stack([(x * u[:, [o]]).T @ x for o in range(y.shape[1])]).ravel(), (x.T @ (u * y)).ravel()]
+            parts.append([np.where(off < beta, off * off / (2 * beta), off - beta / 2).sum()])
+        part = np.concatenate(parts)
+        total = part if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int64()), pa.array(total)], ["cell", "value"])
+
+
+def refit(windows: DataFrame, model: dict, beta: float = 0.1, rounds: int = 15, tolerance: float = 1e-4) -> dict:
+    """The model with its candidates' weights fitted on the smooth L1 loss of normalised actions, from what they are now.
+
+    Iteratively reweighted least squares: one pass for each round and all candidates, until the penalised loss of none
+    falls by more than `tolerance` of it. Each partition sums its products; only the cells, whose
+    number is fixed by the layout, are added up and reach the driver. The bias is not penalised.
+    `losses` tells each candidate's penalised loss before each round.
+    """
+    names, weights = list(model["weights"]), [w.copy() for w in model["weights"].values()]
+    d, outputs = weights[0].shape
+    free = np.append(np.ones(d - 1), 0.0)
+    losses: dict = {r: [] for r in names}
+    for _ in range(rounds):
+        found = windows.select("obs", "actions").mapInArrow(
+            lambda rows, now=tuple(weights): _weighted(rows, model, now, beta), "cell long, value double"
+        ).groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
+        if not found:
+            raise ValueError("no window to fit on")
+        cells, moved = np.array([r["value"] for r in found]).reshape(len(names), -1), False
+        for k, (ridge, own) in enumerate(zip(names, cells, strict=True)):
+            left, right = own[: outputs * d * d].reshape(outputs, d, d), own[outputs * d * d : -1].reshape(d, outputs)
+            loss = own[-1] + ridge / beta / 2 * (weights[k] ** 2 * free[:, None]).sum()
+            moved |= not losses[ridge] or losses[ridge][-1] - loss > tolerance * abs(loss)
+            losses[ridge].append(float(loss))
+            solved = [np.linalg.lstsq(left[o] + np.diag(ridge / beta * free), right[:, o], rcond=None)[0] for o in range(outputs)]
+            weights[k] = np.stack(solved, axis=1)
+        if not moved:
+            break
+    return model | {"weights": dict(zip(names, weights, strict=True)), "losses": losses}
+
+
 def fit_history(windows: DataFrame, model: dict) -> DataFrame:
     """(ridge, chunk_mae, loss, chosen) of each candidate on held-out windows, from one pass; chosen is the one of least loss (the first on a tie)."""
     names = list(model["weights"])
@@ -302,59 +429,55 @@ def predict(windows: DataFrame, model: dict, candidates: list | np.ndarray) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array(b.column("obs").to_pylist(), np.float64).reshape(b.num_rows, -1)
-            if len(x):
+            if b.num_rows:
+                x = _matrix(b, "obs")
                 made = [pa.array(_outputs(x, sent.value[0], w).tolist(), arrow.field(names[0]).type) for w in sent.value[1]]
                 yield pa.RecordBatch.from_arrays([*b.columns, *made], schema=arrow)
 
     return windows.mapInArrow(run, schema)
 
 
+def _drift(obs: np.ndarray, truth: np.ndarray, model: dict, weights: np.ndarray, n: int, horizon: int) -> np.ndarray:
+    """Distance of the joints from `truth` after n steps, for many starts at once.
+
+    Commands only add up, so a whole chunk moves the joints by its sum; of the chunk, its last action is what the next one sees.
+    """
+    columns, act = model["obs"], model["act"]
+    joints = [columns.index(c) for c in columns if c.startswith("q_")]
+    moves = [k for k, a in enumerate(act) if a.startswith("act_q_")]
+    seen = {columns.index(f"prev_{a}"): k for k, a in enumerate(act) if f"prev_{a}" in columns}
+    where = obs.copy()
+    for length in [horizon] * (n // horizon) + [n % horizon] * (n % horizon > 0):
+        taken = _outputs(where, model, weights)[:, :length]
+        where[:, joints] += taken[:, :, moves].sum(axis=1)
+        where[:, list(seen)] = taken[:, -1, list(seen.values())]
+    return np.linalg.norm(where[:, joints] - truth, axis=1)
+
+
 def rollout_drift(table: DataFrame, model: dict, weights: np.ndarray, n: int, horizon: int) -> DataFrame:
     """(keys, start, drift): open-loop distance from the recorded joints after n steps, from spread starts.
 
-    The policy is asked every `horizon` steps; its joint commands are added up and its own last action
-    is fed back as the previous action; other observations stay as recorded at the start. So a
-    rollout needs its start row and the joints n steps later, and each batch of starts runs at once.
+    The policy is asked every `horizon` steps and sees its own last action; other observations stay
+    as recorded at the start. So a rollout needs its start row and the joints n steps later.
     Without joints, or without a command for each, there is no row.
     """
-    obs, act = model["obs"], model["act"]
-    q = [i for i, c in enumerate(obs) if c.startswith("q_")]
-    commands = [i for i, c in enumerate(act) if c.startswith("act_q_")]
-    back = [(i, act.index(c.removeprefix("prev_"))) for i, c in enumerate(obs) if c.startswith("prev_") and c.removeprefix("prev_") in act]
-    schema = "session_id string, episode_id string, start int, drift double"
-    if not q or len(q) != len(commands):
-        return table.sparkSession.createDataFrame([], schema)
+    joints = [c for c in model["obs"] if c.startswith("q_")]
+    if not joints or len(joints) != sum(a.startswith("act_q_") for a in model["act"]):
+        return table.sparkSession.createDataFrame([], "session_id string, episode_id string, start int, drift double")
     w = episode_window("step")
-    ends = table.select(
-        *KEYS,
-        F.col("step").alias("start"),
-        F.array(*obs).alias("obs"),
-        F.array(*(F.lead(obs[i], n).over(w) for i in q)).alias("truth"),
-    )
+    later = F.array(*(F.lead(c, n).over(w) for c in joints))
+    ends = table.select(*KEYS, F.col("step").alias("start"), F.array(*model["obs"]).alias("obs"), later.alias("truth"))
     starts = rollout_starts(table.groupBy(*KEYS).agg(F.count("*").alias("length")), n)
-    rows = ends.join(starts, [*KEYS, "start"], "left_semi")
+    rows = ends.join(starts, [*KEYS, "start"], "left_semi").select(*KEYS, F.col("start").cast("int").alias("start"), "obs", "truth")
     sent = table.sparkSession.sparkContext.broadcast((model, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            state, truth = (np.array(b.column(c).to_pylist(), np.float64) for c in ("obs", "truth"))
-            for step in range(n):
-                if step % horizon == 0:
-                    chunk = _outputs(state, *sent.value)
-                action = chunk[:, step % horizon]
-                state[:, q] += action[:, commands]
-                for i, a in back:
-                    state[:, i] = action[:, a]
-            drift = np.sqrt(((state[:, q] - truth) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2).cast(pa.int32()), pa.array(drift)],
-                ["session_id", "episode_id", "start", "drift"],
-            )
+            if b.num_rows:
+                found = _drift(_matrix(b, "obs"), _matrix(b, "truth"), *sent.value, n, horizon)
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found)], [*KEYS, "start", "drift"])
 
-    return rows.select(*KEYS, "start", "obs", "truth").mapInArrow(run, schema)
+    return rows.mapInArrow(run, "session_id string, episode_id string, start int, drift double")
 
 
 def check_layout(model: list[str], table: list[str]) -> None:

@@ -124,6 +124,18 @@ validation as (select {KEYS}, n >= 2 and not exists (select 1 from issues i wher
 
 _V, _QV = _validation(_STEPS), _validation(_Q)
 _cell = lambda c: f"coalesce(cast(cast(round({c} * 1e6) as bigint) as varchar), '-')"
+
+
+def _summed(name: str, rows: str, step: str, channels: list[str]) -> str:
+    """(keys, content): the sum of the rows' md5 modulo 2^128."""
+    line = " || ',' || ".join([f"coalesce(cast({c} as varchar), '-')" for c in (step, "t_us")] + [_cell(c) if c in HELD else "'-'" for c in channels])
+    words = _join(f"sum(cast('0x' || substr(d, {8 * i + 1}, 8) as hugeint)) as w{i}" for i in range(4))
+    carry = "".join(f"{name}_{i} as (select * replace (w{i} + w{i + 1} // 4294967296 as w{i}) from {name}_{i + 1}),\n" for i in (2, 1, 0))
+    digits = _join(f"cast(w{i} % 4294967296 as bigint)" for i in range(4))
+    return f"""{name}_d as (select {KEYS}, md5({line}) as d from {rows}),
+{name}_3 as (select {KEYS}, {words} from {name}_d group by all),
+{carry}{name} as (select {KEYS}, printf('%08x%08x%08x%08x', {digits}) as content from {name}_0)"""
+
 _SHARE = "cast(('0x' || substr(sha256('{seed}:' || {id}), 1, 8)) as bigint) / 4294967296.0"
 _share = lambda x: _SHARE.format(seed=P.seed, id=x)
 _side = lambda x: f"case when {_share(x)} < {P.val_fraction} then 'val' else 'train' end"
@@ -131,7 +143,7 @@ _GATED = f"""{_QV},
 gated as (select q.*, ok, case when not ok then 'invalid' when tier = 'reject' then 'tier:reject' when not success then 'failed' end as exclude_reason from quality q join validation using ({KEYS}))"""
 _BUILT = f"""{_GATED},
 kept as (select s.* from steps s join gated using ({KEYS}) where exclude_reason is null),
-content as (select {KEYS}, sha256(string_agg(t_us || ',' || {_join((_cell(c) if c in HELD else "'-'" for c in P.channels()), " || ',' || ")}, ';' order by step)) as content from kept group by all),
+{_summed("content", "kept", "step", P.channels())},
 ranked as (select g.*, content, row_number() over (partition by content order by session_id, episode_id) as cr from gated g left join content using ({KEYS})),
 mem0 as (select * exclude (exclude_reason), case when content is not null and cr > 1 then 'duplicate' else exclude_reason end as exclude_reason from ranked),
 pa as (select k.*, {_join(f"case when row_number() over e = 1 then {a} else lag({a}) over e end as prev_{a}" for a in A)} from kept k join mem0 using ({KEYS}) where mem0.exclude_reason is null window e as (partition by k.session_id, k.episode_id order by step)),
@@ -226,7 +238,7 @@ def oracle_sql() -> dict[str, str]:
         "gate_join": _sql(_GATED, "select tier, ok, count(*) as n from gated group by all"),
         "prune_orphans": _sql(_RAW, "select distinct session_id, length(session_id) < 3 or session_id like '%c' as keep from raw"),
         "dedupe_episodes": "select doc_id, row_number() over (partition by text order by doc_id) > 1 as duplicate from documents",
-        "content_hash": _sql(f"{_RAW}, h as (select {KEYS}, string_agg(t_us || {_join((_cell(q) for q in Q), ' || ')}, ';' order by t_us, event_id) as c from raw group by all), c as (select c, count(*) as n from h group by 1)", "select n, count(*) as hashes from c group by 1"),
+        "content_hash": _sql(f"{_RAW}, r as (select *, row_number() over ({EP} order by t_us, event_id) as step from raw), {_summed('c', 'r', 'step', CH)}", f"select {KEYS}, content as content_hash from c"),
         "assign_split": f"select distinct cast(o_custkey as varchar) as session_id, {_side('cast(o_custkey as varchar)')} as split from orders",
         "prev_action": _sql(_STEPS, f"select {KEYS}, step, {_join(f'round(case when row_number() over e = 1 then {a} else lag({a}) over e end, 5) as prev_{a}' for a in A)} from steps window e as ({EP} order by step)"),
         "dense_steps": _sql(_STEPS, f"select {KEYS}, cast(row_number() over ({EP} order by t_us nulls first, step) - 1 as int) as step, t_us from steps where {_join((f'{c} is not null' for c in ['q_0', 'q_1', *A]), ' and ')}"),

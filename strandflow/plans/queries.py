@@ -40,11 +40,12 @@ def _policy(spark, sf):
 
 
 def _fitted(spark, sf):
-    """(table, val windows, model, history) of the ridge chunk policy fitted on the train split."""
+    """(table, val windows, model, history) of the chunk policy fitted on the train split: least squares, then the robust loss."""
     built, windows = _windows(spark, sf)
     train, val = (v.keep(windows.filter(f"split = '{side}'")) for side in ("train", "val"))
     rows = dataset.norm_stats(built.filter("split = 'train'"), [*OBS, *ACT]).collect()
     model = evaluate.fit_policy(train, {r["column"]: (r["mean"], r["std"]) for r in rows}, OBS, ACT)
+    model = evaluate.refit(train, model)
     return built, val, model, evaluate.fit_history(val, model)
 
 
@@ -314,12 +315,9 @@ def dedupe_episodes(spark, sf):
 
 
 def content_hash(spark, sf):
-    """Copied sessions have equal content: hashes are counted, not shown, since engines print doubles unlike."""
-    h = dataset.content_hash(
-        v.raw(spark, sf).withColumn("step", F.row_number().over(canonical.episode_window("t_us", "event_id"))),
-        ["q_0", "q_1", "q_2"],
-    )
-    return h.groupBy("content_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
+    """Of the raw rows in the order of time; copied sessions have equal hashes."""
+    ordered = v.raw(spark, sf).withColumn("step", F.row_number().over(canonical.episode_window("t_us", "event_id")))
+    return dataset.content_hash(ordered, v.CHANNELS)
 
 
 def assign_split(spark, sf):
@@ -448,7 +446,7 @@ def fitted_curve(spark, sf):
 def fitted_interval(spark, sf):
     """Interval of the fitted policy's next-step error, resampling episodes."""
     p = _fitted_predictions(spark, sf).filter("k = 0").withColumn("error", F.abs(F.col("policy") - F.col("truth")))
-    return evaluate.cluster_bootstrap(p, KEYS, "error", PROFILE.bootstrap_samples, PROFILE.seed)
+    return evaluate.bootstrap(p, KEYS, "error", PROFILE.bootstrap_samples, PROFILE.seed)
 
 
 def cluster_bootstrap(spark, sf):

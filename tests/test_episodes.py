@@ -366,6 +366,70 @@ def test_policy_is_fitted_on_normalised_windows_and_chosen(spark):
     assert evaluate.hash_note("a", "a") is None and "b" in evaluate.hash_note("a", "b")
 
 
+def test_refitted_policy_minimises_the_robust_loss(spark):
+    rng = np.random.default_rng(7)
+    n, beta = 600, 0.1
+    x = rng.standard_normal((n, 2))
+    y = np.stack([x @ [1.0, -2.0] + 0.5, x @ [0.3, 0.1]], axis=1) + 0.02 * rng.standard_normal((n, 2))
+    y[::9] += rng.choice([-6.0, 9.0], (len(y[::9]), 2))  # outliers pull the squares away
+    rows = [(a.tolist(), [[float(c)] for c in b]) for a, b in zip(x, y, strict=True)]
+    windows = spark.createDataFrame(rows, "obs array<double>, actions array<array<double>>").repartition(3)
+    stats = {"a": (0.2, 1.5), "b": (0.0, 0.5), "u": (0.1, 2.0)}
+    ridge = evaluate.fit_policy(windows, stats, ["a", "b"], ["u"], (1e-6, 5.0))
+    model = evaluate.refit(windows, ridge, beta, rounds=40, tolerance=1e-9)
+    z = np.hstack([(x - [0.2, 0.0]) / [1.5, 0.5], np.ones((n, 1))])
+    t = (y - 0.1) / 2.0
+    loss = lambda w: np.where((e := np.abs(t - z @ w)) < beta, e * e / (2 * beta), e - beta / 2).sum()
+    free = np.array([[1.0], [1.0], [0.0]])
+    for r in (1e-6, 5.0):
+        w = ridge["weights"][r].copy()
+        for _ in range(len(model["losses"][r])):  # the same, restated
+            u = 1 / np.maximum(np.abs(t - z @ w), beta)
+            w = np.stack([np.linalg.solve((z * u[:, [o]]).T @ z + r / beta * np.diag([1, 1, 0]), z.T @ (u[:, o] * t[:, o])) for o in range(2)], axis=1)
+        assert np.allclose(model["weights"][r], w, atol=1e-8)
+        whole = lambda v, r=r: loss(v) + r / beta / 2 * (v**2 * free).sum()
+        assert model["losses"][r][0] == pytest.approx(whole(ridge["weights"][r])) and (np.diff(model["losses"][r]) <= 1e-9).all()
+        best = whole(model["weights"][r])
+        assert all(whole(model["weights"][r] + 1e-3 * rng.standard_normal(w.shape)) >= best - 1e-6 for _ in range(20))
+    assert loss(model["weights"][1e-6]) < 0.9 * loss(ridge["weights"][1e-6])
+    assert np.allclose(model["weights"][1e-6] * 2.0 / [[1.5], [0.5], [1.0]], [[1.0, 0.3], [-2.0, 0.1], [0.2, 0.06 - 0.1]], atol=5) and len(model["losses"][1e-6]) > 3
+
+
+def test_bootstrap_draws_whole_groups(spark):
+    rng = np.random.default_rng(3)
+    groups = 100_000
+    s = rng.gamma(2.0, 1.0, groups)
+    df = spark.range(groups).select("id", (F.sin(F.col("id") * 12.9898) * 3 + F.when(F.col("id") % 10 == 0, 5).otherwise(0)).alias("x"))
+    x = np.array([r["x"] for r in df.orderBy("id").collect()])
+    row = evaluate.bootstrap(df, ["id"], "x", 400, 11).first()
+    deviation = x.std() / np.sqrt(groups)
+    assert abs(row["mean"] - x.mean()) < 5 * deviation / np.sqrt(400) and abs(row["deviation"] / deviation - 1) < 0.15
+    assert row["low"] < x.mean() < row["high"] and abs((row["high"] - row["low"]) / (2 * 1.96 * deviation) - 1) < 0.2
+    assert row == evaluate.bootstrap(df.repartition(7), ["id"], "x", 400, 11).first()
+    few = spark.createDataFrame([("a", k, 1.0) for k in range(3)] + [("b", 0, 5.0), (None, 1, 2.0), ("c", 1, None)], "g string, k int, x double")
+    row, n, v = evaluate.bootstrap(few, ["g"], "x", 3000, 2).first(), np.array([3, 1, 1, 0]), np.array([3.0, 5.0, 2.0, 0.0])
+    picks = rng.integers(0, 4, (3000, 4))
+    total = n[picks].sum(1)
+    want = (v[picks].sum(1)[total > 0] / total[total > 0]).std()
+    assert abs(row["deviation"] / want - 1) < 0.1 and s.mean() > 0
+    assert evaluate.bootstrap(few.filter("g = 'a'"), ["g"], "x", 50, 2).first()["low"] is None
+    assert evaluate.bootstrap(few.limit(0), ["g"], "x", 50, 2).first()["low"] is None
+
+
+def test_appended_steps_extend_a_hash(spark):
+    df = spark.range(50).select(F.lit("s").alias("session_id"), (F.col("id") % 2).cast("string").alias("episode_id"), F.col("id").alias("step"), (F.col("id") * 7).alias("t_us"), F.when(F.col("id") % 5 > 0, F.col("id") * 0.1).alias("x"))
+    whole = {r["episode_id"]: r["content_hash"] for r in dataset.content_hash(df, ["x"]).collect()}
+    first, rest = (dataset.digest_sums(df.filter(c), ["x"]) for c in ("step < 31", "step >= 31"))
+    assert {r["episode_id"]: r["content_hash"] for r in dataset.hash_of(dataset.add_sums(first, rest)).collect()} == whole
+    import hashlib
+
+    for e, own in whole.items():
+        lines = [f"{k},{7 * k},{round(k * 0.1 * 1e6) if k % 5 else '-'}" for k in range(50) if k % 2 == int(e)]
+        assert own == f"{sum(int(hashlib.md5(x.encode()).hexdigest(), 16) for x in lines) % 2**128:032x}"
+    moved = df.withColumn("t_us", F.when(F.col("step") == 4, F.lit(None)).otherwise(F.col("t_us")))
+    assert {r["episode_id"]: r["content_hash"] == whole[r["episode_id"]] for r in dataset.content_hash(moved, ["x"]).collect()} == {"0": False, "1": True}
+
+
 def test_rollouts_against_single_steps(spark):
     obs, act, table, windows = _policy_fixture(spark)
     stats = {r["column"]: (r["mean"], r["std"]) for r in dataset.norm_stats(table, [*obs, *act]).collect()}
