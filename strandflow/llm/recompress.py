@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strandflow.llm.common import BASE, map_rows, mix, texts_of, word_hashes
+from strandflow.llm.common import BASE, cut, map_rows, mix, texts_of, word_hashes
 from strandflow.llm import windows as win
 
 ROUNDS = 3
@@ -205,7 +205,7 @@ def repeats(texts: DataFrame, width: int = 20) -> DataFrame:
     n = win.buckets_for(texts, size * 1.5)
     sent = win.with_spans(texts, shared, "key").filter("__start is not null")
     prints = sent.mapInArrow(lambda batches: _send(batches, width, n, hot), win.schema_of(_KINDS))
-    return win.per_bucket(prints, n, _late, _KINDS, "doc long, row long, start long, count long")
+    return cut(win.per_bucket(prints, n, _late, _KINDS, "doc long, row long, start long, count long"), "late")
 
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
