@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strandflow.llm.common import map_rows, mix, texts_of
+from strandflow.llm.common import cut, map_rows, mix, texts_of
 from strandflow.llm import windows as win
 
 GRAM = 32
@@ -302,7 +302,7 @@ def repeats(texts: DataFrame, width: int = 400) -> DataFrame:
     if again is not None:  # every window of a text that is there twice repeats
         whole = again.filter(F.col("bytes") >= width).select("doc", "row", F.lit(0).cast("long").alias("start"), (F.col("bytes") - width + 1).alias("count"))
         found = found.unionAll(whole)
-    return found
+    return cut(found, "repeats")
 
 
 def _left(text: str, starts: list | None, counts: list | None, width: int) -> tuple[bytes, np.ndarray]:
