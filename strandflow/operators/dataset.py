@@ -141,7 +141,7 @@ def build(
     base = [c for c in [*obs, *act] if not c.startswith("prev_")]
     passing = gated.filter("exclude_reason is null").select(*KEYS)
     kept = steps.join(passing, list(KEYS), "left_semi")
-    members = gated.join(content_hash(kept, profile.channels()), list(KEYS), "left")
+    members = gated.drop("content_hash").join(content_hash(kept, profile.channels()), list(KEYS), "left")
     members = dedupe(members).withColumn("exclude_reason", F.when(F.col("duplicate"), "duplicate").otherwise(F.col("exclude_reason")))
     members = members.withColumn("split", F.when(F.col("exclude_reason").isNull(), assign_split(F.col("session_id"), profile)))
     members = keep(members)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 
-from strandflow.plans.driver_views import DAY_US, PROFILE as P
+from strandflow.plans.driver_views import ACT, DAY_US, OBS, PROFILE as P
 from strandflow.profile import METRICS
 
 KEYS = "session_id, episode_id"
@@ -151,6 +152,7 @@ dense as (select {KEYS}, cast(row_number() over ({EP} order by t_us, step) - 1 a
 members as (select m.* exclude (exclude_reason), case when exclude_reason is null and d.session_id is null then 'all_nan' else exclude_reason end as exclude_reason,
   case when exclude_reason is null and d.session_id is not null then {_side("m.session_id")} end as split from mem0 m left join (select distinct {KEYS} from dense) d using ({KEYS}))"""
 H = P.horizon
+_FILTERS = json.dumps({"min_tier": P.min_tier, "require_success": P.require_success, "val_fraction": P.val_fraction, "seed": P.seed})
 _CHUNKS = f"""{_BUILT},
 c0 as (select {KEYS}, split, step, {_join(f"list({a}) over ah as l_{a}, case when row_number() over e = 1 then {a} else lag({a}) over e end as p_{a}" for a in A)} from dense
   window e as ({EP} order by step), ah as ({EP} order by step rows between current row and {H - 1} following)),
@@ -251,6 +253,17 @@ def oracle_sql() -> dict[str, str]:
             f"{_BUILT}, dg as (select sha256(concat_ws(':', split, session_id, episode_id, content)) as d from members where split is not null), hb as (select substr(d, 1, 4) as b, sha256(string_agg(d, '|' order by d)) as h from dg group by 1)",
             f"select substr(sha256('{_join([*Q, 'grip', *(f'prev_{a}' for a in A), *A], ',')}|' || sha256(string_agg(h, '|' order by h))), 1, 16) as dataset_hash from hb",
         ),
+        "manifest": _sql(
+            f"{_BUILT}, dg as (select sha256(concat_ws(':', split, session_id, episode_id, content)) as d from members where split is not null), hb as (select substr(d, 1, 4) as b, sha256(string_agg(d, '|' order by d)) as h from dg group by 1)",
+            " union all ".join([
+                *(f"select '{kind}' as kind, '{c}' as name, {i}.0::double as x, null::double as y, null::double as z" for kind, own in (("observation", OBS), ("action", ACT)) for i, c in enumerate(own)),
+                *(f"select 'norm', '{c}', round(avg({c}), 5), round(greatest(stddev_pop({c}), 1e-6), 5), null from dense where split = 'train'" for c in [*OBS, *ACT]),
+                "select 'excluded', exclude_reason, count(*), null, null from members where exclude_reason is not null group by 2",
+                "select 'split', m.split, count(*), count(distinct m.session_id), (select count(*) from dense d where d.split = m.split) from members m where m.split is not null group by 2",
+                f"select 'filters', '{_FILTERS}', null, null, null",
+                f"select 'hash', substr(sha256('{json.dumps([OBS, ACT, json.loads(_FILTERS)])}|' || sha256(string_agg(h, '|' order by h))), 1, 16), null, null, null from hb",
+            ]),
+        ),
         "action_chunks": _sql(_CHUNKS, f"select {KEYS}, count(*) as n_windows, round(sum({_join((f'list_sum(l_{a})' for a in A), ' + ')}), 4) as total from chunks group by all"),
         "conversation_windows": "with c as (select cast(conv_id as varchar) as session_id, turn as \"window\", sum(length(text)) over w as chars, count(*) over w as n from conversations window w as (partition by conv_id order by turn rows between current row and 2 following)) select session_id, \"window\", cast(chars as double) as chars from c where n = 3",
         "baselines": _sql(_LONG, f"select d, cast(k as int) as k, count(*) as n, {_join(f'round(avg({c}), 5) as {c}' for c in ('truth', 'train_mean', 'persistence'))} from pred group by 1, 2"),

@@ -365,9 +365,21 @@ def dataset_hash(spark, sf):
 
 
 def manifest(spark, sf):
+    """The manifest, flat: columns with their places, normalisation, exclusions, splits, filters and the hash."""
     built, members = v.built(spark, sf)
-    made = dataset.manifest(built, members, OBS, ACT, PROFILE)
-    return made.select(*(F.to_json(c).alias(c) if t.startswith("array") else c for c, t in made.dtypes))
+    made = v.keep(dataset.manifest(built, members, OBS, ACT, PROFILE))
+    parts = [
+        ("observation", made.select(F.posexplode("obs_columns").alias("x", "name"))),
+        ("action", made.select(F.posexplode("action_columns").alias("x", "name"))),
+        ("norm", made.select(F.inline("norm")).toDF("name", "x", "y")),
+        ("excluded", made.select(F.inline("excluded")).toDF("name", "x")),
+        ("split", made.select(F.inline("splits")).toDF("name", "x", "y", "z")),
+        ("filters", made.select(F.col("filters").alias("name"))),
+        ("hash", made.select(F.col("dataset_hash").alias("name"))),
+    ]
+    number = lambda df, c: (F.col(c) if c in df.columns else F.lit(None)).cast("double").alias(c)
+    flat = [df.select(F.lit(kind).alias("kind"), "name", *(number(df, c) for c in "xyz")) for kind, df in parts]
+    return rounded(reduce(DataFrame.unionAll, flat), 5)
 
 
 def action_chunks(spark, sf):

@@ -2,8 +2,9 @@
 
 Below a path, `<table>/version=<n>` holds the rows that commit n wrote, `sessions/version=<n>` the sessions it
 speaks for, and `commits/<n>` says that it is complete; that file is put in place by one rename.
-A session is what the newest complete commit that names it says, so its rows in every table change
-together, an empty table stands for itself, and a session may be named as gone. Folders of a commit
+A session's rows in a table are those of the newest complete commit that names it and has the table, so
+what a commit has changes together, an empty table stands for itself, and a table that a
+commit lacks stays as it was. A session may be named as gone. Folders of a commit
 that was broken off are never read, and the next commit writes over them.
 """
 
@@ -50,6 +51,7 @@ def commit(path: str, sessions: DataFrame, tables: dict[str, DataFrame]) -> int:
     version = max(commits(spark, path), default=0) + 1
     if "live" not in sessions.columns:
         sessions = sessions.withColumn("live", F.lit(True))
+    sessions = sessions.withColumn("tables", F.array(*map(F.lit, tables)).cast("array<string>"))
     for name, df in (tables | {SESSIONS: sessions}).items():
         order = [k for k in (*KEYS, "step") if k in df.columns]
         floats = {c: F.col(c).cast("float") for c, t in df.dtypes if t == "double" and name == "steps"}
@@ -68,14 +70,16 @@ def _read(spark: SparkSession, path: str, table: str, versions: list[int]) -> Da
     return read.parquet(*paths).withColumn("version", F.col("version").cast("int"))
 
 
-def live(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame | None:
-    """What the newest commit (up to `as_of`) says of each session that is there, with its version; None before the first commit."""
+def live(spark: SparkSession, path: str, as_of: int | None = None, table: str | None = None) -> DataFrame | None:
+    """What the newest commit (up to `as_of`; of those that have `table`) says of each session that is there, with its version; None before the first commit."""
     known = [v for v in commits(spark, path) if as_of is None or v <= as_of]
     said = _read(spark, path, SESSIONS, known)
     if said is None:
         return None
+    if table is not None:
+        said = said.filter(~F.col("live") | F.array_contains("tables", table))
     newest = F.row_number().over(W.partitionBy("session_id").orderBy(F.desc("version")))
-    return said.withColumn("_n", newest).filter("_n = 1 and live").drop("_n", "live")
+    return said.withColumn("_n", newest).filter("_n = 1 and live").drop("_n", "live", "tables")
 
 
 def read(spark: SparkSession, path: str, table: str, as_of: int | None = None) -> DataFrame | None:
@@ -83,11 +87,11 @@ def read(spark: SparkSession, path: str, table: str, as_of: int | None = None) -
 
     Only the folders of versions that a session is still at are read.
     """
-    now = live(spark, path, as_of)
+    if table == SESSIONS:
+        return live(spark, path, as_of)
+    now = live(spark, path, as_of, table)
     if now is None:
         return None
-    if table == SESSIONS:
-        return now
     versions = sorted(r["version"] for r in now.select("version").distinct().collect())  # at most as many as commits
     rows = _read(spark, path, table, versions)
     if rows is None:
@@ -105,15 +109,18 @@ def vacuum(spark: SparkSession, path: str) -> list[str]:
 
     What was said of sessions stays, so that a removed session stays removed.
     """
-    now, done = live(spark, path), []
-    needed = set() if now is None else {r["version"] for r in now.select("version").distinct().collect()}
+    done = []
     files, at = _hadoop(spark, path)
-    for table in files.listStatus(at) if files.exists(at) else []:
-        name = table.getPath().getName()
-        for folder in files.listStatus(table.getPath()) if name not in ("commits", SESSIONS) else []:
-            version = folder.getPath().getName().removeprefix("version=")
+    for folder in files.listStatus(at) if files.exists(at) else []:
+        name = folder.getPath().getName()
+        if name in ("commits", SESSIONS):
+            continue
+        now = live(spark, path, table=name)
+        needed = set() if now is None else {r["version"] for r in now.select("version").distinct().collect()}
+        for own in files.listStatus(folder.getPath()):
+            version = own.getPath().getName().removeprefix("version=")
             if version.isdigit() and int(version) not in needed:
-                files.delete(folder.getPath(), True)
+                files.delete(own.getPath(), True)
                 done.append(f"{name}/version={version}")
     return sorted(done)
 

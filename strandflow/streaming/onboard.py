@@ -100,6 +100,17 @@ def onboard(spark: SparkSession, root: str, profile: Profile, store: str, direct
     return counts.unionByName(told, allowMissingColumns=True)
 
 
+def rescore(spark: SparkSession, store: str, profile: Profile) -> int | None:
+    """Score the whole store anew, durations compared within each task of the corpus, and commit the episodes with their new score, tier and flags; steps stay as they are. None if there is nothing."""
+    steps, episodes = (versions.read(spark, store, t) for t in ("steps", "episodes"))
+    if steps is None or episodes is None:
+        return None
+    own = [c for c in episodes.columns if c not in (*METRICS, "score", "tier", "flags", "metrics")]
+    scored = metrics.score(metrics.metrics(steps, episodes.select(*own), profile), profile)
+    scored = cut(scored.drop("hard_reject_reasons"), "rescored")
+    return versions.commit(store, scored.select("session_id").distinct(), {"episodes": scored})
+
+
 def _apart(directories: list[str], work: Callable[[list[str]], DataFrame]) -> list[DataFrame]:
     """Results of `work`; where it raises, its folders are halved until the one that brings it about stands alone."""
     try:
