@@ -30,21 +30,23 @@ KINDS = 3
 _EDGES = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 
 
-def buckets(text: str | None) -> np.ndarray:
-    """Distinct buckets of a text: its words without outer punctuation, and the byte 5-grams of its words with their edges."""
+def hashed(text: str | None) -> np.ndarray:
+    """Buckets of a text, with repeats: its words without outer punctuation, and the byte 5-grams of its words with their edges."""
     if not text:
         return np.zeros(0, np.int64)
     raw = text.lower().encode("utf-8", "surrogatepass")
     words = word_hashes([w.strip(_EDGES) for w in raw.split()])
-    flags = np.zeros(SIZE, bool)
-    flags[(words >> np.uint64(64 - BITS)).astype(np.int64)] = True
     b = np.frombuffer(b" " + raw.translate(_SPACED) + b" ", np.uint8).astype(np.uint64)
-    if len(b) >= 5:
-        key = b[:-4] << np.uint64(32)
-        for j in range(1, 5):
-            key |= b[j : len(b) - 4 + j] << np.uint64(8 * (4 - j))
-        flags[((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)] = True
-    return np.flatnonzero(flags)
+    key = np.zeros(max(len(b) - 4, 0), np.uint64)
+    for j in range(5 if len(key) else 0):
+        key |= b[j : len(b) - 4 + j] << np.uint64(8 * (4 - j))
+    shift = np.uint64(64 - BITS)
+    return np.concatenate([words >> shift, (key * np.uint64(0x9E3779B97F4A7C15)) >> shift]).astype(np.int64)
+
+
+def buckets(text: str | None) -> np.ndarray:
+    """Distinct buckets of a text."""
+    return np.unique(hashed(text))
 
 
 _SPACED = bytes(32 if c < 33 else c for c in range(256))
@@ -98,68 +100,113 @@ def fit(docs: DataFrame, labels: DataFrame, kinds: int = KINDS, per_class: int =
         return None
     index = [np.frombuffer(r["index"], np.int32) for r in got]
     flat, row = np.concatenate(index), np.repeat(np.arange(len(got)), list(map(len, index)))
-    total, up = np.bincount(flat, minlength=SIZE).astype(np.float64), toxic_rows.sum()
-    a = np.bincount(flat, weights=toxic_rows[row], minlength=SIZE)
-    gap = a / up - (total - a) / (len(got) - up)
-    best = np.where(total >= 3, gap * gap * len(got) / np.maximum(total * (len(got) - total) / len(got), 1e-9), 0)
+    model = fit_chain(flat, row, toxic_rows, kinds, kept)
+    return {k: model[k] for k in ("place", "n", "weights", "names")}
+
+
+def _features(flat: np.ndarray, row: np.ndarray, marks: np.ndarray, seen: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `kept` buckets that go most with the label in the rows `seen`, and which of them are more frequent in toxic ones."""
+    n, up = int(seen.sum()), marks[seen].sum()
+    own = seen[row]
+    total = np.bincount(flat[own], minlength=SIZE).astype(np.float64)
+    a = np.bincount(flat[own], weights=marks[row[own]], minlength=SIZE)
+    gap = a / up - (total - a) / (n - up)
+    best = np.where(total >= 3, gap * gap * n / np.maximum(total * (n - total) / n, 1e-9), 0)
     chosen = np.sort(np.argsort(-best, kind="stable")[:kept])
+    return chosen, gap[chosen] > 0
+
+
+def _held(flat: np.ndarray, row: np.ndarray, chosen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the chosen buckets each row holds; and the place of every bucket among them (-1: none)."""
     place = np.full(SIZE, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(got), len(chosen)))
-    at = place[flat]
+    x, at = np.zeros((n, len(chosen))), place[flat]
     x[row[at >= 0], at[at >= 0]] = 1
-    telling = a[chosen] / up > (total - a)[chosen] / (len(got) - up)  # features of toxic texts, not of the others
-    found = np.flatnonzero(toxic_rows)
-    own = kinds_of(x[np.ix_(found, np.flatnonzero(telling))], kinds)
-    y = np.zeros((len(got), kinds + 1))
-    y[found, own], y[:, -1] = 1, toxic_rows
-    fold, weights = np.arange(len(got)) % FOLDS, []
-    for k in range(y.shape[1]):
-        out = np.zeros(len(got))
-        for f in range(FOLDS):
-            w = linear.fit_dense(x[fold != f], y[fold != f, k])
-            out[fold == f] = linear.sigmoid(x[fold == f] @ w[:-1] + w[-1])
-        weights.append(linear.fit_dense(x, y[:, k]))
-        x = np.hstack([x, out[:, None]])
-    return {"place": place.astype(np.int32), "n": len(chosen), "weights": weights, "names": [*(f"kind_{k}" for k in range(kinds)), "toxic"]}
-
-
-def probabilities(model: dict, text: str | None) -> list[float]:
-    """The chain's probabilities for one text."""
-    at = model["place"][buckets(text)]
-    x = np.zeros(model["n"])
-    x[at[at >= 0]] = 1
-    out: list[float] = []
-    for w in model["weights"]:
-        out.append(float(linear.sigmoid(x @ w[: model["n"]] + np.dot(w[model["n"] : -1], out) + w[-1])))
-    return out
-
-
-def toxic(model: dict | None, text: str | None, toxic_from: float = TOXIC_FROM) -> bool:
-    return bool(text) and model is not None and probabilities(model, text)[-1] >= toxic_from
+    return x, place
+
+
+def _kinds(x: np.ndarray, telling: np.ndarray, marks: np.ndarray, seen: np.ndarray, kinds: int) -> np.ndarray:
+    """A column for each kind: the toxic rows `seen`, clustered by the telling features."""
+    found = np.flatnonzero(seen & (marks > 0))
+    y = np.zeros((len(x), kinds))
+    if kinds:
+        y[found, kinds_of(x[np.ix_(found, np.flatnonzero(telling))], kinds)] = 1
+    return y
+
+
+def fit_chain(flat: np.ndarray, row: np.ndarray, marks: np.ndarray, kinds: int = KINDS, kept: int = KEPT_FEATURES) -> dict:
+    """The chain from rows' distinct buckets (`flat`, of the rows `row`) and their marks (1: toxic).
+
+    Features are chosen and kinds found anew within each fold, from its training rows alone, and a fold's
+    kinds take the names of those of all rows that they share most rows with; so an out-of-fold
+    probability has seen nothing of its own row. `targets` and `out_of_fold` tell them row by row.
+    """
+    n = len(marks)
+    whole = np.ones(n, bool)
+    chosen, telling = _features(flat, row, marks, whole, kept)
+    x, place = _held(flat, row, chosen, n)
+    y = np.column_stack([_kinds(x, telling, marks, whole, kinds), marks])
+    fold, parts = np.arange(n) % FOLDS, []
+    for f in range(FOLDS):
+        seen = fold != f
+        own, tells = _features(flat, row, marks, seen, kept)
+        xf = _held(flat, row, own, n)[0]
+        yf = _kinds(xf, tells, marks, seen, kinds)
+        alike, names = y[seen, :kinds].T @ yf[seen], np.zeros(kinds, np.int64)
+        for _ in range(kinds):  # the pair that shares most rows first
+            k, j = np.unravel_index(int(alike.argmax()), alike.shape)
+            names[k], alike[k], alike[:, j] = j, -1, -1
+        parts.append((seen, xf, np.column_stack([yf[:, names], marks])))
+    before, weights = np.zeros((n, 0)), []
+    for k in range(kinds + 1):
+        out = np.zeros(n)
+        for seen, xf, yf in parts:
+            z = np.hstack([xf, before])
+            w = linear.fit_dense(z[seen], yf[seen, k])
+            out[~seen] = linear.sigmoid(z[~seen] @ w[:-1] + w[-1])
+        weights.append(linear.fit_dense(np.hstack([x, before]), y[:, k]))
+        before = np.column_stack([before, out])
+    names = [*(f"kind_{k}" for k in range(kinds)), "toxic"]
+    return {"place": place.astype(np.int32), "n": len(chosen), "weights": weights, "names": names, "targets": y, "out_of_fold": before}
+
+
+def probabilities(model: dict, texts: list[str | None]) -> np.ndarray:
+    """The chain's probabilities, a row for each text."""
+    x = np.zeros((len(texts), model["n"] + len(model["weights"])))
+    for i, text in enumerate(texts):
+        at = model["place"][hashed(text)]
+        x[i, at[at >= 0]] = 1
+    for k, w in enumerate(model["weights"]):
+        x[:, model["n"] + k] = linear.sigmoid(x[:, : model["n"] + k] @ w[:-1] + w[-1])
+    return x[:, model["n"] :]
+
+
+def toxic(model: dict | None, texts: list[str | None], toxic_from: float = TOXIC_FROM) -> list[bool]:
+    if model is None:
+        return [False] * len(texts)
+    return [bool(t) and p >= toxic_from for t, p in zip(texts, probabilities(model, texts)[:, -1].tolist(), strict=True)]
 
 
 def keep(docs: DataFrame, model: dict | None) -> DataFrame:
     """The rows of `docs` that are not toxic, as they are. Null and empty texts stay; repeated rows share a fate; an empty table stays empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return filter_rows(docs, lambda texts: [not toxic(sent.value, t) for t in texts])
+    return filter_rows(docs, lambda texts: [not x for x in toxic(sent.value, texts)])
 
 
 def score(docs: DataFrame, model: dict | None, toxic_from: float = TOXIC_FROM) -> DataFrame:
     """(doc_id, p_<category>..., toxic) per row of `docs`.
 
-    A null or empty text holds no feature, so it gets the chain's intercepts; it is never toxic.
+    A null or empty text holds no feature, so it gets the chain's intercepts; it is never toxic. Repeated
+    rows are each scored; an empty table gives no rows; extra columns are not read.
     Without a model (a class is absent from the labels) probabilities are null and nothing is toxic.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"p_{n}" for n in (model["names"] if model else [*(f"kind_{k}" for k in range(KINDS)), "toxic"])]
 
     def rows(c):
-        m, out = sent.value, {k: [] for k in [*names, "toxic"]}
-        for text in c["text"].to_pylist():
-            p = probabilities(m, text) if m else [None] * len(names)
-            for k, v in zip(out, [*p, bool(text) and m is not None and p[-1] >= toxic_from], strict=True):
-                out[k].append(v)
-        return {"doc_id": c["doc_id"], **out}
+        m, texts = sent.value, c["text"].to_pylist()
+        found = probabilities(m, texts).T.tolist() if m else [[None] * len(texts)] * len(names)
+        bad = [bool(t) and p is not None and p >= toxic_from for t, p in zip(texts, found[-1], strict=True)]
+        return {"doc_id": c["doc_id"], **dict(zip(names, found, strict=True)), "toxic": bad}
 
     return map_rows(texts_of(docs), rows, "doc_id long, " + ", ".join(f"{k} double" for k in names) + ", toxic boolean")

@@ -1,5 +1,7 @@
 """Classifiers on held-out rows, base measures and neighbours against brute force, and the pipeline's stages."""
 
+import math
+import random
 import re
 import zlib
 
@@ -228,3 +230,81 @@ def test_pipeline_stages(spark, tables):
         have[r["doc_id"]] = have.get(r["doc_id"], 0) + r["length"]
     assert have == want
     assert [n for n, _ in p.STAGES] == ["quality_rules", "toxicity", "near_duplicates", "suffix_array", "packing"]
+
+
+def test_chain_against_a_plain_restatement():
+    rng = np.random.default_rng(5)
+    toxic_words = [["vile", "filth"], ["grab", "loot"], ["scum"]]
+    texts, marks = [], []
+    for i in range(400):
+        words = [f"w{rng.integers(0, 60)}" for _ in range(rng.integers(3, 30))]
+        if i % 3 == 0:
+            words += list(rng.choice(toxic_words[i % 9 // 3], 2))
+        texts.append(" ".join(words))
+        marks.append(float(i % 3 == 0))
+    marks = np.array(marks)
+    index = [toxicity.buckets(t) for t in texts]
+    flat, row = np.concatenate(index), np.repeat(np.arange(len(texts)), list(map(len, index)))
+    model = toxicity.fit_chain(flat, row, marks, 3, 80)
+    got = toxicity.probabilities(model, texts)
+    sets = [set(x.tolist()) for x in index]
+    chosen = np.flatnonzero(model["place"] >= 0)
+    for i in rng.choice(400, 40, replace=False):
+        row_of = [float(c in sets[i]) for c in chosen]
+        for k, w in enumerate(model["weights"]):
+            z = sum(a * b for a, b in zip(row_of, w[:-1], strict=True)) + w[-1]
+            row_of.append(1 / (1 + math.exp(-z)))
+            assert got[i, k] == pytest.approx(row_of[-1], abs=1e-9)
+    assert ((model["out_of_fold"][:, -1] > 0.5) == (marks > 0)).mean() > 0.95
+    kinds = model["targets"][:, :3]
+    assert (kinds.sum(1) == marks).all() and all(((model["out_of_fold"][:, k] > 0.5) == (kinds[:, k] > 0)).mean() > 0.9 for k in range(3))
+    assert toxicity.probabilities(model, [None, "", "a"]).shape == (3, 4)
+
+
+def test_an_out_of_fold_probability_has_not_seen_its_own_label():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{rng.integers(0, 40)}" for _ in range(12)) for _ in range(120)]
+    marks = (rng.random(120) < 0.4).astype(float)
+    index = [toxicity.buckets(t) for t in texts]
+    flat, row = np.concatenate(index), np.repeat(np.arange(120), list(map(len, index)))
+    before = toxicity.fit_chain(flat, row, marks, 0, 50)["out_of_fold"]
+    for i in (0, 17, 119):
+        other = marks.copy()
+        other[i] = 1 - other[i]
+        after = toxicity.fit_chain(flat, row, other, 0, 50)["out_of_fold"]
+        assert after[i] == before[i] and (after != before).any()
+
+
+def test_language_model_against_the_plain_kernel_matrix(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANDMARKS", 6)
+    rng = random.Random(2)
+    alphabets = {"aa": "abcdeé", "bb": "cdefgh", "cc": "中文字日", "dd": "xyzабв"}
+    rows = [(i, "".join(rng.choice(alphabets[lang] + "  ") for _ in range(rng.randint(5, 80))), lang) for i, lang in enumerate(rng.choices(list(alphabets), k=160))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(docs, F.lit(True), per_language=30)
+    picked = linear.sample(docs, "lang", 30).collect()
+    grams = lambda t: frozenset(np.flatnonzero(_presence(t)).tolist())
+    own = sorted(((r["draw"], r["doc_id"], r["lang"], grams(r["text"])) for r in picked), key=lambda r: r[:2])
+    kernel = lambda a, b: len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+    names = sorted({r[2] for r in own})
+    marks = [r[3] for n in names for r in [x for x in own if x[2] == n][:6]]
+    k = np.array([[kernel(r[3], m) for m in marks] for r in own])
+    size = {n: sum(r[2] == n for r in own) for n in names}
+    b = np.array([1 / size[r[2]] for r in own])[:, None]
+    y = np.array([[1.0 if r[2] == n else -1.0 for n in names] for r in own])
+    inner = np.array([[kernel(p, q) for q in marks] for p in marks])
+    ridge = np.linalg.solve(k.T @ (b * k) + langid.RIDGE * inner / len(names) + 1e-6 * np.eye(len(marks)), k.T @ (b * y))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    right = 0
+    for i, text, lang in rows:
+        margins = np.array([kernel(grams(text), m) for m in marks]) @ ridge
+        assert got[i][1] == pytest.approx(min(max((margins.max() + 1) / 2, 0), 1), abs=2e-3)
+        assert got[i][0] == names[int(margins.argmax())] or np.sort(margins)[-1] - np.sort(margins)[-2] < 1e-3
+        right += got[i][0] == lang
+    assert model["names"] == names and right > 150
+
+
+def _presence(text):
+    out = np.zeros(langid.WIDTH)
+    langid.presence(text, out)
+    return out
