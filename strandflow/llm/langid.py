@@ -9,12 +9,15 @@ matrix and by the ridge weights.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from strandflow.llm import linear
-from strandflow.llm.common import map_rows, texts_of
+from strandflow.llm.common import cut, map_rows, texts_of
 
 BITS = 12
 WIDTH = 1 << BITS
@@ -60,29 +63,60 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> dic
             out.append(np.packbits(x).tobytes())
         return {"lang": c["lang"], "draw": c["draw"], "doc_id": c["doc_id"], "bits": out}
 
-    got = sorted(
-        map_rows(
-            picked,
-            rows,
-            "lang string, draw long, doc_id long, bits binary",
-        ).toLocalIterator(), key=lambda r: (r["draw"], r["doc_id"] is None, r["doc_id"] or 0, r["bits"])
-    )
-    if not got:
+    held = cut(map_rows(picked, rows, "lang string, draw long, doc_id long, bits binary"), "sample")
+    counts = {r["lang"]: r["count"] for r in held.groupBy("lang").count().collect()}  # a row for each language
+    if not counts:
         return None
-    names = sorted({r["lang"] for r in got})
-    number = {n: k for k, n in enumerate(names)}
-    x = normalized(
-        np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), -1), axis=1).astype(np.float32)
-    )
-    y = np.array([number[r["lang"]] for r in got])
+    names = sorted(counts)
     each = max(LEAST, min(LANDMARKS, ALL_LANDMARKS // len(names)))
-    marks = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(names))])
-    landmarks = x[marks]
-    k_nm = (x @ landmarks.T).astype(np.float64)
-    targets = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
-    balance = 1.0 / np.maximum(np.bincount(y, minlength=len(names)), 1)[y][:, None]
-    left = k_nm.T @ (balance * k_nm) + RIDGE * (landmarks @ landmarks.T) / len(names) + 1e-6 * np.eye(len(marks))
-    return {"names": names, "weights": (landmarks.T.astype(np.float64), np.linalg.solve(left, k_nm.T @ (balance * targets)))}
+    place = F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id", "bits"))  # at most per_language rows each
+    marks = held.withColumn("place", place).filter(F.col("place") <= each).select("lang", "place", "bits").collect()
+    landmarks = unpacked([r["bits"] for r in sorted(marks, key=lambda r: (r["lang"], r["place"]))])
+    parts = 1 + sum(counts.values()) // 5000
+    left, right = _solved_sums(held.select("lang", "bits").repartition(parts), names, counts, landmarks)
+    left += RIDGE * (landmarks @ landmarks.T).astype(np.float64) / len(names) + 1e-6 * np.eye(len(landmarks))
+    return {"names": names, "weights": (landmarks.T.astype(np.float64), np.linalg.solve(left, right))}
+
+
+def unpacked(bits: list[bytes]) -> np.ndarray:
+    """Normalized presence rows of packed bits."""
+    return normalized(np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).astype(np.float32))
+
+
+def _solved_sums(held: DataFrame, names: list[str], counts: dict[str, int], landmarks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """K' B K and K' B Y of all learned rows: K their kernel values with the landmarks, B one over their language's rows, Y +1 or -1 for each language.
+
+    Tasks add up their own rows; only a row of sums for each landmark reaches the driver.
+    """
+    sent = held.sparkSession.sparkContext.broadcast((landmarks, {n: (k, 1.0 / counts[n]) for k, n in enumerate(names)}))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, known = sent.value
+        left, right = np.zeros((len(marks), len(marks))), np.zeros((len(marks), len(known)))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                own = [known[n] for n in part.column(0).to_pylist()]
+                k = (unpacked(part.column(1).to_pylist()) @ marks.T).astype(np.float64)
+                weighted = k * np.array([b for _, b in own])[:, None]
+                left += k.T @ weighted
+                right -= weighted.sum(0)[:, None]
+                np.add.at(right.T, [i for i, _ in own], 2 * weighted)
+        rows = [pa.array([x[i].tobytes() for i in range(len(marks))], pa.binary()) for x in (left, right)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(marks)), pa.int32()), *rows], ["mark", "left", "right"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for mark, *own in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                total[mark] = [x + y for x, y in zip(total.get(mark, (0, 0)), map(np.frombuffer, own))]
+        if total:
+            columns = [pa.array([v[i].tobytes() for v in total.values()], pa.binary()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), *columns], ["mark", "left", "right"])
+
+    schema = "mark int, left binary, right binary"
+    rows = held.mapInArrow(products, schema).repartition("mark").mapInArrow(added, schema).orderBy("mark").collect()
+    return tuple(np.array([np.frombuffer(r[c]) for r in rows]) for c in ("left", "right"))
 
 
 def predict(docs: DataFrame, model: dict | None, block: int = 256) -> DataFrame:
