@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandflow.operators import canonical, dataset, metrics, resample, validate
 from strandflow.profile import Anchor, Profile
+from strandflow.sources.layout import scratch_layout
 from strandflow.sources.scratch import cut
 
 DAY_US = 86_400_000_000
@@ -115,8 +116,8 @@ def episodes(spark: SparkSession, sf_dir: str, made: DataFrame | None = None) ->
 
 
 def scored(spark: SparkSession, sf_dir: str, population: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(steps, episodes, quality); the grid is made once for all of them."""
-    made = keep(wide(spark, sf_dir))
+    """(steps, episodes, quality); the grid is made once for all of them, and laid out by episode."""
+    made = scratch_layout(wide(spark, sf_dir), "wide")
     s, e = steps(spark, sf_dir, made), keep(episodes(spark, sf_dir, made))
     return s, e, metrics.score(metrics.metrics(s, e, PROFILE, population), PROFILE)
 

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """A folder of this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="spark-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`; where that is unset, one in the warehouse, or a temporary one on a local master."""
+    """The folder all executors share: `spark.checkpoint.dir`. Where that is unset: one in the warehouse, or, if driver and executors are one process, a folder of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        local = spark.sparkContext.master.startswith("local")
-        found = tempfile.mkdtemp(prefix="spark-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", found)
+        alone = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        found = _own_folder() if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return found.rstrip("/")
 
 
