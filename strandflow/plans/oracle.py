@@ -189,6 +189,7 @@ def oracle_sql() -> dict[str, str]:
         "canonicalise": _sql(_RAW, f"select session_id, event_id, t_us, {_join(_r(c) for c in CH)} from raw"),
         "resample_grid": _sql(_GRID, f"select {KEYS}, count(*) as n_steps, max(t_us) as last_us from grid group by all"),
         "resample_interp": _sql(_GRID, f"select {KEYS}, step, {_join(_r(c, 5) for c in CH)} from grid"),
+        "live_resample": _sql(_GRID, f"select {KEYS}, step, {_join(_r(c, 5) for c in CH)} from grid"),
         "resample_gaps": _sql(_GRID, f"select {KEYS}, count(*) filter (where q_1 is null) as holes from grid group by all"),
         "interp_fraction": _sql(_EPISODES, f"select {KEYS}, {_r('interp_fraction')} from episodes"),
         "raw_timing": _sql(_EPISODES, f"select {KEYS}, n_raw, {_r('raw_dt_jitter')}, {_r('raw_gap_fraction')} from timing"),

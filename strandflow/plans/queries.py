@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -100,6 +101,24 @@ def resample_interp(spark, sf):
     return rounded(v.grid(spark, sf).select(*KEYS, "step", *v.CHANNELS), 5)
 
 
+def live_resample(spark, sf):
+    """`resample_interp` from a stream: the raw rows as they would arrive, and one row of another session long after, which ends all."""
+    from strandflow.sources.scratch import shared_dir
+    from strandflow.streaming import live, state
+
+    raw = v.raw(spark, sf).select(*KEYS, F.timestamp_micros("t_us").alias("ts"), "rate", *v.CHANNELS)
+    after = raw.agg(F.max("ts").alias("ts")).select(
+        F.lit("end").alias("session_id"), F.lit("end").alias("episode_id"), (F.col("ts") + F.expr("interval 400 days")).alias("ts"), F.lit(1.0).alias("rate"),
+        *(F.lit(None).cast("double").alias(c) for c in v.CHANNELS),
+    )
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    raw.unionByName(after).write.parquet(f"{folder}/raw")
+    arriving = spark.readStream.schema(raw.schema).parquet(f"{folder}/raw")
+    made = live.resample_stream(arriving, "ts", v.CHANNELS, PROFILE.max_gap_us, "1 hour", 40 * v.DAY_US, v.DAY_US)
+    found = state.append_available(made, f"{folder}/grid", f"{folder}/checkpoint")
+    return rounded(found.filter("step is not null and session_id <> 'end'").select(*KEYS, "step", *v.CHANNELS), 5)
+
+
 def resample_gaps(spark, sf):
     return v.grid(spark, sf).groupBy(*KEYS).agg(F.count_if(F.col("q_1").isNull()).alias("holes"))
 

@@ -15,13 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from strandflow.sources.session_files import Sessions
+from strandflow.streaming.state import keyed_state
 
 OUTCOME = "directory string, session_id string, error string"
 EVENT = "directory string, kind string, error string"
 STATE = "status string, attempts int, error string"
 Process = Callable[[DataFrame, int], DataFrame]
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class Attempts(StatefulProcessor):
@@ -106,12 +105,8 @@ def run(spark: SparkSession, root: str, process: Process, checkpoint: str, outco
     known = new.unionByName(former).groupBy("directory").transformWithStateInPandas(
         Attempts(attempts), "directory string, attempt int", "update", "none"
     )
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)  # the one that keeps keyed state of this kind; the query remembers it
-    try:
+    with keyed_state(spark):
         query = known.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
     query.awaitTermination()
 
 

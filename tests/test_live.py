@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandflow.operators import resample
-from strandflow.streaming import live
+from strandflow.streaming import live, state
 
 CHANNELS = ["q_0", "grip"]
 START = 1_700_000_000_000_000
@@ -41,15 +41,8 @@ def written(folder, rows, number):
 
 def streamed(spark, folder, tmp_path, name, late="2 seconds", idle_us=3_000_000):
     source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(folder))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        made = live.resample_stream(source, "ts", CHANNELS, 250_000, late, idle_us)
-        query = made.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / f"cp_{name}")).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.unset(provider)
-    return spark.table(name).collect()
+    made = live.resample_stream(source, "ts", CHANNELS, 250_000, late, idle_us)
+    return state.append_available(made, str(tmp_path / name), str(tmp_path / f"cp_{name}")).collect()
 
 
 def close(a, b):
