@@ -3,7 +3,7 @@
 Bad and toxic documents go, one document of each near-duplicate group stays, passages of 50 words
 that still repeat anywhere are cut out, and what is left is packed into training sequences. A
 document whose whole text is cut out stays with an empty text. Every stage takes an empty table, very long
-texts, and extra columns of any name that does not begin with "__"; all but the last return the columns they get.
+texts, and extra columns of any name; all but the last return the columns they get.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the smallest doc_id. Rows without a doc_id stay, and so do rows that repeat the one that stays."""
     gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(["`{}`".format(c.replace("`", "``")) for c in docs.columns])
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

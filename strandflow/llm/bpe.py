@@ -266,6 +266,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Encode and decode each text in one pass: (doc_id, n_tokens, ids_sha256, decoded_sha256).
 
     A null text counts as empty. Ids never leave the worker, so the output is four short columns.
+    Repeated rows are each encoded; an empty table gives no rows; extra columns are not read.
     """
 
     def rows(c):

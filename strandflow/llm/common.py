@@ -103,10 +103,12 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def filter_rows(df: DataFrame, decide: Callable[[list], list[bool]]) -> DataFrame:
-    """The rows of `df`, all columns as they are, for whose texts `decide` says so."""
+    """The rows of `df`, all columns as they are, for whose texts `decide` says so. Rows travel as one struct, so columns may have any name."""
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(decide(batch.column("text").to_pylist()), pa.bool_()))
+            kept = batch.column(1).filter(pa.array(decide(batch.column(0).to_pylist()), pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.flatten(), names)
 
-    return df.mapInArrow(run, df.schema)
+    return df.select("text", F.struct("*").alias("whole")).mapInArrow(run, df.schema)

@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     or empty text has an empty set and is linked with nothing. component_id is the smallest doc_id
     reachable over links; kept marks the row that bears it. A doc_id is taken to name one text;
     rows that repeat it get the same result. A row without a doc_id is linked with nothing: its
-    component_id is null and it is kept. An empty table gives no rows.
+    component_id is null and it is kept. An empty table gives no rows; extra columns are not read.
     """
     least = percent / 100
     sketches = cut(sketch(docs, k), "sketches")

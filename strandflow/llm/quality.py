@@ -144,7 +144,8 @@ def score(docs: DataFrame, model: dict | None, keep_from: float = KEEP_FROM) ->
     """Per row of `docs`: the base measures, base_failed, the probability of good quality, and kept.
 
     A null or empty text has no words and fails the base rules. Without a model (no labels) the
-    base rules alone decide, and p_good is null. Repeated rows are judged one by one.
+    base rules alone decide, and p_good is null. Repeated rows are judged one by one; an empty table gives
+    no rows; extra columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

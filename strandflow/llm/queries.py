@@ -51,6 +51,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without a doc_id is neither held out nor learned from: held_out is null."""
     docs = table(spark, sf_dir, "documents")
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     found = langid.predict(docs, langid.fit(docs, ~held))

@@ -308,3 +308,27 @@ def _presence(text):
     out = np.zeros(langid.WIDTH)
     langid.presence(text, out)
     return out
+
+
+def test_stages_take_odd_tables(spark, tables):
+    import corpus_pipeline as p
+
+    extra = ["_spans", "__doc", "__start", "a.b", "node", "band", "draw", "toxic", "kept"]
+    some = tables["documents"].limit(60).withColumns({c: F.lit(c) for c in extra})
+    clean = tables["labels"].filter("quality = 1 and toxic = 0").join(tables["documents"].filter("length(text) between 600 and 3000"), "doc_id")
+    text = clean.orderBy("doc_id").first()["text"]
+    odd = [(None, text)] * 40 + [(5_000_000, text)] * 40 + [(5_000_001, text), (5_000_002, None), (None, None), (5_000_003, "")]
+    more = spark.createDataFrame([(i, t, "en", "web", None, *extra) for i, t in odd], some.schema.simpleString().removeprefix("struct<").removesuffix(">").replace("a.b", "`a.b`"))
+    for docs in (some.union(more), some.limit(0)):
+        n = docs.count()
+        for name, stage in p.STAGES:
+            out = p.cut(stage(spark, docs, DATA), name)
+            if name == "packing":
+                assert (out.count() > 0) == (n > 0)
+            else:
+                assert out.columns == docs.columns and out.count() <= docs.count()
+                kept = {r["doc_id"] for r in out.select("doc_id").collect()}
+                assert all(r[c] == c for r in out.limit(5).collect() for c in extra)
+                if n and name == "near_duplicates":
+                    assert 5_000_001 not in kept and (5_000_000 in kept or out.filter("doc_id is null").count() > 0)
+            docs = out if name != "packing" else docs
