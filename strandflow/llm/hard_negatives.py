@@ -197,7 +197,8 @@ def _meet(groups: DataFrame, blocks: DataFrame, deal: tuple[int, int], dims: int
     held = groups.withColumns({"s": part(s), "kind": F.lit(0)}).withColumn("c", all_of(c))
     met = blocks.withColumns({"c": part(c), "kind": F.lit(1)}).withColumn("s", all_of(s))
     names = ["s", "c", "kind", "n", *_PARTS]
-    both = held.select(*names).unionAll(met.select(*names)).repartition(s * c, "s", "c").sortWithinPartitions("s", "c", "kind")
+    parts = min(s * c, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    both = held.select(*names).unionAll(met.select(*names)).repartition(parts, "s", "c").sortWithinPartitions("s", "c", "kind")
     columns = [x.split()[0] for x in schema.split(", ")]
 
     def told(walked: Walk | None) -> Iterator[pa.RecordBatch]:
