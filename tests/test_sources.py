@@ -304,15 +304,11 @@ def test_a_bad_session_keeps_no_other_from_the_store(spark, tmp_path, corpus):
     assert known["fine"] == ("done", 1) and known["twice"] == ("waiting", 2) and stored(spark, place) == [("fine", "fine__e_ok"), ("lost", "lost__e0_ok"), ("lost", "lost__e1_ok")]
 
 
-def test_an_episode_that_turns_bad_leaves_the_store(spark, tmp_path, corpus):
-    raw, place, go = corpus
-    session(raw, "a", files=[("e_ok.csv", recording())])
-    go()
-    assert stored(spark, place) == [("a", "a__e_ok")] and stored(spark, place, "quarantine") == []
-    for body, sides in ((recording(jump=50.0), (0, 1)), (recording(), (1, 0))):
-        (raw / "a" / "e_ok.csv").write_text(body)
-        loop.again(spark, str(tmp_path / "outcomes"), ["a"])
-        go()
+def test_an_episode_that_turns_bad_leaves_the_store(spark, tmp_path):
+    raw, place = tmp_path / "raw", tmp_path / "store"
+    for body, sides in ((recording(), (1, 0)), (recording(jump=50.0), (0, 1)), (recording(), (1, 0))):
+        session(raw, "a", files=[("e_ok.csv", body)])
+        onboard.onboard(spark, str(raw), SMALL, str(place), ["a"])
         for table, n in (("episodes", sides[0]), ("steps", sides[0]), ("quarantine", sides[1]), ("quarantine_steps", sides[1])):
             assert stored(spark, place, table) == [("a", "a__e_ok")] * n, table
 
