@@ -56,6 +56,7 @@ def _order(sample: tuple) -> tuple:
 class Resampler(StatefulProcessor):
     def __init__(self, channels: list[str], max_gap_us: int, idle_us: int, unit_us: int):
         self.channels, self.max_gap_us, self.idle_us, self.unit_us = channels, max_gap_us, idle_us, unit_us
+        self.names = ["session_id", "episode_id", "step", "t_us", *channels, "off_grid", *CLOSING]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -67,15 +68,21 @@ class Resampler(StatefulProcessor):
         cells = new[self.channels].to_numpy(np.float64)
         t = new["t_us"].to_numpy(np.int64)
         self.waiting.appendList(list(zip(t.tolist(), cells.tolist(), new["rate"].astype(float).tolist(), strict=True)))
-        for at in (int(t.max()), int(t.max()) + self.idle_us):
-            self.handle.registerTimer(-(-at // 1000))
-        yield from self._settled(key, timerValues.getCurrentWatermarkInMs() * 1000)
+        self._wake(int(t.max()))
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        if passed > 0 or t.min() <= passed:  # else no watermark has passed anything yet
+            yield from self._settled(key, passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._settled(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
+    def _wake(self, at: int) -> None:
+        """Look again at this episode once the watermark has passed the time `at`."""
+        self.handle.registerTimer(-(-at // 1000))
+
     def _settled(self, key, passed: int) -> Iterator[pd.DataFrame]:
-        """The points that samples up to the time `passed` settle, and the episode's end if nothing came for so long."""
+        """The points that samples up to the time `passed` settle, and the episode's end if nothing came for so long: at most one frame."""
+        told: dict[str, list] = {c: [] for c in self.names}
         waits = sorted(self.waiting.get(), key=_order) if self.waiting.exists() else []
         now = [w for w in waits if w[0] <= passed]
         state = self.progress.get() if self.progress.exists() else None
@@ -91,21 +98,24 @@ class Resampler(StatefulProcessor):
                 part.append(w)
             if part:
                 state, out = self._advanced(state, part, False)
-                yield self._rows(key, out)
+                self._rows(told, key, out)
                 now = now[len(part) :]
             else:
-                yield from self._ended(key, state)
+                self._ended(told, key, state)
                 state = None
         if len(waits) and waits[0][0] <= passed:
             left = [w for w in waits if w[0] > passed]
             self.waiting.put(left) if left else self.waiting.clear()
         if state is not None and state[1] + self.idle_us <= passed:
-            yield from self._ended(key, state)
+            self._ended(told, key, state)
             state = None
         if state is not None:
             self.progress.update(state)
+            self._wake(state[1] + self.idle_us)
         elif self.progress.exists():
             self.progress.clear()
+        if told["session_id"]:
+            yield pd.DataFrame({c: pd.Series(cells, dtype=object) for c, cells in told.items()})
 
     def _advanced(self, state: tuple, samples: list[tuple], ended: bool) -> tuple[tuple, tuple]:
         t0, at, own, point, rate, n, total, squares, gaps, n_points, n_off = state
@@ -118,20 +128,20 @@ class Resampler(StatefulProcessor):
         state = (t0, int(t[-1]), cells[-1].tolist(), point + len(out[0]), rate, n + len(dt), *(float(x) for x in sums), *counts)
         return state, out
 
-    def _rows(self, key, out: tuple) -> pd.DataFrame:
+    def _rows(self, told: dict[str, list], key, out: tuple) -> None:
         k, t, made, off = out
         columns = {"session_id": [key[0]] * len(k), "episode_id": [key[1]] * len(k), "step": k.tolist(), "t_us": t.tolist()}
         for i, c in enumerate(self.channels):
             columns[c] = [None if x != x else x for x in made[:, i].tolist()]
-        return self._frame(columns | {"off_grid": off.tolist()}, len(k))
+        self._tell(told, columns | {"off_grid": off.tolist()}, len(k))
 
-    def _frame(self, columns: dict[str, list], n: int) -> pd.DataFrame:
-        names = ["session_id", "episode_id", "step", "t_us", *self.channels, "off_grid", *CLOSING]
-        return pd.DataFrame({c: pd.Series(columns.get(c, [None] * n), dtype=object) for c in names})
+    def _tell(self, told: dict[str, list], columns: dict[str, list], n: int) -> None:
+        for c, cells in told.items():
+            cells.extend(columns.get(c, [None] * n))
 
-    def _ended(self, key, state: tuple) -> Iterator[pd.DataFrame]:
+    def _ended(self, told: dict[str, list], key, state: tuple) -> None:
         state, out = self._advanced(state, [], True)
-        yield self._rows(key, out)
+        self._rows(told, key, out)
         n, total, squares, gaps, n_points, n_off = state[5:]
         gap_count = n - 1
         timed = n >= 3 and total > 0
@@ -140,7 +150,7 @@ class Resampler(StatefulProcessor):
             "n_raw": n, "n_steps": n_points, "interp_fraction": n_off / n_points, "duration_us": int(out[1][-1]) if len(out[1]) else self._time_of(state),
             "raw_dt_jitter": variance**0.5 / (total / gap_count) if timed else 0.0, "raw_gap_fraction": gaps / total if timed else 0.0,
         }
-        yield self._frame({k: [v] for k, v in (closing | {"session_id": key[0], "episode_id": key[1]}).items()}, 1)
+        self._tell(told, {k: [v] for k, v in (closing | {"session_id": key[0], "episode_id": key[1]}).items()}, 1)
 
     def _time_of(self, state: tuple) -> int:
         return int(np.floor((state[3] - 1) * float(self.unit_us) / state[4] + NUDGE))
