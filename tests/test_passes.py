@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from strandflow.operators import evaluate, metrics, validate
+from strandflow.operators import dataset, evaluate, metrics, validate
 from strandflow.plans import driver_views as v
+from strandflow.sources.layout import scratch_layout
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +35,38 @@ def test_drift_of_all_horizons_from_one_pass(spark):
             for at in {int(x * (length - n - 1) / 4) for x in range(5)} if length > n else ():
                 off.append(abs(own[at][3] + n * own[max(at - 1, 0)][4] - own[at + n][3]))
         assert got[n][1] == len(off) and math.isclose(got[n][0], sum(off) / len(off))
+
+
+def test_an_episode_is_hashed_once_in_a_build(spark):
+    stored = []
+
+    def keep(df):
+        stored.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return v.keep(df)
+
+    made = v.wide(spark, SF)
+    once = dataset.content_hash(v.steps(spark, SF, made), v.PROFILE.channels())._jdf.queryExecution().optimizedPlan().toString().count("md5(")
+    dataset.build(v.steps(spark, SF, made), v.keep(v.gated(spark, SF, made)), v.OBS, v.ACT, v.PROFILE, keep=keep)
+    assert once and [p.count("md5(") for p in stored] == [once] + [0] * (len(stored) - 1)
+
+
+def test_steps_are_dealt_into_as_many_tasks_as_buckets(spark, monkeypatch):
+    laid_out = []
+    monkeypatch.setattr(v, "scratch_layout", lambda df, name: laid_out.append(df) or scratch_layout(df, name))
+    v.built(spark, SF)
+    plan = laid_out[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and laid_out[0].rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_metrics_and_rules_look_at_rows_in_order_through_one_window(spark):
+    made = v.wide(spark, SF).limit(0).localCheckpoint()
+    windows = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+    assert windows(metrics.with_neighbours(made, v.PROFILE, validate.intervals())) == windows(metrics.with_neighbours(made, v.PROFILE))
+
+
+def test_whole_numbers_are_those_of_round(spark):
+    xs = [0.0, -0.0, 0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, 1e6 / 3, -1e6 / 3, 4503599627370495.5, 12345678.499999998, None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select(dataset.nearest(F.col("x")).alias("n"), F.round("x").cast("long").alias("r"))
+    assert all(r["n"] == r["r"] for r in df.collect()) and "round(" not in dataset.digest_sums(
+        spark.range(1).selectExpr("'s' as session_id", "'e' as episode_id", "0 as step", "0L as t_us", "0.5D as x"), ["x"]
+    )._jdf.queryExecution().optimizedPlan().toString()
