@@ -70,3 +70,16 @@ def test_whole_numbers_are_those_of_round(spark):
     assert all(r["n"] == r["r"] for r in df.collect()) and "round(" not in dataset.digest_sums(
         spark.range(1).selectExpr("'s' as session_id", "'e' as episode_id", "0 as step", "0L as t_us", "0.5D as x"), ["x"]
     )._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_held_out_windows_become_sums_within_tasks(spark):
+    model = {"obs": ["a"], "act": ["u"], "obs_mean": np.zeros(1), "obs_std": np.ones(1), "act_mean": np.zeros(1), "act_std": np.ones(1)}
+    model["weights"] = {1.0: np.array([[1.0, 0.0], [0.0, 0.5]]), 2.0: np.array([[0.5, 0.0], [0.0, 0.0]])}
+    windows = spark.createDataFrame([([2.0], [[2.05], [1.5]]), ([4.0], [[3.0], [None]])], "obs array<double>, actions array<array<double>>")
+    history = evaluate.fit_history(windows, model)
+    assert "explode" not in history._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["ridge"]: (r["chunk_mae"], r["loss"], r["chosen"]) for r in history.collect()}
+    off = {1.0: [0.05, 1.0, 1.0], 2.0: [1.05, 1.5, 1.0]}
+    for ridge, e in off.items():
+        loss = [x * x / 0.2 if x < 0.1 else x - 0.05 for x in e]
+        assert math.isclose(got[ridge][0], sum(e) / 3) and math.isclose(got[ridge][1], sum(loss) / 3) and got[ridge][2] == (ridge == 1.0)
