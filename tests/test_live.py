@@ -90,3 +90,23 @@ def test_an_idle_episode_ends_and_another_begins(spark, tmp_path):
     got = [r for r in streamed(spark, folder, tmp_path, "idle") if r["session_id"] == "a"]
     assert sorted((r["step"], r["q_0"]) for r in got if r["step"] is not None) == [(k, float(k)) for k in range(4) for _ in range(2)]
     assert [(r["n_raw"], r["n_steps"], r["duration_us"], r["raw_dt_jitter"]) for r in got if r["step"] is None] == [(4, 4, 150_000, 0.0)] * 2
+
+
+def test_episodes_that_share_a_group_stay_apart(spark, tmp_path):
+    rows = recordings(3)
+    order = sorted(rows, key=lambda r: r[2])
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for number in range(3):
+        written(folder, order[number * len(order) // 3 : (number + 1) * len(order) // 3], number)
+    written(folder, [("end", "e", START + 10**9, 20.0, 0.0, 0.0)], 9998)
+    source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(folder))
+    made = live.resample_stream(source, "ts", CHANNELS, 250_000, "1 second", 3_000_000, groups=1)
+    got = state.append_available(made, str(tmp_path / "shared"), str(tmp_path / "cp_shared")).collect()
+    raw = spark.createDataFrame(rows, "session_id string, episode_id string, t_us long, rate double, q_0 double, grip double")
+    whole = resample.resample(raw, CHANNELS, F.col("rate"), 250_000, CHANNELS)
+    want = {(r["session_id"], r["step"]): r for r in whole.collect()}
+    points = [r for r in got if r["step"] is not None]
+    assert sorted((r["session_id"], r["step"]) for r in points) == sorted(want)
+    assert all(close(p[c], want[p["session_id"], p["step"]][c]) for p in points for c in CHANNELS)
+    assert len(got) - len(points) == 6
